@@ -12,7 +12,8 @@ def normalize_route_id(c, unknown: str = UNKNOWN_ROUTE) -> Column:
     """NULL or blank to ``UNKNOWN``; trim and upper-case; an all-digit id
     loses its leading zeros (``0070`` -> ``70``, ``000`` -> ``0``)."""
     col = F.col(c) if isinstance(c, str) else c
-    text = F.upper(F.trim(col.cast("string")))
+    # Strip all surrounding whitespace, as Python's str.strip() does.
+    text = F.upper(F.regexp_replace(col.cast("string"), r"^\s+|\s+$", ""))
     # Python's str.isdigit() on the trimmed text: ASCII digits only here.
     digits = text.rlike("^[0-9]+$")
     stripped = F.regexp_replace(text, "^0+(?=[0-9])", "")
