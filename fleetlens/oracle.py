@@ -160,3 +160,109 @@ def r6(expr: str, name: str) -> str:
 
 def ts_text(expr: str, name: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') AS {name}"
+
+
+# Map CTEs: ranked trips, de-duplicated points, thinning, segments, buckets.
+MAP = """,
+mtop AS (
+  SELECT o.*, c.route_name,
+    row_number() OVER (ORDER BY o.distance_km DESC NULLS LAST, o.co2_kg_est DESC NULLS LAST, o.trip_id, o.route_id) AS rnk
+  FROM (SELECT * FROM ts ORDER BY distance_km DESC NULLS LAST, co2_kg_est DESC NULLS LAST, trip_id, route_id LIMIT 80) o
+  LEFT JOIN catalog c ON o.route_id = c.route_id
+),
+mtrips AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY rnk) AS rn FROM mtop) WHERE rn = 1),
+mpts0 AS (
+  SELECT s.trip_id, s.t, s.latitude, s.longitude, s.speed_kmh, s.event_id, s.copy_no,
+    row_number() OVER (PARTITION BY s.trip_id, s.t, s.latitude, s.longitude ORDER BY s.event_id, s.copy_no) AS dn
+  FROM silver s WHERE s.trip_id IN (SELECT trip_id FROM mtrips) AND s.t IS NOT NULL AND s.latitude IS NOT NULL AND s.longitude IS NOT NULL
+),
+mpts AS (
+  SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY t, event_id, copy_no) - 1 AS point_idx,
+    count(*) OVER (PARTITION BY trip_id) AS point_count_raw
+  FROM mpts0 WHERE dn = 1
+),
+mkeep AS (
+  SELECT trip_id, point_count_raw,
+    CASE WHEN point_count_raw <= 180 THEN range(point_count_raw)
+         ELSE list_distinct(list_transform(range(180), lambda i:
+           least(CAST(round_even(i * ((point_count_raw - 1) / CAST(179 AS DOUBLE)), 0) AS BIGINT), point_count_raw - 1))) END AS keep
+  FROM (SELECT DISTINCT trip_id, point_count_raw FROM mpts)
+),
+mthin AS (
+  SELECT p.*, len(k.keep) AS point_count_view,
+    row_number() OVER (PARTITION BY p.trip_id ORDER BY p.point_idx) - 1 AS view_idx
+  FROM mpts p JOIN mkeep k ON p.trip_id = k.trip_id WHERE list_contains(k.keep, p.point_idx)
+),
+mlag AS (
+  SELECT *, lag(latitude) OVER w AS lat1, lag(longitude) OVER w AS lon1, lag(t) OVER w AS t1
+  FROM mthin WINDOW w AS (PARTITION BY trip_id ORDER BY view_idx)
+),
+mseg0 AS (
+  SELECT m.trip_id, m.view_idx AS segment_idx, tr.route_id, coalesce(tr.route_name, '') AS route_name,
+    m.lat1, m.lon1, m.latitude AS lat2, m.longitude AS lon2,
+    CAST(6371 AS DOUBLE) * 2 * atan2(sqrt(ha), sqrt(1 - ha)) AS distance_km,
+    greatest((m.t - m.t1) / CAST(60 AS DOUBLE), CAST(0 AS DOUBLE)) AS duration_min,
+    m.speed_kmh, m.t
+  FROM (SELECT *, pow(sin(radians(latitude - lat1) / 2), 2)
+          + cos(radians(lat1)) * cos(radians(latitude)) * pow(sin(radians(longitude - lon1) / 2), 2) AS ha FROM mlag) m
+  LEFT JOIN mtrips tr ON m.trip_id = tr.trip_id
+  WHERE m.view_idx > 0
+),
+mseg AS (
+  SELECT *, (distance_km * CAST(0.28 AS DOUBLE) + idle_min * CAST(0.03 AS DOUBLE)) * CAST(2.68 AS DOUBLE) AS co2_kg_est,
+    round_even(distance_km, 4) AS distance_km_r4,
+    round_even((distance_km * CAST(0.28 AS DOUBLE) + idle_min * CAST(0.03 AS DOUBLE)) * CAST(2.68 AS DOUBLE), 4) AS co2_kg_r4,
+    make_timestamp(((t + 25200) // 1800) * 1800 * 1000000) AS bucket_start
+  FROM (SELECT *, CASE WHEN speed_kmh IS NOT NULL AND NOT isnan(speed_kmh) AND speed_kmh <= 1 THEN duration_min
+                       ELSE CAST(0 AS DOUBLE) END AS idle_min FROM mseg0)
+),
+mbuck AS (
+  SELECT bucket_start, route_id, round_even(lat1, 4) AS lat1_r4, round_even(lon1, 4) AS lon1_r4,
+    round_even(lat2, 4) AS lat2_r4, round_even(lon2, 4) AS lon2_r4,
+    sum(co2_kg_est) AS co2_sum, sum(distance_km) AS distance_sum, count(*) AS segment_count,
+    round_even(sum(co2_kg_est), 4) AS co2_kg_est, round_even(sum(distance_km), 4) AS distance_km
+  FROM mseg GROUP BY ALL
+),
+mday0 AS (
+  SELECT CAST(bucket_start AS DATE) AS event_date, route_id, bucket_start,
+    sum(CAST(co2_kg_est AS DECIMAL(20,4))) AS bucket_co2, sum(CAST(distance_km AS DECIMAL(20,4))) AS bucket_distance
+  FROM mbuck GROUP BY ALL
+),
+mday AS (
+  SELECT *, sum(bucket_co2) OVER (PARTITION BY event_date, route_id ORDER BY bucket_start
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative,
+    CAST(round_even(sum(bucket_co2) OVER (PARTITION BY event_date, route_id), 3) AS DOUBLE) AS total_co2_kg,
+    CAST(round_even(sum(bucket_distance) OVER (PARTITION BY event_date, route_id), 3) AS DOUBLE) AS total_distance_km
+  FROM mday0
+),
+mactive AS (
+  SELECT CAST(rb.bucket_start AS DATE) AS event_date, rb.route_id, count(DISTINCT bt.trip_id) AS active_trip_count
+  FROM (SELECT DISTINCT route_id, bucket_start FROM mseg) rb
+  JOIN (SELECT DISTINCT bucket_start, trip_id FROM mseg) bt ON rb.bucket_start = bt.bucket_start
+  GROUP BY ALL
+),
+mown AS (
+  SELECT CAST(bucket_start AS DATE) AS event_date, route_id, count(DISTINCT trip_id) AS route_trip_count FROM mseg GROUP BY ALL
+),
+mpath AS (
+  SELECT tr.trip_id, tr.route_id,
+    CASE WHEN round_even(coalesce(tr.distance_km, 0), 2) <= 0 THEN round_even(coalesce(s.km, 0), 2)
+         ELSE round_even(coalesce(tr.distance_km, 0), 2) END AS distance_km,
+    CASE WHEN round_even(coalesce(tr.co2_kg_est, 0), 2) <= 0 THEN round_even(coalesce(s.co2, 0), 2)
+         ELSE round_even(coalesce(tr.co2_kg_est, 0), 2) END AS co2_kg_est,
+    p.point_count_raw, p.point_count_view
+  FROM mtrips tr
+  JOIN (SELECT trip_id, max(point_count_raw) AS point_count_raw, max(point_count_view) AS point_count_view FROM mthin GROUP BY trip_id) p
+    ON tr.trip_id = p.trip_id
+  LEFT JOIN (SELECT trip_id, CAST(sum(CAST(distance_km_r4 AS DECIMAL(24,4))) AS DOUBLE) AS km,
+                          CAST(sum(CAST(co2_kg_r4 AS DECIMAL(24,4))) AS DOUBLE) AS co2 FROM mseg GROUP BY trip_id) s ON tr.trip_id = s.trip_id
+),
+mgeo AS (
+  SELECT route_id, trip_id, point_count_view FROM (
+    SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY point_count_view DESC, trip_id) AS rn FROM mpath) WHERE rn = 1
+)"""
+
+
+def with_map(select_sql: str) -> str:
+    ctes = PING + "," + SILVER.format(norm_route_no=norm_route("route_no"), norm_route_id=norm_route("route_id")) + MAP
+    return "WITH " + ctes + "\n" + select_sql

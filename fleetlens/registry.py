@@ -456,3 +456,151 @@ def q_insight_values(spark, sf_dir):
     """A19 / K12."""
     ts, rh, bd = _gold(spark, sf_dir)
     return reports.insight_values(bd, rh, ts, flows.catalog(spark, sf_dir))
+
+
+# --------------------------------------------------------------------- map
+
+
+def _map(spark, sf_dir):
+    from .operators.mapdata import build_map
+
+    ts, _, _ = _gold(spark, sf_dir)
+    return build_map(flows.silver(spark, sf_dir), ts, flows.catalog(spark, sf_dir))
+
+
+@register(
+    "thin_trips",
+    O.with_map("SELECT trip_id, point_idx, view_idx, point_count_raw, point_count_view FROM mthin"),
+)
+def q_thin_trips(spark, sf_dir):
+    """Evenly thinned points of the ranked trips."""
+    return _map(spark, sf_dir)["points"].select("trip_id", "point_idx", "view_idx", "point_count_raw", "point_count_view")
+
+
+@register(
+    "map_segments",
+    O.with_map(
+        "SELECT trip_id, segment_idx, route_id, distance_km_r4, co2_kg_r4, round(duration_min, 6) AS duration_min, "
+        + O.ts_text("bucket_start", "bucket_start")
+        + " FROM mseg"
+    ),
+)
+def q_map_segments(spark, sf_dir):
+    """W6 / D15 / D16 / ST8: segments between kept points with 30-minute bucket."""
+    s = _map(spark, sf_dir)["segments"]
+    return s.select("trip_id", "segment_idx", "route_id", "distance_km_r4", "co2_kg_r4", r6("duration_min"), ts_text("bucket_start"))
+
+
+@register(
+    "bucket_segments",
+    O.with_map(
+        "SELECT " + O.ts_text("bucket_start", "bucket_start") + ", route_id, lat1_r4, lon1_r4, lat2_r4, lon2_r4, "
+        "round(co2_sum, 6) AS co2_sum, round(distance_sum, 6) AS distance_sum, segment_count FROM mbuck"
+    ),
+)
+def q_bucket_segments(spark, sf_dir):
+    """A14."""
+    b = _map(spark, sf_dir)["bucket_segments"]
+    return b.select(ts_text("bucket_start"), "route_id", "lat1_r4", "lon1_r4", "lat2_r4", "lon2_r4", r6("co2_sum"), r6("distance_sum"), "segment_count")
+
+
+@register(
+    "time_slices",
+    O.with_map(
+        """SELECT strftime(b.bucket_start, '%Y-%m-%d %H:%M:%S') AS bucket_start, strftime(b.bucket_start, '%Y-%m-%d %H:%M') AS bucket_label,
+  b.total_co2_kg, b.total_distance_km, c.active_trips, c.active_routes, b.segment_groups
+FROM (SELECT bucket_start, round_even(sum(co2_sum), 3) AS total_co2_kg, round_even(sum(distance_sum), 3) AS total_distance_km,
+        count(*) AS segment_groups FROM mbuck GROUP BY bucket_start) b
+JOIN (SELECT bucket_start, count(DISTINCT trip_id) AS active_trips, count(DISTINCT route_id) AS active_routes FROM mseg GROUP BY bucket_start) c
+  ON b.bucket_start = c.bucket_start"""
+    ),
+)
+def q_time_slices(spark, sf_dir):
+    """A15 / R8."""
+    t = _map(spark, sf_dir)["time_slices"]
+    return t.select(
+        ts_text("bucket_start"), "bucket_label", "total_co2_kg", "total_distance_km", "active_trips", "active_routes",
+        F.size("segments").cast("long").alias("segment_groups"),
+    )
+
+
+@register(
+    "route_emission_days",
+    O.with_map(
+        """SELECT d.route_id, CAST(d.event_date AS VARCHAR) AS event_date, strftime(d.bucket_start, '%Y-%m-%d %H:%M:%S') AS bucket_key,
+  CAST(round_even(d.bucket_co2, 4) AS DOUBLE) AS co2_kg_exact, CAST(round_even(d.cumulative, 4) AS DOUBLE) AS co2_kg_cumulative,
+  d.total_co2_kg, d.total_distance_km, a.active_trip_count, o.route_trip_count
+FROM mday d
+LEFT JOIN mactive a ON d.event_date = a.event_date AND d.route_id = a.route_id
+LEFT JOIN mown o ON d.event_date = o.event_date AND d.route_id = o.route_id"""
+    ),
+)
+def q_route_emission_days(spark, sf_dir):
+    """A16 / W7 / U3 / F17, one row per (day, route, bucket)."""
+    d = _map(spark, sf_dir)["route_emission_days"]
+    z = F.arrays_zip("bucket_keys", "co2_kg_exact", "co2_kg_cumulative")
+    return d.select("route_id", "event_date", F.explode(z).alias("b"), "total_co2_kg", "total_distance_km", "active_trip_count", "route_trip_count").select(
+        "route_id",
+        "event_date",
+        F.date_format("b.bucket_keys", "yyyy-MM-dd HH:mm:ss").alias("bucket_key"),
+        F.col("b.co2_kg_exact").alias("co2_kg_exact"),
+        F.col("b.co2_kg_cumulative").alias("co2_kg_cumulative"),
+        "total_co2_kg",
+        "total_distance_km",
+        "active_trip_count",
+        "route_trip_count",
+    )
+
+
+@register(
+    "trip_paths",
+    O.with_map("SELECT trip_id, route_id, distance_km, co2_kg_est, point_count_raw, point_count_view FROM mpath"),
+)
+def q_trip_paths(spark, sf_dir):
+    """A18."""
+    p = _map(spark, sf_dir)["trip_paths"]
+    return p.select("trip_id", "route_id", "distance_km", "co2_kg_est", "point_count_raw", "point_count_view")
+
+
+@register("route_geometries", O.with_map("SELECT route_id, trip_id, point_count_view FROM mgeo"))
+def q_route_geometries(spark, sf_dir):
+    """A17."""
+    return _map(spark, sf_dir)["route_geometries"].select("route_id", "trip_id", "point_count_view")
+
+
+@register(
+    "route_snapshot",
+    O.with_map(
+        """SELECT route_id, round(co2, 6) AS co2, round(CASE WHEN mx > 0 THEN co2 / mx ELSE 0 END, 6) AS share_of_max,
+  round(city, 6) AS city_co2_kg, CAST(rk AS BIGINT) AS rank FROM (
+  SELECT *, max(co2) OVER () AS mx, sum(co2) OVER () AS city, row_number() OVER (ORDER BY co2 DESC, route_id) AS rk FROM (
+    SELECT d.route_id, coalesce(CAST(round_even(d.cumulative, 4) AS DOUBLE), 0) AS co2 FROM (
+      SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY bucket_start) AS pos FROM mday
+      WHERE event_date = (SELECT min(event_date) FROM mday)) d
+    JOIN mgeo g ON d.route_id = g.route_id
+    WHERE d.pos = 1 AND g.point_count_view > 1))"""
+    ),
+)
+def q_route_snapshot(spark, sf_dir):
+    """First day, bucket position 0, cumulative CO2."""
+    from .operators.mapdata import route_snapshot
+
+    m = _map(spark, sf_dir)
+    days = m["route_emission_days"]
+    first_day = days.agg(F.min("event_date")).first()[0]
+    snap = route_snapshot(days, m["route_geometries"], day=first_day, bucket_index=0)
+    return snap.select("route_id", r6("co2"), r6("share_of_max"), r6("city_co2_kg"), F.col("rank").cast("long").alias("rank"))
+
+
+@register(
+    "filter_values",
+    O.with_map(
+        "SELECT 'day' AS kind, CAST(event_date AS VARCHAR) AS value FROM mday GROUP BY event_date "
+        "UNION ALL SELECT 'route' AS kind, route_id AS value FROM mday GROUP BY route_id"
+    ),
+)
+def q_filter_values(spark, sf_dir):
+    """A24."""
+    from .operators.mapdata import filter_values
+
+    return filter_values(_map(spark, sf_dir)["route_emission_days"])
