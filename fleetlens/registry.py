@@ -604,3 +604,68 @@ def q_filter_values(spark, sf_dir):
     from .operators.mapdata import filter_values
 
     return filter_values(_map(spark, sf_dir)["route_emission_days"])
+
+
+# ------------------------------------------------------------ raw sources
+
+
+def _write_raw_copies(spark, sf_dir) -> str:
+    """Write the driver pings once per format, each with its own column names
+    (CSV flat with ISO text time, JSON nested with epoch seconds, Parquet with
+    the normalized names); returns the folder."""
+    import hashlib
+
+    from .session import scratch_path
+    from .sources import driver
+
+    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
+    root = scratch_path(spark, f"raw_copies_{tag}")
+    p = driver.raw_pings(spark, sf_dir)
+    csv = p.select(
+        F.date_format(F.timestamp_seconds("t"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        F.col("bus_id").alias("vehicle_id"),
+        F.col("route_raw").alias("route"),
+        F.col("latitude").alias("lat"),
+        F.col("longitude").alias("lon"),
+        F.col("speed_kmh").alias("speed"),
+    )
+    csv.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
+    ).csv(f"{root}/csv")
+    js = p.select(
+        F.struct(
+            F.col("bus_id").alias("vehicle"),
+            F.col("t").alias("datetime"),
+            F.col("longitude").alias("x"),
+            F.col("latitude").alias("y"),
+            F.col("speed_kmh").alias("speed"),
+        ).alias("msgBusWayPoint"),
+        F.col("route_raw").alias("route"),
+    )
+    js.write.mode("overwrite").option("ignoreNullFields", False).json(f"{root}/json")
+    pq = p.select(
+        F.timestamp_seconds("t").alias("event_time"), "bus_id", F.col("route_raw").alias("route_id"), "latitude", "longitude", "speed_kmh"
+    )
+    pq.write.mode("overwrite").parquet(f"{root}/parquet")
+    return root
+
+
+@register(
+    "read_raw_mapped",
+    O.with_base(
+        """SELECT f.fmt, p.bus_id, p.t, p.route_raw AS route_id, p.latitude, p.longitude, p.speed_kmh
+FROM ping p, (SELECT 'csv' AS fmt UNION ALL SELECT 'json' UNION ALL SELECT 'parquet') f"""
+    ),
+)
+def q_read_raw_mapped(spark, sf_dir):
+    """Mixed raw files read back, flattened, mapped by
+    candidate names, times parsed (epoch or ISO per file), complete rows."""
+    from .operators.normalize import drop_incomplete
+    from .sources.raw import read_mapped
+
+    root = _write_raw_copies(spark, sf_dir)
+    ev = drop_incomplete(read_mapped(spark, root))
+    fmt = F.regexp_extract("source_file", r"/(csv|json|parquet)/", 1)
+    return ev.select(
+        fmt.alias("fmt"), "bus_id", F.unix_timestamp("event_time").alias("t"), "route_id", "latitude", "longitude", "speed_kmh"
+    )
