@@ -669,3 +669,47 @@ def q_read_raw_mapped(spark, sf_dir):
     return ev.select(
         fmt.alias("fmt"), "bus_id", F.unix_timestamp("event_time").alias("t"), "route_id", "latitude", "longitude", "speed_kmh"
     )
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def _stream_silver(spark, sf_dir, n_files: int = 5):
+    import uuid
+
+    from .session import scratch_path
+    from .sources import driver
+    from .streaming.stream import BatchMetrics, read_ping_stream, replay_as_stream, run_stream
+
+    root = scratch_path(spark, f"stream_{uuid.uuid4().hex[:12]}")
+    events = driver.ping_events(spark, sf_dir)
+    replay_as_stream(events, f"{root}/landing", n_files, order_cols=("event_id", "copy_no"))
+    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=events.schema, max_files_per_trigger=1)
+    metrics = BatchMetrics()
+    q = run_stream(stream, f"{root}/bronze", f"{root}/silver", f"{root}/carry", f"{root}/checkpoint", metrics=metrics, late_root=f"{root}/late")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/silver"), metrics, root
+
+
+@register(
+    "stream_silver",
+    O.with_base("SELECT bus_id, event_id, copy_no, trip_id, " + O.r6("segment_distance_m", "segment_distance_m") + " FROM silver"),
+)
+def q_stream_silver(spark, sf_dir):
+    """ST1-ST6, ST10, K1, K2: the pings replayed as 5 files in event-id order,
+    streamed one file per micro-batch; Silver with carried trips equals the
+    batch Silver."""
+    silver, _, _ = _stream_silver(spark, sf_dir)
+    return silver.select(*ROW_KEY, "trip_id", r6("segment_distance_m"))
+
+
+@register(
+    "batch_metrics",
+    O.with_base("SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(count(*) FILTER (WHERE is_valid_gps) AS BIGINT) AS valid_rows FROM silver_all"),
+)
+def q_batch_metrics(spark, sf_dir):
+    """A22 / ST5: rows in and valid rows out, summed over the micro-batches."""
+    _, metrics, _ = _stream_silver(spark, sf_dir)
+    rows = [(int(m["input_rows"]), int(m["valid_rows"])) for m in metrics.history]
+    df = spark.createDataFrame(rows, "input_rows long, valid_rows long")
+    return df.agg(F.sum("input_rows").cast("long").alias("input_rows"), F.sum("valid_rows").cast("long").alias("valid_rows"))
