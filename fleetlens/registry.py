@@ -713,3 +713,106 @@ def q_batch_metrics(spark, sf_dir):
     rows = [(int(m["input_rows"]), int(m["valid_rows"])) for m in metrics.history]
     df = spark.createDataFrame(rows, "input_rows long, valid_rows long")
     return df.agg(F.sum("input_rows").cast("long").alias("input_rows"), F.sum("valid_rows").cast("long").alias("valid_rows"))
+
+
+# ------------------------------------------------------ sampling, ordering
+
+SAMPLE_N = 1000
+UNIFORM_N = 500
+
+
+@register(
+    "sample_even",
+    O.with_base(
+        f"""SELECT bus_id, event_id, copy_no, pos AS sample_pos FROM (
+  SELECT *, row_number() OVER (ORDER BY t, event_id, copy_no) - 1 AS pos FROM ping) x
+WHERE pos IN (SELECT DISTINCT least(CAST(floor(r.i * (c.n / CAST({SAMPLE_N} AS DOUBLE))) AS BIGINT), c.n - 1)
+              FROM (SELECT range AS i FROM range({SAMPLE_N})) r, (SELECT count(*) AS n FROM ping) c)"""
+    ),
+)
+def q_sample_even(spark, sf_dir):
+    """M1: 1000 pings evenly spaced over time (global position from the
+    range-partitioned ordered scan)."""
+    from .operators.sampling import sample_even
+
+    s = sample_even(flows.bronze(spark, sf_dir), SAMPLE_N, ["event_time", "event_id", "copy_no"])
+    return s.select(*ROW_KEY, "sample_pos")
+
+
+@register(
+    "sample_uniform",
+    O.with_base(
+        f"""SELECT bus_id, event_id, copy_no, md5(concat_ws('|', '42', bus_id, CAST(event_id AS VARCHAR), CAST(copy_no AS VARCHAR))) AS sample_hash
+FROM ping ORDER BY sample_hash LIMIT {UNIFORM_N}"""
+    ),
+)
+def q_sample_uniform(spark, sf_dir):
+    """M2: repeatable uniform sample of 500 pings, in time order."""
+    from .operators.sampling import sample_uniform
+
+    s = sample_uniform(flows.bronze(spark, sf_dir), UNIFORM_N, ROW_KEY, seed="42", order_cols=["event_time", *ROW_KEY])
+    return s.select(*ROW_KEY, "sample_hash")
+
+
+@register("order_events", O.with_base("SELECT bus_id, event_id, copy_no, t FROM ping"))
+def q_order_events(spark, sf_dir):
+    """All pings in time order (range-partitioned sort)."""
+    from .operators.normalize import order_events
+
+    return order_events(flows.bronze(spark, sf_dir), ["event_id", "copy_no"]).select(*ROW_KEY, F.unix_timestamp("event_time").alias("t"))
+
+
+# ---------------------------------------------------------------- profiling
+
+
+@register(
+    "quality_summary",
+    O.with_base(
+        """SELECT reason, CAST(count(*) AS BIGINT) AS rows FROM (
+  SELECT unnest(list_filter([
+    CASE WHEN t IS NULL THEN 'bad_time' END,
+    CASE WHEN NOT coalesce(latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180, false) THEN 'bad_range' END,
+    CASE WHEN coalesce(is_duplicate, false) THEN 'duplicate' END,
+    CASE WHEN segment_duration_s <= 0 THEN 'non_positive_duration' END,
+    CASE WHEN derived_speed_kmh > 120 THEN 'speed' END,
+    CASE WHEN segment_distance_m > 2000 THEN 'jump' END], lambda x: x IS NOT NULL)) AS reason FROM silver_all) q
+GROUP BY reason
+UNION ALL SELECT 'all_rows', CAST(count(*) AS BIGINT) FROM silver_all"""
+    ),
+)
+def q_quality_summary(spark, sf_dir):
+    """Rows per quality reason."""
+    from .operators.profile import quality_summary
+
+    return quality_summary(flows.silver_all(spark, sf_dir))
+
+
+def _frames(spark, sf_dir):
+    from .sources.raw import read_raw_frames
+
+    return read_raw_frames(spark, _write_raw_copies(spark, sf_dir))
+
+
+@register("profile_files")
+def q_profile_files(spark, sf_dir):
+    """Per raw file, rows and NULL share per column (rows-only check:
+    the file split is Spark's)."""
+    from .operators.profile import profile_files
+
+    return profile_files(_frames(spark, sf_dir))
+
+
+@register("column_frequency")
+def q_column_frequency(spark, sf_dir):
+    """Files per lower-cased column."""
+    from .operators.profile import column_frequency
+
+    return column_frequency(_frames(spark, sf_dir))
+
+
+@register("schema_drift")
+def q_schema_drift(spark, sf_dir):
+    """Columns some files lack."""
+    from .operators.profile import schema_drift
+
+    return schema_drift(_frames(spark, sf_dir))
