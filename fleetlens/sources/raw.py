@@ -69,6 +69,11 @@ def read_json_flexible(spark: SparkSession, path: str, mode: str = "PERMISSIVE",
         return lines.drop("_corrupt_record") if mode != "FAILFAST" else lines
     # A file that is pretty-printed JSON yields corrupt lines such as "  {".
     # The list of such files is bounded by the file count (metadata only).
+    # Spark refuses queries on the corrupt column alone over raw files, so
+    # the parsed lines are kept once; the good rows reuse them below.
+    from pyspark import StorageLevel
+
+    lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
     bad = lines.filter(F.col("_corrupt_record").isNotNull())
     whole = bad.filter(F.trim("_corrupt_record").isin("[", "{", "]", "}", "},", "[{", "{"))
     multi_files = [r[0] for r in whole.select("source_file").distinct().collect()]
