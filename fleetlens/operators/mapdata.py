@@ -396,7 +396,11 @@ def build_map(silver: DataFrame, trip_summary: DataFrame, catalog: DataFrame, ma
     trips = top_trips(trip_summary.withColumn("route_id", normalize_route_id("route_id")), catalog, k=max_trips)
     trips = rank_trips(with_rank(trips, [F.desc_nulls_last("distance_km"), F.desc_nulls_last("co2_kg_est"), F.asc("trip_id"), F.asc("route_id")]))
     pts = focus_points(silver, trips, timezone)
-    thinned = thin_trips(pts, max_points)
+    # After thinning the data is bounded (max_trips x max_points rows) and
+    # feeds every map dataset: keep it once.
+    from pyspark import StorageLevel
+
+    thinned = thin_trips(pts, max_points).persist(StorageLevel.MEMORY_AND_DISK)
     segs = map_segments(thinned, trips, emission)
     buckets = bucket_segments(segs)
     paths = trip_paths(thinned, segs, trips)

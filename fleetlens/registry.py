@@ -462,10 +462,15 @@ def q_insight_values(spark, sf_dir):
 
 
 def _map(spark, sf_dir):
+    from .operators import gold
+    from .operators.emissions import estimate_emissions, fill_route
     from .operators.mapdata import build_map
 
-    ts, _, _ = _gold(spark, sf_dir)
-    return build_map(flows.silver(spark, sf_dir), ts, flows.catalog(spark, sf_dir))
+    # One Silver for both the Gold trip ranking and the map points.
+    silver = flows.silver(spark, sf_dir)
+    e = estimate_emissions(fill_route(silver, flows.mapping(spark, sf_dir)))
+    ts = reports.prepare_gold(trip_summary=gold.trip_summary(e))["trip_summary"]
+    return build_map(silver, ts, flows.catalog(spark, sf_dir))
 
 
 @register(
