@@ -821,3 +821,51 @@ def q_schema_drift(spark, sf_dir):
     from .operators.profile import schema_drift
 
     return schema_drift(_frames(spark, sf_dir))
+
+
+# ------------------------------------------------------ wire and W3 trips
+
+
+@register(
+    "decode_events",
+    O.with_base("SELECT bus_id, t, route_raw AS route_id, latitude, longitude, speed_kmh FROM ping"),
+)
+def q_decode_events(spark, sf_dir):
+    """Pings to wire events, keyed JSON (Kafka layout),
+    decoded with the fixed schema and normalized back."""
+    from .operators.normalize import decode_events, normalize_events, to_events, to_keyed_json
+
+    wire = to_keyed_json(to_events(flows.bronze(spark, sf_dir)))
+    kafka_like = wire.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), F.current_timestamp().alias("timestamp"))
+    ev = normalize_events(decode_events(kafka_like))
+    return ev.select("bus_id", F.unix_timestamp("event_time").alias("t"), "route_id", "latitude", "longitude", "speed_kmh")
+
+
+TPR_SQL = O.with_base(
+    f"""
+, pn AS (SELECT *, {O.norm_route('route_raw')} AS route_n FROM ping),
+pl AS (SELECT *, lag(t) OVER w AS prev_t, lag(route_n) OVER w AS prev_rn
+       FROM pn WINDOW w AS (PARTITION BY bus_id ORDER BY t, event_id, copy_no)),
+pt AS (SELECT *, CAST(sum(CASE WHEN prev_t IS NULL OR t - prev_t > 900 OR route_n <> prev_rn THEN 1 ELSE 0 END)
+         OVER (PARTITION BY bus_id ORDER BY t, event_id, copy_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS seq
+       FROM pl),
+pr AS (SELECT bus_id || '_' || CAST(seq AS VARCHAR) AS trip_id, bus_id, route_n AS route_id,
+         min(make_timestamp(t * 1000000) + INTERVAL 7 HOUR) AS trip_start, count(*) AS point_count
+       FROM pt GROUP BY 1, 2, 3)
+SELECT r.trip_id, r.bus_id, r.route_id, r.point_count, strftime(r.trip_start, '%Y-%m-%d %H:%M:%S') AS trip_start, c.route_name
+FROM (SELECT * FROM pr ORDER BY point_count DESC, trip_start DESC, trip_id, route_id LIMIT 80) r
+LEFT JOIN catalog c ON r.route_id = c.route_id"""
+)
+
+
+@register("trip_point_rank", TPR_SQL.replace("\n, pn AS", ",\npn AS", 1))
+def q_trip_point_rank(spark, sf_dir):
+    """Trips cut on raw events with the route normalized
+    first (NULL/blank is UNKNOWN), ranked by point count then latest start."""
+    from .operators.emissions import localize
+    from .operators.segments import enrich_segments
+
+    b = flows.bronze(spark, sf_dir).withColumn("route_id", normalize_route_id("route_id"))
+    pts = localize(enrich_segments(b))
+    r = reports.trip_point_rank(pts, flows.catalog(spark, sf_dir))
+    return r.select("trip_id", "bus_id", "route_id", "point_count", ts_text("trip_start"), "route_name")
