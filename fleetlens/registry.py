@@ -869,3 +869,54 @@ def q_trip_point_rank(spark, sf_dir):
     pts = localize(enrich_segments(b))
     r = reports.trip_point_rank(pts, flows.catalog(spark, sf_dir))
     return r.select("trip_id", "bus_id", "route_id", "point_count", ts_text("trip_start"), "route_name")
+
+
+@register(
+    "dashboard_top_buses",
+    O.with_base(
+        """SELECT CAST(b.bus_id AS VARCHAR) AS bus_id, coalesce(d.dominant_route_id, '') AS route_id,
+  coalesce(c.route_name, '') AS route_name, round(coalesce(b.distance_km, 0), 2) AS distance_km,
+  round(coalesce(b.co2_kg_est, 0), 2) AS co2_kg_est
+FROM (SELECT * FROM bus_tot ORDER BY co2_kg_est DESC NULLS LAST, bus_id LIMIT 10) b
+LEFT JOIN dom d ON b.bus_id = d.bus_id
+LEFT JOIN catalog c ON d.dominant_route_id = c.route_id"""
+    ),
+)
+def q_dashboard_top_buses(spark, sf_dir):
+    """K9: the top-bus table as the dashboard shows it (rounded, blank-filled)."""
+    ts, rh, bd = _gold(spark, sf_dir)
+    cat = flows.catalog(spark, sf_dir)
+    tables = reports.dashboard_tables(
+        reports.top_buses(bd, ts, cat), reports.top_routes(rh, ts, cat), reports.trip_outliers(ts, cat)
+    )
+    return tables["top_buses_table"]
+
+
+@register("stream_hourly")
+def q_stream_hourly(spark, sf_dir):
+    """ST11: hourly pings and approximate distinct buses per route on the
+    replayed stream, with a watermark. Complete mode through foreachBatch
+    (each batch overwrites the table), so no open window is left unwritten
+    when the run stops; rows-only check."""
+    import uuid
+
+    from .session import scratch_path
+    from .sources import driver
+    from .streaming.stream import read_ping_stream, replay_as_stream, stream_hourly
+
+    root = scratch_path(spark, f"hourly_{uuid.uuid4().hex[:12]}")
+    events = driver.ping_events(spark, sf_dir)
+    replay_as_stream(events, f"{root}/landing", 3, order_cols=("event_time", "event_id", "copy_no"))
+    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=events.schema, max_files_per_trigger=1)
+    out_path = f"{root}/out"
+    q = (
+        stream_hourly(stream, watermark="1 hour")
+        .writeStream.outputMode("complete")
+        .foreachBatch(lambda df, _id: df.write.mode("overwrite").parquet(out_path))
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return out.select(F.col("window.start").alias("window_start"), "route_id", "pings", "approx_buses")
