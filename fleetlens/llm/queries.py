@@ -140,3 +140,11 @@ def op8_sharding(spark, sf_dir):
     from .sharding import shard_documents
 
     return shard_documents(read_driver_table(spark, sf_dir, "documents"), 8)
+
+
+@register("op9_quality_rules")
+def op9_quality_rules(spark, sf_dir):
+    """All documents judged by base rules and by robust distances."""
+    from .quality import quality_rules
+
+    return quality_rules(read_driver_table(spark, sf_dir, "documents")).drop("distance")
