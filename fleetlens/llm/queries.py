@@ -148,3 +148,11 @@ def op9_quality_rules(spark, sf_dir):
     from .quality import quality_rules
 
     return quality_rules(read_driver_table(spark, sf_dir, "documents")).drop("distance")
+
+
+@register("op10_substring_dedup")
+def op10_substring_dedup(spark, sf_dir):
+    """All documents without the 50-word runs that smaller ids have too."""
+    from .substrings import remove_repeats
+
+    return remove_repeats(read_driver_table(spark, sf_dir, "documents"))
