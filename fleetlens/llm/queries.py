@@ -156,3 +156,15 @@ def op10_substring_dedup(spark, sf_dir):
     from .substrings import remove_repeats
 
     return remove_repeats(read_driver_table(spark, sf_dir, "documents"))
+
+
+#: Target weights of the domains, in tokens: fixed values.
+DOMAIN_WEIGHTS = {"good": 0.95, "low": 0.05, "toxic": 0.0}
+
+
+@register("op5_source_mixing")
+def op5_source_mixing(spark, sf_dir):
+    """All documents with domain posteriors and rates that meet the weights."""
+    from .mixing import mix
+
+    return mix(read_driver_table(spark, sf_dir, "documents"), read_driver_table(spark, sf_dir, "labels"), DOMAIN_WEIGHTS)

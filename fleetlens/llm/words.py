@@ -68,18 +68,18 @@ def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off
 
 
-def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every word in ``buf``."""
+def word_bounds(buf: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every run without the bytes that ``breaks`` marks."""
     inside = np.empty(len(buf) + 2, np.int8)
     inside[0] = inside[-1] = 0
-    np.logical_not(SPACE[buf], out=inside[1:-1].view(bool))
+    np.logical_not(breaks[buf], out=inside[1:-1].view(bool))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     return edge[0::2], edge[1::2]
 
 
-def _hash_piece(buf: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_piece(buf: np.ndarray, lower: bool, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end) of every word of a piece that cuts no word."""
-    start, end = word_bounds(buf)
+    start, end = word_bounds(buf, breaks)
     if lower:
         buf = LOWER[buf]
     total = np.zeros(len(buf) + 1, U64)
@@ -87,24 +87,25 @@ def _hash_piece(buf: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, n
     return mix((total[end] - total[start]) * _power(BYTE_BACK, len(buf) + 1)[start]), start, end
 
 
-def text_words(buf: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def text_words(buf: np.ndarray, lower: bool = False, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of each word of one text, whatever its length."""
     if len(buf) <= 2 * CHUNK_BYTES:
-        return _hash_piece(buf, lower)
+        return _hash_piece(buf, lower, breaks)
     parts, at = [], 0
     while at < len(buf):
         stop = min(len(buf), at + CHUNK_BYTES)
         while stop < len(buf) and not SPACE[buf[stop]]:  # a word is not cut
             more = np.flatnonzero(SPACE[buf[stop : stop + CHUNK_BYTES]])
             stop = stop + int(more[0]) if len(more) else min(len(buf), stop + CHUNK_BYTES)
-        h, s, e = _hash_piece(buf[at:stop], lower)
+        h, s, e = _hash_piece(buf[at:stop], lower, breaks)
         parts.append((h, s + at, e + at))
         at = stop
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def each_text(texts: pa.Array, lower: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, word hashes, word starts, word ends) of every text in order."""
+def each_text(texts: pa.Array, lower: bool = False, breaks: np.ndarray = SPACE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, word hashes, word starts, word ends) of every text in order;
+    ``breaks`` must mark the white-space bytes at least."""
     buf, off = flat_bytes(texts)
     n, i = len(off) - 1, 0
     while i < n:
@@ -113,7 +114,7 @@ def each_text(texts: pa.Array, lower: bool = False) -> Iterator[tuple[np.ndarray
             j += 1
         if j == i + 1:
             own = buf[off[i] : off[j]]
-            yield (own, *text_words(own, lower))
+            yield (own, *text_words(own, lower, breaks))
         else:
             # A space between texts keeps their words apart.
             gap = np.arange(j - i)
@@ -122,7 +123,7 @@ def each_text(texts: pa.Array, lower: bool = False) -> Iterator[tuple[np.ndarray
             keep = np.ones(len(piece), bool)
             keep[off[i + 1 : j + 1] - off[i] + gap] = False
             piece[keep] = buf[off[i] : off[j]]
-            h, s, e = _hash_piece(piece, lower)
+            h, s, e = _hash_piece(piece, lower, breaks)
             cut = np.searchsorted(s, np.append(lo, len(piece)))
             for k in range(j - i):
                 a, b = cut[k], cut[k + 1]
