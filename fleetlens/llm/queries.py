@@ -168,3 +168,11 @@ def op5_source_mixing(spark, sf_dir):
     from .mixing import mix
 
     return mix(read_driver_table(spark, sf_dir, "documents"), read_driver_table(spark, sf_dir, "labels"), DOMAIN_WEIGHTS)
+
+
+@register("op3_vector_dedup")
+def op3_vector_dedup(spark, sf_dir):
+    """All embeddings linked at a cosine of 0.9."""
+    from .vectors import near_vectors
+
+    return near_vectors(read_driver_table(spark, sf_dir, "embeddings"))
