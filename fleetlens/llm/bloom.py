@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .words import U64, mix, unsigned
 
@@ -81,3 +82,18 @@ def build(keys: DataFrame, n_keys: int, most_bits: int = MOST_BITS) -> np.ndarra
     for row in keys.mapInArrow(partial, kind).repartition(min(64, n_words // size), "part").mapInArrow(merge, kind).collect():
         out[row.part] = np.frombuffer(row.words, U64)
     return out.reshape(-1)
+
+
+def split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs as (rows whose ``doc_id`` may be one of ``ids``, rows whose isn't):
+    the second part needs no join, so its texts need no shuffle."""
+    ids = ids.select("doc_id")
+    held = docs.sparkSession.sparkContext.broadcast(build(ids, ids.count()))
+
+    @F.pandas_udf("boolean")
+    def maybe(key):
+        import pandas as pd
+
+        return pd.Series(might_hold(held.value, key.fillna(0).to_numpy("int64")))
+
+    return docs.where(maybe(F.col("doc_id"))), docs.where(~maybe(F.col("doc_id")))

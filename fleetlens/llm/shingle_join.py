@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import bloom
 from .components import components
 from .shared import one_text, stored
 from .words import U64, each_text, mix, shingle_set, signed, unsigned
@@ -281,3 +282,18 @@ def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.select("doc_id", F.col("n").alias("n_shingles")).join(comps.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") >= 0, F.coalesce("component", "doc_id")).alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all their columns, without those that link to a
+    smaller id: one document of each group stays. Of rows that share an id one
+    stays; rows with a null id all stay."""
+    found = stored(shingle_join(docs, id_col, text_col), "groups").where("doc_id is not null")
+    again = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.col("component_id")).alias("c")).where("n > 1 or c != doc_id")
+    touched = stored(again.select("doc_id", (F.col("c") != F.col("doc_id")).alias("gone")), "touched")
+    whole = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col].cast("string")).alias("same"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    maybe, rest = bloom.split(whole, touched)
+    maybe = maybe.join(touched.where("gone"), "doc_id", "left_anti")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("same"))
+    maybe = maybe.withColumn("first", first).where("first = 1 or doc_id is null")
+    return maybe.select("row.*").unionByName(rest.select("row.*"))

@@ -131,21 +131,6 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     return docs.select(id_.alias("doc_id"), F.xxhash64(text).alias("same"), text.alias("text"), *more)
 
 
-def only(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """docs as (rows that may have an id of ``ids``, rows that don't), by a
-    Bloom filter of bounded size: the second part needs no join."""
-    ids = ids.select("doc_id")
-    held = docs.sparkSession.sparkContext.broadcast(bloom.build(ids, ids.count()))
-
-    @F.pandas_udf("boolean")
-    def maybe(key):
-        import pandas as pd
-
-        return pd.Series(bloom.might_hold(held.value, key.fillna(0).to_numpy("int64")))
-
-    return docs.where(maybe(F.col("doc_id"))), docs.where(~maybe(F.col("doc_id")))
-
-
 KEY = ["doc_id", "same"]
 
 
@@ -158,7 +143,7 @@ def parse_documents(docs: DataFrame, span: int = SPAN, k: int = ANCHOR) -> tuple
     each = counts.where("doc_id is not null").select(*KEY, F.explode("anchors").alias("anchor"))
     shared = stored(each.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor"), "shared")
     of_text = stored(each.join(shared, "anchor").groupBy(*KEY).agg(F.collect_set("anchor").alias("shared")), "of-text")
-    texts = only(docs, of_text)[0].join(of_text, KEY).select(*KEY, "text", "shared")
+    texts = bloom.split(docs, of_text)[0].join(of_text, KEY).select(*KEY, "text", "shared")
     windows = stored(texts.mapInArrow(_windows(span, k), "doc_id long, same long, start int, w1 long, w2 int"), "windows")
     index = stored(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("hi")).where("source < hi").drop("hi"), "index")
     found = windows.join(index, ["w1", "w2"]).where("source < doc_id")
@@ -196,7 +181,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     docs = _keyed(docs, id_col, text_col)
     counts, found = parse_documents(docs, span)
-    hits = only(docs, found)[0].join(found, KEY)
+    hits = bloom.split(docs, found)[0].join(found, KEY)
     cut = hits.mapInArrow(_apply(span, _digest), "doc_id long, same long, n_removed long, kept string").dropDuplicates(KEY)
     return counts.join(stored(cut, "cut"), KEY, "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept", "whole_sha256").alias("kept_sha256")
@@ -209,7 +194,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     they are."""
     whole = F.struct(*(docs[c] for c in docs.columns)).alias("row")
     found = parse_documents(_keyed(docs, id_col, text_col), span)[1]
-    maybe, rest = only(_keyed(docs, id_col, text_col, whole), found)
+    maybe, rest = bloom.split(_keyed(docs, id_col, text_col, whole), found)
     kind = docs.select(whole).schema["row"].dataType.simpleString()
     hits = maybe.join(found, KEY, "left").select("row", "text", "found")
     cut = hits.mapInArrow(_apply(span, _cut), f"row {kind}, n_removed long, kept string")
