@@ -85,7 +85,8 @@ def fold(events: DataFrame) -> DataFrame:
     # backwards and keep the smallest message regenerated so far.
     marks = known.where("kind = 'regenerate'").select("conv_id", "seq", F.col("msg").alias("barrier"))
     back = Window.partitionBy("conv_id").orderBy(F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    touched = messages.join(marks.select("conv_id").distinct(), "conv_id", "left_semi")
+    some = marks.select(F.col("conv_id").alias("marked")).distinct()
+    touched = messages.join(some, F.col("conv_id").eqNullSafe(F.col("marked")), "left_semi")
     line = touched.select("conv_id", "msg", "seq").withColumn("barrier", F.lit(None).cast(marks.schema["barrier"].dataType)).unionByName(marks, allowMissingColumns=True)
     dropped = line.withColumn("low", F.min("barrier").over(back)).where("low < msg").select("conv_id", "msg").distinct()
     return messages.where("not gone").join(dropped, (messages.conv_id.eqNullSafe(dropped.conv_id)) & (messages.msg == dropped.msg), "left_anti").select("conv_id", "msg", "role", "text")
