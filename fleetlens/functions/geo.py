@@ -18,16 +18,21 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _half_sine_square(degrees: Column) -> Column:
+    """sin(x / 2) squared, by the half-angle formula's numerically safe form."""
+    half = F.sin(F.radians(degrees) / 2.0)
+    return half * half
+
+
 def haversine_raw(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_M) -> Column:
-    """Haversine with the 2*atan2(sqrt(a), sqrt(1-a)) form; NULL if any input
-    is NULL."""
-    lat1, lon1, lat2, lon2 = map(_col, (lat1, lon1, lat2, lon2))
-    p1 = F.radians(lat1)
-    p2 = F.radians(lat2)
-    dphi = F.radians(lat2 - lat1)
-    dlmb = F.radians(lon2 - lon1)
-    a = F.pow(F.sin(dphi / 2.0), 2.0) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2.0), 2.0)
-    return F.lit(radius) * (F.atan2(F.sqrt(a), F.sqrt(1.0 - a)) * 2.0)
+    """Great-circle distance; NULL if any input is NULL. Rounding can lift the
+    chord term over one at antipodes, so it is held there."""
+    from_lat, from_lon, to_lat, to_lon = map(_col, (lat1, lon1, lat2, lon2))
+    shrink = F.cos(F.radians(from_lat)) * F.cos(F.radians(to_lat))
+    chord = _half_sine_square(to_lat - from_lat) + shrink * _half_sine_square(to_lon - from_lon)
+    # ``least`` skips NULLs, so a NULL chord is kept apart.
+    chord = F.when(chord.isNotNull(), F.least(chord, F.lit(1.0)))
+    return 2.0 * radius * F.atan2(F.sqrt(chord), F.sqrt(1.0 - chord))
 
 
 def haversine_m(lat1, lon1, lat2, lon2) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import haversine_km
 from ..functions.routes import normalize_route_id
 from ..plans.ordered_scan import IDX, ordered_scan
+from ..session import materialize
 from ..settings import BUCKET_MINUTES, MAX_POINTS_PER_TRIP, REPORT_TIMEZONE, Emission
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -78,7 +79,8 @@ def thin_trips(points: DataFrame, max_points: int = MAX_POINTS_PER_TRIP, strateg
     ``view_idx`` and ``point_count_view``."""
     indexed = ordered_scan(points, key="trip_id", order=["event_time", "_tie"], carry=[], strategy=strategy)
     indexed = indexed.withColumnRenamed(IDX, "point_idx")
-    counts = points.groupBy("trip_id").agg(F.count(F.lit(1)).alias("point_count_raw"))
+    # The scan is a stored table: the count is its largest index plus one.
+    counts = indexed.groupBy("trip_id").agg((F.max("point_idx") + 1).alias("point_count_raw"))
     counts = counts.withColumn("_keep", keep_indexes("point_count_raw", max_points)).withColumn(
         "point_count_view", F.size("_keep").cast("long")
     )
@@ -355,7 +357,9 @@ def route_snapshot(
     or at the time ``bucket_start`` when given. Sorted by the shown CO2, with
     the share of the largest and the city totals over the shown routes."""
     rows = days
-    if day is not None:
+    if day == "FIRST":  # one row: the smallest day
+        rows = rows.join(F.broadcast(days.agg(F.min("event_date").alias("event_date"))), "event_date", "left_semi")
+    elif day is not None:
         rows = rows.filter(F.col("event_date") == F.lit(day))
     if route and route != "ALL":
         rows = rows.filter(F.col("route_id") == F.lit(route))
@@ -395,13 +399,11 @@ def build_map(silver: DataFrame, trip_summary: DataFrame, catalog: DataFrame, ma
 
     trips = top_trips(trip_summary.withColumn("route_id", normalize_route_id("route_id")), catalog, k=max_trips)
     trips = rank_trips(with_rank(trips, [F.desc_nulls_last("distance_km"), F.desc_nulls_last("co2_kg_est"), F.asc("trip_id"), F.asc("route_id")]))
-    pts = focus_points(silver, trips, timezone)
-    # After thinning the data is bounded (max_trips x max_points rows) and
-    # feeds every map dataset: keep it once.
-    from pyspark import StorageLevel
-
-    thinned = thin_trips(pts, max_points).persist(StorageLevel.MEMORY_AND_DISK)
-    segs = map_segments(thinned, trips, emission)
+    # max_trips rows, then max_trips x max_points rows: both feed several map
+    # datasets and are worked out once.
+    trips = materialize(trips, "map-trips")
+    thinned = materialize(thin_trips(focus_points(silver, trips, timezone), max_points), "map-points")
+    segs = materialize(map_segments(thinned, trips, emission), "map-segments")
     buckets = bucket_segments(segs)
     paths = trip_paths(thinned, segs, trips)
     days = route_emission_days(segs, buckets)

@@ -15,15 +15,13 @@ CRITICAL = ("event_time", "bus_id", "latitude", "longitude")
 TARGETS = ("event_time", "bus_id", "route_id", "latitude", "longitude", "speed_kmh", "heading")
 
 
-def find_first(columns: list[str], candidates) -> str | None:
-    """First candidate present, compared case-insensitively."""
-    lower = {}
+def present(columns: list[str], candidates) -> list[str]:
+    """The columns that are candidates, in the candidates' order, whatever
+    their case."""
+    by_name: dict[str, list[str]] = {}
     for c in columns:
-        lower.setdefault(c.lower(), c)
-    for cand in candidates:
-        if cand.lower() in lower:
-            return lower[cand.lower()]
-    return None
+        by_name.setdefault(c.lower(), []).append(c)
+    return [c for name in candidates for c in by_name.get(name.lower(), [])]
 
 
 def try_double(c) -> F.Column:
@@ -32,51 +30,42 @@ def try_double(c) -> F.Column:
     return col.cast("string").try_cast("double")
 
 
-def parse_event_time(df: DataFrame, col: str = "event_time", by: str = "source_file", ratio: float = EPOCH_NUMERIC_RATIO, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def parse_event_time(df: DataFrame, col: str = "event_time", by: str = "source_file", ratio: float = EPOCH_NUMERIC_RATIO) -> DataFrame:
     """Per source file, when more than ``ratio`` of the values are
     numeric they are epoch seconds (fractions kept to the microsecond), else
-    ISO text; unparsable values become NULL. The ratio is one aggregate per
-    file, joined back (broadcast when the file count is small)."""
+    ISO text; what does not parse, or lies beyond the range of a timestamp,
+    becomes NULL. The ratio is one aggregate per file, joined back."""
     text = F.col(col).cast("string")
     num = text.try_cast("double")
     stats = df.groupBy(by).agg(F.avg(F.when(num.isNotNull(), 1.0).otherwise(0.0)).alias("_num_ratio"))
-    joined = join_dimension(df, stats, by, "left", max_broadcast_rows)
-    epoch = F.when(num.isNotNull() & ~F.isnan(num), F.timestamp_micros(F.round(num * 1_000_000).cast("long")))
+    epoch = F.timestamp_micros(F.round(F.nanvl(num, F.lit(None).cast("double")) * 1_000_000).try_cast("long"))
     parsed = F.when(F.col("_num_ratio") > F.lit(float(ratio)), epoch).otherwise(F.try_to_timestamp(text))
-    return joined.withColumn(col, parsed).drop("_num_ratio")
+    return join_dimension(df, stats, by, "left").withColumn(col, parsed).drop("_num_ratio")
 
 
 def map_schema(df: DataFrame, candidates: Candidates = Candidates(), mapping: DataFrame | None = None) -> DataFrame:
     """N1/N2/N4/N5 (+J2): raw columns to the normalized event layout.
-    Required fields must map, else ``ValueError``; optional ones become
-    NULL; ``source_file`` defaults to ``unknown``. With a mapping
+
+    A target is the first candidate that has a value, so rows of files with
+    different column names, united by name, are each mapped by their own.
+    Required fields need a candidate column, else ``ValueError``; optional
+    ones become NULL; ``source_file`` defaults to ``unknown``. With a mapping
     (``vehicle, mapped_route_id``) an empty route takes the vehicle's."""
     cols = df.columns
-    found = {t: find_first(cols, getattr(candidates, t)) for t in TARGETS}
-    missing = [k for k in CRITICAL if found[k] is None]
-    if missing:
-        raise ValueError(f"Cannot map required fields: {missing}. Available columns: {cols}")
-
-    def src(t):
-        return F.col(f"`{found[t]}`") if found[t] else F.lit(None)
-
-    src_file = F.coalesce(F.col("source_file").cast("string"), F.lit("unknown")) if "source_file" in cols else F.lit("unknown")
-    out = df.select(
-        src("event_time").cast("string").alias("event_time"),
-        src("bus_id").cast("string").alias("bus_id"),
-        null_if_nan_token(src("route_id").cast("string")).alias("route_id"),
-        try_double(src("latitude")).alias("latitude"),
-        try_double(src("longitude")).alias("longitude"),
-        try_double(src("speed_kmh")).alias("speed_kmh"),
-        try_double(src("heading")).alias("heading"),
-        src_file.alias("source_file"),
-    )
-    out = parse_event_time(out)
+    found = {t: present(cols, getattr(candidates, t)) for t in TARGETS}
+    if missing := [t for t in CRITICAL if not found[t]]:
+        raise ValueError(f"no column for {', '.join(missing)} among {cols}")
+    value = {t: F.coalesce(*(F.col(f"`{c}`").cast("string") for c in own)) if own else F.lit(None).cast("string") for t, own in found.items()}
+    for t in ("latitude", "longitude", "speed_kmh", "heading"):
+        value[t] = try_double(value[t])
+    value["route_id"] = null_if_nan_token(value["route_id"])
+    value["source_file"] = F.coalesce(F.col("source_file").cast("string"), F.lit("unknown")) if "source_file" in cols else F.lit("unknown")
+    out = parse_event_time(df.select(*(v.alias(t) for t, v in value.items())))
     if mapping is not None:
         m = mapping.select(F.col("vehicle").alias("_v"), F.col("mapped_route_id").alias("_r"))
         out = join_dimension(out, m, F.col("bus_id") == F.col("_v"), "left")
-        out = out.withColumn("route_id", F.coalesce(F.when(F.col("route_id") == "", None).otherwise(F.col("route_id")), F.col("_r"))).drop("_v", "_r")
-    return out.select("event_time", "bus_id", "route_id", "latitude", "longitude", "speed_kmh", "heading", "source_file")
+        out = out.withColumn("route_id", F.coalesce(F.when(F.col("route_id") != "", F.col("route_id")), F.col("_r")))
+    return out.select(*TARGETS, "source_file")
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -89,8 +78,9 @@ def order_events(df: DataFrame, tie_cols: list[str] | None = None) -> DataFrame:
     return df.orderBy("event_time", *(tie_cols or ["bus_id"]))
 
 
-def to_events(df: DataFrame) -> DataFrame:
-    """The 9-field wire event with ISO text times and ``ingest_time``."""
+def to_events(df: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
+    """The 9-field wire event with ISO text times and ``ingest_time``;
+    the columns ``beside`` come along unchanged."""
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
     return df.select(
         F.date_format("event_time", iso).alias("event_time"),
@@ -102,12 +92,15 @@ def to_events(df: DataFrame) -> DataFrame:
         "heading",
         F.coalesce(F.col("source_file"), F.lit("unknown")).alias("source_file"),
         F.date_format(F.current_timestamp(), iso).alias("ingest_time"),
+        *beside,
     )
 
 
-def to_keyed_json(events: DataFrame) -> DataFrame:
-    """K4: ``key`` = bus id, ``value`` = the event as JSON (Kafka layout)."""
-    return events.select(F.col("bus_id").cast("string").alias("key"), F.to_json(F.struct(*[F.col(c) for c in events.columns])).alias("value"))
+def to_keyed_json(events: DataFrame, beside: tuple[str, ...] = ()) -> DataFrame:
+    """K4: ``key`` = bus id, ``value`` = the event as JSON (Kafka layout);
+    the columns ``beside`` stay out of the JSON."""
+    value = F.to_json(F.struct(*[F.col(c) for c in events.columns if c not in beside]))
+    return events.select(F.col("bus_id").cast("string").alias("key"), value.alias("value"), *beside)
 
 
 def decode_events(stream: DataFrame) -> DataFrame:
@@ -137,11 +130,11 @@ __all__ = [
     "EVENT_COLUMNS",
     "decode_events",
     "drop_incomplete",
-    "find_first",
     "map_schema",
     "normalize_events",
     "order_events",
     "parse_event_time",
+    "present",
     "to_events",
     "to_keyed_json",
 ]

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from .segments import quality_reasons
 
 
-def profile_files(frames: list[DataFrame], max_columns: int = 30, sample_rows: int | None = None) -> DataFrame:
-    """Per file - type, rows, and the NULL share of each of its first
-    ``max_columns`` columns, in long form (one row per file and column).
+def profile_files(frames: list[DataFrame], max_columns: int | None = None, sample_rows: int | None = None) -> DataFrame:
+    """Per file - type, rows, and the NULL share of each column (or of the first
+    ``max_columns`` ones), in long form (one row per file and column).
     All rows count unless ``sample_rows`` caps rows per file (the
     reference's sampling, off by default). One aggregate per format frame."""
     out = []
@@ -64,13 +64,10 @@ def column_frequency(frames: list[DataFrame]) -> DataFrame:
 def schema_drift(frames: list[DataFrame]) -> DataFrame:
     """Columns that some files have and others lack, with counts."""
     fc = file_columns(frames).select("source_file", F.lower("column_name").alias("column_name")).distinct()
-    n_files = fc.select("source_file").distinct().count()
-    return (
-        fc.groupBy("column_name")
-        .agg(F.count(F.lit(1)).alias("files_with"))
-        .withColumn("files_without", F.lit(n_files) - F.col("files_with"))
-        .filter(F.col("files_without") > 0)
-    )
+    files = reduce(lambda a, b: a.unionByName(b), (f.select("source_file") for f in frames)).agg(F.countDistinct("source_file").alias("n_files"))
+    have = fc.groupBy("column_name").agg(F.count(F.lit(1)).alias("files_with")).withColumn("_k", F.lit(1))
+    joined = have.join(F.broadcast(files.withColumn("_k", F.lit(1))), "_k")  # one row
+    return joined.select("column_name", "files_with", (F.col("n_files") - F.col("files_with")).alias("files_without")).filter(F.col("files_without") > 0)
 
 
 def quality_summary(silver_all: DataFrame) -> DataFrame:

@@ -19,8 +19,13 @@ from .emissions import trip_intensity
 SUMS3 = ("distance_km", "fuel_liter_est", "co2_kg_est")
 
 
+def _total(c: str):
+    """A sum that skips NULL and NaN; of nothing it is 0."""
+    return F.coalesce(F.sum(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))), F.lit(0.0))
+
+
 def _sum0(c: str):
-    return F.coalesce(F.sum(c), F.lit(0.0)).alias(c)
+    return _total(c).alias(c)
 
 
 def prepare_gold(route_hourly: DataFrame | None = None, trip_summary: DataFrame | None = None, bus_daily: DataFrame | None = None):
@@ -99,10 +104,11 @@ def route_unique_buses(trip_summary: DataFrame) -> DataFrame:
 def top_buses(bus_daily: DataFrame, trip_summary: DataFrame, catalog: DataFrame, k: int = 10) -> DataFrame:
     """Top buses by CO2 with their dominant route and name."""
     top = bus_totals(bus_daily).orderBy(F.desc_nulls_last("co2_kg_est"), F.asc("bus_id")).limit(k)
-    dom = dominant_route(trip_summary).select("bus_id", "dominant_route_id")
+    # Only the trips of the k chosen buses are aggregated.
+    chosen = trip_summary.join(F.broadcast(top.select("bus_id")), "bus_id", "left_semi")
+    dom = dominant_route(chosen).select("bus_id", "dominant_route_id")
     names = catalog.select(F.col("route_id").alias("dominant_route_id"), F.col("route_name").alias("dominant_route_name"))
-    # Both right sides are joined to a k-row left side: broadcast the left.
-    return F.broadcast(top).join(dom, "bus_id", "left").join(names, "dominant_route_id", "left").select(
+    return top.join(F.broadcast(dom), "bus_id", "left").join(names, "dominant_route_id", "left").select(
         "bus_id", *SUMS3, "dominant_route_id", "dominant_route_name"
     )
 
@@ -110,9 +116,9 @@ def top_buses(bus_daily: DataFrame, trip_summary: DataFrame, catalog: DataFrame,
 def top_routes(route_hourly: DataFrame, trip_summary: DataFrame, catalog: DataFrame, k: int = 10) -> DataFrame:
     """Top routes by CO2 with distinct buses and catalog data."""
     top = route_totals(route_hourly).orderBy(F.desc_nulls_last("co2_kg_est"), F.asc("route_id")).limit(k)
+    chosen = trip_summary.join(F.broadcast(top.select("route_id")), "route_id", "left_semi")
     return (
-        F.broadcast(top)
-        .join(route_unique_buses(trip_summary), "route_id", "left")
+        top.join(F.broadcast(route_unique_buses(chosen)), "route_id", "left")
         .join(catalog, "route_id", "left")
         .select(
             "route_id",
@@ -136,18 +142,19 @@ def trip_outliers(trip_summary: DataFrame, catalog: DataFrame, k: int = 15, min_
         .limit(k)
         .select("trip_id", "bus_id", "route_id", "distance_km", "co2_kg_est", "co2_kg_per_km")
     )
-    return F.broadcast(ranked).join(catalog.select("route_id", "route_name"), "route_id", "left").select(
+    return ranked.join(catalog.select("route_id", "route_name"), "route_id", "left").select(
         "trip_id", "bus_id", "route_id", "distance_km", "co2_kg_est", "co2_kg_per_km", "route_name"
     )
 
 
-def top_trips(trip_summary: DataFrame, catalog: DataFrame, k: int = 80) -> DataFrame:
-    """The longest trips (distance, then CO2, then id) with route
-    name; the trips the map shows."""
-    ranked = trip_summary.orderBy(
+def top_trips(trip_summary: DataFrame, catalog: DataFrame, k: int = 80, route: str | None = None) -> DataFrame:
+    """The longest trips (distance, then CO2, then id) with route
+    name, of one normalized ``route`` or of all; the trips the map shows."""
+    rows = trip_summary if route is None else trip_summary.filter(F.col("route_id") == F.lit(route))
+    ranked = rows.orderBy(
         F.desc_nulls_last("distance_km"), F.desc_nulls_last("co2_kg_est"), F.asc("trip_id"), F.asc("route_id")
     ).limit(k)
-    return F.broadcast(ranked.select("trip_id", "bus_id", "route_id", "distance_km", "co2_kg_est", "trip_start", "trip_end")).join(
+    return ranked.select("trip_id", "bus_id", "route_id", "distance_km", "co2_kg_est", "trip_start", "trip_end").join(
         catalog.select("route_id", "route_name"), "route_id", "left"
     )
 
@@ -165,8 +172,7 @@ def trip_point_rank(points: DataFrame, catalog: DataFrame, k: int = 80) -> DataF
         F.desc_nulls_last("point_count"), F.desc_nulls_last("trip_start"), F.asc("trip_id"), F.asc("route_id")
     ).limit(k)
     return (
-        F.broadcast(ranked)
-        .join(catalog.select("route_id", "route_name"), "route_id", "left")
+        ranked.join(catalog.select("route_id", "route_name"), "route_id", "left")
         .withColumn("distance_km", F.lit(0.0))
         .withColumn("co2_kg_est", F.lit(0.0))
     )
@@ -177,9 +183,9 @@ def kpi_summary(bus_daily: DataFrame, route_hourly: DataFrame, trip_summary: Dat
     by a global aggregate; the three rows are combined positionally by a
     one-row join on a constant (not a cross product of data)."""
     b = bus_daily.agg(
-        F.round(F.coalesce(F.sum("distance_km"), F.lit(0.0)), 2).alias("total_distance_km"),
-        F.round(F.coalesce(F.sum("fuel_liter_est"), F.lit(0.0)), 2).alias("total_fuel_liter"),
-        F.round(F.coalesce(F.sum("co2_kg_est"), F.lit(0.0)), 2).alias("total_co2_kg"),
+        F.round(_total("distance_km"), 2).alias("total_distance_km"),
+        F.round(_total("fuel_liter_est"), 2).alias("total_fuel_liter"),
+        F.round(_total("co2_kg_est"), 2).alias("total_co2_kg"),
         F.countDistinct("bus_id").alias("active_buses"),
         F.min("event_date").cast("string").alias("date_from"),
         F.max("event_date").cast("string").alias("date_to"),

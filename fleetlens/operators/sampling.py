@@ -14,22 +14,19 @@ def sample_even(df: DataFrame, n: int, order_cols: list[str], strategy: str = "r
     as the reference computes them); all rows when ``n >= len``.
 
     The global position comes from the skew-safe ordered scan over one
-    constant key (range partitioned, no single-partition window); the ``n``
-    wanted positions are a table of ``n`` rows, broadcast (``n`` is the
-    sample size, a bound chosen by the caller)."""
-    spark = df.sparkSession
-    keyed = df.withColumn("_all", F.lit(0))
-    indexed = ordered_scan(keyed, key="_all", order=list(order_cols), carry=[], strategy=strategy).drop("_all")
-    total = df.count()
+    constant key (range partitioned, no single-partition window). Whether a
+    position is wanted is arithmetic: the first ``i`` that can reach it, and
+    its neighbours against rounding, are put through the formula."""
+    indexed = ordered_scan(df.withColumn("_all", F.lit(0)), key="_all", order=list(order_cols), carry=[], strategy=strategy)
     if n <= 0:
-        return indexed.limit(0).drop(IDX)
-    if n >= total:
-        return indexed.withColumnRenamed(IDX, "sample_pos")
-    step = total / float(n)
-    wanted = spark.range(n).select(
-        F.least(F.floor(F.col("id").cast("double") * F.lit(step)).cast("long"), F.lit(total - 1)).alias("_want")
-    ).distinct()
-    return indexed.join(F.broadcast(wanted), F.col(IDX) == F.col("_want"), "left_semi").withColumnRenamed(IDX, "sample_pos")
+        return indexed.limit(0).drop("_all").withColumnRenamed(IDX, "sample_pos")
+    length = indexed.groupBy("_all").agg((F.max(IDX) + 1).alias("_len"))  # one row
+    rows = indexed.join(F.broadcast(length), "_all").drop("_all")
+    step = F.col("_len").cast("double") / F.lit(float(n))
+    near = F.floor(F.col(IDX) / step)
+    reach = lambda i: (i >= 0) & (i < n) & (F.least(F.floor(i.cast("double") * step), F.col("_len") - 1) == F.col(IDX))
+    wanted = (F.col("_len") <= n) | reach(near) | reach(near + 1) | reach(near - 1)
+    return rows.filter(wanted).drop("_len").withColumnRenamed(IDX, "sample_pos")
 
 
 def sample_uniform(df: DataFrame, n: int, key_cols: list[str], seed: str = "42", order_cols: list[str] | None = None) -> DataFrame:

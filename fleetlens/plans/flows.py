@@ -39,7 +39,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched(spark: SparkSession, sf_dir: str, settings: Settings = DEFAULT, strategy: str = "range") -> DataFrame:
     """Silver with the route filled from the mapping and the emission model."""
     s = silver(spark, sf_dir, settings, strategy)
-    s = fill_route(s, mapping(spark, sf_dir), settings.broadcast_max_rows)
+    s = fill_route(s, mapping(spark, sf_dir))
     return estimate_emissions(s, settings.emission, settings.report_timezone)
 
 

@@ -1,31 +1,11 @@
-"""Joins with a dimension whose size is checked before it is broadcast."""
+"""Joins of a fact table with a dimension."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Counts at most
-    ``max_rows + 1`` rows, so the check costs little even on a large input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left", max_rows: int = 2_000_000) -> DataFrame:
-    """Join a fact table with a dimension. The dimension is broadcast only
-    when its row count is proven under ``max_rows``; otherwise it is a plain
-    join and AQE chooses (and splits skewed partitions of) the shuffle join."""
-    if fits_broadcast(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """A plain join: adaptive execution broadcasts a side whose measured bytes
+    are under the session's threshold, and otherwise splits skewed keys."""
     return fact.join(dim, on, how)
-
-
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose size is bounded by construction (a ``limit``
-    result, one row per partition, a fixed catalog)."""
-    return F.broadcast(df)
-
-
-def eq(left: str, right: str) -> Column:
-    return F.col(left) == F.col(right)

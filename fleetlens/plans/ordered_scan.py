@@ -32,11 +32,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 IDX = "_scan_idx"
 SEQ = "_scan_seq"
 PID = "_scan_pid"
@@ -76,12 +77,14 @@ def ordered_scan(
     strategy: str = "range",
     num_partitions: int | None = None,
     prev_names: dict[str, str] | None = None,
+    table: str = "scan",
 ) -> DataFrame:
     """Add ``prev_<c>`` for every ``c`` in ``carry``, ``_scan_idx`` (0-based
     position within ``key`` in ``order``) and, with a rule, ``_scan_seq`` (the
     running count of segment starts, 1-based).
 
-    ``order`` must be a total order within a key (append tie columns)."""
+    ``order`` must be a total order within a key (append tie columns).
+    ``table`` begins the name of the written scan (see ``drop_tables``)."""
     names = {c: (prev_names or {}).get(c, prev_name(c)) for c in carry}
     if rule is not None:
         for c in (rule.time_col, rule.change_col):
@@ -91,7 +94,7 @@ def ordered_scan(
         return _window_scan(df, key, order, carry, rule, names)
     if strategy != "range":
         raise ValueError(f"unknown strategy {strategy}")
-    return _range_scan(df, key, order, carry, rule, names, num_partitions)
+    return _range_scan(df, key, order, carry, rule, names, num_partitions, table)
 
 
 def _window_scan(df, key, order, carry, rule, names):
@@ -219,7 +222,7 @@ def _make_kernel(key: str, carry: list[str], names: dict[str, str], rule: GapRul
     return kernel
 
 
-def _range_scan(df, key, order, carry, rule, names, num_partitions):
+def _range_scan(df, key, order, carry, rule, names, num_partitions, table):
     in_fields = list(df.schema.fields)
     by_name = {f.name: f for f in in_fields}
     extra = [T.StructField(names[c], by_name[c].dataType, True) for c in carry]
@@ -237,13 +240,9 @@ def _range_scan(df, key, order, carry, rule, names, num_partitions):
     arrow_schema = to_arrow_schema(out_struct)
     sort_cols = [key] + list(order)
     parts = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
-    scanned = (
-        parts.sortWithinPartitions(*sort_cols)
-        .mapInArrow(_make_kernel(key, carry, names, rule, arrow_schema), out_struct)
-        # The boundary table and the final output both read the scan; keep
-        # it once rather than run the Python pass twice.
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    # The boundary table and the final output both read the scan, and must see
+    # the same partitions: it is written once to the shared folder.
+    scanned = materialize(parts.sortWithinPartitions(*sort_cols).mapInArrow(_make_kernel(key, carry, names, rule, arrow_schema), out_struct), table)
 
     row_fields = [key] + carry
     bounds = scanned.filter(F.col(FIRST) | F.col(LAST))

@@ -89,16 +89,6 @@ def q_silver_segments(spark, sf_dir):
     )
 
 
-@register(
-    "silver_segments_window",
-    O.with_base("SELECT bus_id, event_id, copy_no, trip_id, " + O.r6("segment_distance_m", "segment_distance_m") + " FROM silver_all"),
-)
-def q_silver_segments_window(spark, sf_dir):
-    """The same scan with the plain per-bus window (reference strategy)."""
-    s = flows.silver_all(spark, sf_dir, strategy="window")
-    return s.select(*ROW_KEY, "trip_id", r6("segment_distance_m"))
-
-
 @register("valid_pings", O.with_base("SELECT bus_id, event_id, copy_no, trip_id FROM silver"))
 def q_valid_pings(spark, sf_dir):
     """Q1: Silver keeps valid GPS points only."""
@@ -591,9 +581,7 @@ def q_route_snapshot(spark, sf_dir):
     from .operators.mapdata import route_snapshot
 
     m = _map(spark, sf_dir)
-    days = m["route_emission_days"]
-    first_day = days.agg(F.min("event_date")).first()[0]
-    snap = route_snapshot(days, m["route_geometries"], day=first_day, bucket_index=0)
+    snap = route_snapshot(m["route_emission_days"], m["route_geometries"], day="FIRST", bucket_index=0)
     return snap.select("route_id", r6("co2"), r6("share_of_max"), r6("city_co2_kg"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -614,44 +602,44 @@ def q_filter_values(spark, sf_dir):
 # ------------------------------------------------------------ raw sources
 
 
+# Columns of the raw copies, per format and layout: target -> own name.
+RAW_LAYOUTS = {
+    "csv/a": {"event_time": "timestamp", "bus_id": "vehicle_id", "route_id": "route", "latitude": "lat", "longitude": "lon", "speed_kmh": "speed"},
+    "csv/b": {"longitude": "lng", "bus_id": "plate", "event_time": "recorded_at", "latitude": "y", "speed_kmh": "velocity", "route_id": "line"},
+    "json/a": {"bus_id": "vehicle", "event_time": "datetime", "longitude": "x", "latitude": "y", "speed_kmh": "speed", "route_id": "route"},
+    "json/b": {"event_time": "time", "latitude": "latitude", "longitude": "longitude", "bus_id": "imei", "speed_kmh": "velocity", "route_id": "line"},
+    "parquet/a": {"event_time": "event_time", "bus_id": "bus_id", "route_id": "route_id", "latitude": "latitude", "longitude": "longitude", "speed_kmh": "speed_kmh"},
+    "parquet/b": {"bus_id": "bus_id", "event_time": "ts", "longitude": "lon", "latitude": "lat", "route_id": "route_id", "speed_kmh": "speed"},
+}
+
+
 def _write_raw_copies(spark, sf_dir) -> str:
-    """Write the driver pings once per format, each with its own column names
-    (CSV flat with ISO text time, JSON nested with epoch seconds, Parquet with
-    the normalized names); returns the folder."""
-    import hashlib
+    """Write the driver pings once per format into a fresh folder, even event
+    ids in layout a and odd ones in layout b, two files each: other names,
+    another order, ISO text, epoch seconds or timestamps. Some rows of csv/a
+    have no latitude, some of json/a a time beyond any range."""
+    import uuid
 
     from .session import scratch_path
     from .sources import driver
 
-    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:10]
-    root = scratch_path(spark, f"raw_copies_{tag}")
-    p = driver.raw_pings(spark, sf_dir)
-    csv = p.select(
-        F.date_format(F.timestamp_seconds("t"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
-        F.col("bus_id").alias("vehicle_id"),
-        F.col("route_raw").alias("route"),
-        F.col("latitude").alias("lat"),
-        F.col("longitude").alias("lon"),
-        F.col("speed_kmh").alias("speed"),
-    )
-    csv.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False
-    ).csv(f"{root}/csv")
-    js = p.select(
-        F.struct(
-            F.col("bus_id").alias("vehicle"),
-            F.col("t").alias("datetime"),
-            F.col("longitude").alias("x"),
-            F.col("latitude").alias("y"),
-            F.col("speed_kmh").alias("speed"),
-        ).alias("msgBusWayPoint"),
-        F.col("route_raw").alias("route"),
-    )
-    js.write.mode("overwrite").option("ignoreNullFields", False).json(f"{root}/json")
-    pq = p.select(
-        F.timestamp_seconds("t").alias("event_time"), "bus_id", F.col("route_raw").alias("route_id"), "latitude", "longitude", "speed_kmh"
-    )
-    pq.write.mode("overwrite").parquet(f"{root}/parquet")
+    root = scratch_path(spark, f"raw-copies-{uuid.uuid4().hex[:12]}")
+    p = driver.raw_pings(spark, sf_dir).withColumnRenamed("route_raw", "route_id")
+    iso = F.date_format(F.timestamp_seconds("t"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    epoch = F.when((F.col("event_id") % 103 == 0) & (F.col("event_id") % 2 == 0), F.lit(1e306)).otherwise(F.col("t").cast("double"))
+    time = {"csv/a": iso, "csv/b": F.col("t"), "json/a": epoch, "json/b": iso, "parquet/a": F.timestamp_seconds("t"), "parquet/b": F.timestamp_seconds("t")}
+    for name, names in RAW_LAYOUTS.items():
+        fmt, layout = name.split("/")
+        rows = p.where(F.col("event_id") % 2 == (0 if layout == "a" else 1)).withColumn("event_time", time[name])
+        if name == "csv/a":
+            rows = rows.withColumn("latitude", F.when(F.col("event_id") % 101 != 0, F.col("latitude")))
+        cols = [F.col(target).alias(own) for target, own in names.items()]
+        if name == "json/a":
+            cols = [F.struct(*cols[:-1]).alias("msgBusWayPoint"), cols[-1]]
+        writer = rows.repartition(2).select(*cols).write.format(fmt)
+        if fmt == "csv":
+            writer = writer.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        writer.save(f"{root}/{name}")
     return root
 
 
@@ -659,7 +647,8 @@ def _write_raw_copies(spark, sf_dir) -> str:
     "read_raw_mapped",
     O.with_base(
         """SELECT f.fmt, p.bus_id, p.t, p.route_raw AS route_id, p.latitude, p.longitude, p.speed_kmh
-FROM ping p, (SELECT 'csv' AS fmt UNION ALL SELECT 'json' UNION ALL SELECT 'parquet') f"""
+FROM ping p, (SELECT 'csv' AS fmt UNION ALL SELECT 'json' UNION ALL SELECT 'parquet') f
+WHERE NOT (event_id % 2 = 0 AND (fmt = 'csv' AND event_id % 101 = 0 OR fmt = 'json' AND event_id % 103 = 0))"""
     ),
 )
 def q_read_raw_mapped(spark, sf_dir):
@@ -679,33 +668,74 @@ def q_read_raw_mapped(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 
-def _stream_silver(spark, sf_dir, n_files: int = 5):
+def _wire_pings(spark, sf_dir):
+    """Pings as Kafka-style rows: key, JSON value, partition and offset; the
+    offset numbers them in event-id order."""
+    from .operators.normalize import to_events, to_keyed_json
+    from .sources import driver
+
+    beside = ("partition", "offset")
+    numbered = driver.ping_events(spark, sf_dir).withColumns({"partition": F.lit(0), "offset": F.col("event_id") * 2 + F.col("copy_no")})
+    return to_keyed_json(to_events(numbered, beside), beside)
+
+
+def _wire_key():
+    """Row key of a wire row, from its offset."""
+    return ["bus_id", F.expr("offset div 2").alias("event_id"), F.expr("cast(offset % 2 as int)").alias("copy_no")]
+
+
+def _stream_silver(spark, sf_dir, n_files: int = 5, order=("offset",)):
+    """Run the stream on the wire rows, one file a micro-batch; returns the
+    root of its tables and its metrics."""
     import uuid
 
     from .session import scratch_path
-    from .sources import driver
-    from .streaming.stream import BatchMetrics, read_ping_stream, replay_as_stream, run_stream
+    from .streaming.stream import BatchMetrics, read_ping_stream, replay_as_stream, run_stream, wire_events
 
-    root = scratch_path(spark, f"stream_{uuid.uuid4().hex[:12]}")
-    events = driver.ping_events(spark, sf_dir)
-    replay_as_stream(events, f"{root}/landing", n_files, order_cols=("event_id", "copy_no"))
-    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=events.schema, max_files_per_trigger=1)
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    wire = _wire_pings(spark, sf_dir)
+    replay_as_stream(wire, f"{root}/landing", n_files, order_cols=order)
+    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=wire.schema, max_files_per_trigger=1)
     metrics = BatchMetrics()
-    q = run_stream(stream, f"{root}/bronze", f"{root}/silver", f"{root}/carry", f"{root}/checkpoint", metrics=metrics, late_root=f"{root}/late")
+    q = run_stream(
+        stream, f"{root}/bronze", f"{root}/silver", f"{root}/carry", f"{root}/checkpoint", metrics=metrics, late_root=f"{root}/late", prepare=wire_events
+    )
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/silver"), metrics, root
+    return root, metrics
+
+
+STREAM_SQL = O.with_base("SELECT bus_id, event_id, copy_no, trip_id, " + O.r6("segment_distance_m", "segment_distance_m") + " FROM silver")
+
+
+@register("stream_silver", STREAM_SQL)
+def q_stream_silver(spark, sf_dir):
+    """ST1-ST6, ST10, S7, K1, K2, N6-N8: the pings as keyed JSON, replayed as
+    5 files in offset order and streamed one file per micro-batch; Silver with
+    carried trips equals the batch Silver."""
+    root, _ = _stream_silver(spark, sf_dir)
+    return spark.read.parquet(f"{root}/silver").select(*_wire_key(), "trip_id", r6("segment_distance_m"))
+
+
+@register("stream_late_repair", STREAM_SQL)
+def q_stream_late_repair(spark, sf_dir):
+    """ST7: the same rows in an order that makes many of them late; after the
+    repair of the buses with late rows Silver equals the batch Silver."""
+    from .streaming.stream import apply_late_repair
+
+    root, _ = _stream_silver(spark, sf_dir, 4, order=(F.col("offset") % 5, "offset"))
+    apply_late_repair(spark, f"{root}/bronze", f"{root}/silver", f"{root}/late", f"{root}/carry")
+    return spark.read.parquet(f"{root}/silver").select(*_wire_key(), "trip_id", r6("segment_distance_m"))
 
 
 @register(
-    "stream_silver",
-    O.with_base("SELECT bus_id, event_id, copy_no, trip_id, " + O.r6("segment_distance_m", "segment_distance_m") + " FROM silver"),
+    "bronze_payloads",
+    O.with_base("SELECT bus_id, event_id, copy_no, route_raw AS payload_route, latitude FROM ping"),
 )
-def q_stream_silver(spark, sf_dir):
-    """ST1-ST6, ST10, K1, K2: the pings replayed as 5 files in event-id order,
-    streamed one file per micro-batch; Silver with carried trips equals the
-    batch Silver."""
-    silver, _, _ = _stream_silver(spark, sf_dir)
-    return silver.select(*ROW_KEY, "trip_id", r6("segment_distance_m"))
+def q_bronze_payloads(spark, sf_dir):
+    """K1: Bronze read back, with a field taken from the kept payload."""
+    root, _ = _stream_silver(spark, sf_dir, 2)
+    bronze = spark.read.parquet(f"{root}/bronze")
+    return bronze.select(*_wire_key(), F.get_json_object("json_payload", "$.route_id").alias("payload_route"), "latitude")
 
 
 @register(
@@ -714,7 +744,7 @@ def q_stream_silver(spark, sf_dir):
 )
 def q_batch_metrics(spark, sf_dir):
     """A22 / ST5: rows in and valid rows out, summed over the micro-batches."""
-    _, metrics, _ = _stream_silver(spark, sf_dir)
+    _, metrics = _stream_silver(spark, sf_dir)
     rows = [(int(m["input_rows"]), int(m["valid_rows"])) for m in metrics.history]
     df = spark.createDataFrame(rows, "input_rows long, valid_rows long")
     return df.agg(F.sum("input_rows").cast("long").alias("input_rows"), F.sum("valid_rows").cast("long").alias("valid_rows"))
@@ -798,16 +828,50 @@ def _frames(spark, sf_dir):
     return read_raw_frames(spark, _write_raw_copies(spark, sf_dir))
 
 
-@register("profile_files")
+def _own_columns(name: str) -> dict[str, str]:
+    """Column names of a raw layout as read: nested ones by dotted path."""
+    own = RAW_LAYOUTS[name]
+    return {t: f"msgBusWayPoint.{c}" if name == "json/a" and t != "route_id" else c for t, c in own.items()}
+
+
+def _null_sql(target: str, name: str) -> str:
+    if target == "speed_kmh":
+        return "count(*) FILTER (WHERE speed_kmh IS NULL)"
+    if target == "latitude" and name == "csv/a":
+        return "count(*) FILTER (WHERE event_id % 101 = 0)"
+    return "0"
+
+
+def _profile_sql() -> str:
+    parts = []
+    for name in RAW_LAYOUTS:
+        fmt, layout = name.split("/")
+        own = {c: t for t, c in _own_columns(name).items()}
+        for column in sorted({c for n in RAW_LAYOUTS if n.startswith(fmt) for c in _own_columns(n).values()}):
+            nulls = _null_sql(own[column], name) if column in own else "count(*)"
+            parts.append(f"SELECT '{name}' AS layout, '{fmt}' AS file_type, '{column}' AS column_name, count(*) AS n_rows, CAST({nulls} AS BIGINT) AS nulls FROM ping WHERE event_id % 2 = {0 if layout == 'a' else 1}")
+    return O.with_base(" UNION ALL ".join(parts))
+
+
+def _files_of(column: str) -> int:
+    """Raw files (two a layout) that have the lower-cased column."""
+    return sum(2 for n in RAW_LAYOUTS if column in {c.lower() for c in _own_columns(n).values()})
+
+
+RAW_COLUMNS = sorted({c.lower() for n in RAW_LAYOUTS for c in _own_columns(n).values()})
+
+
+@register("profile_files", _profile_sql())
 def q_profile_files(spark, sf_dir):
-    """Per raw file, rows and NULL share per column (rows-only check:
-    the file split is Spark's)."""
+    """Rows and NULLs of every column of the raw files, per layout."""
     from .operators.profile import profile_files
 
-    return profile_files(_frames(spark, sf_dir))
+    layout = F.regexp_extract("source_file", r"/((?:csv|json|parquet)/[ab])/", 1)
+    files = profile_files(_frames(spark, sf_dir)).withColumn("layout", layout)
+    return files.groupBy("layout", "file_type", "column_name").agg(F.sum("rows").alias("n_rows"), F.sum(F.round(F.col("null_ratio") * F.col("rows")).cast("long")).alias("nulls"))
 
 
-@register("column_frequency")
+@register("column_frequency", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', CAST({_files_of(c)} AS BIGINT))" for c in RAW_COLUMNS) + ") x(column_name, files)")
 def q_column_frequency(spark, sf_dir):
     """Files per lower-cased column."""
     from .operators.profile import column_frequency
@@ -815,7 +879,12 @@ def q_column_frequency(spark, sf_dir):
     return column_frequency(_frames(spark, sf_dir))
 
 
-@register("schema_drift")
+@register(
+    "schema_drift",
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"('{c}', CAST({_files_of(c)} AS BIGINT), CAST({2 * len(RAW_LAYOUTS) - _files_of(c)} AS BIGINT))" for c in RAW_COLUMNS if _files_of(c) < 2 * len(RAW_LAYOUTS))
+    + ") x(column_name, files_with, files_without)",
+)
 def q_schema_drift(spark, sf_dir):
     """Columns some files lack."""
     from .operators.profile import schema_drift
@@ -892,31 +961,34 @@ def q_dashboard_top_buses(spark, sf_dir):
     return tables["top_buses_table"]
 
 
-@register("stream_hourly")
+@register(
+    "stream_hourly",
+    O.with_base(
+        "SELECT strftime(make_timestamp((t - t % 3600) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start, route_raw AS route_id, count(*) AS pings FROM ping GROUP BY 1, 2"
+    ),
+)
 def q_stream_hourly(spark, sf_dir):
-    """ST11: hourly pings and approximate distinct buses per route on the
-    replayed stream, with a watermark. Complete mode through foreachBatch
-    (each batch overwrites the table), so no open window is left unwritten
-    when the run stops; rows-only check."""
+    """ST11: hourly pings per route on the replayed stream, in update mode
+    with a watermark, so that closed windows leave the state. Each batch writes
+    the windows that it changed; the newest row of a window is its total."""
     import uuid
 
     from .session import scratch_path
     from .sources import driver
     from .streaming.stream import read_ping_stream, replay_as_stream, stream_hourly
 
-    root = scratch_path(spark, f"hourly_{uuid.uuid4().hex[:12]}")
+    root = scratch_path(spark, f"hourly-{uuid.uuid4().hex[:12]}")
     events = driver.ping_events(spark, sf_dir)
     replay_as_stream(events, f"{root}/landing", 3, order_cols=("event_time", "event_id", "copy_no"))
     stream = read_ping_stream(spark, f"{root}/landing", "json", schema=events.schema, max_files_per_trigger=1)
-    out_path = f"{root}/out"
     q = (
         stream_hourly(stream, watermark="1 hour")
-        .writeStream.outputMode("complete")
-        .foreachBatch(lambda df, _id: df.write.mode("overwrite").parquet(out_path))
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda df, batch: df.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch}"))
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
-    return out.select(F.col("window.start").alias("window_start"), "route_id", "pings", "approx_buses")
+    rows = spark.read.parquet(f"{root}/out").groupBy("window", "route_id").agg(F.max_by("pings", "batch_id").alias("pings"))
+    return rows.select(ts_text("window.start", "window_start"), "route_id", "pings")

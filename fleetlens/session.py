@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on: UTC session zone (event times are UTC
 # instants), AQE with skew-join splitting, Arrow for the few pandas steps.
@@ -46,14 +47,17 @@ def apply_session_conf(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by the cluster in
-    ``spark.checkpoint.dir``; only when it is unset (tests, local runs) pick a
-    fresh scratch folder."""
+    ``spark.checkpoint.dir``. Where it is unset, a session on one machine
+    (``local[...]``, as in tests) gets a fresh scratch folder; a cluster
+    session is an error, because its executors share no local folder."""
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -64,3 +68,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     tables (carry versions, lineage cuts)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to a fresh shared folder and read it back: readers
+    share the result, nothing stays in executor memory, and a lost executor
+    costs no recomputation."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession, prefix: str) -> None:
+    """Delete the materialized tables whose name begins with ``prefix``."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, f"{prefix}-*"))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(root) or []:
+        fs.delete(status.getPath(), True)

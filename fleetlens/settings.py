@@ -96,5 +96,3 @@ class Settings:
     max_trips: int = MAX_TRIPS
     max_points_per_trip: int = MAX_POINTS_PER_TRIP
     table_format: str = "parquet"
-    # Rows of a dimension (mapping, catalog) above which it is joined by shuffle.
-    broadcast_max_rows: int = 2_000_000

@@ -3,11 +3,15 @@ three shapes, nested objects flattened to dotted names (S1-S6, U1)."""
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ..session import materialize
+
 EXT_GLOB = {
     "csv": "*.[cC][sS][vV]",
     "json": "*.[jJ][sS][oO][nN]",
@@ -38,107 +42,120 @@ def _with_source(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def _read(reader, path: str):
+def _reader(spark: SparkSession, fmt: str, kind: str):
+    """A recursive reader of one format over the files of one kind."""
+    return spark.read.format(fmt).option("recursiveFileLookup", "true").option("pathGlobFilter", EXT_GLOB[kind])
+
+
+def _first_lines(spark: SparkSession, path: str, kind: str) -> DataFrame | None:
+    """(source_file, line): the first line with a character of each file, from
+    one distributed text pass; None when there is no such file."""
     try:
-        return reader.load(path)
-    except AnalysisException as exc:  # no file of this kind under the path
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc) or "does not exist" in str(exc):
+        lines = _reader(spark, "text", kind).load(path)
+    except AnalysisException as exc:  # nothing of this kind under the path
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
+    own = lines.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("i"))
+    own = own.filter(F.trim(F.regexp_replace("value", "\ufeff", "")) != "")
+    # Ids rise within a split; the split with the smallest start comes first.
+    return own.groupBy("source_file").agg(F.min_by("value", F.struct("at", "i")).alias("line"))
+
+
+def _unite(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
 
+def _as_text(df: DataFrame) -> DataFrame:
+    """Files may disagree on a column's type; unite as text, type later."""
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
-def read_json_flexible(spark: SparkSession, path: str, mode: str = "PERMISSIVE", recursive: bool = True) -> DataFrame | None:
-    """S3: JSON lines, one-line arrays and single objects are read in line
-    mode (splittable). Files whose lines do not parse on their own (pretty
-    printed arrays or objects) are found from their corrupt records and read
-    again with ``multiLine`` (one task per such file). ``mode`` is the parse
-    mode for bad records: PERMISSIVE keeps them as NULL rows and
-    ``_corrupt_record``, DROPMALFORMED drops them, FAILFAST raises."""
-    base = (
-        spark.read.format("json")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .option("pathGlobFilter", EXT_GLOB["json"])
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-    )
-    lines = _read(base, path)
-    if lines is None:
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame | None:
+    """Every CSV file by its own header, united by column name, all text.
+
+    The distinct headers (layouts, not files) reach the driver. All files are
+    parsed in one read, by position; a file's layout, joined on its name,
+    tells which position is which column."""
+    headers = _first_lines(spark, path, "csv")
+    if headers is None:
+        return None
+    headers = materialize(headers.select("source_file", F.regexp_replace("line", "\ufeff", "").alias("line")), "csv-headers")
+    layouts = {r.line: next(csv.reader([r.line])) for r in headers.select("line").distinct().collect()}
+    if not layouts:  # files without a line
         return None
-    lines = _with_source(lines)
-    if "_corrupt_record" not in lines.columns:
-        return lines.drop("_corrupt_record") if mode != "FAILFAST" else lines
-    # A file that is pretty-printed JSON yields corrupt lines such as "  {".
-    # The list of such files is bounded by the file count (metadata only).
-    # Spark refuses queries on the corrupt column alone over raw files, so
-    # the parsed lines are kept once; the good rows reuse them below.
-    from pyspark import StorageLevel
-
-    lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
-    bad = lines.filter(F.col("_corrupt_record").isNotNull())
-    whole = bad.filter(F.trim("_corrupt_record").isin("[", "{", "]", "}", "},", "[{", "{"))
-    multi_files = [r[0] for r in whole.select("source_file").distinct().collect()]
-    good = lines.join(F.broadcast(whole.select("source_file").distinct()), "source_file", "left_anti")
-    if mode == "DROPMALFORMED":
-        good = good.filter(F.col("_corrupt_record").isNull())
-    elif mode == "FAILFAST" and good.filter(F.col("_corrupt_record").isNotNull()).limit(1).count():
-        raise ValueError("malformed JSON record")
-    parts = [good]
-    if multi_files:
-        multi = _with_source(spark.read.option("multiLine", "true").option("mode", mode).json(multi_files))
-        parts.append(multi)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    # Arrays of objects read in multiLine mode become one row per element.
-    return out.drop("_corrupt_record") if mode != "PERMISSIVE" else out
-
-
-def read_raw_frames(spark: SparkSession, path: str, json_mode: str = "PERMISSIVE", flatten: bool = True) -> list[DataFrame]:
+    width = max(len(names) for names in layouts.values())
+    rows = _with_source(_reader(spark, "csv", "csv").schema(", ".join(f"c{i} string" for i in range(width))).option("header", "true").load(path))
+    if len(layouts) > 1:
+        rows = rows.join(headers, "source_file")
+    else:
+        rows = rows.withColumn("line", F.lit(next(iter(layouts))))
+    columns: dict[str, list] = {}
+    for line, names in layouts.items():
+        for i, name in enumerate(names):
+            columns.setdefault(name.strip(), []).append(F.when(F.col("line") == line, F.col(f"c{i}")))
+    return rows.select(*(F.coalesce(*own).alias(name) for name, own in columns.items() if name), "source_file")
+
+
+def read_json_flexible(spark: SparkSession, path: str, mode: str = "DROPMALFORMED") -> DataFrame | None:
+    """S3: JSON in any shape. A file whose first line is a whole object is
+    JSON lines (splittable; lines that do not parse are dropped, kept or
+    raised as the parse ``mode`` says). Any other file is one document, an
+    array or an object over several lines, read by one task each. The names of
+    such files reach the driver, as the file listing itself does."""
+    first = _first_lines(spark, path, "json")
+    if first is None:
+        return None
+    whole = F.col("line").rlike(r"^[\s\x{FEFF}]*\[") | F.try_parse_json("line").isNull()
+    shapes = first.select("source_file", whole.alias("whole")).collect()
+    frames = []
+    for several, wanted in (("false", False), ("true", True)):
+        names = [r.source_file for r in shapes if r.whole == wanted]
+        if names:
+            frames.append(_with_source(spark.read.option("multiLine", several).option("mode", mode).json(names)))
+    return _unite(frames) if frames else None
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
+    """Every Parquet file, columns united by name. Files that disagree on
+    a column's type are read one by one and united as text."""
+    try:
+        return _with_source(_reader(spark, "parquet", "parquet").option("mergeSchema", "true").load(path))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return None
+        if "CANNOT_MERGE" not in str(exc):
+            raise
+    except Exception as exc:  # a failed merge can also come as a job's error
+        if "CANNOT_MERGE" not in str(exc) and "merge" not in str(exc):
+            raise
+    names = [r[0] for r in _reader(spark, "binaryFile", "parquet").load(path).select("path").collect()]
+    return _unite([_as_text(flatten_struct(_with_source(spark.read.parquet(n)))) for n in names])
+
+
+def read_raw_frames(spark: SparkSession, path: str, json_mode: str = "DROPMALFORMED", flatten: bool = True) -> list[DataFrame]:
     """One DataFrame per file format found under ``path`` (each with its own
     columns), flattened, all columns as text, with ``source_file``."""
-    frames = []
-    csv = _read(
-        spark.read.format("csv").option("header", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", EXT_GLOB["csv"]),
-        path,
-    )
-    if csv is not None:
-        frames.append(_with_source(csv))
-    js = read_json_flexible(spark, path, mode=json_mode)
-    if js is not None:
-        frames.append(js.drop("_corrupt_record") if "_corrupt_record" in js.columns else js)
-    pq = _read(spark.read.format("parquet").option("recursiveFileLookup", "true").option("pathGlobFilter", EXT_GLOB["parquet"]), path)
-    if pq is not None:
-        frames.append(_with_source(pq))
+    frames = [f for f in (read_csv(spark, path), read_json_flexible(spark, path, json_mode), read_parquet(spark, path)) if f is not None]
     if not frames:
-        raise FileNotFoundError(f"no CSV, JSON or Parquet files under {path}")
-    if flatten:
-        frames = [flatten_struct(f) for f in frames]
-    # Files may disagree on a column's type; unite as text, type later.
-    return [f.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in f.columns]) for f in frames]
+        raise FileNotFoundError(f"no CSV, JSON or Parquet files with rows under {path}")
+    return [_as_text(flatten_struct(f) if flatten else f) for f in frames]
 
 
-def read_raw(spark: SparkSession, path: str, json_mode: str = "PERMISSIVE", flatten: bool = True) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, json_mode: str = "DROPMALFORMED", flatten: bool = True) -> DataFrame:
     """Every CSV, JSON and Parquet file under ``path``
     (recursive, extension case-insensitive), columns united by name with
-    missing ones NULL, nested objects flattened, and ``source_file``. CSV is
-    read as text so files cannot disagree on types; typing is done by
-    ``map_schema``."""
-    frames = read_raw_frames(spark, path, json_mode, flatten)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    missing ones NULL, nested objects flattened, and ``source_file``. All
+    columns are text; typing is done by ``map_schema``."""
+    return _unite(read_raw_frames(spark, path, json_mode, flatten))
 
 
-def read_mapped(spark: SparkSession, path: str, candidates=None, mapping: DataFrame | None = None, json_mode: str = "PERMISSIVE") -> DataFrame:
-    """Raw files to normalized events: each format's frame is mapped by its
-    own column names (as the reference maps each file chunk), then united."""
+def read_mapped(spark: SparkSession, path: str, candidates=None, mapping: DataFrame | None = None, json_mode: str = "DROPMALFORMED") -> DataFrame:
+    """Raw files to normalized events, each row by its own file's names."""
     from ..operators.normalize import map_schema
     from ..settings import Candidates
 
-    cands = candidates or Candidates()
-    mapped = [map_schema(f, cands, mapping) for f in read_raw_frames(spark, path, json_mode)]
-    out = mapped[0]
-    for m in mapped[1:]:
-        out = out.unionByName(m)
-    return out
+    return map_schema(read_raw(spark, path, json_mode), candidates or Candidates(), mapping)

@@ -3,8 +3,7 @@ the event cache and point lookups for a set of trips (S8-S12)."""
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,18 +16,22 @@ CATALOG_COLUMNS = ["route_id", "route_name", "duration_min", "distance_km_ref",
 
 def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
     """Read a written table, with a clear error when nothing is there."""
-    local = path.startswith("/") or path.startswith("file:")
-    if local and not os.path.exists(path.replace("file:", "")):
-        raise FileNotFoundError(f"table not found at {path}; run the job that writes it first")
-    return spark.read.format(table_format).load(path)
+    try:
+        return spark.read.format(table_format).load(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            raise FileNotFoundError(f"table not found at {path}; run the job that writes it first") from exc
+        raise
 
 
 def read_mapping_csv(spark: SparkSession, path: str) -> DataFrame | None:
     """Optional mapping file; ``None`` when it does not exist."""
-    local = path.startswith("/") or path.startswith("file:")
-    if local and not os.path.exists(path.replace("file:", "")):
-        return None
-    return spark.read.option("header", True).csv(path)
+    try:
+        return spark.read.option("header", True).csv(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return None
+        raise
 
 
 def vehicle_route_map(raw: DataFrame) -> DataFrame:
@@ -78,14 +81,37 @@ def route_catalog(raw: DataFrame | None, spark: SparkSession | None = None) -> D
 
 
 def read_event_cache(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines event cache with the wire schema; fails when a
-    required column cannot be present."""
-    df = spark.read.schema(EVENT_WIRE_DDL).json(path)
+    """JSON-lines event cache with the wire schema; ``ValueError`` when
+    the files lack a required column (the columns they have are inferred)."""
     required = {"event_time", "bus_id", "latitude", "longitude"}
-    missing = required - set(df.columns)
-    if missing:
+    if missing := required - set(spark.read.json(path).columns):
         raise ValueError(f"event cache lacks {sorted(missing)}")
-    return df
+    return spark.read.schema(EVENT_WIRE_DDL).json(path)
+
+
+def resolve_points(spark: SparkSession, silver: str | None = None, cache: str | None = None, raw: str | None = None, table_format: str = "parquet") -> tuple[str, DataFrame]:
+    """Points from the first source that is there: the Silver table, else
+    the event cache, else the raw files (mapped). Returns which one it was;
+    the columns are those of the events, and trips where Silver has them."""
+    from ..operators.normalize import drop_incomplete, normalize_events
+    from .raw import read_mapped
+
+    tries = (
+        ("silver", silver, lambda p: spark.read.format(table_format).load(p)),
+        ("cache", cache, lambda p: normalize_events(read_event_cache(spark, p))),
+        ("raw", raw, lambda p: read_mapped(spark, p)),
+    )
+    for kind, path, read in tries:
+        if path is None:
+            continue
+        try:
+            return kind, drop_incomplete(read(path))
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+                raise
+        except (ValueError, FileNotFoundError):  # a cache without the columns, a folder without files
+            continue
+    raise FileNotFoundError("no Silver table, event cache or raw files to read points from")
 
 
 def trip_points(points: DataFrame, trips: DataFrame, columns: list[str] | None = None) -> DataFrame:

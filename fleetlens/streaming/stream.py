@@ -14,6 +14,8 @@ they stay in Bronze, are flagged, and are left out of Silver until
 from __future__ import annotations
 
 import logging
+import time
+from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -21,7 +23,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from ..operators.normalize import decode_events, drop_incomplete, normalize_events
 from ..operators.segments import build_silver, default_tie_cols, enrich_segments, valid_pings
+from ..plans.joins import join_dimension
+from ..session import drop_tables, materialize
 from ..settings import Quality
 
 log = logging.getLogger(__name__)
@@ -54,22 +59,52 @@ def read_ping_stream(
     return reader.load(source)
 
 
-def _carry_path(root: str, batch_id: int) -> str:
-    return f"{root}/batch_id={batch_id}"
+#: Versions of the carry that stay on disk: the one in use, the one before it
+#: (a retried batch reads that), and one more.
+KEEP_CARRIES = 3
 
 
-def _read_carry(spark: SparkSession, root: str, batch_id: int, like: DataFrame) -> DataFrame | None:
+def _query_id(spark: SparkSession) -> str:
+    """Spark's id of the running stream; it is kept in the checkpoint, so a
+    restarted stream has it and one with a fresh checkpoint doesn't."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def _carry_path(spark: SparkSession, root: str, batch_id: int) -> str:
+    return f"{root}/query_id={_query_id(spark)}/batch_id={batch_id}"
+
+
+def _folder(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _refuse_other_stream(spark: SparkSession, root: str) -> None:
+    """A stream that starts at batch 0 over another stream's carry would
+    overwrite that one's Silver: fail instead."""
+    fs, path = _folder(spark, root)
+    if fs.exists(path):
+        others = [s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName() != f"query_id={_query_id(spark)}"]
+        if others:
+            raise RuntimeError(f"{root} belongs to another stream ({others[0]}); its checkpoint was reset or another one is used")
+
+
+def _read_carry(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
     """Version ``batch_id - 1`` of the carry table, or None for the first
     batch. A missing version for a later batch is an error (never guess)."""
     if batch_id == 0:
+        _refuse_other_stream(spark, root)
         return None
-    path = _carry_path(root, batch_id - 1)
+    path = _carry_path(spark, root, batch_id - 1)
     try:
         return spark.read.parquet(path)
     except Exception as exc:  # noqa: BLE001 - re-raised with context
         raise RuntimeError(f"carry version {batch_id - 1} missing at {path}") from exc
 
 
+ROW_HASH = "_row_hash"
+
+
 def enrich_with_carry(
     batch: DataFrame,
     batch_id: int,
@@ -77,49 +112,56 @@ def enrich_with_carry(
     quality: Quality = Quality(),
     tie_cols: list[str] | None = None,
     strategy: str = "range",
+    num_partitions: int | None = None,
+    table: str = "scan",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """ST6: enrich one micro-batch as if it continued the whole history.
 
     Returns ``(silver_all, late_rows, new_carry)``; ``new_carry`` must be
-    written to ``carry_root/batch_id=<batch_id>`` (``write_carry``)."""
+    written with ``write_carry``. A row is late when it comes before its bus's
+    carried row: by time and tie key, or by time alone where rows have no key
+    of their own (pings of the carried second are then still in time)."""
     spark = batch.sparkSession
+    columns = batch.columns
     ties = default_tie_cols(batch) if tie_cols is None else list(tie_cols)
-    order_key = F.struct("event_time", *ties)
-    prev = _read_carry(spark, carry_root, batch_id, batch)
-    rows = batch.withColumn(CARRY_FLAG, F.lit(False))
+    keyed = bool(ties)
+    if not keyed:
+        batch = batch.withColumn(ROW_HASH, F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+        ties = [ROW_HASH]
+    prev = _read_carry(spark, carry_root, batch_id)
+    rows = batch.withColumn(CARRY_FLAG, F.lit(False)).withColumn("_off", F.lit(None).cast("long"))
     late = rows.limit(0)
     if prev is not None:
-        carry_rows = prev.select(*[F.col(c) for c in batch.columns], F.lit(True).alias(CARRY_FLAG))
-        last = prev.select(F.col("bus_id").alias("_cb"), F.struct(F.col("event_time"), *[F.col(t) for t in ties]).alias("_ck"))
-        # Late: at or before the bus's carried point in (time, tie) order.
-        # One carry row per bus; broadcast when the fleet is small.
-        from ..plans.joins import join_dimension
-
-        tagged = join_dimension(rows, last, F.col("bus_id").eqNullSafe(F.col("_cb")), "left")
-        is_late = F.col("_ck").isNotNull() & (order_key <= F.col("_ck"))
-        late = tagged.filter(is_late).drop("_cb", "_ck")
-        rows = tagged.filter(~is_late).drop("_cb", "_ck").unionByName(carry_rows)
-    enriched = enrich_segments(rows, quality=quality, tie_cols=ties, strategy=strategy)
-    if prev is not None:
-        offs = prev.select(F.col("bus_id").alias("_ob"), (F.col("trip_seq") - 1).alias("_off"))
-        from ..plans.joins import join_dimension
-
-        enriched = join_dimension(enriched, offs, F.col("bus_id").eqNullSafe(F.col("_ob")), "left")
-        seq = F.col("trip_seq") + F.coalesce(F.col("_off"), F.lit(0))
-        enriched = enriched.withColumn("trip_seq", seq).withColumn(
-            "trip_id", F.concat_ws("_", F.col("bus_id"), F.col("trip_seq").cast("string"))
-        ).drop("_ob", "_off")
-    out = enriched.filter(~F.col(CARRY_FLAG)).drop(CARRY_FLAG)
+        known = ["event_time", *(ties if keyed else [])]
+        last = prev.select(F.col("bus_id").alias("_cb"), F.struct(*known).alias("_ck"), (F.col("trip_seq") - 1).alias("_co"))
+        tagged = join_dimension(rows, last, F.col("bus_id").eqNullSafe(F.col("_cb")), "left").withColumn("_off", F.col("_co"))
+        here = F.struct(*known)
+        is_late = F.col("_ck").isNotNull() & F.col("event_time").isNotNull() & ((here <= F.col("_ck")) if keyed else (here < F.col("_ck")))
+        late = tagged.filter(is_late).drop("_cb", "_ck", "_co")
+        carried = prev.select(*batch.columns, F.lit(True).alias(CARRY_FLAG), (F.col("trip_seq") - 1).alias("_off"))
+        rows = tagged.filter(~is_late).drop("_cb", "_ck", "_co").unionByName(carried)
+    # The carried row sorts before the rows of its second.
+    rows = rows.withColumn("_after", F.when(F.col(CARRY_FLAG), 0).otherwise(1))
+    enriched = enrich_segments(rows, quality=quality, tie_cols=["_after", *ties], strategy=strategy, num_partitions=num_partitions, table=table)
+    seq = F.col("trip_seq") + F.coalesce(F.col("_off"), F.lit(0))
+    enriched = enriched.withColumn("trip_seq", seq).withColumn("trip_id", F.concat_ws("_", F.col("bus_id"), F.col("trip_seq").cast("string"))).drop("_off")
+    hidden = [CARRY_FLAG, "_after"] + ([] if keyed else [ROW_HASH])
+    out = enriched.filter(~F.col(CARRY_FLAG)).drop(*hidden)
     # New carry: last row per bus over carry + batch (buses without rows in
     # this batch keep their old row). max_by is a partial aggregate.
     cols = batch.columns + ["trip_seq"]
-    last_row = enriched.groupBy("bus_id").agg(F.max_by(F.struct(*[F.col(c) for c in cols if c != "bus_id"]), order_key).alias("_l"))
-    new_carry = last_row.select("bus_id", "_l.*").select(*cols)
-    return out, late.drop(CARRY_FLAG), new_carry
+    last_row = enriched.groupBy("bus_id").agg(F.max_by(F.struct(*[F.col(c) for c in cols if c != "bus_id"]), F.struct("event_time", "_after", *ties)).alias("_l"))
+    return out, late.select(*columns), last_row.select("bus_id", "_l.*").select(*cols)
 
 
 def write_carry(carry: DataFrame, carry_root: str, batch_id: int) -> None:
-    carry.write.mode("overwrite").parquet(_carry_path(carry_root, batch_id))
+    """Write this batch's version; versions that no batch can read any more
+    are deleted."""
+    spark = carry.sparkSession
+    carry.write.mode("overwrite").parquet(_carry_path(spark, carry_root, batch_id))
+    fs, old = _folder(spark, _carry_path(spark, carry_root, batch_id - KEEP_CARRIES))
+    if batch_id >= KEEP_CARRIES:
+        fs.delete(old, True)
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int, fmt: str = "parquet") -> None:
@@ -130,23 +172,51 @@ def write_batch(df: DataFrame, root: str, batch_id: int, fmt: str = "parquet") -
 
 @dataclass
 class BatchMetrics:
-    """Rows in and valid rows out per batch, gathered with
-    ``Observation`` (no extra pass over the batch)."""
+    """Rows in and valid rows out of the last ``keep`` batches, gathered
+    with ``Observation`` (no extra pass over the batch)."""
+
+    keep: int = 1000
+    history: deque = field(default_factory=deque)
 
-    history: list = field(default_factory=list)
+    def add(self, row: dict) -> None:
+        self.history.append(row)
+        while len(self.history) > self.keep:
+            self.history.popleft()
 
 
-def make_batch_handler(bronze_root: str, silver_root: str, carry_root: str, quality: Quality = Quality(), tie_cols=None, metrics: BatchMetrics | None = None, late_root: str | None = None, strategy: str = "range"):
-    """ST3: the ``foreachBatch`` function. The batch is persisted once (F22);
-    an empty batch still writes its carry version so batch N+1 finds N."""
+def wire_events(batch: DataFrame) -> DataFrame:
+    """Kafka-style rows (``value``, ``partition``, ``offset``) to
+    complete, typed events; the payload stays beside them for Bronze."""
+    return drop_incomplete(normalize_events(decode_events(batch)))
+
+
+def make_batch_handler(
+    bronze_root: str,
+    silver_root: str,
+    carry_root: str,
+    quality: Quality = Quality(),
+    tie_cols=None,
+    metrics: BatchMetrics | None = None,
+    late_root: str | None = None,
+    strategy: str = "range",
+    prepare=None,
+    num_partitions: int | None = None,
+):
+    """ST3: the ``foreachBatch`` function. ``prepare`` turns the stream's rows
+    into events (``wire_events`` for Kafka). The batch is persisted once (F22)
+    and its scan deleted when it is written; an empty batch still writes its
+    carry version so batch N+1 finds N."""
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
-        batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        spark = batch_df.sparkSession
+        table = f"stream-scan-{_query_id(spark)}-{batch_id}"
+        batch = (batch_df if prepare is None else prepare(batch_df)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             obs_in = Observation(f"bronze_{batch_id}")
             bronze = batch.observe(obs_in, F.count(F.lit(1)).alias("rows"))
             write_batch(bronze, bronze_root, batch_id)
-            silver_all, late, carry = enrich_with_carry(batch, batch_id, carry_root, quality, tie_cols, strategy)
+            events = batch.drop("json_payload")
+            silver_all, late, carry = enrich_with_carry(events, batch_id, carry_root, quality, tie_cols, strategy, num_partitions, table)
             obs_out = Observation(f"silver_{batch_id}")
             silver = valid_pings(silver_all).observe(obs_out, F.count(F.lit(1)).alias("rows"))
             write_batch(silver, silver_root, batch_id)
@@ -154,20 +224,20 @@ def make_batch_handler(bronze_root: str, silver_root: str, carry_root: str, qual
                 write_batch(late, late_root, batch_id)
             write_carry(carry, carry_root, batch_id)
             if metrics is not None:
-                metrics.history.append(
-                    {"batch_id": batch_id, "input_rows": obs_in.get.get("rows", 0), "valid_rows": obs_out.get.get("rows", 0)}
-                )
+                metrics.add({"batch_id": batch_id, "input_rows": obs_in.get.get("rows", 0), "valid_rows": obs_out.get.get("rows", 0)})
         finally:
             batch.unpersist()
+            drop_tables(spark, table)
 
     return handle
 
 
 class StreamMetrics(StreamingQueryListener):
-    """ST5: keeps the progress reports (rows per second, batch ids)."""
+    """ST5: keeps the last ``keep`` progress reports (rows per second, batch
+    ids); ``run_stream`` attaches it when it is given one."""
 
-    def __init__(self):
-        self.progress = []
+    def __init__(self, keep: int = 1000):
+        self.progress = deque(maxlen=keep)
 
     def onQueryStarted(self, event):  # noqa: N802
         pass
@@ -195,44 +265,71 @@ def run_stream(
     available_now: bool = True,
     metrics: BatchMetrics | None = None,
     late_root: str | None = None,
+    prepare=None,
+    num_partitions: int | None = None,
+    listener: StreamMetrics | None = None,
 ):
     """ST3 / ST4: start the Bronze/Silver stream with a checkpoint; with
     ``available_now`` it processes what is there and stops."""
-    writer = stream.writeStream.foreachBatch(
-        make_batch_handler(bronze_root, silver_root, carry_root, quality, tie_cols, metrics, late_root)
-    ).option("checkpointLocation", checkpoint)
+    if listener is not None:
+        stream.sparkSession.streams.addListener(listener)
+    handler = make_batch_handler(bronze_root, silver_root, carry_root, quality, tie_cols, metrics, late_root, prepare=prepare, num_partitions=num_partitions)
+    writer = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
 
 
 def replay_as_stream(events: DataFrame, folder: str, n_files: int, order_cols=("event_time",), fmt: str = "json") -> None:
-    """ST10: lay the events out as ``n_files`` files in time order for a file
-    stream with ``maxFilesPerTrigger=1``. The file source takes the oldest
-    files first, so slices are written one after another. Slice bounds are
-    approximate quantiles of the first order column (``n_files - 1`` values
-    reach the driver); choose ``n_files`` so one slice fits one task."""
-    first = order_cols[0]
-    key = F.unix_micros(F.col(first)) if dict(events.dtypes)[first].startswith("timestamp") else F.col(first)
-    keyed = events.withColumn("_replay_key", key.cast("double"))
-    probs = [i / n_files for i in range(1, n_files)]
-    bounds = keyed.approxQuantile("_replay_key", probs, 0.0001) if probs else []
-    edges = [None, *sorted(set(bounds)), None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col("_replay_key") >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col("_replay_key") < F.lit(hi))
-        part = keyed.filter(cond).drop("_replay_key").coalesce(1).sortWithinPartitions(*order_cols)
-        part.write.mode("append").format(fmt).save(folder)
+    """ST10: lay the events out as ``n_files`` files in order for a file
+    stream with ``maxFilesPerTrigger=1``. One range-partitioned job writes all
+    files in parallel, rows without an order key in the first one; then the
+    files' times are set in their order, because the file source takes the
+    oldest first (names only reach the driver)."""
+    spark = events.sparkSession
+    ordered = events.repartitionByRange(n_files, *order_cols).sortWithinPartitions(*order_cols)
+    ordered.write.mode("append").format(fmt).save(folder)
+    fs, path = _folder(spark, folder)
+    files = sorted((s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    start = int(time.time() * 1000) - 1000 * (len(files) + 1)
+    for i, file in enumerate(files):
+        fs.setTimes(file, start + 1000 * i, -1)
 
 
 def repair_late(spark: SparkSession, bronze_root: str, late: DataFrame, quality: Quality = Quality(), tie_cols=None) -> DataFrame:
     """ST7: Silver rows recomputed from all of Bronze for the buses that got
-    late rows (a semi join on the late buses, then the batch enrichment)."""
-    bronze = spark.read.parquet(bronze_root).drop("batch_id")
+    late rows (a semi join on the late buses, then the batch enrichment). A
+    Bronze ``batch_id`` rides along."""
+    bronze = spark.read.parquet(bronze_root).drop("json_payload")
     buses = late.select("bus_id").distinct()
-    return build_silver(bronze.join(buses, "bus_id", "left_semi"), quality=quality, tie_cols=tie_cols)
+    ties = default_tie_cols(bronze) if tie_cols is None else tie_cols
+    return build_silver(bronze.join(buses, "bus_id", "left_semi"), quality=quality, tie_cols=ties or None)
+
+
+def apply_late_repair(spark: SparkSession, bronze_root: str, silver_root: str, late_root: str, carry_root: str | None = None, quality: Quality = Quality(), tie_cols=None) -> None:
+    """ST7: replace the Silver rows of the buses that got late rows. Only the
+    ``batch_id`` folders that hold such a bus are rewritten, each as a whole;
+    run it between two runs of the stream. With ``carry_root`` the newest carry
+    of each stream gets those buses' new trip numbers."""
+    late = spark.read.parquet(late_root)
+    buses = materialize(late.select("bus_id").distinct(), "late-buses")
+    fixed = materialize(repair_late(spark, bronze_root, late, quality, tie_cols), "late-silver")
+    silver = spark.read.parquet(silver_root)
+    touched = materialize(fixed.select("batch_id").unionByName(silver.join(buses, "bus_id", "left_semi").select("batch_id")).distinct(), "late-batches")
+    kept = silver.join(touched, "batch_id", "left_semi").join(buses, "bus_id", "left_anti")
+    whole = materialize(kept.unionByName(fixed, allowMissingColumns=True), "late-batches-new")
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(silver_root)
+    if carry_root is None:
+        return
+    fs, path = _folder(spark, carry_root)
+    for stream in fs.listStatus(path):
+        versions = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(stream.getPath())]
+        newest = f"{stream.getPath()}/batch_id={max(versions)}"
+        old = spark.read.parquet(newest)
+        ties = [c for c in (tie_cols or default_tie_cols(old)) if c in old.columns]
+        every = enrich_segments(spark.read.parquet(bronze_root).drop("json_payload", "batch_id").join(buses, "bus_id", "left_semi"), quality=quality, tie_cols=ties or None)
+        last = every.groupBy("bus_id").agg(F.max_by("trip_seq", F.struct("event_time", *ties)).alias("_seq"))
+        moved = materialize(old.join(last, "bus_id", "left").withColumn("trip_seq", F.coalesce("_seq", "trip_seq")).select(*old.columns), "late-carry")
+        moved.write.mode("overwrite").parquet(newest)
 
 
 def stream_hourly(stream: DataFrame, watermark: str = "1 hour", minutes: int = 60) -> DataFrame:

@@ -33,3 +33,12 @@ def test_every_query_runs_on_smoke_data(spark):
     assert E.entry(spark).count() == 262
     for name in ("top_buses", "top_routes", "route_snapshot", "trip_paths", "time_slices", "filter_values", "sample_even"):
         assert QUERIES[name](spark, SF).count() > 0, name
+
+
+def test_one_nan_does_not_poison_totals(spark):
+    from fleetlens.operators import reports
+
+    nan = float("nan")
+    days = spark.createDataFrame([("B1", "2025-01-01", 1.0, 2.0, 3.0), ("B1", "2025-01-02", nan, nan, nan), ("B2", "2025-01-02", None, 1.0, 1.0)], "bus_id string, event_date string, distance_km double, fuel_liter_est double, co2_kg_est double")
+    got = {r.bus_id: tuple(r)[1:] for r in reports.bus_totals(days).collect()}
+    assert got == {"B1": (1.0, 2.0, 3.0), "B2": (0.0, 1.0, 1.0)}

@@ -4,8 +4,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from fleetlens.operators.segments import enrich_segments
+from fleetlens.operators.segments import build_silver, enrich_segments
 from fleetlens.plans import flows
+from fleetlens.session import materialize
 
 T0 = dt.datetime(2024, 1, 1, 10, 0, 0)
 
@@ -55,8 +56,22 @@ def test_fixture_figures(spark):
     assert s.select("trip_id").distinct().count() == 262
 
 
-def test_range_plan_has_one_data_exchange(spark):
+def test_scan_shuffles_its_rows_once_and_keeps_no_cache(spark, monkeypatch):
+    from fleetlens.plans import ordered_scan
+
+    plans = []
+    monkeypatch.setattr(ordered_scan, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or materialize(df, name))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
     s = flows.silver_all(spark, "/root/testdata/sf0.001")
-    plan = s._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan.lower()
-    assert "Window [" not in plan or "_scan_pid" in plan
+    assert s.count() > 0
+    assert [p.count("Exchange ") for p in plans] == [1] and "rangepartitioning" in plans[0]
+    # What is left works on the stored rows: only one row a partition moves.
+    for line in s._jdf.queryExecution().executedPlan().toString().splitlines():
+        assert "Exchange hashpartitioning(bus_id" not in line and "rangepartitioning" not in line
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_flags_can_drop_rows(spark):
+    rows = [(T0, "B1", "R1", 10.0, 106.0, 5.0, 1, 0), (T0, "B1", "R1", 10.0, 106.0, 5.0, 2, 0), (T0 + dt.timedelta(minutes=1), "B1", "R1", 11.0, 106.0, 5.0, 3, 0)]
+    ids = lambda **kw: sorted(r.event_id for r in build_silver(_rows(spark, rows), **kw).collect())
+    assert ids() == [1, 2, 3] and ids(drop_duplicates=True) == [1, 3] and ids(drop_outliers=True) == [1]
