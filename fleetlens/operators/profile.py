@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +71,43 @@ def schema_drift(frames: list[DataFrame]) -> DataFrame:
     return joined.select("column_name", "files_with", (F.col("n_files") - F.col("files_with")).alias("files_without")).filter(F.col("files_without") > 0)
 
 
+def file_health(spark, path: str) -> DataFrame:
+    """Per raw file its bytes, whether it is empty, its non-blank lines,
+    and what can't be parsed: lines of JSON-lines files (``bad_lines``), or the
+    whole file (``error``) for other JSON files and unreadable headers."""
+    from ..sources.raw import EXT_GLOB, _first_lines, _reader
+
+    out = []
+    for kind in EXT_GLOB:
+        try:
+            files = _reader(spark, "binaryFile", kind).load(path).select(F.col("path").alias("source_file"), F.col("length").alias("bytes"))
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" in str(exc):
+                continue
+            raise
+        zero, none = F.lit(0).cast("long"), F.lit(None).cast("string")
+        first = _first_lines(spark, path, kind) if kind != "parquet" else None
+        if first is None:
+            out.append(files.select("source_file", F.lit(kind).alias("file_type"), "bytes", zero.alias("lines"), zero.alias("bad_lines"), none.alias("error")))
+            continue
+        lines = _reader(spark, "text", kind).load(path).select(F.col("_metadata.file_path").alias("source_file"), "value").where(F.trim("value") != "")
+        parses = F.try_parse_json("value").isNotNull() if kind == "json" else F.lit(True)
+        counts = lines.groupBy("source_file").agg(F.count("*").alias("lines"), F.count_if(~parses).alias("bad"))
+        whole = F.trim(F.regexp_replace("line", "\ufeff", "")).startswith("[") | F.try_parse_json("line").isNull()
+        shapes = first.select("source_file", (whole if kind == "json" else F.lit(False)).alias("whole"))
+        rows = files.join(counts, "source_file", "left").join(shapes, "source_file", "left")
+        error = none
+        if kind == "json":
+            names = [r.source_file for r in shapes.where("whole").collect()]
+            if names:  # documents, one task each, as the reader takes them
+                docs = spark.read.option("wholetext", "true").text(names).select(F.col("_metadata.file_path").alias("source_file"), F.try_parse_json("value").isNull().alias("broken"))
+                rows = rows.join(docs, "source_file", "left")
+                error = F.when(F.col("broken"), F.lit("not JSON"))
+        bad = F.when(F.coalesce("whole", F.lit(False)), zero).otherwise(F.coalesce("bad", zero))
+        out.append(rows.select("source_file", F.lit(kind).alias("file_type"), "bytes", F.coalesce("lines", zero).alias("lines"), bad.alias("bad_lines"), error.alias("error")))
+    return reduce(lambda a, b: a.unionByName(b), out).withColumn("empty", (F.col("bytes") == 0) | ((F.col("lines") == 0) & (F.col("file_type") != "parquet")))
+
+
 def quality_summary(silver_all: DataFrame) -> DataFrame:
     """Rows per quality reason (D17), plus the row total."""
     q = quality_reasons(silver_all)

@@ -62,6 +62,11 @@ def peak_hours(route_hourly: DataFrame) -> DataFrame:
     )
 
 
+def hour_series(route_hourly: DataFrame) -> DataFrame:
+    """K9: the same totals in the order of the hours, for a chart."""
+    return peak_hours(route_hourly).orderBy("event_hour")
+
+
 def daily_totals(bus_daily: DataFrame) -> DataFrame:
     """Totals per local date, in date order."""
     return (

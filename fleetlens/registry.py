@@ -992,3 +992,209 @@ def q_stream_hourly(spark, sf_dir):
     q.awaitTermination()
     rows = spark.read.parquet(f"{root}/out").groupBy("window", "route_id").agg(F.max_by("pings", "batch_id").alias("pings"))
     return rows.select(ts_text("window.start", "window_start"), "route_id", "pings")
+
+
+# ------------------------------------------------ map arrays, point by point
+
+
+@register(
+    "trip_path_points",
+    O.with_map(
+        """SELECT m.trip_id, m.view_idx, round_even(m.latitude, 6) AS latitude, round_even(m.longitude, 6) AS longitude,
+  strftime(make_timestamp((m.t + 25200) * 1000000), '%Y-%m-%dT%H:%M:%S') AS ts, s.co2_kg_r4 AS segment_co2_kg, s.distance_km_r4 AS segment_distance_km
+FROM mthin m JOIN mtrips t ON m.trip_id = t.trip_id LEFT JOIN mseg s ON m.trip_id = s.trip_id AND m.view_idx + 1 = s.segment_idx"""
+    ),
+)
+def q_trip_path_points(spark, sf_dir):
+    """The four arrays of each path, one row per kept point."""
+    p = _map(spark, sf_dir)["trip_paths"]
+    z = p.select("trip_id", F.posexplode(F.arrays_zip("coordinates", "timestamps", "segment_co2_kg", "segment_distance_km")).alias("view_idx", "z"))
+    return z.select(
+        "trip_id",
+        F.col("view_idx").cast("long").alias("view_idx"),
+        F.col("z.coordinates")[0].alias("latitude"),
+        F.col("z.coordinates")[1].alias("longitude"),
+        F.col("z.timestamps").alias("ts"),
+        F.col("z.segment_co2_kg").alias("segment_co2_kg"),
+        F.col("z.segment_distance_km").alias("segment_distance_km"),
+    )
+
+
+@register(
+    "route_geometry_points",
+    O.with_map(
+        """SELECT g.route_id, m.view_idx, round_even(m.latitude, 6) AS latitude, round_even(m.longitude, 6) AS longitude
+FROM mgeo g JOIN mthin m ON g.trip_id = m.trip_id"""
+    ),
+)
+def q_route_geometry_points(spark, sf_dir):
+    """The coordinates of each route's path, one row per point."""
+    g = _map(spark, sf_dir)["route_geometries"].select("route_id", F.posexplode("coordinates").alias("view_idx", "c"))
+    return g.select("route_id", F.col("view_idx").cast("long").alias("view_idx"), F.col("c")[0].alias("latitude"), F.col("c")[1].alias("longitude"))
+
+
+MANY_POINTS = 6
+
+
+@register(
+    "thin_trips_short",
+    O.with_map(
+        f"""SELECT trip_id, point_idx, point_count_raw FROM mpts WHERE point_count_raw <= {MANY_POINTS}
+   OR list_contains(list_transform(range({MANY_POINTS}), lambda i: CAST(round_even(i * ((point_count_raw - 1) / CAST({MANY_POINTS - 1} AS DOUBLE)), 0) AS BIGINT)), point_idx)"""
+    ),
+)
+def q_thin_trips_short(spark, sf_dir):
+    """M3 with a limit of six points, which most trips exceed."""
+    from .operators.mapdata import thin_trips
+
+    points = _map(spark, sf_dir)["points"].drop("point_idx", "point_count_raw", "view_idx", "point_count_view")
+    return thin_trips(points, MANY_POINTS).select("trip_id", "point_idx", F.col("point_count_raw").cast("long").alias("point_count_raw"))
+
+
+# ------------------------------------------- dashboard tables, prose, sinks
+
+
+def _dashboard(spark, sf_dir):
+    ts, rh, bd = _gold(spark, sf_dir)
+    cat = flows.catalog(spark, sf_dir)
+    return reports.dashboard_tables(reports.top_buses(bd, ts, cat), reports.top_routes(rh, ts, cat), reports.trip_outliers(ts, cat))
+
+
+@register(
+    "dashboard_top_routes",
+    O.with_base(
+        """SELECT r.route_id, coalesce(c.route_name, '') AS route_name, coalesce(c.duration_min, '') AS duration_min,
+  round(coalesce(c.distance_km_ref, 0), 2) AS distance_km_ref, coalesce(c.stops_inbound_outbound, '') AS stops_inbound_outbound,
+  coalesce(c.connected_metro1, '') AS connected_metro1, round(coalesce(r.distance_km, 0), 2) AS distance_km,
+  round(coalesce(r.co2_kg_est, 0), 2) AS co2_kg_est, CAST(coalesce(u.unique_active_buses, 0) AS BIGINT) AS unique_active_buses
+FROM (SELECT * FROM route_tot ORDER BY co2_kg_est DESC NULLS LAST, route_id LIMIT 10) r
+LEFT JOIN rub u ON r.route_id = u.route_id LEFT JOIN catalog c ON r.route_id = c.route_id"""
+    ),
+)
+def q_dashboard_top_routes(spark, sf_dir):
+    """K9: the top-route table as the dashboard shows it."""
+    return _dashboard(spark, sf_dir)["top_routes_table"]
+
+
+@register(
+    "dashboard_trip_outliers",
+    O.with_base(
+        """SELECT o.trip_id, o.bus_id, o.route_id, coalesce(c.route_name, '') AS route_name, round(coalesce(o.distance_km, 0), 2) AS distance_km,
+  round(coalesce(o.co2_kg_est, 0), 2) AS co2_kg_est, round(coalesce(o.co2_kg_per_km, 0), 3) AS co2_kg_per_km
+FROM (SELECT *, co2_kg_est / CASE WHEN distance_km <> 0 THEN distance_km END AS co2_kg_per_km FROM ts
+      WHERE distance_km >= 1 ORDER BY co2_kg_per_km DESC NULLS LAST, trip_id, route_id LIMIT 15) o
+LEFT JOIN catalog c ON o.route_id = c.route_id"""
+    ),
+)
+def q_dashboard_trip_outliers(spark, sf_dir):
+    """K9: the trip-outlier table as the dashboard shows it."""
+    return _dashboard(spark, sf_dir)["trip_outliers_table"]
+
+
+def _sink_root(spark) -> str:
+    import uuid
+
+    from .session import scratch_path
+
+    return scratch_path(spark, f"sinks-{uuid.uuid4().hex[:12]}")
+
+
+@register("gold_trip_read_back", SQL["trip_summary"])
+def q_gold_trip_read_back(spark, sf_dir):
+    """Gold written and the trip table read back."""
+    from .sources.sinks import write_gold
+    from .sources.tables import read_table
+
+    root = _sink_root(spark)
+    write_gold(flows.gold_tables(spark, sf_dir), root)
+    t = read_table(spark, f"{root}/trip_summary")
+    return t.select("trip_id", "bus_id", "route_id", ts_text("trip_start"), ts_text("trip_end"), r6("distance_km"), r6("fuel_liter_est"), r6("co2_kg_est"))
+
+
+@register("gold_hourly_read_back", SQL["route_hourly_emissions"])
+def q_gold_hourly_read_back(spark, sf_dir):
+    """The hourly Gold table, partitioned by date, read back."""
+    from .sources.sinks import write_gold
+    from .sources.tables import read_table
+
+    root = _sink_root(spark)
+    write_gold({"route_hourly_emissions": flows.gold_tables(spark, sf_dir)["route_hourly_emissions"]}, root)
+    t = read_table(spark, f"{root}/route_hourly_emissions")
+    return t.select("route_id", d_text("event_date"), "event_hour", r6("distance_km"), r6("fuel_liter_est"), r6("co2_kg_est"), "active_buses")
+
+
+@register("reports_read_back", SQL["peak_hours"])
+def q_reports_read_back(spark, sf_dir):
+    """K6: a report written as CSV and read back."""
+    from .sources.sinks import write_reports
+
+    root = _sink_root(spark)
+    report = QUERIES["peak_hours"](spark, sf_dir)
+    write_reports({"peak_hours": report}, root)
+    return spark.read.schema(report.schema).option("header", True).csv(f"{root}/peak_hours")
+
+
+@register("kpis_read_back", SQL["kpi_summary"])
+def q_kpis_read_back(spark, sf_dir):
+    """K7: the key figures written as JSON and read back."""
+    from .sources.sinks import write_kpis
+
+    root = _sink_root(spark)
+    kpis = QUERIES["kpi_summary"](spark, sf_dir)
+    write_kpis(kpis, root)
+    return spark.read.schema(kpis.schema).json(f"{root}/kpi_summary")
+
+
+@register("map_read_back", SQL["route_emission_days"])
+def q_map_read_back(spark, sf_dir):
+    """K8: a map dataset written as JSON lines and read back."""
+    from .sources.sinks import write_map
+
+    root = _sink_root(spark)
+    days = QUERIES["route_emission_days"](spark, sf_dir)
+    write_map({"days": days}, root)
+    return spark.read.schema(days.schema).json(f"{root}/days")
+
+
+@register("event_cache_read_back", O.with_base("SELECT bus_id, t, route_raw AS route_id, latitude, longitude, speed_kmh FROM ping"))
+def q_event_cache_read_back(spark, sf_dir):
+    """Pings written as an event cache and found there, since
+    no Silver table lies where it is looked for first."""
+    from .operators.normalize import to_events
+    from .sources.sinks import write_event_cache
+    from .sources.tables import resolve_points
+
+    root = _sink_root(spark)
+    write_event_cache(to_events(flows.bronze(spark, sf_dir)), f"{root}/cache")
+    _, ev = resolve_points(spark, silver=f"{root}/no-silver", cache=f"{root}/cache")
+    return ev.select("bus_id", F.unix_timestamp("event_time").alias("t"), "route_id", "latitude", "longitude", "speed_kmh")
+
+
+@register("profile_read_back", SQL["profile_files"])
+def q_profile_read_back(spark, sf_dir):
+    """The profile written as JSON lines and read back."""
+    from .sources.sinks import write_profile
+
+    root = _sink_root(spark)
+    profile = QUERIES["profile_files"](spark, sf_dir)
+    write_profile(profile, f"{root}/profile")
+    return spark.read.schema(profile.schema).json(f"{root}/profile")
+
+
+@register(
+    "top_trips_of_route",
+    O.with_base("SELECT trip_id, bus_id, round(distance_km, 6) AS distance_km FROM ts WHERE route_id = '12' ORDER BY distance_km DESC NULLS LAST, co2_kg_est DESC NULLS LAST, trip_id LIMIT 20"),
+)
+def q_top_trips_of_route(spark, sf_dir):
+    """Q9: the longest trips of one route."""
+    ts, _, _ = _gold(spark, sf_dir)
+    return reports.top_trips(ts, flows.catalog(spark, sf_dir), k=20, route="12").select("trip_id", "bus_id", r6("distance_km"))
+
+
+@register(
+    "insight_text",
+    SQL["insight_values"].replace("SELECT r.route_id AS top_route_id", "SELECT printf('Route %s has the highest CO2: %.2f kg over %.2f km and %d buses.', top_route_id, top_route_co2_kg, top_route_distance_km, top_route_unique_buses) AS route_finding, printf('Peak hour %s:00 emits %.2f kg CO2.', peak_hour, peak_hour_co2_kg) AS hour_finding, printf('Highest day %s reaches %.2f kg CO2.', peak_day, peak_day_co2_kg) AS day_finding, printf('Bus %s emits the most: %.2f kg CO2.', top_bus_id, top_bus_co2_kg) AS bus_finding FROM (SELECT r.route_id AS top_route_id", 1) + ") x",
+)
+def q_insight_text(spark, sf_dir):
+    """The findings in words."""
+    return reports.insight_text(QUERIES["insight_values"](spark, sf_dir))

@@ -93,6 +93,21 @@ def test_event_cache_and_point_sources(spark):
         resolve_points(spark, nowhere, nowhere, nowhere)
 
 
+def test_file_health(spark):
+    from fleetlens.operators.profile import file_health
+
+    d = _files(a__json='{"a": 1}\n}\nnot json\n{"a": 2}\n', b__json="[{\"a\": 1},\n{\"a\": 2}]", c__json="[{", d__json="", e__csv="x,y\n1,2\n", f__csv="\n")
+    got = {r.source_file[-6:]: (r.lines, r.bad_lines, r.error, r.empty) for r in file_health(spark, d).collect()}
+    assert got == {
+        "a.json": (4, 2, None, False),
+        "b.json": (2, 0, None, False),
+        "c.json": (1, 0, "not JSON", False),
+        "d.json": (0, 0, None, True),
+        "/e.csv": (2, 0, None, False),
+        "/f.csv": (0, 0, None, True),
+    }
+
+
 WIRE = "key string, value string, partition int, offset long"
 
 
