@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,14 +76,19 @@ def file_health(spark, path: str) -> DataFrame:
     whole file (``error``) for other JSON files and unreadable headers."""
     from ..sources.raw import EXT_GLOB, _first_lines, _reader
 
+    # Spark's readers pass over files of no bytes, so the names and lengths
+    # come from the listing, as any read makes one on the driver.
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed, found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True), []
+    while listed.hasNext():
+        status = listed.next()
+        found.append((status.getPath().toString(), status.getLen()))
     out = []
     for kind in EXT_GLOB:
-        try:
-            files = _reader(spark, "binaryFile", kind).load(path).select(F.col("path").alias("source_file"), F.col("length").alias("bytes"))
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" in str(exc):
-                continue
-            raise
+        own = [f for f in found if f[0].lower().endswith(f".{kind}")]
+        if not own:
+            continue
+        files = spark.createDataFrame(own, "source_file string, bytes long")
         zero, none = F.lit(0).cast("long"), F.lit(None).cast("string")
         first = _first_lines(spark, path, kind) if kind != "parquet" else None
         if first is None:
@@ -100,7 +104,7 @@ def file_health(spark, path: str) -> DataFrame:
         if kind == "json":
             names = [r.source_file for r in shapes.where("whole").collect()]
             if names:  # documents, one task each, as the reader takes them
-                docs = spark.read.option("wholetext", "true").text(names).select(F.col("_metadata.file_path").alias("source_file"), F.try_parse_json("value").isNull().alias("broken"))
+                docs = spark.read.text(names, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), F.try_parse_json("value").isNull().alias("broken"))
                 rows = rows.join(docs, "source_file", "left")
                 error = F.when(F.col("broken"), F.lit("not JSON"))
         bad = F.when(F.coalesce("whole", F.lit(False)), zero).otherwise(F.coalesce("bad", zero))
