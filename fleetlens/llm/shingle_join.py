@@ -16,13 +16,16 @@ A pair needs ``min(m, m')`` shared prefix shingles before it is verified.
 * Candidates come in two steps. Stars: each shingle's sets against the
   smallest of them. All the rest: pairs of sets of *different* components that
   share a prefix shingle. A large group of near copies is joined by its stars
-  and never paired with itself; no link between components is missed.
+  and hardly paired with itself; no link between components is missed. A
+  shingle of many sets is worked on in blocks of bounded size.
 * Verification first bounds the overlap by bitmaps (never too low), then
   intersects the sets.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -34,31 +37,44 @@ from .components import components
 from .shared import one_text, stored
 from .words import U64, each_text, mix, shingle_set, signed, unsigned
 
-#: Cells of the count table: 2**18 counts are 2 MB wherever they are sent.
-SKETCH_BITS = 18
+#: Cells of the count table: 2**22 counts are 16 MB wherever they are sent.
+SKETCH_BITS = 22
 SKETCH_PARTS = 64
 #: The longest prefix asks for this many shared shingles.
 MOST_MATCHES = 8
 #: A prefix shingle in more sets than this, by the table, is salted.
 FREQUENT = 4096
 SALTS = 64
+#: Sets that share a prefix shingle are paired as rows up to so many sets; a
+#: longer list is compared in blocks of so many.
+LIST_ROWS, BLOCK_ROWS = 128, 1024
 
 
 # ------------------------------------------------------------ shingle order
 
 
+def _pack(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """Counts per part of the table, in the narrowest type and compressed."""
+    narrow = [x.astype(np.min_scalar_type(int(x.max()))) for x in parts.values()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(parts), pa.int32()), pa.array([x.dtype.itemsize for x in narrow], pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in narrow], pa.binary())],
+        names=["part", "width", "counts"],
+    )
+
+
+def _unpack(width: int, counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(counts), f"<u{width}")
+
+
 def _count_shingles(k):
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
             cells = [shingle_set(h, k) >> U64(64 - SKETCH_BITS) for _, h, _, _ in each_text(batch.column(0), lower=True)]
             if cells:
-                total += np.bincount(np.concatenate(cells).astype(np.int64), minlength=1 << SKETCH_BITS)
-        rows = [(i, x.astype(np.int32 if total.max(initial=0) < 1 << 31 else np.int64)) for i, x in enumerate(np.split(total, SKETCH_PARTS)) if x.any()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in rows], pa.int32()), pa.array([x.dtype.itemsize for _, x in rows], pa.int32()), pa.array([x.tobytes() for _, x in rows], pa.binary())],
-            names=["part", "width", "counts"],
-        )
+                at, n = np.unique(np.concatenate(cells).astype(np.int64), return_counts=True)
+                total[at] += n
+        yield _pack({i: x for i, x in enumerate(np.split(total, SKETCH_PARTS)) if x.any()})
 
     return run
 
@@ -67,21 +83,17 @@ def _add_counts(batches):
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, width, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            x = np.frombuffer(counts, np.int32 if width == 4 else np.int64)
-            total[part] = total.get(part, 0) + x.astype(np.int64)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()), pa.array([8] * len(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
-        names=["part", "width", "counts"],
-    )
+            total[part] = total.get(part, 0) + _unpack(width, counts).astype(np.int64)
+    yield _pack(total)
 
 
 def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
     """The table of hashed shingle counts over all texts (fixed size)."""
     kind = "part int, width int, counts binary"
     parts = docs.select("text").mapInArrow(_count_shingles(k), kind).repartition(SKETCH_PARTS, "part").mapInArrow(_add_counts, kind)
-    out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
+    out = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint32)
     for row in parts.collect():
-        out[row.part] = np.frombuffer(row.counts, np.int64)
+        out[row.part] = np.minimum(_unpack(row.width, row.counts).astype(np.uint64), (1 << 32) - 1)
     return out.reshape(-1)
 
 
@@ -113,7 +125,7 @@ def _prefixes(k, num, den, counts):
             cols: dict[str, list] = {c: [] for c in ("n", "fp1", "fp2", "matches", "frequent_from", "prefix")}
             for _, h, _, _ in each_text(batch.column(1), lower=True):
                 s = shingle_set(h, k)
-                seen = table[(s >> U64(64 - SKETCH_BITS)).astype(np.int64)]
+                seen = table[(s >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
                 order = np.argsort(seen, kind="stable")
                 seen = seen[order]
                 m, length = choose_prefix(seen, load, num, den) if len(s) else (0, 0)
@@ -225,20 +237,57 @@ def _star_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
     )
 
 
-def _cross_pairs(postings: DataFrame, comps: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of sets of different components that share prefix shingles. The
-    components that meet in a shingle are paired first, then their sets, so
-    that two sets of one component never meet."""
+def _block_pairs(num, den):
+    """Of two blocks of sets that share a prefix shingle, the pairs of
+    different components that their bitmaps don't rule out."""
+
+    def run(pdf):
+        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        pdf = pdf.assign(words=pdf["bits"].str.len() // 8).sort_values("words", kind="stable")
+        out = []
+        for wx, x in pdf[pdf["block"] == i].groupby("words"):
+            for wy, y in pdf[pdf["block"] == j].groupby("words"):
+                if max(wx, wy) > 2 * min(wx, wy):  # sizes too far apart
+                    continue
+                bx, by = (_folded(z["bits"], min(wx, wy)) for z in (x, y))
+                nx, ny, cx, cy, dx, dy = (z[c].to_numpy() for c in ("n", "comp", "doc") for z in (x, y))
+                for lo in range(0, len(x), 64):
+                    at = slice(lo, lo + 64)
+                    only_x = np.bitwise_count(bx[at, None, :] & ~by).sum(-1, dtype=np.int64)
+                    only_y = np.bitwise_count(by & ~bx[at, None, :]).sum(-1, dtype=np.int64)
+                    size = nx[at, None] + ny
+                    most = np.minimum(nx[at, None] - only_x, ny - only_y)
+                    a, b = np.nonzero((most * (num + den) >= num * size) & (cx[at, None] != cy) & (dx[at, None] != dy))
+                    out.append(pd.DataFrame({"a": dx[at][a], "b": dy[b], "na": nx[at][a], "nb": ny[b]}))
+        found = pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "na": [], "nb": []}).astype("int64")
+        return found[found["a"] < found["b"]] if i == j else found
+
+    return run
+
+
+def _folded(bits: pd.Series, words: int) -> np.ndarray:
+    x = np.stack([np.frombuffer(b, U64) for b in bits])
+    return x if x.shape[1] == words else x[:, :words] | x[:, words:]
+
+
+def _cross_pairs(postings: DataFrame, comps: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of sets of different components that share prefix shingles.
+    Short lists are paired as rows. Long ones are compared in blocks inside
+    the tasks, by bitmaps, and only pairs that may link become rows."""
     named = postings.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
     named = stored(named, "postings")
-    mixed = stored(named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), "mixed")
+    mixed = stored(named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("sets")).where("lo < hi").select("token", "sets"), "mixed")
     named = stored(named.join(mixed, "token"), "postings")
-    meets = stored(named.select("token", "comp").distinct(), "meets")
-    ab = meets.withColumnRenamed("comp", "ca").join(meets.withColumnRenamed("comp", "cb"), "token").where("ca < cb")
-    side = lambda s: named.select("token", F.col("comp").alias(f"c{s}"), F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("matches").alias(f"m{s}"))
-    both = ab.join(side("a"), ["token", "ca"]).join(side("b"), ["token", "cb"])
-    # Either order of the two components may have the smaller set id first.
-    return _enough(both, num, den)
+    short = named.where(F.col("sets") <= LIST_ROWS)
+    side = lambda s: short.select("token", F.col("comp").alias(f"c{s}"), F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("matches").alias(f"m{s}"))
+    fits = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
+    pairs = _enough(side("a").join(side("b"), "token").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits), num, den)
+    blocks = F.ceil(F.col("sets") / BLOCK_ROWS).cast("int")
+    long = named.where(F.col("sets") > LIST_ROWS).join(sets.select("doc", "bits"), "doc").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    # A block meets itself and every other one: once for each pair (i <= j).
+    long = long.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    long = long.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "comp", "n", "bits")
+    return pairs.unionByName(long.groupBy("token", "i", "j").applyInPandas(_block_pairs(num, den), "a long, b long, na long, nb long").distinct())
 
 
 def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -262,20 +311,22 @@ def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     usable = rows.where("n > 0 and doc_id is not null")
     # One node for each distinct set: the smallest id that has it.
     nodes = stored(usable.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("doc")), "nodes")
-    own = nodes.select("fp1", "fp2", F.col("doc").alias("doc_id"))
-    firsts = usable.join(own, ["doc_id", "fp1", "fp2"], "left_semi")
-    spread = (
-        firsts.select(F.col("doc_id").alias("doc"), "n", "matches", "frequent_from", F.posexplode("prefix").alias("at", "token"))
-        .withColumn("frequent", F.col("at") >= F.col("frequent_from"))
-        .withColumn("salt", F.when(F.col("frequent"), F.pmod(F.xxhash64("doc"), F.lit(SALTS))).otherwise(F.lit(0)))
-    )
+    copies = stored(usable.join(nodes, ["fp1", "fp2", "n"]).where("doc_id != doc").select("doc_id", "fp1", "fp2"), "copies")
+    maybe, rest = bloom.split(usable, copies)
+    firsts = rest.unionByName(maybe.join(copies, ["doc_id", "fp1", "fp2"], "left_anti"))
+    spread = firsts.select(F.col("doc_id").alias("doc"), "n", "matches", "frequent_from", F.posexplode("prefix").alias("at", "token"))
+    # A salt below zero marks a shingle that is not frequent.
+    salt = F.when(F.col("at") >= F.col("frequent_from"), F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
+    spread = spread.select("token", salt.alias("salt"), "doc", "n", "matches")
     met = F.count("*").over(Window.partitionBy("token", "salt"))
-    postings = stored(spread.withColumn("met", met).where("met > 1 or frequent").select("token", "doc", "n", "matches"), "postings").distinct()
+    postings = stored(spread.withColumn("met", met).where("met > 1 or salt >= 0").select("token", "doc", "n", "matches").distinct(), "postings")
     # Sets that share too few prefix shingles with all others are out.
-    live = postings.groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("met")).where("met >= least(2, n)").select(F.col("doc").alias("doc_id"))
-    sets = stored(docs.join(stored(live, "live"), "doc_id", "left_semi").mapInArrow(_sets(k), "doc long, bits binary, tokens binary"), "sets")
+    live = stored(postings.groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("met")).where("met >= least(2, n)").select("doc"), "live")
+    postings = stored(postings.join(live, "doc"), "postings")
+    texts = bloom.split(docs, live.select(F.col("doc").alias("doc_id")))[0].join(live.select(F.col("doc").alias("doc_id")), "doc_id")
+    sets = stored(texts.mapInArrow(_sets(k), "doc long, bits binary, tokens binary"), "sets")
     links = stored(verify(_star_pairs(postings, num, den), sets, num, den), "stars")
-    links = links.unionByName(verify(_cross_pairs(postings, components(links), num, den), sets, num, den))
+    links = links.unionByName(verify(_cross_pairs(postings, components(links), sets, num, den), sets, num, den))
     # Rows that share an id tie their sets together.
     same = usable.groupBy("doc_id", "fp1", "fp2", "n").agg(F.lit(1)).join(nodes, ["fp1", "fp2", "n"]).where("doc != doc_id").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     comps = stored(components(links.unionByName(same)), "components")
