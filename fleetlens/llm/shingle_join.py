@@ -40,8 +40,8 @@ from .words import U64, each_text, mix, shingle_set, signed, unsigned
 #: Cells of the count table: 2**22 counts are 16 MB wherever they are sent.
 SKETCH_BITS = 22
 SKETCH_PARTS = 64
-#: The longest prefix asks for this many shared shingles.
-MOST_MATCHES = 8
+#: Prefixes ask for four to eight shared shingles (sets of fewer: for all).
+LEAST_MATCHES, MOST_MATCHES = 4, 8
 #: A prefix shingle in more sets than this, by the table, is salted.
 FREQUENT = 4096
 SALTS = 64
@@ -111,7 +111,7 @@ def choose_prefix(counts: np.ndarray, load: float, num: int, den: int) -> tuple[
     n = len(counts)
     least = _at_least(n, num, den)
     others = np.maximum(counts - load - 1, 0).cumsum()
-    asked = np.arange(min(2, least), min(MOST_MATCHES, least) + 1)
+    asked = np.arange(min(LEAST_MATCHES, least), min(MOST_MATCHES, least) + 1)
     length = n - least + asked
     best = int(np.argmin(length + others[length - 1] / asked * n))
     return int(asked[best]), int(length[best])
@@ -208,6 +208,9 @@ def _hold(exact, num, den):
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b, na, nb) whose sets reach the similarity, as links."""
     for exact, column in ((False, "bits"), (True, "tokens")):
+        if exact:  # only the sets of pairs that are left are shuffled
+            ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+            sets = bloom.split(sets.withColumnRenamed("doc", "doc_id"), stored(ids, "ids"))[0].withColumnRenamed("doc_id", "doc")
         a = sets.select(F.col("doc").alias("a"), F.col(column).alias("xa"))
         b = sets.select(F.col("doc").alias("b"), F.col(column).alias("xb"))
         pairs = stored(pairs.join(a, "a").join(b, "b").mapInArrow(_hold(exact, num, den), "a long, b long, na long, nb long"), "pairs")
@@ -321,7 +324,7 @@ def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = F.count("*").over(Window.partitionBy("token", "salt"))
     postings = stored(spread.withColumn("met", met).where("met > 1 or salt >= 0").select("token", "doc", "n", "matches").distinct(), "postings")
     # Sets that share too few prefix shingles with all others are out.
-    live = stored(postings.groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("met")).where("met >= least(2, n)").select("doc"), "live")
+    live = stored(postings.groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("met")).where(F.col("met") >= F.least(F.lit(LEAST_MATCHES), "n")).select("doc"), "live")
     postings = stored(postings.join(live, "doc"), "postings")
     texts = bloom.split(docs, live.select(F.col("doc").alias("doc_id")))[0].join(live.select(F.col("doc").alias("doc_id")), "doc_id")
     sets = stored(texts.mapInArrow(_sets(k), "doc long, bits binary, tokens binary"), "sets")
