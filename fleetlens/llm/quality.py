@@ -6,8 +6,8 @@ found over all its rows, and a text is rejected when its Mahalanobis distance
 from that estimate is too large.
 
 The estimate comes from concentration steps: take the half of the rows that is
-nearest by the present estimate, estimate anew from it, repeat until nothing
-changes. Here one step is one aggregation: rows are counted and summed per
+nearest by the present estimate, estimate anew from it, repeat until the
+determinant stops falling. Here one step is one aggregation: rows are counted and summed per
 group and per cell of (logarithmic) distance, and the cells that make up the
 nearest half are added up. A group's rows never meet, only its cells do (at
 most ``CELLS`` per group); a source with a third of all rows is combined
@@ -18,6 +18,7 @@ does not depend on how rows are partitioned or which task ran twice.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -42,12 +43,16 @@ MOST_DISTANCE = 8.0
 #: Cells of log2 squared distance: 16 an octave over 2**-20 to 2**40.
 PER_OCTAVE, LOW_OCTAVE, HIGH_OCTAVE = 16, -20, 40
 CELLS = PER_OCTAVE * (HIGH_OCTAVE - LOW_OCTAVE)
-#: Concentration steps end by themselves; this bound is a safeguard.
-MOST_STEPS = 50
+#: Both starts take so many concentration steps; the one with the smaller
+#: determinant goes on until a step lowers its logarithm by less than this.
+#: Determinants never rise, so that ends; the bound is a safeguard.
+TRIAL_STEPS, TOLERANCE, MOST_STEPS = 2, 1e-3, 40
+#: Groups per task where only a row or a list of cells per group is left.
+GROUPS_PER_TASK = 64
 
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 X = [f"x{i}" for i in range(DIMS)]
-STATE = "key string, start int, n long, used long, sums array<double>, mean array<double>, inverse array<double>, logdet double, same boolean"
+STATE = "key string, start int, n long, used long, sums array<double>, mean array<double>, inverse array<double>, logdet double, done boolean"
 
 
 # -------------------------------------------------------- statistics of texts
@@ -159,13 +164,16 @@ def _sums() -> list[Column]:
 N_SUMS = 1 + DIMS + len(PAIRS)
 
 
-def _cells(rows: DataFrame, state: DataFrame) -> DataFrame:
-    """Per key and start, the sums of each distance cell as a bounded list."""
+def _step(rows: DataFrame, state: DataFrame, tasks: int) -> DataFrame:
+    """One concentration step for the keys and starts of ``state``: per key and
+    start, the sums of each distance cell as a bounded list, then the new
+    estimate."""
     octave = F.log2(F.greatest(_distance_column(), F.lit(2.0**LOW_OCTAVE)))
     cell = F.least(F.floor((octave - LOW_OCTAVE) * PER_OCTAVE), F.lit(CELLS - 1)).cast("int")
-    near = rows.join(state.select("key", "start", "mean", "inverse", F.col("sums").alias("before")), "key").withColumn("cell", cell)
-    by_cell = near.groupBy("key", "start", "cell").agg(*_sums(), F.first("before").alias("before"))
-    return by_cell.groupBy("key", "start").agg(F.collect_list(F.struct("cell", F.array(*(F.col(f"s{i}") for i in range(N_SUMS))).alias("s"))).alias("cells"), F.first("before").alias("before"))
+    near = rows.join(state.select("key", "start", "mean", "inverse", F.col("logdet").alias("before")), "key").withColumn("cell", cell)
+    by_cell = near.groupBy("key", "start", "cell").agg(*_sums(), F.max("before").alias("before"))
+    listed = by_cell.groupBy("key", "start").agg(F.collect_list(F.struct("cell", F.array(*(F.col(f"s{i}") for i in range(N_SUMS))).alias("s"))).alias("cells"), F.max("before").alias("before"))
+    return stored(listed.coalesce(tasks).mapInPandas(_concentrate, STATE), "state")
 
 
 def nearest_half(cells: np.ndarray, sums: np.ndarray) -> np.ndarray:
@@ -185,8 +193,8 @@ def _concentrate(batches):
             sums = np.array([list(c["s"]) for c in cells], np.float64)
             own = nearest_half(np.array([c["cell"] for c in cells]), sums)
             n = int(sums[:, 0].sum())
-            same = bool(len(before) == len(own) and (np.asarray(before) == own).all())
-            out.append({"key": key, "start": start, "n": n, "used": int(own[0]), "sums": own.tolist(), **estimate(*moments(own)), "same": same})
+            new = estimate(*moments(own))
+            out.append({"key": key, "start": start, "n": n, "used": int(own[0]), "sums": own.tolist(), **new, "done": before - new["logdet"] < TOLERANCE})
         yield pd.DataFrame(out, columns=[c.split()[0] for c in STATE.split(", ")])
 
 
@@ -214,7 +222,7 @@ def _starts(batches):
             n = int(sums[0])
             dims, cells, counts = (np.array([h[i] for h in hist], np.int64) for i in ("d", "c", "n"))
             both = [median_start(dims, cells, counts), estimate(*moments(np.asarray(sums, np.float64)))]
-            out += [{"key": key, "start": i, "n": n, "used": n, "sums": [], **e, "same": False} for i, e in enumerate(both)]
+            out += [{"key": key, "start": i, "n": n, "used": n, "sums": [], **e, "logdet": math.inf, "done": False} for i, e in enumerate(both)]
         yield pd.DataFrame(out, columns=[c.split()[0] for c in STATE.split(", ")])
 
 
@@ -224,7 +232,7 @@ def _final(share_of):
             out = []
             for key, n, sums in zip(pdf["key"], pdf["n"], pdf["sums"]):
                 own = np.asarray(sums, np.float64)
-                out.append({"key": key, "start": 0, "n": int(n), "used": int(own[0]), "sums": own.tolist(), **estimate(*moments(own), scale=consistency(share_of(own[0] / n))), "same": True})
+                out.append({"key": key, "start": 0, "n": int(n), "used": int(own[0]), "sums": own.tolist(), **estimate(*moments(own), scale=consistency(share_of(own[0] / n))), "done": True})
             yield pd.DataFrame(out, columns=[c.split()[0] for c in STATE.split(", ")])
 
     return run
@@ -246,17 +254,27 @@ def fit(rows: DataFrame) -> DataFrame:
     hist = rows.select("key", F.posexplode(F.array(*X)).alias("d", "x")).groupBy("key", "d", F.floor(F.col("x") / 64).cast("long").alias("c")).agg(F.count("*").alias("n"))
     hist = hist.groupBy("key").agg(F.collect_list(F.struct("d", "c", "n")).alias("hist"))
     sums = rows.groupBy("key").agg(*_sums()).select("key", F.array(*(F.col(f"s{i}") for i in range(N_SUMS))).alias("sums"))
-    state = stored(hist.join(sums, "key").mapInPandas(_starts, STATE), "state")
+    tasks = -(-2 * groups.count() // GROUPS_PER_TASK) or 1
+    state = stored(hist.join(sums, "key").coalesce(tasks).mapInPandas(_starts, STATE), "state")
+    for _ in range(TRIAL_STEPS):
+        state = _step(rows, state, tasks)
+    best = F.min_by(F.struct(*(F.col(c) for c in state.columns if c != "key")), F.struct("logdet", "start"))
+    state = stored(state.groupBy("key").agg(best.alias("b")).select("key", "b.*").coalesce(tasks), "state")
+    ended = [state.where("done")]
     for _ in range(MOST_STEPS):
-        state = stored(_cells(rows, state).mapInPandas(_concentrate, STATE), "state")
-        if state.agg(F.min("same")).first()[0] in (None, True):
+        state = state.where("not done")
+        if state.isEmpty():
             break
-    best = state.groupBy("key").agg(F.min_by(F.struct("n", "sums"), F.struct("logdet", "start")).alias("b")).select("key", "b.n", "b.sums")
-    raw = stored(best.mapInPandas(_final(lambda share: share), STATE), "state")
+        state = _step(rows, state, tasks)
+        ended.append(state.where("done"))
+    else:
+        ended.append(state.where("not done"))
+    best = reduce(DataFrame.unionByName, ended).select("key", "n", "sums")
+    raw = stored(best.coalesce(tasks).mapInPandas(_final(lambda share: share), STATE), "state")
     limit = chi2_quantile(REWEIGHT, DIMS)
     near = rows.join(raw.select("key", "n", "mean", "inverse"), "key").where(_distance_column() <= limit)
     again = near.groupBy("key").agg(F.first("n").alias("n"), *_sums()).select("key", "n", F.array(*(F.col(f"s{i}").cast("double") for i in range(N_SUMS))).alias("sums"))
-    return stored(again.mapInPandas(_final(lambda share: REWEIGHT), STATE), "estimates")
+    return stored(again.coalesce(tasks).mapInPandas(_final(lambda share: REWEIGHT), STATE), "estimates")
 
 
 def judge(rows: DataFrame, estimates: DataFrame) -> DataFrame:

@@ -45,21 +45,23 @@ def brute(rows):
         v = x[[h and (o == key or (len(key) == 1 and o[0] == key[0])) for o, h in zip(own, has)]]
         best = None
         hist = [(d, c, m) for d in range(Q.DIMS) for c, m in zip(*np.unique(v[:, d] // 64, return_counts=True))]
+
+        def step(state):
+            d2 = Q.squared_distance(v.T, state["mean"], state["inverse"])
+            cell = np.minimum(np.floor((np.log2(np.maximum(d2, 2.0**Q.LOW_OCTAVE)) - Q.LOW_OCTAVE) * Q.PER_OCTAVE), Q.CELLS - 1)
+            limit = np.sort(cell)[(len(v) + Q.DIMS + 1) // 2 - 1]
+            s = sums(v[cell <= limit])
+            return Q.estimate(*Q.moments(s)), s
+
         for start in (Q.median_start(*(np.array([h[i] for h in hist], np.int64) for i in range(3))), Q.estimate(*Q.moments(sums(v)))):
-            state, before = start, None
-            for _ in range(Q.MOST_STEPS):
-                d2 = Q.squared_distance(v.T, state["mean"], state["inverse"])
-                cell = np.minimum(np.floor((np.log2(np.maximum(d2, 2.0**Q.LOW_OCTAVE)) - Q.LOW_OCTAVE) * Q.PER_OCTAVE), Q.CELLS - 1)
-                h = (len(v) + Q.DIMS + 1) // 2
-                limit = np.sort(cell)[h - 1]
-                s = sums(v[cell <= limit])
-                state = Q.estimate(*Q.moments(s))
-                if before is not None and (s == before).all():
-                    break
-                before = s
-            if best is None or state["logdet"] < best[0]["logdet"]:
-                best = state, s
-        s = best[1]
+            first, _ = step(start)
+            second, s = step(first)
+            if best is None or second["logdet"] < best[0]["logdet"]:
+                best = second, s, first["logdet"] - second["logdet"] < Q.TOLERANCE
+        state, s, done = best
+        while not done:
+            new, s = step(state)
+            done, state = state["logdet"] - new["logdet"] < Q.TOLERANCE, new
         raw = Q.estimate(*Q.moments(s), scale=Q.consistency(s[0] / len(v)))
         near = v[Q.squared_distance(v.T, raw["mean"], raw["inverse"]) <= Q.chi2_quantile(Q.REWEIGHT, Q.DIMS)]
         final = Q.estimate(*Q.moments(sums(near)), scale=Q.consistency(Q.REWEIGHT))
