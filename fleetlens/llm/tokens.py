@@ -1,8 +1,8 @@
 """Token ids of many texts by a public byte-level BPE vocabulary.
 
-A token of this vocabulary's pattern never holds white space behind something
-else, so a text can be cut before every white space that follows another
-character: the pieces' ids, joined, are the text's ids. Pieces repeat a lot;
+No token of this vocabulary's pattern has white space behind something else, or
+a mark behind a letter, so a text can be cut at such places: the pieces' ids,
+joined, are the text's ids. Pieces repeat a lot;
 each distinct one is encoded once per worker by the ``tokenizers`` library and
 looked up by its hash afterwards.
 """
@@ -10,6 +10,7 @@ looked up by its hash afterwards.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,24 +19,35 @@ from .words import BYTE_BACK, BYTE_STEP, BYTE_VALUES, SPACE, U64, _power, flat_b
 
 #: Bytes of text cut and looked up at a time, and pieces kept by a worker.
 CHUNK_BYTES = 1 << 20
-MOST_PIECES = 400_000
+MOST_PIECES = 1_000_000
+
+
+LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+MARK[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
 def piece_starts(buf: np.ndarray) -> np.ndarray:
-    """Where the bytes of a text may be cut, 0 first. Only ASCII white space
-    that follows a character which can't be white space counts: after a byte
-    that might end a Unicode space the text is left whole."""
+    """Where the bytes of a text may be cut, 0 first: before ASCII white space
+    that follows a character which can't be white space (after a byte that
+    might end a Unicode space the text is left whole), after a lone one that is
+    no blank, and before an ASCII mark, other than ', that follows an ASCII
+    letter."""
     here = SPACE[buf]
-    cut = here.copy()
-    cut[1:] &= ~here[:-1]
-    at = np.flatnonzero(cut)
-    at = at[at > 0]
-    if len(at):
-        one, two, three = buf[at - 1], buf[np.maximum(at - 2, 0)], buf[np.maximum(at - 3, 0)]
-        control = (one >= 0x1C) & (one <= 0x1F)
-        unsure = control | ((one >= 0x80) & ((two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3))))
-        at = at[~unsure]
-    return np.concatenate([[0], at])
+    at = np.flatnonzero(here[1:] & ~here[:-1]) + 1
+    one, two, three = buf[at - 1], buf[np.maximum(at - 2, 0)], buf[np.maximum(at - 3, 0)]
+    control = (one >= 0x1C) & (one <= 0x1F)
+    unsure = control | ((one >= 0x80) & ((two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3))))
+    at = at[~unsure]
+    # A lone line end or tab is a token of its own.
+    lone = at[at + 1 < len(buf)]
+    after = buf[np.minimum(lone + 1, len(buf) - 1)]
+    sure = (after < 0x80) | ((after >= 0xC3) & (after < 0xE1))  # no Unicode space begins so
+    lone = lone[(buf[lone] != 0x20) & ~SPACE[after] & sure] + 1
+    start = np.zeros(len(buf), bool)
+    start[:1] = start[at] = start[lone] = True
+    start[1:] |= MARK[buf[1:]] & LETTER[buf[:-1]]
+    return np.flatnonzero(start)
 
 
 class Encoder:
@@ -52,16 +64,17 @@ class Encoder:
     def clear(self) -> None:
         self.places: dict[int, int] = {}
         self.ids = np.empty(1 << 16, np.uint32)
-        self.ends = [0]
+        self.ends = np.zeros(1, np.int64)
 
     def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
-        for h, e in zip(hashes, self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)):
-            at = self.ends[-1]
-            while at + len(e.ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            self.ids[at : at + len(e.ids)] = e.ids
-            self.places[h] = len(self.ends) - 1
-            self.ends.append(at + len(e.ids))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
+        n = len(self.ends)
+        self.places.update(zip(hashes, range(n - 1, n - 1 + len(found))))
+        ends = self.ends[-1] + np.cumsum([len(x) for x in found])
+        while ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.ends[-1] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32)
+        self.ends = np.concatenate([self.ends, ends])
 
     def _chunk(self, buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of the pieces that begin at ``starts``, and how many each has."""
@@ -77,8 +90,7 @@ class Encoder:
         if new:
             self._learn([keys[i] for i in new], [buf[starts[first[i]] : ends[first[i]]].tobytes() for i in new])
         place = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))[which]
-        bounds = np.asarray(self.ends)
-        lo, n = bounds[place], bounds[place + 1] - bounds[place]
+        lo, n = self.ends[place], self.ends[place + 1] - self.ends[place]
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
         return self.ids[at], n
 
@@ -96,8 +108,10 @@ class Encoder:
             else:
                 own = buf[off[i] : off[j]]
                 lo = off[i:j] - off[i]
-                full = lo[np.diff(np.append(lo, len(own))) > 0]
-                starts = np.union1d(piece_starts(own), full) if len(own) else np.empty(0, np.int64)
+                starts = piece_starts(own)
+                # A text's first piece begins with it, whatever stands before.
+                starts = np.sort(np.concatenate([starts, lo[lo < len(own)]]))
+                starts = starts[np.append(True, starts[1:] != starts[:-1])] if len(own) else starts
                 ids, count = self._chunk(own, starts) if len(own) else (np.empty(0, np.uint32), np.empty(0, np.int64))
                 total = np.concatenate([[0], np.cumsum(count)])
                 cut = total[np.searchsorted(starts, np.append(lo, len(own)))]
