@@ -9,16 +9,18 @@ looked up by its hash afterwards.
 
 from __future__ import annotations
 
+import gc
 import os
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from .words import BYTE_BACK, BYTE_STEP, BYTE_VALUES, SPACE, U64, _power, flat_bytes, mix
 
 #: Bytes of text cut and looked up at a time, and pieces kept by a worker.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = (1 << 22) - 1
 MOST_PIECES = 1_000_000
 
 
@@ -67,7 +69,11 @@ class Encoder:
         self.ends = np.zeros(1, np.int64)
 
     def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
+        gc.disable()  # or it walks the new lists again and again
+        try:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
+        finally:
+            gc.enable()
         n = len(self.ends)
         self.places.update(zip(hashes, range(n - 1, n - 1 + len(found))))
         ends = self.ends[-1] + np.cumsum([len(x) for x in found])
@@ -82,7 +88,9 @@ class Encoder:
         total = np.zeros(len(buf) + 1, U64)
         np.cumsum(BYTE_VALUES[buf] * _power(BYTE_STEP, len(buf)), out=total[1:])
         h = mix((total[ends] - total[starts]) * _power(BYTE_BACK, len(buf) + 1)[starts])
-        distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
+        which, distinct = pd.factorize(h)
+        first = np.empty(len(distinct), np.int64)
+        first[which[::-1]] = np.arange(len(h) - 1, -1, -1)
         if len(self.places) + len(distinct) > MOST_PIECES:
             self.clear()
         keys = distinct.tolist()

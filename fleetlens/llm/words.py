@@ -22,6 +22,8 @@ U64 = np.uint64
 BYTE_STEP, WORD_STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 BYTE_BACK, WORD_BACK = (pow(x, -1, 1 << 64) for x in (BYTE_STEP, WORD_STEP))
 CHUNK_BYTES = 1 << 18
+#: Powers kept for each multiplier (32 MB).
+MOST_POWERS = 1 << 22
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -39,7 +41,7 @@ def _power(base: int, n: int) -> np.ndarray:
         have = np.ones(1, U64)
     while len(have) < n:
         have = np.concatenate([have, have * U64(pow(base, len(have), 1 << 64))])
-    if len(have) <= 4 * CHUNK_BYTES:
+    if len(have) <= MOST_POWERS:
         _powers[base] = have
     return have[:n]
 
