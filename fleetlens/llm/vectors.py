@@ -2,17 +2,22 @@
 
 Vectors are cut to unit length and put into coarse inverted lists; what is
 left over the list's centre is coded per subspace by 256 centres. A vector
-probes the nearest lists, distances to the coded vectors come from one table
-per query and list, and what may be near enough is compared exactly.
-
-The table distance drops no pair: a coded vector's own error is stored with
-it, and by the triangle inequality a pair within reach has a table distance of
-at most the reach plus that error. So recall is lost by lists that were not
-probed only, and measured in the tests.
-
-Equal vectors are one node. A list is cut into blocks of bounded size; queries
-and blocks meet in pairs of blocks, which give counts per query and a spanning
-forest of their links, never the pairs themselves.
+probes every list that can hold a vector within reach, distances to the coded
+vectors come from one table per query and list, and what may be near enough is
+compared exactly.
+
+No pair is lost. A list is left out only if a bound rules it out: it holds
+vectors between two distances from its centre, all on its own side of the
+plane halfway to any other centre. The table distance drops no pair either: a
+coded vector's own error is stored with it, and by the triangle inequality a
+pair within reach has a table distance of at most the reach plus that error.
+Where vectors have no clusters the bounds rule out little, and all pairs are
+compared by their tables.
+
+Equal vectors are one node. Lists are dealt to blocks of bounded size; a pair
+of blocks meets once, with the vectors of each that can reach the other, and
+gives counts for both ends and a spanning forest of the links, never the pairs
+themselves.
 """
 
 from __future__ import annotations
@@ -32,9 +37,12 @@ MOST_SAMPLE = 32_768
 LIST_ROWS, MOST_LISTS = 256, 4096
 SUB_DIMS, SUB_CENTRES = 8, 256
 ROUNDS = 10
-PROBES = 8
-#: Rows of a block, on the index's side and on the queries'.
-BLOCK_ROWS = 2048
+#: Rows and bytes of vectors of a block: a vector is shipped once for each
+#: block within its reach, and two blocks are in memory at a time.
+BLOCK_ROWS, BLOCK_BYTES = 16_384, 1 << 25
+#: What roundings may add to a distance: pairs past the reach by this are
+#: compared as well.
+SLACK = 1e-6
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -72,9 +80,16 @@ class Index:
     def list_of(self, x: np.ndarray) -> np.ndarray:
         return square_gaps(x, self.lists).argmin(1)
 
-    def probes(self, x: np.ndarray, n: int = PROBES) -> np.ndarray:
-        n = min(n, len(self.lists))
-        return np.argpartition(square_gaps(x, self.lists), n - 1, axis=1)[:, :n]
+    def reached(self, x: np.ndarray, reach: float, inner: np.ndarray, outer: np.ndarray) -> np.ndarray:
+        """Which lists may hold a vector within reach of each query; members
+        of a list are between ``inner`` and ``outer`` from its centre, and no
+        other centre is nearer to them."""
+        gaps = square_gaps(x, self.lists)
+        far = np.sqrt(gaps)
+        own, at = np.unique(gaps.argmin(1), return_inverse=True)
+        apart = np.sqrt(square_gaps(self.lists[own], self.lists))[at]
+        reach += SLACK
+        return (far <= outer + reach) & (far >= inner - reach) & (gaps - gaps.min(1, keepdims=True) <= 2 * reach * apart + SLACK)
 
     def code(self, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(codes, distance of each vector from its coded form)."""
@@ -86,27 +101,56 @@ class Index:
             error += gaps[np.arange(len(x)), codes[:, m]]
         return codes, np.sqrt(error)
 
-    def table_distances(self, x: np.ndarray, own: int, codes: np.ndarray) -> np.ndarray:
+    def tables(self, x: np.ndarray) -> list[np.ndarray]:
+        """Per subspace: what each code takes off or adds for each query,
+        whatever the list."""
+        return [-2 * self.books[m] @ x[:, a:b].T for m, (a, b) in enumerate(self.cuts)]
+
+    def table_distances(self, x: np.ndarray, own: int, codes: np.ndarray, tables: list[np.ndarray] | None = None) -> np.ndarray:
         """Distances of queries to the coded vectors of one list."""
-        left = x - self.lists[own]
-        total = np.zeros((len(x), len(codes)))
-        for m, (a, b) in enumerate(self.cuts):
-            total += square_gaps(left[:, a:b], self.books[m])[:, codes[:, m]]
-        return np.sqrt(total)
-
-
-def block_links(index: Index, own: int, q: np.ndarray, q_node: np.ndarray, v: np.ndarray, v_node: np.ndarray, codes: np.ndarray, error: np.ndarray, least: float):
-    """(query row, index row) of the links between two blocks."""
-    reach = np.sqrt(max(0.0, 2 - 2 * least)) + 1e-9
-    found = []
-    for i in range(0, len(q), 512):
-        near = index.table_distances(q[i : i + 512], own, codes) <= reach + error
-        a, b = np.nonzero(near & (q_node[i : i + 512, None] != v_node))
-        for j in range(0, len(a), 100_000):
-            x, y = a[j : j + 100_000] + i, b[j : j + 100_000]
+        tables = self.tables(x) if tables is None else tables
+        centre = self.lists[own]
+        coded = centre + np.concatenate([book[codes[:, m]] for m, book in enumerate(self.books)], axis=1)
+        total = ((coded * coded).sum(1)[:, None] + ((x * x).sum(1) - 2 * x @ centre)).astype(np.float64)
+        for m, table in enumerate(tables):  # whole rows of a table are added
+            total += table.take(codes[:, m], axis=0)
+        return np.sqrt(np.maximum(total, 0, out=total), out=total).T
+
+
+def reach_of(least: float) -> float:
+    return float(np.sqrt(max(0.0, 2 - 2 * least)))
+
+
+def block_links(index: Index, own: int, q: np.ndarray, tables: list[np.ndarray], v: np.ndarray, codes: np.ndarray, error: np.ndarray, least: float):
+    """(query rows, index rows) of the pairs of queries and vectors of one
+    list that link, in bounded parts."""
+    reach = reach_of(least) + SLACK
+    for j in range(0, len(v), 2048):
+        at = slice(j, j + 2048)
+        a, b = np.nonzero(index.table_distances(q, own, codes[at], tables) <= reach + error[at])
+        for k in range(0, len(a), 100_000):
+            x, y = a[k : k + 100_000], b[k : k + 100_000] + j
             hold = np.einsum("ij,ij->i", q[x], v[y]) >= least
-            found.append((x[hold], y[hold]))
-    return tuple(np.concatenate(z) if found else np.empty(0, np.int64) for z in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+            if hold.any():
+                yield x[hold], y[hold]
+
+
+def deal_lists(centres: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, number of blocks) of each list. Lists are taken from
+    neighbour to neighbour and put together up to ``size`` rows; a larger one
+    is spread over blocks of its own."""
+    first, parts = np.zeros(len(counts), np.int64), np.maximum(-(-counts // size), 1)
+    left, at, block, held = np.ones(len(counts), bool), 0, 0, 0
+    for _ in range(len(counts)):
+        left[at] = False
+        if held and held + counts[at] > size:
+            block, held = block + 1, 0
+        first[at], held = block, held + counts[at]
+        if parts[at] > 1:
+            block, held = block + parts[at], 0
+        if left.any():
+            at = int(np.where(left, square_gaps(centres[at : at + 1], centres)[0], np.inf).argmin())
+    return first, parts
 
 
 def _usable(kind):
@@ -126,9 +170,9 @@ def _matrix(raw, kind) -> np.ndarray:
     return unit(np.stack([np.frombuffer(x, kind) for x in raw]))
 
 
-def _link(nodes: DataFrame, kind, dims: int, least: float, probes: int) -> DataFrame:
+def _link(nodes: DataFrame, kind, dims: int, least: float) -> DataFrame:
     """Nodes (node, copies, raw) of one length -> (a, b, links): links of node
-    a to block rows, and forest edges a - b with no count."""
+    a within a pair of blocks, and forest edges a - b with no count."""
     spark = nodes.sparkSession
     n_rows = nodes.count()
     sample = nodes.select("node", "raw").orderBy(F.xxhash64("raw"), "node").limit(MOST_SAMPLE).toArrow()
@@ -140,42 +184,75 @@ def _link(nodes: DataFrame, kind, dims: int, least: float, probes: int) -> DataF
                 x = _matrix(pdf["raw"], kind)
                 own = held.value.list_of(x)
                 codes, error = held.value.code(x, own)
-                yield pdf.assign(list=own.astype(np.int32), codes=[c.tobytes() for c in codes], error=error)[["list", "node", "copies", "raw", "codes", "error"]]
+                gap = np.sqrt(((x - held.value.lists[own]) ** 2).sum(1))
+                yield pdf.assign(list=own.astype(np.int32), codes=[c.tobytes() for c in codes], error=error, gap=gap)[["list", "node", "copies", "raw", "codes", "error", "gap"]]
 
-    def probing(batches):
+    columns = "list int, node long, copies long, raw binary, codes binary, error double"
+    index = stored(nodes.select("node", "copies", "raw").mapInPandas(coded, f"{columns}, gap double"), "index")
+    # At most MOST_LISTS rows.
+    lists = index.groupBy("list").agg(F.count("*").alias("n"), F.min("gap").alias("inner"), F.max("gap").alias("outer")).collect()
+    centres = held.value.lists
+    counts, inner, outer = np.zeros(len(centres), np.int64), np.full(len(centres), np.inf), np.full(len(centres), -np.inf)
+    for row in lists:
+        counts[row.list], inner[row.list], outer[row.list] = row.n, row.inner, row.outer
+    first, parts = deal_lists(centres, counts, max(1, min(BLOCK_ROWS, BLOCK_BYTES // (dims * np.dtype(kind).itemsize))))
+    # The lists of each block, block by block.
+    of_list = np.repeat(np.arange(len(centres)), parts)
+    of_block = np.repeat(first - (np.cumsum(parts) - parts), parts) + np.arange(len(of_list))
+    order = np.argsort(of_block, kind="stable")
+    of_list, of_block = of_list[order], of_block[order]
+    starts = np.flatnonzero(np.diff(of_block, prepend=-1))
+    dealt = spark.sparkContext.broadcast((inner, outer, first, parts, of_list, of_block[starts], starts))
+    reach = reach_of(least)
+
+    def sent(batches):
         for pdf in batches:
             if len(pdf):
-                near = held.value.probes(_matrix(pdf["raw"], kind), probes)
-                yield pd.DataFrame({"list": near.ravel().astype(np.int32), "node": np.repeat(pdf["node"].to_numpy(), near.shape[1]), "raw": np.repeat(pdf["raw"].to_numpy(object), near.shape[1])})
-
-    index = stored(nodes.mapInPandas(coded, "list int, node long, copies long, raw binary, codes binary, error double"), "index")
-    queries = nodes.select("node", "raw").mapInPandas(probing, "list int, node long, raw binary")
-    # At most MOST_LISTS rows.
-    blocks = index.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
-    asked = stored(queries, "queries")
-    groups = asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("groups")).join(blocks, "list")
-    groups = F.broadcast(stored(groups, "blocks"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    pick = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    left = asked.join(groups, "list").select("list", pick("groups").alias("g"), every("blocks").alias("b"), "node", "raw")
-    right = index.join(groups, "list").select("list", every("groups").alias("g"), pick("blocks").alias("b"), "node", "copies", "raw", "codes", "error")
-
-    def meet(key, q, v):
-        if not len(q) or not len(v):
-            return pd.DataFrame({"a": [], "b": [], "links": []}).astype("int64")
-        codes = np.stack([np.frombuffer(c, np.uint8) for c in v["codes"]])
-        q_node, v_node, copies = q["node"].to_numpy(), v["node"].to_numpy(), v["copies"].to_numpy()
-        x, y = block_links(held.value, int(key[0]), _matrix(q["raw"], kind), q_node, _matrix(v["raw"], kind), v_node, codes, v["error"].to_numpy(), least)
-        links = np.bincount(x, copies[y], len(q)).astype(np.int64)
+                inner, outer, first, parts, of_list, names, starts = dealt.value
+                lists = held.value.reached(_matrix(pdf["raw"], kind), reach, inner, outer)
+                own = pdf["list"].to_numpy()
+                block = first[own] + pdf["salt"].to_numpy() % parts[own]
+                row, at = np.nonzero(np.logical_or.reduceat(lists[:, of_list], starts, axis=1))
+                out = pdf.drop(columns="salt").iloc[row]
+                yield out.assign(block=block[row], lo=np.minimum(block[row], names[at]), hi=np.maximum(block[row], names[at]))
+
+    def meet(key, rows):
+        lo, hi = (int(k) for k in key)
+        nodes, copies, block, own = (rows[c].to_numpy() for c in ("node", "copies", "block", "list"))
+        q, v = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        links, edges = np.zeros(len(rows), np.int64), [(np.empty(0, np.int64),) * 2]
+        if len(q) and len(v):
+            inner, outer = dealt.value[:2]
+            x = _matrix(rows["raw"], kind)
+            codes, error = np.stack([np.frombuffer(c, np.uint8) for c in rows["codes"]]), rows["error"].to_numpy()
+            of = {int(c): v[own[v] == c] for c in np.unique(own[v])}
+            q, waiting = q[np.argsort(own[q], kind="stable")], 0
+            for k in range(0, len(q), 512):
+                a = q[k : k + 512]
+                tables, asked = held.value.tables(x[a]), held.value.reached(x[a], reach, inner, outer).any(0)
+                for c, b in of.items():
+                    if not asked[c]:
+                        continue
+                    for i, j in block_links(held.value, c, x[a], tables, x[b], codes[b], error[b], least):
+                        i, j = a[i], b[j]
+                        # Within a block every pair turns up from both its ends.
+                        once = nodes[i] < nodes[j] if lo == hi else nodes[i] != nodes[j]
+                        i, j = i[once], j[once]
+                        links += np.bincount(i, copies[j], len(rows)).astype(np.int64) + np.bincount(j, copies[i], len(rows)).astype(np.int64)
+                        edges.append((nodes[i], nodes[j]))
+                        waiting += len(i)
+                        if waiting > 1_000_000:
+                            edges, waiting = [spanning_forest(*(np.concatenate(e) for e in zip(*edges)))], 0
+        u, w = spanning_forest(*(np.concatenate(e) for e in zip(*edges)))
         some = np.flatnonzero(links)
-        u, w = spanning_forest(q_node[x], v_node[y])
-        return pd.DataFrame({"a": np.concatenate([q_node[some], u]), "b": np.concatenate([np.full(len(some), -1), w]), "links": np.concatenate([links[some], np.zeros(len(u), np.int64)])})
+        return pd.DataFrame({"a": np.concatenate([nodes[some], u]), "b": np.concatenate([np.full(len(some), -1), w]), "links": np.concatenate([links[some], np.zeros(len(u), np.int64)])})
 
-    keys = ["list", "g", "b"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "a long, b long, links long")
+    salt = F.pmod(F.xxhash64("node"), F.lit(1 << 31)).alias("salt")
+    pairs = index.drop("gap").select("*", salt).mapInPandas(sent, f"{columns}, block long, lo long, hi long")
+    return pairs.groupBy("lo", "hi").applyInPandas(meet, "a long, b long, links long")
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", probes: int = PROBES) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vectors -> (vec_id, n_links, component_id, kept), one row per input row.
 
     Vectors link when their cosine, in double precision, is at least
@@ -194,7 +271,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id",
     nodes = stored(nodes.withColumn("bytes", F.octet_length("raw")), "nodes")
     found = None
     for row in nodes.groupBy("bytes").count().where("count > 1").collect():
-        part = _link(nodes.where(F.col("bytes") == row.bytes), kind, row.bytes // np.dtype(kind).itemsize, least, probes)
+        part = _link(nodes.where(F.col("bytes") == row.bytes), kind, row.bytes // np.dtype(kind).itemsize, least)
         found = part if found is None else found.unionByName(part)
     named = rows.join(nodes.drop("bytes"), "raw", "left").select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("node")).alias("node"), F.coalesce(F.col("copies") - 1, F.lit(0)).alias("equal"))
     if found is not None:

@@ -52,6 +52,42 @@ def test_against_all_pairs(llm, monkeypatch, block):
     assert sum(a == b for a, b in zip(got, want)) >= 0.98 * len(want)
 
 
+@pytest.fixture(scope="module", params=[16_384, 1000])
+def unclustered(llm, request):
+    """Two hundred lists without clusters; near pairs, many across two lists."""
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(2000, 64))
+    near = base + rng.normal(size=base.shape) * rng.choice([0.42, 0.46], size=(2000, 1))
+    x = rng.permutation(np.concatenate([base, near])).astype(np.float32)
+    u = V.unit(x)
+    pairs = [(a, b) for a, b in zip(*np.nonzero(u @ u.T >= 0.9)) if a != b]
+    with pytest.MonkeyPatch.context() as patch:
+        for name, value in (("BLOCK_ROWS", request.param), ("LIST_ROWS", 20), ("MOST_SAMPLE", 1600)):
+            patch.setattr(V, name, value)
+        df = llm.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+        return pairs, {r.vec_id: r for r in V.near_vectors(df).collect()}
+
+
+def test_many_lists_lose_no_pair(unclustered):
+    pairs, got = unclustered
+    assert len(pairs) > 2000
+    assert [p for p in pairs if got[p[0]].component_id != got[p[1]].component_id] == []
+
+
+def test_lists_left_out_hold_no_near_vector():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 16)) * 3
+    x = V.unit(np.concatenate([c + rng.normal(size=(30, 16)) for c in centres]))
+    index = V.Index(x, V.LIST_ROWS * 40)
+    own = index.list_of(x)
+    gap = np.sqrt(((x - index.lists[own]) ** 2).sum(1))
+    inner, outer = (np.array([f(gap[own == c]) if (own == c).any() else e for c in range(len(index.lists))]) for f, e in ((np.min, np.inf), (np.max, -np.inf)))
+    reached = index.reached(x, V.reach_of(0.95), inner, outer)
+    assert reached.mean() < 0.9
+    a, b = np.nonzero(x @ x.T >= 0.95)
+    assert reached[a, own[b]].all()
+
+
 def test_table_distance_drops_no_near_pair():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 20))
