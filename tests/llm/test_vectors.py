@@ -74,6 +74,12 @@ def test_many_lists_lose_no_pair(unclustered):
     assert [p for p in pairs if got[p[0]].component_id != got[p[1]].component_id] == []
 
 
+def test_links_count_at_both_ends(unclustered):
+    pairs, got = unclustered
+    want = np.bincount([a for a, _ in pairs], minlength=len(got))
+    assert [got[i].n_links for i in range(len(got))] == want.tolist()
+
+
 def test_lists_left_out_hold_no_near_vector():
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(40, 16)) * 3
