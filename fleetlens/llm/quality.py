@@ -36,8 +36,11 @@ DIMS = 5
 #: length, symbols per word, log repeated lines, share of repeated words): most
 #: texts have no symbol and no repeated line, and one of either is no reason.
 FLOOR = np.array([0.30, 0.06, 0.02, 0.35, 0.06])
-#: Rows that a group needs for an estimate of its own; else its language's.
-LEAST_ROWS = 200
+#: Rows that a group needs for an estimate of its own; else its language's,
+#: else that of all rows, which must be five a dimension at least.
+LEAST_ROWS, LEAST_EVERY = 200, 5 * DIMS
+#: Key of the estimate over all rows; no language's key looks like it.
+EVERY = "every"
 #: Mahalanobis distance beyond which a text is rejected.
 MOST_DISTANCE = 8.0
 #: Cells of log2 squared distance: 16 an octave over 2**-20 to 2**40.
@@ -240,15 +243,18 @@ def _final(share_of):
 
 def fit(rows: DataFrame) -> DataFrame:
     """Rows with vectors and keys -> the estimate of each key (``STATE``).
-    Keys are all languages and sources of ``LEAST_ROWS`` rows and more, and
-    the languages of the smaller ones where those have that many rows. Texts
-    without words have no vector."""
+    Keys are all languages and sources of ``LEAST_ROWS`` rows and more, the
+    languages of the smaller ones where those have that many rows, and all
+    rows together if some language has fewer. Texts without words have no
+    vector."""
     rows = rows.where("n_words > 0").select("own", "wide", *X)
     groups = stored(rows.groupBy("own", "wide").agg(F.count("*").alias("n")), "groups")
     small = groups.groupBy("wide").agg(F.sum("n").alias("all"), F.min("n").alias("least"))
+    seen = small.agg(F.min("all").alias("least"), F.sum("all").alias("rows")).first()
+    every = F.lit(EVERY if (seen.rows or 0) >= LEAST_EVERY and seen.least < LEAST_ROWS else None).cast("string")
     keys = groups.select("own", "wide", "n").join(small, "wide").select(
         "own",
-        F.filter(F.array(F.when(F.col("n") >= LEAST_ROWS, F.col("own")), F.when((F.col("least") < LEAST_ROWS) & (F.col("all") >= LEAST_ROWS), F.col("wide"))), lambda k: k.isNotNull()).alias("keys"),
+        F.filter(F.array(F.when(F.col("n") >= LEAST_ROWS, F.col("own")), F.when((F.col("least") < LEAST_ROWS) & (F.col("all") >= LEAST_ROWS), F.col("wide")), every), lambda k: k.isNotNull()).alias("keys"),
     )
     rows = stored(rows.drop("wide").join(stored(keys, "keys"), "own").select(F.explode("keys").alias("key"), *X), "vectors")
     hist = rows.select("key", F.posexplode(F.array(*X)).alias("d", "x")).groupBy("key", "d", F.floor(F.col("x") / 64).cast("long").alias("c")).agg(F.count("*").alias("n"))
@@ -281,7 +287,10 @@ def judge(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """Rows with vectors and keys -> all their columns with ``base_failed``,
     ``distance`` (null without an estimate) and ``kept``."""
     of = lambda key: estimates.select(F.col("key").alias(key), F.struct("mean", "inverse").alias(f"{key}_e"))
-    rows = rows.join(of("own"), "own", "left").join(of("wide"), "wide", "left").withColumn("e", F.coalesce("own_e", "wide_e"))
+    every = estimates.where(F.col("key") == EVERY).select("mean", "inverse").first()
+    numbers = lambda c: F.array(*(F.lit(x) for x in every[c])).alias(c)
+    last = [F.struct(numbers("mean"), numbers("inverse"))] if every else []
+    rows = rows.join(of("own"), "own", "left").join(of("wide"), "wide", "left").withColumn("e", F.coalesce("own_e", "wide_e", *last))
     d2 = squared_distance([F.col(x) for x in X], [F.col("e.mean")[i] for i in range(DIMS)], [F.col("e.inverse")[p] for p in range(len(PAIRS))])
     rows = rows.withColumn("distance", F.when(F.col("n_words") > 0, F.sqrt(d2))).withColumn("base_failed", base_failed())
     return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= MOST_DISTANCE, F.lit(True))).drop("own_e", "wide_e", "e")
@@ -294,8 +303,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A null text has no words and fails the base rules. Null languages and
     sources are groups like any other. Groups of fewer than ``LEAST_ROWS``
     rows are judged by their language's estimate; where that has too few rows
-    as well, the base rules alone decide. Repeated rows count each; an empty
-    table gives no rows. Other columns are ignored.
+    as well, by that of all rows. Only a table of fewer than ``LEAST_EVERY``
+    rows with words is left to the base rules. Repeated rows count each; an
+    empty table gives no rows. Other columns are ignored.
     """
     pick = lambda c, name: docs[c].cast("string").alias(name)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), pick(lang_col, "lang"), pick(source_col, "source"), pick(text_col, "text"))

@@ -103,6 +103,19 @@ def test_odd_rows(llm, odd_docs, clash, no_docs):
     assert sorted((r.text for r in kept.collect()), key=repr) == sorted((r[1] for r, g in zip(rows, brute(rows)) if g[8]), key=repr)
 
 
+def test_small_languages_are_judged_by_all_rows(llm):
+    """No language has rows enough; and one has, beside small ones, a null
+    language included."""
+    rows = [r[:2] + (["de", "fr", "es", None, "misspelt"][r[0] % 5 if r[0] < 45 else 0],) + r[3:] for r in corpus()]
+    for some in (rows[:150], rows):
+        got = Q.quality_rules(llm.createDataFrame(some, DOC_SCHEMA)).collect()
+        assert len(got) == len(some)
+        for r in got:
+            assert r.distance is not None
+            if not r.base_failed:
+                assert r.kept == (r.doc_id % 9 != 0), r
+
+
 def test_chi_square():
     assert Q.chi2_cdf(11.0705, 5) == pytest.approx(0.95, abs=1e-5)
     assert Q.chi2_quantile(0.975, 5) == pytest.approx(12.8325, abs=1e-3)
