@@ -36,8 +36,8 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose fitted rate rounds to zero go: toxic ones, and as many
-    of low quality as the target weights ask for. No document is repeated."""
+    """Toxic documents go, and so many of low quality, drawn by a hash, that
+    the rest meets the target weights. No document is repeated."""
     prepare(spark)
     return mixing.resample(docs, read_driver_table(spark, sf_dir, "labels"), DOMAIN_WEIGHTS, most_rate=1.0)
 

@@ -33,6 +33,8 @@ BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
 UPPER, MARKS = np.zeros(256, bool), BREAKS & ~SPACE
 UPPER[65:91] = True
 MARKS[[*range(0, 32), 127]] = False
+#: A document with this posterior of the budget domain is clearly of it.
+CLEAR = 0.9
 #: Least squares: relative change at which it ends, and a safeguard.
 TOLERANCE, MOST_ROUNDS = 1e-4, 100
 
@@ -206,13 +208,28 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], most_rate
     return rows.select("doc_id", "n_tokens", *(f"p_{d}" for d in DOMAINS), domain.alias("domain"), rate_column(history, most_rate).alias("rate"))
 
 
+def draw_column(doc_id: Column, text: Column) -> Column:
+    """A number in [0, 1) that depends on the row's id and text alone."""
+    return F.pmod(F.xxhash64(F.lit("copies"), doc_id.cast("long"), text.cast("string")), F.lit(1 << 53)) / F.lit(float(1 << 53))
+
+
+def copies_column(rate: Column, draw: Column, weights: dict[str, float], budget_domain: str = "good") -> Column:
+    """Whole copies whose expectation is the rate. Documents most likely of
+    domains without a weight go; those clearly of the budget domain have their
+    rate rounded."""
+    unwanted = sum((F.col(f"p_{d}") for d in DOMAINS if not weights.get(d, 0.0)), F.lit(0.0))
+    drawn = F.when(F.col(f"p_{budget_domain}") >= CLEAR, F.round(rate)).otherwise(F.floor(rate + draw))
+    return F.when(unwanted > 0.5, 0).otherwise(drawn).cast("int")
+
+
 def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], most_rate: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, as often as their rounded
-    rate says: those below one half are left out."""
+    """The rows of docs, with all their columns, in whole copies: a rate's
+    fraction is the chance of one more, drawn by a hash of id and text (see
+    ``copies_column``)."""
     own = one_text(docs, id_col, text_col)
     model = fit_classifier(*labelled_rows(own, labels))
     history, _ = fit_rates(stored(with_posteriors(own, model).drop("doc_id"), "posteriors"), weights, most_rate)
-    rows = docs.select(docs[text_col].cast("string").alias("text"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    copies = F.round(rate_column(history, most_rate)).cast("int")
+    rows = docs.select(docs[text_col].cast("string").alias("text"), draw_column(docs[id_col], docs[text_col]).alias("draw"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    copies = copies_column(rate_column(history, most_rate), F.col("draw"), weights)
     rows = with_posteriors(rows, model).withColumn("copies", copies).where("copies > 0")
     return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")

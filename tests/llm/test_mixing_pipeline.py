@@ -64,6 +64,18 @@ def test_rates_solve_the_least_squares(mixed, most):
         assert (got.rate <= 1).all()
 
 
+@pytest.mark.parametrize("low", [0.05, 0.15])
+def test_resampled_tokens_meet_the_targets(llm, low):
+    """Of a domain whose documents have nearly equal rates a part stays."""
+    rows, labels = corpus(2000)
+    df, lab = llm.createDataFrame([r[:5] for r in rows], DOC_SCHEMA).repartition(5), llm.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in M.resample(df, lab, {"good": 1 - low, "low": low, "toxic": 0.0}, most_rate=1.0).select("doc_id").collect()}
+    tokens = {k: sum(len(r[1].split()) for r in rows if r[5] == k and r[0] in kept) for k in M.DOMAINS}
+    assert tokens["toxic"] == 0
+    assert tokens["good"] > 0.97 * sum(len(r[1].split()) for r in rows if r[5] == "good")
+    assert abs(tokens["low"] / sum(tokens.values()) - low) < 0.3 * low
+
+
 def test_odd_rows(llm, odd_docs, clash, no_docs):
     labels = llm.createDataFrame([(1, 1, 0), (1, 0, 1), (4, None, 0), (None, 1, 1), (10, 1, 0), (6, 0, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")
     got = M.mix(clash, labels, WEIGHTS).collect()
