@@ -176,3 +176,23 @@ def op3_vector_dedup(spark, sf_dir):
     from .vectors import near_vectors
 
     return near_vectors(read_driver_table(spark, sf_dir, "embeddings"))
+
+
+@register(
+    "op11_line_dedup",
+    r"""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT doc_id, pos, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+g AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.doc_id, k.pos, k.line, g.key IS NOT NULL AND k.doc_id <> g.top AS gone FROM k LEFT JOIN g ON k.key = g.key)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
+)
+def op11_line_dedup(spark, sf_dir):
+    """All documents without the long lines that five documents or more hold,
+    but for the largest of them; from keep bitmaps."""
+    from .lines import line_bitmaps, line_digests
+
+    docs = read_driver_table(spark, sf_dir, "documents")
+    return line_digests(docs, line_bitmaps(docs))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -28,3 +30,30 @@ def one_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The id and text columns alone, under fixed names: other columns of the
     input, whatever they are called, can't clash with ours."""
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+
+
+def numbered(docs: DataFrame, *cols: str) -> tuple[DataFrame, list[str]]:
+    """docs with its columns called c0, c1, ... by place, and the new names of
+    the given ones: whatever the columns of a table are called (dots, quotes,
+    blanks, names of ours, one name twice), nothing clashes. ``toDF`` with the
+    old names undoes it."""
+    names = [c.lower() for c in docs.columns]
+    at = [docs.columns.index(c) if c in docs.columns else names.index(c.lower()) for c in cols]
+    return docs.toDF(*(f"c{i}" for i in range(len(names)))), [f"c{i}" for i in at]
+
+
+def apart(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Callable[[DataFrame, Column], DataFrame]]:
+    """(doc_id, same, text, rest): ``same`` tells the texts of one id apart,
+    ``rest`` is a struct of all columns but the text, so that a text goes to
+    Python once. And a function that makes docs' own columns again from rows
+    with ``rest`` and a column for the text."""
+    rows, (id_, text_) = numbered(docs, id_col, text_col)
+    others = [c for c in rows.columns if c != text_]
+    text = F.col(text_).cast("string")
+    rows = rows.select(F.col(id_).cast("long").alias("doc_id"), F.xxhash64(text).alias("same"), text.alias("text"), F.struct(*others).alias("rest"))
+
+    def whole(got: DataFrame, text: Column) -> DataFrame:
+        own = docs.schema[int(text_[1:])].dataType
+        return got.select(*(F.col(f"rest.c{i}") if f"c{i}" != text_ else text.cast(own) for i in range(len(docs.columns)))).toDF(*docs.columns)
+
+    return rows, whole
