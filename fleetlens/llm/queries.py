@@ -196,3 +196,42 @@ def op11_line_dedup(spark, sf_dir):
 
     docs = read_driver_table(spark, sf_dir, "documents")
     return line_digests(docs, line_bitmaps(docs))
+
+
+@register(
+    "op13_filter_audit",
+    r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT d.doc_id, part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+  100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+  d.doc_id > min(d.doc_id) OVER (PARTITION BY text) AS e, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+g AS (SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+  count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM x p, x q, x r, x s, x t
+  WHERE p.x NOT IN (q.x, r.x, s.x, t.x) AND q.x NOT IN (r.x, s.x, t.x) AND r.x NOT IN (s.x, t.x) AND s.x <> t.x),
+w AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+m AS (SELECT part, filter_order, step, x, n, good, toxic, fails, contains(fails, x) AS hit, length(translate(fails, before, '')) < length(fails) AS gone FROM g, w),
+z AS (SELECT part, filter_order, step, x, CAST(sum(CASE WHEN gone OR hit THEN 0 ELSE n END) AS BIGINT) AS kept, CAST(sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant, CAST(sum(CASE WHEN fails = x THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM m GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM z""",
+)
+def op13_filter_audit(spark, sf_dir):
+    """Five filters over all documents in all 120 orders, per source."""
+    from .audit import filter_audit, judged
+
+    return filter_audit(judged(read_driver_table(spark, sf_dir, "documents"), read_driver_table(spark, sf_dir, "labels")))
+
+
+@register("op12_spelling_groups")
+def op12_spelling_groups(spark, sf_dir):
+    """All words of all documents with the frequent word that each may be a
+    misspelling of. (The checksum that leaves letters out has no SQL.)"""
+    from .spelling import spelling_groups
+
+    return spelling_groups(read_driver_table(spark, sf_dir, "documents"))
