@@ -10,12 +10,12 @@ after thinning every group is bounded by ``max_points``, so the windows and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_km
 from ..functions.routes import normalize_route_id
-from ..plans.ordered_scan import IDX, ordered_scan
+from ..plans.ordered_scan import IDX, SLOT_ROWS, TOTAL, ordered_scan
 from ..session import materialize
 from ..settings import BUCKET_MINUTES, MAX_POINTS_PER_TRIP, REPORT_TIMEZONE, Emission
 
@@ -58,34 +58,28 @@ def focus_points(silver: DataFrame, trips: DataFrame, timezone: str = REPORT_TIM
     )
 
 
-def keep_indexes(n, m: int) -> F.Column:
-    """M3: indexes kept when thinning ``n`` points to at most ``m``: all when
-    n <= m; both ends when m <= 2; else ``bround(i*(n-1)/(m-1))`` for
-    i in 0..m-1 (half-even, as the reference's ``round``), distinct."""
-    n = F.col(n) if isinstance(n, str) else n
+def is_kept(i: Column, n: Column, m: int) -> Column:
+    """M3: whether index ``i`` of ``n`` points stays when thinning to at most
+    ``m``: all when n <= m; both ends when m <= 2; else the indexes
+    ``bround(j*(n-1)/(m-1))`` for j in 0..m-1 (half-even, as the reference's
+    ``round``). The only ``j`` that can reach ``i`` are next to i / step."""
     if m <= 2:
-        thin = F.array_distinct(F.array(F.lit(0).cast("long"), (n - 1).cast("long")))
-    else:
-        step = (n - 1).cast("double") / F.lit(float(m - 1))
-        thin = F.array_distinct(
-            F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: F.least(F.bround(i.cast("double") * step, 0).cast("long"), (n - 1).cast("long")))
-        )
-    return F.when(n <= m, F.sequence(F.lit(0).cast("long"), (n - 1).cast("long"))).otherwise(thin)
+        return (n <= m) | (i == 0) | (i == n - 1)
+    step = (n - 1).cast("double") / F.lit(float(m - 1))
+    near = F.floor(i.cast("double") / step)
+    reach = lambda j: (j >= 0) & (j < m) & (F.least(F.bround(j.cast("double") * step, 0).cast("long"), (n - 1).cast("long")) == i)
+    return (n <= m) | reach(near - 1) | reach(near) | reach(near + 1) | reach(near + 2)
 
 
-def thin_trips(points: DataFrame, max_points: int = MAX_POINTS_PER_TRIP, strategy: str = "range") -> DataFrame:
+def thin_trips(points: DataFrame, max_points: int = MAX_POINTS_PER_TRIP, slot_rows: int | None = SLOT_ROWS) -> DataFrame:
     """M3 + W5: index points per trip (ordered by time then tie key), keep
     the evenly spaced indexes; adds ``point_idx``, ``point_count_raw``,
     ``view_idx`` and ``point_count_view``."""
-    indexed = ordered_scan(points, key="trip_id", order=["event_time", "_tie"], carry=[], strategy=strategy)
-    indexed = indexed.withColumnRenamed(IDX, "point_idx")
-    # The scan is a stored table: the count is its largest index plus one.
-    counts = indexed.groupBy("trip_id").agg((F.max("point_idx") + 1).alias("point_count_raw"))
-    counts = counts.withColumn("_keep", keep_indexes("point_count_raw", max_points)).withColumn(
-        "point_count_view", F.size("_keep").cast("long")
-    )
-    # One row per chosen trip: bounded by the ranking size.
-    kept = indexed.join(F.broadcast(counts), "trip_id").filter(F.array_contains("_keep", F.col("point_idx"))).drop("_keep")
+    indexed = ordered_scan(points, key="trip_id", order=["event_time", "_tie"], carry=[], slot_rows=slot_rows, total=True)
+    indexed = indexed.withColumnsRenamed({IDX: "point_idx", TOTAL: "point_count_raw"})
+    # Kept indexes lie more than one apart on average, so all m are distinct.
+    view = F.least(F.col("point_count_raw"), F.lit(max(2, max_points)))
+    kept = indexed.where(is_kept(F.col("point_idx"), F.col("point_count_raw"), max_points)).withColumn("point_count_view", view.cast("long"))
     w = Window.partitionBy("trip_id").orderBy("point_idx")
     return kept.withColumn("view_idx", (F.row_number().over(w) - 1).cast("long"))
 
@@ -402,7 +396,8 @@ def build_map(silver: DataFrame, trip_summary: DataFrame, catalog: DataFrame, ma
     # max_trips rows, then max_trips x max_points rows: both feed several map
     # datasets and are worked out once.
     trips = materialize(trips, "map-trips")
-    thinned = materialize(thin_trips(focus_points(silver, trips, timezone), max_points), "map-points")
+    points = materialize(focus_points(silver, trips, timezone), "map-focus")
+    thinned = materialize(thin_trips(points, max_points), "map-points")
     segs = materialize(map_segments(thinned, trips, emission), "map-segments")
     buckets = bucket_segments(segs)
     paths = trip_paths(thinned, segs, trips)

@@ -1,37 +1,30 @@
-"""Skew-safe ordered scan per key: previous-row values, position in the key,
-and a running count of segment starts.
+"""Ordered scan per key: previous-row values, position in the key, and a
+running count of segment starts, as window functions alone.
 
 The plain way is ``Window.partitionBy(key).orderBy(...)`` with ``lag`` and a
-running ``sum``; it puts every row of one key into one task, so one vehicle
-that sends a third of all rows becomes one task over a third of the data.
-
-The ``"range"`` strategy is a parallel prefix scan:
-
-1. ``repartitionByRange(key, *order)`` - one shuffle. Spark samples the full
-   order key, so a hot key (and even a long run of equal timestamps, as long
-   as the tie columns tell the rows apart) is split over many partitions.
-2. ``sortWithinPartitions`` + ``mapInArrow``: each task walks its sorted rows
-   once and computes lag values, the index in the key and the running count
-   of segment starts, as if its partition were the whole table. Arrow keeps
-   NULL and NaN apart and passes every type through unchanged.
-3. Only the first key of each partition can be wrong: its rows may continue
-   the last key of the previous partition. The first and last row of each
-   partition (at most 2 rows per partition) go through a tiny window over
-   the partition ids that carries the counts along chains of partitions
-   holding one key; the result, one row per partition, is broadcast back
-   (its size is bounded by the partition count, not by the data).
-
-The ``"window"`` strategy is the plain window; it is kept for small inputs
-and as the test oracle for the range strategy.
+running ``sum``. It shuffles the rows once and is what runs here for every key
+of up to ``slot_rows`` rows. One vehicle that sends a third of all rows would
+be one task over a third of the data, so keys with more rows are scanned on two
+levels:
+
+1. The rows of each key are counted (one narrow pass, combined map-side). A
+   larger key is cut into slots of its first order column, as wide as its
+   measured counts allow: the widest of a ladder of widths at which its
+   fullest slot stays within ``slot_rows``. Where one instant alone holds more,
+   its rows are cut by the next order column.
+2. The windows run per (key, slot); other keys are one slot.
+3. Each slot of a large key gives one row: its first and last row, its rows,
+   its segment starts. ``lag`` and running sums over those, per key, give what
+   came before a slot. They are joined back on (key, slot), which is how the
+   rows already lie; a slot's first row takes its previous values from there.
+
+No rows are stored, and none leave the JVM.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,9 +33,13 @@ from ..session import materialize
 
 IDX = "_scan_idx"
 SEQ = "_scan_seq"
-PID = "_scan_pid"
-FIRST = "_scan_first"
-LAST = "_scan_last"
+TOTAL = "_scan_total"
+SLOT = "_scan_slot"
+#: Rows of one key that one task sorts; larger keys are cut.
+SLOT_ROWS = 1_000_000
+#: Widths of slots, in steps (seconds where the order begins with a time).
+WIDTHS = [4**i for i in range(13, -1, -1)]
+BEFORE_ALL = -(1 << 63)
 
 
 @dataclass(frozen=True)
@@ -55,12 +52,12 @@ class GapRule:
     gap_seconds: float
     change_col: str | None = None
 
-    def column(self, prev: dict[str, str]) -> Column:
-        t = F.col(self.time_col)
-        pt = F.col(prev[self.time_col])
+    def starts(self, now, before) -> Column:
+        """``now`` and ``before`` give the column of a name."""
+        t, pt = now(self.time_col), before(self.time_col)
         cond = pt.isNull() | ((F.unix_timestamp(t) - F.unix_timestamp(pt)) > F.lit(self.gap_seconds))
         if self.change_col is not None:
-            cond = cond | (F.col(self.change_col) != F.col(prev[self.change_col]))
+            cond = cond | (now(self.change_col) != before(self.change_col))
         return F.coalesce(cond, F.lit(False))
 
 
@@ -74,230 +71,126 @@ def ordered_scan(
     order: list[str],
     carry: list[str],
     rule: GapRule | None = None,
-    strategy: str = "range",
-    num_partitions: int | None = None,
     prev_names: dict[str, str] | None = None,
-    table: str = "scan",
+    slot_rows: int | None = SLOT_ROWS,
+    total: bool = False,
 ) -> DataFrame:
     """Add ``prev_<c>`` for every ``c`` in ``carry``, ``_scan_idx`` (0-based
-    position within ``key`` in ``order``) and, with a rule, ``_scan_seq`` (the
-    running count of segment starts, 1-based).
+    position within ``key`` in ``order``), with a rule ``_scan_seq`` (the
+    running count of segment starts, 1-based), and with ``total``
+    ``_scan_total`` (the key's rows).
 
-    ``order`` must be a total order within a key (append tie columns).
-    ``table`` begins the name of the written scan (see ``drop_tables``)."""
+    ``order`` must be a total order within a key (append tie columns); to be
+    cut, a key's order must begin with a time, a date or a whole number.
+    ``slot_rows`` None means the plain window for all keys, uncounted."""
     names = {c: (prev_names or {}).get(c, prev_name(c)) for c in carry}
     if rule is not None:
         for c in (rule.time_col, rule.change_col):
             if c is not None and c not in carry:
                 raise ValueError(f"rule column {c} must be carried")
-    if strategy == "window":
-        return _window_scan(df, key, order, carry, rule, names)
-    if strategy != "range":
-        raise ValueError(f"unknown strategy {strategy}")
-    return _range_scan(df, key, order, carry, rule, names, num_partitions, table)
-
-
-def _window_scan(df, key, order, carry, rule, names):
-    w = Window.partitionBy(key).orderBy(*order)
-    out = df
-    for c in carry:
-        out = out.withColumn(names[c], F.lag(c).over(w))
-    out = out.withColumn(IDX, (F.row_number().over(w) - 1).cast("long"))
+    cuts = None if slot_rows is None else _cuts(df, key, order, slot_rows)
+    if cuts is None:
+        return _scan(df, [key], order, carry, rule, names, total)
+    return _slot_scan(df, key, order, carry, rule, names, cuts, total)
+
+
+def _scan(df, part, order, carry, rule, names, total):
+    """The window functions over the groups ``part``. Their first rows have no
+    previous row and start a segment."""
+    w = Window.partitionBy(*part).orderBy(*order)
+    out = df.withColumns({**{names[c]: F.lag(c).over(w) for c in carry}, IDX: (F.row_number().over(w) - 1).cast("long")})
+    if total:
+        out = out.withColumn(TOTAL, F.count(F.lit(1)).over(Window.partitionBy(*part)))
     if rule is not None:
-        flag = F.when(rule.column(names), 1).otherwise(0)
-        out = out.withColumn(SEQ, F.sum(flag).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"))
+        new = (F.col(IDX) == 0) | rule.starts(F.col, lambda c: F.col(names[c]))
+        out = out.withColumn(SEQ, F.sum(F.when(new, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"))
     return out
 
 
-# ---------------------------------------------------------------- range scan
-
-
-def _null_safe_eq(a: pa.Array, b: pa.Array) -> np.ndarray:
-    eq = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False)
-    both_null = np.logical_and(a.is_null().to_numpy(zero_copy_only=False), b.is_null().to_numpy(zero_copy_only=False))
-    return np.logical_or(eq, both_null)
-
-
-def _seconds(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Whole epoch seconds (floor) of a timestamp array, with validity."""
-    valid = arr.is_valid().to_numpy(zero_copy_only=False)
-    per_second = {"s": 1, "ms": 1_000, "us": 1_000_000, "ns": 1_000_000_000}[arr.type.unit]
-    raw = pc.fill_null(arr.cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
-    return np.floor_divide(raw, per_second), valid
-
-
-def _make_kernel(key: str, carry: list[str], names: dict[str, str], rule: GapRule | None, out_schema: pa.Schema):
-    gap = None if rule is None else float(rule.gap_seconds)
-
-    def kernel(batches):
-        from pyspark import TaskContext
-
-        ctx = TaskContext.get()
-        pid = ctx.partitionId() if ctx is not None else 0
-        state = None  # last row of the previous batch: key, carry values, idx, seq
-        pending = None
-        first_done = False
-
-        def emit(p, last):
-            cols, n, first_flags = p
-            last_flags = np.zeros(n, dtype=bool)
-            if last:
-                last_flags[-1] = True
-            arrays = cols + [pa.array(first_flags), pa.array(last_flags)]
-            arrays = [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, out_schema)]
-            return pa.RecordBatch.from_arrays(arrays, schema=out_schema)
-
-        for rb in batches:
-            n = rb.num_rows
-            if n == 0:
-                continue
-            k = rb.column(key)
-            has_prev = np.zeros(n, dtype=bool)
-            if n > 1:
-                has_prev[1:] = _null_safe_eq(k.slice(1), k.slice(0, n - 1))
-            if state is not None:
-                has_prev[0] = bool(_null_safe_eq(k.slice(0, 1), state["key"])[0])
-            hp = pa.array(has_prev)
-
-            prev_arrays = {}
-            for c in carry:
-                col = rb.column(c)
-                head = state[c] if state is not None else pa.nulls(1, col.type)
-                shifted = pa.concat_arrays([head, col.slice(0, n - 1)]) if n > 1 else head
-                prev_arrays[c] = pc.if_else(hp, shifted, pa.nulls(n, col.type))
-
-            starts = ~has_prev
-            run_of = np.cumsum(starts) - 1  # -1 marks rows continuing the carried run
-            start_pos = np.flatnonzero(starts)
-            pos = np.arange(n, dtype=np.int64)
-            idx = np.empty(n, dtype=np.int64)
-            cont = run_of < 0
-            if start_pos.size:
-                idx[~cont] = pos[~cont] - start_pos[run_of[~cont]]
-            if cont.any():
-                idx[cont] = state["idx"] + 1 + pos[cont]
-
-            out_cols = [rb.column(i) for i in range(rb.num_columns)]
-            out_cols += [prev_arrays[c] for c in carry]
-            out_cols.append(pa.array(idx, type=pa.int64()))
-
-            seq = None
-            if rule is not None:
-                t_s, t_ok = _seconds(rb.column(rule.time_col))
-                pt_s, pt_ok = _seconds(prev_arrays[rule.time_col])
-                new = ~pt_ok
-                new |= np.logical_and(np.logical_and(t_ok, pt_ok), (t_s - pt_s) > gap)
-                if rule.change_col is not None:
-                    cur = rb.column(rule.change_col)
-                    prv = prev_arrays[rule.change_col]
-                    diff = pc.fill_null(pc.not_equal(cur, prv), False).to_numpy(zero_copy_only=False)
-                    new |= diff
-                csum = np.cumsum(new.astype(np.int64))
-                seq = np.empty(n, dtype=np.int64)
-                if start_pos.size:
-                    base = csum[start_pos] - new[start_pos]
-                    seq[~cont] = csum[~cont] - base[run_of[~cont]]
-                if cont.any():
-                    seq[cont] = state["seq"] + csum[cont]
-                out_cols.append(pa.array(seq, type=pa.int64()))
-
-            out_cols.append(pa.array(np.full(n, pid, dtype=np.int32)))
-            first_flags = np.zeros(n, dtype=bool)
-            if not first_done:
-                first_flags[0] = True
-                first_done = True
-
-            state = {"key": k.slice(n - 1, 1), "idx": int(idx[-1])}
-            for c in carry:
-                state[c] = rb.column(c).slice(n - 1, 1)
-            if seq is not None:
-                state["seq"] = int(seq[-1])
-
-            if pending is not None:
-                yield emit(pending, False)
-            pending = (out_cols, n, first_flags)
-        if pending is not None:
-            yield emit(pending, True)
-
-    return kernel
-
-
-def _range_scan(df, key, order, carry, rule, names, num_partitions, table):
-    in_fields = list(df.schema.fields)
-    by_name = {f.name: f for f in in_fields}
-    extra = [T.StructField(names[c], by_name[c].dataType, True) for c in carry]
-    extra.append(T.StructField(IDX, T.LongType(), False))
-    if rule is not None:
-        extra.append(T.StructField(SEQ, T.LongType(), False))
-    extra += [
-        T.StructField(PID, T.IntegerType(), False),
-        T.StructField(FIRST, T.BooleanType(), False),
-        T.StructField(LAST, T.BooleanType(), False),
-    ]
-    out_struct = T.StructType(in_fields + extra)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow_schema = to_arrow_schema(out_struct)
-    sort_cols = [key] + list(order)
-    parts = df.repartitionByRange(num_partitions, *sort_cols) if num_partitions else df.repartitionByRange(*sort_cols)
-    # The boundary table and the final output both read the scan, and must see
-    # the same partitions: it is written once to the shared folder.
-    scanned = materialize(parts.sortWithinPartitions(*sort_cols).mapInArrow(_make_kernel(key, carry, names, rule, arrow_schema), out_struct), table)
-
-    row_fields = [key] + carry
-    bounds = scanned.filter(F.col(FIRST) | F.col(LAST))
-    last_fields = row_fields + [IDX] + ([SEQ] if rule is not None else [])
-    per_part = bounds.groupBy(PID).agg(
-        F.max_by(F.struct(*row_fields), F.col(FIRST).cast("int")).alias("f"),
-        F.max_by(F.struct(*last_fields), F.col(LAST).cast("int")).alias("l"),
+# ---------------------------------------------------------------- large keys
+
+
+def _ticks(df: DataFrame, c: str) -> tuple[Column, int] | None:
+    """A whole number that orders rows as the column does, and its step."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c), 1_000_000
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long"), 1
+    return (F.col(c).cast("long"), 1) if isinstance(kind, T.IntegralType) else None
+
+
+def _cuts(df: DataFrame, key: str, order: list[str], slot_rows: int) -> DataFrame | None:
+    """The keys of more than ``slot_rows`` rows with the width of their slots
+    (0: single instants, cut by the next order column from ``tie0`` on in
+    steps of ``tie_width``); None without such keys."""
+    large = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > slot_rows)
+    if large.isEmpty():
+        return None
+    ticks = _ticks(df, order[0])
+    if ticks is None:
+        raise ValueError(f"a key has more than {slot_rows} rows, and {order[0]} can't be cut: order by a time, a date or a whole number first")
+    tick, step = ticks
+    tie = _ticks(df, order[1])[0] if len(order) > 1 and _ticks(df, order[1]) else F.lit(0).cast("long")
+    large = materialize(large.select("_k"), "scan-keys")
+    rows = df.select(F.col(key).alias("_key"), F.floor(tick / step).cast("long").alias("_at"), tie.alias("_tie"))
+    rows = rows.join(large, F.col("_key").eqNullSafe(F.col("_k")))
+    each = materialize(rows.groupBy("_key", "_at").agg(F.count(F.lit(1)).alias("n"), F.min("_tie").alias("lo"), F.max("_tie").alias("hi")), "scan-counts")
+    wide = each.select("_key", F.explode(F.array(*(F.lit(x).cast("long") for x in WIDTHS))).alias("width"), "_at", "n")
+    full = wide.groupBy("_key", "width", F.floor(F.col("_at") / F.col("width")).alias("s")).agg(F.sum("n").alias("n")).groupBy("_key", "width").agg(F.max("n").alias("n"))
+    width = full.groupBy("_key").agg(F.coalesce(F.max(F.when(F.col("n") <= slot_rows, F.col("width"))), F.lit(0).cast("long")).alias("_width"))
+    ties = each.groupBy("_key").agg(F.min("lo").alias("_tie0"), (F.max("hi") - F.min("lo") + 1).alias("span"), F.sum("n").alias("n"))
+    ties = ties.select(F.col("_key").alias("_k"), "_tie0", F.greatest(F.ceil(F.col("span") / F.ceil(F.col("n") / slot_rows)), F.lit(1)).cast("long").alias("_tie_width"))
+    return materialize(width.join(ties, F.col("_key").eqNullSafe(F.col("_k"))).drop("_key"), "scan-cuts")
+
+
+def _with_slot(df: DataFrame, key: str, order: list[str], cuts: DataFrame) -> DataFrame:
+    """Adds the slot: numbers that rise with the order within a key."""
+    tick, step = _ticks(df, order[0])
+    tie = _ticks(df, order[1])[0] if len(order) > 1 and _ticks(df, order[1]) else F.lit(0).cast("long")
+    at, cut, single = F.floor(tick / step).cast("long"), F.col("_width").isNotNull(), F.col("_width") == 0
+    first = F.coalesce(F.when(single, at).otherwise(F.floor(at / F.col("_width")).cast("long")), F.lit(BEFORE_ALL))
+    zero = F.lit(0).cast("long")
+    slot = F.struct(
+        F.when(cut, first).otherwise(zero).alias("s"),
+        F.when(cut & single, F.coalesce(tick, zero)).otherwise(zero).alias("u"),
+        F.when(cut & single, F.coalesce(F.floor((tie - F.col("_tie0")) / F.col("_tie_width")).cast("long"), F.lit(-1).cast("long"))).otherwise(zero).alias("k"),
     )
-    w = Window.orderBy(PID)  # one row per partition: bounded by the partition count
-    prev_l = F.lag("l").over(w)
-    fix = per_part.select(PID, "f", "l", prev_l.alias("pl"))
-    fix = fix.withColumn("cont", F.coalesce(F.col("pl")[key].eqNullSafe(F.col("f")[key]), F.lit(False)))
-    fix = fix.withColumn("single", F.col("f")[key].eqNullSafe(F.col("l")[key]))
-    if rule is not None:
-        # Re-evaluate the rule for the partition's first row against the
-        # previous partition's last row (the kernel saw no predecessor).
-        probe = {c: f"__p_{c}" for c in carry}
-        cols = [F.col("f")[c].alias(c) for c in carry] + [F.col("pl")[c].alias(probe[c]) for c in carry]
-        fix = fix.select("*", *cols)
-        fix = fix.withColumn("d", F.when(F.col("cont"), rule.column(probe).cast("int") - 1).otherwise(0))
-        fix = fix.drop(*carry, *probe.values())
-    else:
-        fix = fix.withColumn("d", F.lit(0))
-    chain = F.col("single") & F.col("cont")
-    fix = fix.withColumn("reset", F.when(chain, 0).otherwise(1))
-    fix = fix.withColumn("grp", F.sum("reset").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    wg = Window.partitionBy("grp").orderBy(PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fix = fix.withColumn("I", F.sum(F.col("l")[IDX] + 1).over(wg))
-    if rule is not None:
-        fix = fix.withColumn("G", F.sum(F.col("l")[SEQ] + F.when(chain, F.col("d")).otherwise(0)).over(wg))
-    else:
-        fix = fix.withColumn("G", F.lit(0).cast("long"))
-    fix = fix.withColumn("off_idx", F.when(F.col("cont"), F.lag("I").over(w)).otherwise(0))
-    fix = fix.withColumn("off_seq", F.when(F.col("cont"), F.lag("G").over(w)).otherwise(0))
-    fix = fix.select(
-        F.col(PID).alias("_fx_pid"),
-        F.col("f")[key].alias("_fx_key"),
-        F.col("cont").alias("_fx_cont"),
-        F.col("d").alias("_fx_d"),
-        F.col("off_idx").alias("_fx_off_idx"),
-        F.col("off_seq").alias("_fx_off_seq"),
-        *[F.col("pl")[c].alias(f"_fx_prev_{c}") for c in carry],
+    rows = df.join(cuts, F.col(key).eqNullSafe(F.col("_k")), "left").withColumn(SLOT, slot)
+    return rows.withColumn("_cut", cut).drop("_k", "_width", "_tie0", "_tie_width")
+
+
+def _slot_scan(df, key, order, carry, rule, names, cuts, total):
+    rows = _with_slot(df, key, order, cuts)
+    part = [key, SLOT]
+    # One row for each slot of a large key, from the narrow columns alone.
+    need = dict.fromkeys([key, SLOT, *order, *carry])
+    inner = _scan(rows.where("_cut").select(*need), part, order, carry, rule, names, False)
+    carried, place = F.struct(F.lit(0).alias("_"), *carry), F.struct(*order)
+    starts = F.max(SEQ) if rule is not None else F.lit(0)
+    slots = inner.groupBy(*part).agg(F.min_by(carried, place).alias("f"), F.max_by(carried, place).alias("l"), F.count(F.lit(1)).alias("n"), starts.alias("starts"))
+    over = Window.partitionBy(key).orderBy(SLOT)
+    past = over.rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.withColumn("p", F.lag("l").over(over))
+    # The scan took a slot's first row for a start; it is one only if the rule
+    # says so of the row before the slot.
+    lost = F.lit(0) if rule is None else F.when(F.col("p").isNull() | rule.starts(lambda c: F.col("f")[c], lambda c: F.col("p")[c]), 0).otherwise(1)
+    slots = slots.withColumn("lost", lost).withColumn("own", F.col("starts") - F.col("lost"))
+    slots = slots.select(
+        F.col(key).alias("_fk"),
+        F.col(SLOT).alias("_fs"),
+        F.col("p").alias("_fp"),
+        F.coalesce(F.sum("n").over(past), F.lit(0)).alias("_fn"),
+        (F.coalesce(F.sum("own").over(past), F.lit(0)) - F.col("lost")).alias("_fg"),
+        F.sum("n").over(Window.partitionBy(key)).alias("_ft"),
     )
-
-    joined = scanned.join(F.broadcast(fix), F.col(PID) == F.col("_fx_pid"), "left")
-    first_run = F.col(key).eqNullSafe(F.col("_fx_key"))
-    fix_first = F.col(FIRST) & F.col("_fx_cont")
-    out_cols = []
-    for f in in_fields:
-        out_cols.append(F.col(f.name))
-    for c in carry:
-        out_cols.append(F.when(fix_first, F.col(f"_fx_prev_{c}")).otherwise(F.col(names[c])).alias(names[c]))
-    out_cols.append((F.col(IDX) + F.when(first_run, F.col("_fx_off_idx")).otherwise(0)).cast("long").alias(IDX))
+    slots = materialize(slots, "scan-slots")
+    out = _scan(rows, part, order, carry, rule, names, total)
+    out = out.join(slots, F.col(key).eqNullSafe(F.col("_fk")) & (F.col(SLOT) == F.col("_fs")), "left")
+    mend = {names[c]: F.when(F.col(IDX) == 0, F.col("_fp")[c]).otherwise(F.col(names[c])) for c in carry}
+    mend[IDX] = (F.col(IDX) + F.coalesce("_fn", F.lit(0))).cast("long")
     if rule is not None:
-        out_cols.append(
-            (F.col(SEQ) + F.when(first_run, F.col("_fx_d") + F.col("_fx_off_seq")).otherwise(0)).cast("long").alias(SEQ)
-        )
-    return joined.select(*out_cols)
+        mend[SEQ] = (F.col(SEQ) + F.coalesce("_fg", F.lit(0))).cast("long")
+    if total:
+        mend[TOTAL] = F.coalesce("_ft", TOTAL)
+    return out.withColumns(mend).drop("_fk", "_fs", "_fp", "_fn", "_fg", "_ft", SLOT, "_cut")

@@ -613,11 +613,16 @@ RAW_LAYOUTS = {
 }
 
 
+#: A column of every layout b without a value.
+NO_VALUES = "note"
+
+
 def _write_raw_copies(spark, sf_dir) -> str:
     """Write the driver pings once per format into a fresh folder, even event
     ids in layout a and odd ones in layout b, two files each: other names,
     another order, ISO text, epoch seconds or timestamps. Some rows of csv/a
-    have no latitude, some of json/a a time beyond any range."""
+    have no latitude, some of json/a a time beyond any range; layouts b have a
+    column without values."""
     import uuid
 
     from .session import scratch_path
@@ -636,7 +641,9 @@ def _write_raw_copies(spark, sf_dir) -> str:
         cols = [F.col(target).alias(own) for target, own in names.items()]
         if name == "json/a":
             cols = [F.struct(*cols[:-1]).alias("msgBusWayPoint"), cols[-1]]
-        writer = rows.repartition(2).select(*cols).write.format(fmt)
+        if layout == "b":
+            cols.append(F.lit(None).cast("string").alias(NO_VALUES))
+        writer = rows.repartition(2).select(*cols).write.format(fmt).option("ignoreNullFields", False)
         if fmt == "csv":
             writer = writer.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         writer.save(f"{root}/{name}")
@@ -822,16 +829,11 @@ def q_quality_summary(spark, sf_dir):
     return quality_summary(flows.silver_all(spark, sf_dir))
 
 
-def _frames(spark, sf_dir):
-    from .sources.raw import read_raw_frames
-
-    return read_raw_frames(spark, _write_raw_copies(spark, sf_dir))
-
-
 def _own_columns(name: str) -> dict[str, str]:
     """Column names of a raw layout as read: nested ones by dotted path."""
     own = RAW_LAYOUTS[name]
-    return {t: f"msgBusWayPoint.{c}" if name == "json/a" and t != "route_id" else c for t, c in own.items()}
+    out = {t: f"msgBusWayPoint.{c}" if name == "json/a" and t != "route_id" else c for t, c in own.items()}
+    return out | ({"": NO_VALUES} if name.endswith("b") else {})
 
 
 def _null_sql(target: str, name: str) -> str:
@@ -839,17 +841,15 @@ def _null_sql(target: str, name: str) -> str:
         return "count(*) FILTER (WHERE speed_kmh IS NULL)"
     if target == "latitude" and name == "csv/a":
         return "count(*) FILTER (WHERE event_id % 101 = 0)"
-    return "0"
+    return "0" if target else "count(*)"
 
 
 def _profile_sql() -> str:
     parts = []
     for name in RAW_LAYOUTS:
         fmt, layout = name.split("/")
-        own = {c: t for t, c in _own_columns(name).items()}
-        for column in sorted({c for n in RAW_LAYOUTS if n.startswith(fmt) for c in _own_columns(n).values()}):
-            nulls = _null_sql(own[column], name) if column in own else "count(*)"
-            parts.append(f"SELECT '{name}' AS layout, '{fmt}' AS file_type, '{column}' AS column_name, count(*) AS n_rows, CAST({nulls} AS BIGINT) AS nulls FROM ping WHERE event_id % 2 = {0 if layout == 'a' else 1}")
+        for target, column in _own_columns(name).items():
+            parts.append(f"SELECT '{name}' AS layout, '{fmt}' AS file_type, '{column}' AS column_name, count(*) AS n_rows, CAST({_null_sql(target, name)} AS BIGINT) AS nulls FROM ping WHERE event_id % 2 = {0 if layout == 'a' else 1}")
     return O.with_base(" UNION ALL ".join(parts))
 
 
@@ -863,20 +863,23 @@ RAW_COLUMNS = sorted({c.lower() for n in RAW_LAYOUTS for c in _own_columns(n).va
 
 @register("profile_files", _profile_sql())
 def q_profile_files(spark, sf_dir):
-    """Rows and NULLs of every column of the raw files, per layout."""
+    """Rows and NULLs of every column that a raw file has, per layout."""
     from .operators.profile import profile_files
+    from .sources.raw import raw_file_columns, read_raw_frames
 
+    root = _write_raw_copies(spark, sf_dir)
     layout = F.regexp_extract("source_file", r"/((?:csv|json|parquet)/[ab])/", 1)
-    files = profile_files(_frames(spark, sf_dir)).withColumn("layout", layout)
+    files = profile_files(read_raw_frames(spark, root), raw_file_columns(spark, root)).withColumn("layout", layout)
     return files.groupBy("layout", "file_type", "column_name").agg(F.sum("rows").alias("n_rows"), F.sum(F.round(F.col("null_ratio") * F.col("rows")).cast("long")).alias("nulls"))
 
 
 @register("column_frequency", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', CAST({_files_of(c)} AS BIGINT))" for c in RAW_COLUMNS) + ") x(column_name, files)")
 def q_column_frequency(spark, sf_dir):
-    """Files per lower-cased column."""
+    """Files per lower-cased column, from headers, keys and footers."""
     from .operators.profile import column_frequency
+    from .sources.raw import raw_file_columns
 
-    return column_frequency(_frames(spark, sf_dir))
+    return column_frequency(raw_file_columns(spark, _write_raw_copies(spark, sf_dir)))
 
 
 @register(
@@ -888,8 +891,94 @@ def q_column_frequency(spark, sf_dir):
 def q_schema_drift(spark, sf_dir):
     """Columns some files lack."""
     from .operators.profile import schema_drift
+    from .sources.raw import raw_file_columns
+
+    return schema_drift(raw_file_columns(spark, _write_raw_copies(spark, sf_dir)))
 
-    return schema_drift(_frames(spark, sf_dir))
+
+def _write_faulty_copies(spark, sf_dir) -> str:
+    """Pings as raw files that are partly broken: JSON lines with a cut line
+    for every 50th ping and a bare number for every 70th; a document that is no
+    JSON; one whose array holds texts beside objects; a CSV file with a value
+    too many for every 60th ping; files without a byte or without a row; text
+    under a Parquet name."""
+    import uuid
+
+    from .session import scratch_path
+    from .sources import driver
+
+    root = scratch_path(spark, f"raw-faulty-{uuid.uuid4().hex[:12]}")
+    p = driver.raw_pings(spark, sf_dir)
+    json = F.to_json(F.struct("event_id", "copy_no", F.col("bus_id").alias("vehicle")))
+    every = lambda n: F.col("event_id") % n == 0
+    line = F.when(every(50), F.substring(json, 1, 12)).when(every(70), F.lit("17")).otherwise(json)
+    # One file each, in a folder of its own, with the reader's ending.
+    texts = {
+        "lines": (p.where("event_id > 0").orderBy("event_id", "copy_no").select(line.alias("value")), "json"),
+        "document": (p.where("event_id < 5").select(F.concat(F.lit("{"), json).alias("value")), "json"),
+        "array": (p.where("event_id < 40").select(F.concat(F.lit("["), json, F.lit(","), F.concat(F.lit('"'), "bus_id", F.lit('"')), F.lit("]")).alias("value")).limit(1), "json"),
+        "wide": (p.select(F.concat_ws(",", "event_id", "bus_id", F.when(every(60), F.lit("more"))).alias("value")), "csv"),
+        "nothing": (p.where("event_id < 0").select(F.col("bus_id").alias("value")), "json"),
+        "no-parquet": (p.where("event_id < 9").select(F.col("bus_id").alias("value")), "parquet"),
+    }
+    fs = _hadoop_folder(spark, root)[0]
+    for name, (rows, ending) in texts.items():
+        rows = rows.coalesce(1)
+        if name == "wide":
+            rows = rows.select(F.col("value").alias("value")).sortWithinPartitions("value")
+            head = spark.createDataFrame([("event_id,vehicle",)], "value string")
+            rows = head.unionByName(rows).coalesce(1)
+        rows.write.text(f"{root}/{name}-text")
+        kept = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        fs.mkdirs(kept)
+        made = [s.getPath() for s in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}-text")) if s.getPath().getName().startswith("part-")]
+        for i, f in enumerate(made):
+            fs.rename(f, spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/{i}.{ending}"))
+    p.where("event_id < 100").select("event_id", "bus_id").coalesce(1).write.parquet(f"{root}/parquet")
+    return root
+
+
+def _hadoop_folder(spark, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+_HEALTH_CASES = """SELECT 'lines' AS folder, 'json' AS file_type, CAST(count(*) AS BIGINT) AS lines, CAST(count(*) FILTER (WHERE event_id % 50 <> 0 AND event_id % 70 <> 0) AS BIGINT) AS records,
+  CAST(count(*) FILTER (WHERE event_id % 50 = 0 OR event_id % 70 = 0) AS BIGINT) AS rejected, CAST(count(*) FILTER (WHERE event_id % 50 = 0 OR event_id % 70 = 0) AS BIGINT) AS bad_lines, NULL AS error, false AS empty FROM ping WHERE event_id > 0
+UNION ALL SELECT 'document', 'json', CAST(count(*) AS BIGINT), 0, 1, 0, 'not JSON', false FROM ping WHERE event_id < 5
+UNION ALL SELECT 'array', 'json', 1, 1, 1, 0, NULL, false
+UNION ALL SELECT 'wide', 'csv', CAST(count(*) AS BIGINT) + 1, CAST(count(*) FILTER (WHERE event_id % 60 <> 0) AS BIGINT), CAST(count(*) FILTER (WHERE event_id % 60 = 0) AS BIGINT), CAST(count(*) FILTER (WHERE event_id % 60 = 0) AS BIGINT), NULL, false FROM ping
+UNION ALL SELECT 'nothing', 'json', 0, 0, 0, 0, NULL, true
+UNION ALL SELECT 'no-parquet', 'parquet', 0, 0, 1, 0, 'no readable footer', false
+UNION ALL SELECT 'parquet', 'parquet', 0, CAST(count(*) AS BIGINT), 0, 0, NULL, false FROM ping WHERE event_id < 100"""
+
+
+@register("file_health", O.with_base(_HEALTH_CASES))
+def q_file_health(spark, sf_dir):
+    """Lines, records, rejected records and errors of partly broken files."""
+    from .operators.profile import file_health
+
+    found = file_health(spark, _write_faulty_copies(spark, sf_dir))
+    return found.select(F.regexp_extract("source_file", r"/([a-z-]+)/[^/]*$", 1).alias("folder"), "file_type", "lines", "records", "rejected", "bad_lines", "error", "empty")
+
+
+@register(
+    "rejected_records",
+    O.with_base(
+        """SELECT 'lines' AS folder, 'json' AS file_type, CASE WHEN event_id % 50 = 0 THEN 'not JSON' ELSE 'not an object' END AS reason,
+  CASE WHEN event_id % 50 = 0 THEN substr('{"event_id":' || event_id, 1, 12) ELSE '17' END AS raw FROM ping WHERE event_id > 0 AND (event_id % 50 = 0 OR event_id % 70 = 0)
+UNION ALL SELECT 'wide', 'csv', 'more fields than the header', event_id || ',' || bus_id || ',more' FROM ping WHERE event_id % 60 = 0
+UNION ALL SELECT 'no-parquet', 'parquet', 'no readable footer', NULL"""
+    ),
+)
+def q_rejected_records(spark, sf_dir):
+    """The raw records that the readers leave out, with their reasons
+    (documents apart: their text is the whole file)."""
+    from .sources.raw import rejected_records
+
+    found = rejected_records(spark, _write_faulty_copies(spark, sf_dir))
+    folder = F.regexp_extract("source_file", r"/([a-z-]+)/[^/]*$", 1)
+    return found.select(folder.alias("folder"), "file_type", "reason", "raw").where("folder not in ('document', 'array')")
 
 
 # ------------------------------------------------------ wire and W3 trips

@@ -26,7 +26,8 @@ from pyspark.sql.streaming import StreamingQueryListener
 from ..operators.normalize import decode_events, drop_incomplete, normalize_events
 from ..operators.segments import build_silver, default_tie_cols, enrich_segments, valid_pings
 from ..plans.joins import join_dimension
-from ..session import drop_tables, materialize
+from ..plans.ordered_scan import SLOT_ROWS
+from ..session import materialize
 from ..settings import Quality
 
 log = logging.getLogger(__name__)
@@ -111,9 +112,7 @@ def enrich_with_carry(
     carry_root: str,
     quality: Quality = Quality(),
     tie_cols: list[str] | None = None,
-    strategy: str = "range",
-    num_partitions: int | None = None,
-    table: str = "scan",
+    slot_rows: int | None = SLOT_ROWS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """ST6: enrich one micro-batch as if it continued the whole history.
 
@@ -142,7 +141,7 @@ def enrich_with_carry(
         rows = tagged.filter(~is_late).drop("_cb", "_ck", "_co").unionByName(carried)
     # The carried row sorts before the rows of its second.
     rows = rows.withColumn("_after", F.when(F.col(CARRY_FLAG), 0).otherwise(1))
-    enriched = enrich_segments(rows, quality=quality, tie_cols=["_after", *ties], strategy=strategy, num_partitions=num_partitions, table=table)
+    enriched = enrich_segments(rows, quality=quality, tie_cols=["_after", *ties], slot_rows=slot_rows)
     seq = F.col("trip_seq") + F.coalesce(F.col("_off"), F.lit(0))
     enriched = enriched.withColumn("trip_seq", seq).withColumn("trip_id", F.concat_ws("_", F.col("bus_id"), F.col("trip_seq").cast("string"))).drop("_off")
     hidden = [CARRY_FLAG, "_after"] + ([] if keyed else [ROW_HASH])
@@ -198,25 +197,22 @@ def make_batch_handler(
     tie_cols=None,
     metrics: BatchMetrics | None = None,
     late_root: str | None = None,
-    strategy: str = "range",
     prepare=None,
-    num_partitions: int | None = None,
+    slot_rows: int | None = SLOT_ROWS,
 ):
     """ST3: the ``foreachBatch`` function. ``prepare`` turns the stream's rows
-    into events (``wire_events`` for Kafka). The batch is persisted once (F22)
-    and its scan deleted when it is written; an empty batch still writes its
-    carry version so batch N+1 finds N."""
+    into events (``wire_events`` for Kafka). The batch is persisted once (F22);
+    an empty batch still writes its carry version so batch N+1 finds N."""
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        table = f"stream-scan-{_query_id(spark)}-{batch_id}"
         batch = (batch_df if prepare is None else prepare(batch_df)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             obs_in = Observation(f"bronze_{batch_id}")
             bronze = batch.observe(obs_in, F.count(F.lit(1)).alias("rows"))
             write_batch(bronze, bronze_root, batch_id)
             events = batch.drop("json_payload")
-            silver_all, late, carry = enrich_with_carry(events, batch_id, carry_root, quality, tie_cols, strategy, num_partitions, table)
+            silver_all, late, carry = enrich_with_carry(events, batch_id, carry_root, quality, tie_cols, slot_rows)
             obs_out = Observation(f"silver_{batch_id}")
             silver = valid_pings(silver_all).observe(obs_out, F.count(F.lit(1)).alias("rows"))
             write_batch(silver, silver_root, batch_id)
@@ -227,7 +223,6 @@ def make_batch_handler(
                 metrics.add({"batch_id": batch_id, "input_rows": obs_in.get.get("rows", 0), "valid_rows": obs_out.get.get("rows", 0)})
         finally:
             batch.unpersist()
-            drop_tables(spark, table)
 
     return handle
 
@@ -266,14 +261,14 @@ def run_stream(
     metrics: BatchMetrics | None = None,
     late_root: str | None = None,
     prepare=None,
-    num_partitions: int | None = None,
+    slot_rows: int | None = SLOT_ROWS,
     listener: StreamMetrics | None = None,
 ):
     """ST3 / ST4: start the Bronze/Silver stream with a checkpoint; with
     ``available_now`` it processes what is there and stops."""
     if listener is not None:
         stream.sparkSession.streams.addListener(listener)
-    handler = make_batch_handler(bronze_root, silver_root, carry_root, quality, tie_cols, metrics, late_root, prepare=prepare, num_partitions=num_partitions)
+    handler = make_batch_handler(bronze_root, silver_root, carry_root, quality, tie_cols, metrics, late_root, prepare=prepare, slot_rows=slot_rows)
     writer = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
