@@ -84,16 +84,27 @@ def build(keys: DataFrame, n_keys: int, most_bits: int = MOST_BITS) -> np.ndarra
     return out.reshape(-1)
 
 
+def held(ids: DataFrame):
+    """The filter over ``doc_id`` of a stored table, as a broadcast value."""
+    ids = ids.select("doc_id")
+    return ids.sparkSession.sparkContext.broadcast(build(ids, ids.count()))
+
+
+def probe(words: np.ndarray, ids: pa.Array) -> pa.Array:
+    """Which ids may be in the filter; a null never is."""
+    there = ids.is_valid().to_numpy(zero_copy_only=False)
+    return pa.array(there & might_hold(words, ids.fill_null(0).to_numpy(zero_copy_only=False)))
+
+
 def split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """docs as (rows whose ``doc_id`` may be one of ``ids``, rows whose isn't):
     the second part needs no join, so its texts need no shuffle."""
-    ids = ids.select("doc_id")
-    held = docs.sparkSession.sparkContext.broadcast(build(ids, ids.count()))
+    words = held(ids)
 
     @F.pandas_udf("boolean")
     def maybe(key):
         import pandas as pd
 
-        return pd.Series(might_hold(held.value, key.fillna(0).to_numpy("int64")))
+        return pd.Series(might_hold(words.value, key.fillna(0).to_numpy("int64")))
 
     return docs.where(maybe(F.col("doc_id"))), docs.where(~maybe(F.col("doc_id")))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 #: The template, and what stands for its control strings inside a text.
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
 DELTA_CHARS = 400
+#: Beginning of a text by which rows of one turn are ordered first.
+HEAD_CHARS = 64
 
 
 def escape(text: Column) -> Column:
@@ -157,10 +160,15 @@ def log_of(conversations: DataFrame) -> DataFrame:
         conversations.conv_id.cast("long").alias("conv_id"), conversations.turn.cast("long").alias("turn"), F.coalesce(conversations.role.cast("string"), F.lit("")).alias("role"), F.coalesce(conversations.text.cast("string"), F.lit("")).alias("text")
     )
     rows = rows.withColumn("same", F.sha2(F.concat_ws("\n", "role", "text"), 256))
-    copies = rows.groupBy("conv_id", "turn", "role", "same", "text").agg(F.count("*").alias("n")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    # Turns of two different texts are ordered by role, then by text itself
-    # through its first characters and its digest.
-    msg = F.struct(F.coalesce("turn", F.lit(-(1 << 63))).alias("turn"), F.col("role"), F.substring("text", 1, 64).alias("head"), F.col("same"), F.col("copy"))
+    rows = rows.withColumn("head", F.substring("text", 1, HEAD_CHARS))
+    copies = rows.groupBy("conv_id", "turn", "role", "head", "same", "text").agg(F.count("*").alias("n")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    # Texts of one turn and role are in order of their beginnings; only where
+    # two begin alike the whole text goes into the order.
+    alike = rows.groupBy("conv_id", "turn", "role", "head").agg(F.min("same").alias("lo"), F.max("same").alias("hi")).where("lo < hi")
+    alike = alike.select(*(F.col(c).alias(f"_{c}") for c in ("conv_id", "turn", "role", "head")))
+    meets = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("conv_id", "turn", "role", "head")))
+    copies = copies.join(alike, meets, "left").withColumn("order", F.when(F.col("_role").isNotNull(), F.col("text")).otherwise(F.lit("")))
+    msg = F.struct(F.coalesce("turn", F.lit(-(1 << 63))).alias("turn"), F.col("role"), F.col("head"), F.col("order"), F.col("copy"))
     cuts = F.sequence(F.lit(0), F.floor(F.char_length("text") / DELTA_CHARS).cast("int"))
     empty = F.lit(None).cast("string")
     opening = F.struct(F.lit(-1).alias("step"), F.lit("open").alias("kind"), F.col("role").alias("role"), empty.alias("text"))
@@ -173,6 +181,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     """conversations (conv_id, turn, role, text) -> rendered pieces.
 
     A null role or text is empty; rows with a null conv_id form one
-    conversation of their own. An empty table gives no rows. Other columns are
-    ignored."""
+    conversation of their own. Rows of one turn are in order of role and text,
+    a null turn comes first. A very long text is streamed in deltas. An empty
+    table gives no rows. Other columns are ignored."""
     return render(fold(log_of(conversations)))

@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import one_text, stored
+from .shared import apart, numbered, one_text, stored
 from .words import SPACE, U64, each_text
 
 DOMAINS = ("good", "low", "toxic")
@@ -33,10 +34,11 @@ BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
 UPPER, MARKS = np.zeros(256, bool), BREAKS & ~SPACE
 UPPER[65:91] = True
 MARKS[[*range(0, 32), 127]] = False
-#: A document with this posterior of the budget domain is clearly of it.
-CLEAR = 0.9
-#: Least squares: relative change at which it ends, and a safeguard.
-TOLERANCE, MOST_ROUNDS = 1e-4, 100
+#: Least squares: relative change at which it ends, and a safeguard (the report
+#: says which it was). So small a change is where documents clearly of one
+#: domain have come to a bound, 0 or ``most_rate``. Rates are stored every
+#: ``STORE_ROUNDS`` rounds.
+TOLERANCE, MOST_ROUNDS, STORE_ROUNDS = 1e-5, 200, 10
 
 
 # ---------------------------------------------------------------- classifier
@@ -104,18 +106,21 @@ def posterior(model: dict, row: np.ndarray) -> np.ndarray:
 def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> tuple[list[np.ndarray], np.ndarray]:
     """Features and domains of the bounded sample of labelled documents. Of
     several labels of one document the worst counts; nulls are left out."""
+    named = numbered(labels, "doc_id", "quality", "toxic")
+    labels = named[0].select(*(F.col(c).alias(name) for c, name in zip(named[1], ("doc_id", "quality", "toxic"))))
     each = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     own = each.agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).otherwise(0)
-    sample = docs.join(F.broadcast(own.select("doc_id", domain.alias("domain"))), "doc_id").select("domain", "text")
+    sample = docs.join(F.broadcast(own.select("doc_id", domain.alias("domain"))), "doc_id").select("doc_id", "domain", F.xxhash64("text").alias("hash"), "text")
 
     def run(batches):
         for batch in batches:
-            cells = [features(h, buf) for buf, h, _, _ in each_text(batch.column(1), lower=True, breaks=BREAKS)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.list_(pa.int32()))], names=["domain", "cells"])
+            cells = [features(h, buf) for buf, h, _, _ in each_text(batch.column("text"), lower=True, breaks=BREAKS)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "domain", "hash")), pa.array(cells, pa.list_(pa.int32()))], names=["doc_id", "domain", "hash", "cells"])
 
-    # Repeated ids can bring more rows than ids.
-    got = sample.mapInArrow(run, "domain int, cells array<int>").limit(2 * most).toArrow()
+    # Of rows that share an id one counts, so there are as many as ids at most.
+    found = sample.mapInArrow(run, "doc_id long, domain int, hash long, cells array<int>")
+    got = found.groupBy("doc_id").agg(F.min(F.struct("hash", "domain", "cells")).alias("x")).select("x.domain", "x.cells").toArrow()
     cells = got.column("cells").combine_chunks()
     flat, off = cells.flatten().to_numpy(), np.concatenate([[0], np.cumsum([len(x) for x in cells])]).astype(int)
     rows = [flat[a:b] for a, b in zip(off[:-1], off[1:])]
@@ -124,11 +129,11 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
     return [rows[i] for i in order], domains[order] if len(rows) else np.empty(0, np.int64)
 
 
-def with_posteriors(rows: DataFrame, model: dict) -> DataFrame:
-    """Rows with a column ``text`` -> the other columns, ``n_tokens`` (words)
-    and the posterior of each domain."""
-    others = [c for c in rows.columns if c != "text"]
-    schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others] + ["n_tokens long"] + [f"p_{d} double" for d in DOMAINS])
+def with_posteriors(rows: DataFrame, model: dict, keep_text: bool = False) -> DataFrame:
+    """Rows with a column ``text`` -> the other columns (the text with
+    ``keep_text``), ``n_tokens`` (words) and the posterior of each domain."""
+    others = [c for c in rows.columns if keep_text or c != "text"]
+    kind = T.StructType([rows.schema[c] for c in others] + [T.StructField("n_tokens", T.LongType()), *(T.StructField(f"p_{d}", T.DoubleType()) for d in DOMAINS)])
     held = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -143,50 +148,60 @@ def with_posteriors(rows: DataFrame, model: dict) -> DataFrame:
                 names=[*others, "n_tokens", *(f"p_{d}" for d in DOMAINS)],
             )
 
-    return rows.select(*others, "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, kind)
 
 
 # --------------------------------------------------------------------- rates
 
 
+def _step(rate: Column, gradient: np.ndarray, most_rate: float | None) -> Column:
+    """One step from ``rate``: minus the posterior's product with the scaled
+    gradient, projected."""
+    rate = F.greatest(rate - sum(F.col(f"p_{d}") * float(x) for d, x in zip(DOMAINS, gradient)), F.lit(0.0))
+    return rate if most_rate is None else F.least(rate, F.lit(float(most_rate)))
+
+
 def rate_column(history: list[np.ndarray], most_rate: float | None) -> Column:
-    """A document's rate after the steps so far: from 1, each step subtracts
-    the posterior's product with the scaled gradient and projects."""
-    rate = F.lit(1.0)
-    for g in history:
-        rate = rate - sum(F.col(f"p_{d}") * float(x) for d, x in zip(DOMAINS, g))
-        rate = F.greatest(rate, F.lit(0.0))
-        rate = rate if most_rate is None else F.least(rate, F.lit(float(most_rate)))
-    return rate
+    """A document's rate after the steps so far, from 1 on."""
+    if not history:
+        return F.lit(1.0)
+    steps = F.array(*(F.array(*(F.lit(float(x)) for x in g)) for g in history))
+
+    def step(rate, g):
+        rate = F.greatest(rate - sum(F.col(f"p_{d}") * g[i] for i, d in enumerate(DOMAINS)), F.lit(0.0))
+        return rate if most_rate is None else F.least(rate, F.lit(float(most_rate)))
+
+    return F.aggregate(steps, F.lit(1.0), step)
 
 
 def fit_rates(rows: DataFrame, weights: dict[str, float], most_rate: float | None = None, budget_domain: str = "good") -> tuple[list[np.ndarray], dict]:
     """(n_tokens, p_*) -> (the steps' gradients, a report with the totals
-    before, after and wanted).
+    before, after and wanted, the rounds and whether they ended by themselves).
 
     Targets: the domain ``budget_domain`` keeps its expected tokens, the others
     stand to it as ``weights`` say. Least squares weighs each domain by one
     over its present total and each document by its tokens; then a step of
     length one never overshoots, because posteriors sum to one.
     """
-    total = lambda rate: rows.agg(*(F.sum(F.col("n_tokens") * F.col(f"p_{d}") * rate).alias(d) for d in DOMAINS)).first()
+    rows = rows.select("n_tokens", *(f"p_{d}" for d in DOMAINS))
+    total = lambda rows, rate: rows.agg(*(F.sum(F.col("n_tokens") * F.col(f"p_{d}") * rate).alias(d) for d in DOMAINS)).first()
     vector = lambda row: np.array([float(row[d] or 0.0) for d in DOMAINS])
-    present = vector(total(F.lit(1.0)))
+    present = vector(total(rows, F.lit(1.0)))
     share = np.array([weights.get(d, 0.0) for d in DOMAINS])
     i = DOMAINS.index(budget_domain)
     wanted = share * (present[i] / share[i])
     scale = np.maximum(present, 1e-9 * max(present.sum(), 1.0))
     history: list[np.ndarray] = []
-    now = present
-    for _ in range(MOST_ROUNDS):
-        if not present.sum():
-            break
+    now, ended, rate = present, not present.sum(), F.lit(1.0)
+    while not ended and len(history) < MOST_ROUNDS:
         history.append((now - wanted) / scale)
-        after = vector(total(rate_column(history, most_rate)))
-        moved, now = np.abs(after - now).max(), after
-        if moved <= TOLERANCE * present.sum():
-            break
-    return history, {"present": present, "wanted": wanted, "reached": now}
+        rate = _step(rate, history[-1], most_rate)
+        if len(history) % STORE_ROUNDS == 0:
+            rows, rate = stored(rows.withColumn("rate", rate), "rates"), F.col("rate")
+        after = vector(total(rows, rate))
+        ended = np.abs(after - now).max() <= TOLERANCE * present.sum()
+        now = after
+    return history, {"present": present, "wanted": wanted, "reached": now, "rounds": len(history), "converged": bool(ended)}
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], most_rate: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,23 +228,21 @@ def draw_column(doc_id: Column, text: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("copies"), doc_id.cast("long"), text.cast("string")), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
-def copies_column(rate: Column, draw: Column, weights: dict[str, float], budget_domain: str = "good") -> Column:
-    """Whole copies whose expectation is the rate. Documents most likely of
-    domains without a weight go; those clearly of the budget domain have their
-    rate rounded."""
-    unwanted = sum((F.col(f"p_{d}") for d in DOMAINS if not weights.get(d, 0.0)), F.lit(0.0))
-    drawn = F.when(F.col(f"p_{budget_domain}") >= CLEAR, F.round(rate)).otherwise(F.floor(rate + draw))
-    return F.when(unwanted > 0.5, 0).otherwise(drawn).cast("int")
+def copies_column(rate: Column, draw: Column) -> Column:
+    """Whole copies whose expectation is the rate: its fraction is the chance
+    of one more."""
+    return F.floor(rate + draw).cast("int")
 
 
 def resample(docs: DataFrame, labels: DataFrame, weights: dict[str, float], most_rate: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, in whole copies: a rate's
-    fraction is the chance of one more, drawn by a hash of id and text (see
-    ``copies_column``)."""
+    """The rows of docs, with all their columns, whatever those are called, in
+    whole copies drawn by a hash of id and text (see ``copies_column``). Odd
+    rows are as in ``mix``; an empty table gives no rows."""
     own = one_text(docs, id_col, text_col)
     model = fit_classifier(*labelled_rows(own, labels))
     history, _ = fit_rates(stored(with_posteriors(own, model).drop("doc_id"), "posteriors"), weights, most_rate)
-    rows = docs.select(docs[text_col].cast("string").alias("text"), draw_column(docs[id_col], docs[text_col]).alias("draw"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    copies = copies_column(rate_column(history, most_rate), F.col("draw"), weights)
-    rows = with_posteriors(rows, model).withColumn("copies", copies).where("copies > 0")
-    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
+    rows, as_docs = apart(docs, id_col, text_col)
+    rows = rows.select("rest", "text", draw_column(F.col("doc_id"), F.col("text")).alias("draw"))
+    rows = with_posteriors(rows, model, keep_text=True).withColumn("copies", copies_column(rate_column(history, most_rate), F.col("draw")))
+    rows = rows.where("copies > 0").select("rest", "text", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return as_docs(rows, F.col("text"))

@@ -25,8 +25,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import stored
+from .shared import apart, stored
 from .textstats import COUNTS, text_counts
 
 #: Fixed-point steps of a vector's components.
@@ -61,20 +62,19 @@ STATE = "key string, start int, n long, used long, sums array<double>, mean arra
 # -------------------------------------------------------- statistics of texts
 
 
-def with_counts(rows: DataFrame) -> DataFrame:
-    """Rows with a column ``text`` -> the other columns and the counts of the
-    text (see ``textstats``); a null text counts as empty."""
-    others = [c for c in rows.columns if c != "text"]
-    schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others] + [f"{c} long" for c in COUNTS])
+def with_counts(rows: DataFrame, keep_text: bool = False) -> DataFrame:
+    """Rows with a column ``text`` -> the other columns (the text with
+    ``keep_text``) and the counts of the text (see ``textstats``); a null text
+    counts as empty."""
+    held = [c for c in rows.columns if keep_text or c != "text"]
+    kind = T.StructType([rows.schema[c] for c in held] + [T.StructField(c, T.LongType()) for c in COUNTS])
 
     def run(batches):
         for batch in batches:
             counts = text_counts(batch.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in others] + [pa.array(counts[c], pa.int64()) for c in COUNTS], names=[*others, *COUNTS]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in held] + [pa.array(counts[c], pa.int64()) for c in COUNTS], names=[*held, *COUNTS])
 
-    return rows.select(*others, "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, kind)
 
 
 def base_failed() -> Column:
@@ -307,17 +307,17 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows with words is left to the base rules. Repeated rows count each; an
     empty table gives no rows. Other columns are ignored.
     """
-    pick = lambda c, name: docs[c].cast("string").alias(name)
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), pick(lang_col, "lang"), pick(source_col, "source"), pick(text_col, "text"))
+    rows = apart(docs, id_col, text_col, lang=lang_col, source=source_col)[0].select("doc_id", "lang", "source", "text")
     rows = stored(with_vector(with_counts(rows)), "counts")
     return judge(rows, fit(rows)).select("doc_id", *COUNTS, "base_failed", "distance", "kept")
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows of docs that ``quality_rules`` keeps, with all their columns.
-    The texts are counted again rather than stored or shuffled."""
-    pick = lambda c, name: docs[c].cast("string").alias(name)
-    columns = [pick(lang_col, "lang"), pick(source_col, "source"), pick(text_col, "text")]
-    estimates = fit(stored(with_vector(with_counts(docs.select(*columns))), "counts"))
-    rows = with_vector(with_counts(docs.select(*columns, F.struct(*(docs[c] for c in docs.columns)).alias("row"))))
-    return judge(rows, estimates).where("kept").select("row.*")
+    """The rows of docs that ``quality_rules`` keeps, with all their columns,
+    whatever those are called. Odd rows are judged as there; an empty table
+    gives no rows. The texts are counted again rather than stored or
+    shuffled."""
+    rows, as_docs = apart(docs, id_col, text_col, lang=lang_col, source=source_col)
+    estimates = fit(stored(with_vector(with_counts(rows.select("lang", "source", "text"))), "counts"))
+    rows = with_vector(with_counts(rows.select("rest", "lang", "source", "text"), keep_text=True))
+    return as_docs(judge(rows, estimates).where("kept"), F.col("text"))

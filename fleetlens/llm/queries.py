@@ -12,14 +12,16 @@ from ..sources.driver import read_driver_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-#: Rows that Python tasks get at a time: texts may be long.
-BATCH_ROWS = "1000"
+#: Rows and bytes that Python tasks get at a time: texts may be long. (A text
+#: beyond the bytes is a batch of its own.)
+BATCH_ROWS, BATCH_BYTES = "1000", str(16 << 20)
 
 
 def prepare(spark: SparkSession) -> None:
     apply_session_conf(spark)
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def register(name: str, sql: str | None = None):
@@ -48,9 +50,9 @@ def escaped_sql(text: str) -> str:
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
   CAST(sum(4 + length(replace({escaped_sql("role")}, ':', '\c')) + 2 + length({escaped_sql("text")}) + 8) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id""",
 )

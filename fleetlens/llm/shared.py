@@ -29,7 +29,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def one_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The id and text columns alone, under fixed names: other columns of the
     input, whatever they are called, can't clash with ours."""
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    rows, (id_, text) = numbered(docs, id_col, text_col)
+    return rows.select(F.col(id_).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
 def numbered(docs: DataFrame, *cols: str) -> tuple[DataFrame, list[str]]:
@@ -42,15 +43,17 @@ def numbered(docs: DataFrame, *cols: str) -> tuple[DataFrame, list[str]]:
     return docs.toDF(*(f"c{i}" for i in range(len(names)))), [f"c{i}" for i in at]
 
 
-def apart(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Callable[[DataFrame, Column], DataFrame]]:
-    """(doc_id, same, text, rest): ``same`` tells the texts of one id apart,
-    ``rest`` is a struct of all columns but the text, so that a text goes to
-    Python once. And a function that makes docs' own columns again from rows
-    with ``rest`` and a column for the text."""
-    rows, (id_, text_) = numbered(docs, id_col, text_col)
-    others = [c for c in rows.columns if c != text_]
+def apart(docs: DataFrame, id_col: str, text_col: str, **more: str) -> tuple[DataFrame, Callable[[DataFrame, Column], DataFrame]]:
+    """(doc_id, same, text, rest, ...): ``same`` tells the texts of one id
+    apart, ``rest`` is a struct of all columns but the text, so that a text
+    goes to Python once; ``more`` names further columns, as strings. And a
+    function that makes docs' own columns again from rows with ``rest`` and a
+    column for the text."""
+    rows, (id_, text_, *others) = numbered(docs, id_col, text_col, *more.values())
     text = F.col(text_).cast("string")
-    rows = rows.select(F.col(id_).cast("long").alias("doc_id"), F.xxhash64(text).alias("same"), text.alias("text"), F.struct(*others).alias("rest"))
+    rest = F.struct(*(c for c in rows.columns if c != text_)).alias("rest")
+    named = [F.col(c).cast("string").alias(name) for c, name in zip(others, more)]
+    rows = rows.select(F.col(id_).cast("long").alias("doc_id"), F.xxhash64(text).alias("same"), text.alias("text"), rest, *named)
 
     def whole(got: DataFrame, text: Column) -> DataFrame:
         own = docs.schema[int(text_[1:])].dataType

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import bloom
 from .components import components
-from .shared import one_text, stored
+from .shared import apart, one_text, stored
 from .words import U64, each_text, mix, shingle_set, signed, unsigned
 
 #: Cells of the count table: 2**22 counts are 16 MB wherever they are sent.
@@ -68,12 +68,12 @@ def _unpack(width: int, counts: bytes) -> np.ndarray:
 
 def _count_shingles(k):
     def run(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << SKETCH_BITS, np.uint32)  # of one task
         for batch in batches:
             cells = [shingle_set(h, k) >> U64(64 - SKETCH_BITS) for _, h, _, _ in each_text(batch.column(0), lower=True)]
             if cells:
                 at, n = np.unique(np.concatenate(cells).astype(np.int64), return_counts=True)
-                total[at] += n
+                total[at] += n.astype(np.uint32)
         yield _pack({i: x for i, x in enumerate(np.split(total, SKETCH_PARTS)) if x.any()})
 
     return run
@@ -170,9 +170,13 @@ def similar(overlap: int, nx: int, ny: int, num: int, den: int) -> bool:
     return den * overlap >= num * (nx + ny - overlap)
 
 
-def _sets(k):
+def _sets(k, wanted):
+    """The sets of texts whose id is wanted (a Bloom filter: a few others come
+    along, and meet nothing). Filter and sets take one Python process."""
+
     def run(batches):
         for batch in batches:
+            batch = batch.filter(bloom.probe(wanted.value, batch.column(0)))
             sets = [shingle_set(h, k) for _, h, _, _ in each_text(batch.column(1), lower=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([np.packbits(bitmap(s)).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -311,6 +315,7 @@ def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = spark.sparkContext.broadcast(shingle_counts(docs, k))
     kind = "doc_id long, n long, fp1 long, fp2 long, matches int, frequent_from int, prefix array<long>"
     rows = stored(docs.mapInArrow(_prefixes(k, num, den, counts), kind), "prefixes")
+    counts.unpersist()
     usable = rows.where("n > 0 and doc_id is not null")
     # One node for each distinct set: the smallest id that has it.
     nodes = stored(usable.groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("doc")), "nodes")
@@ -324,10 +329,11 @@ def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = F.count("*").over(Window.partitionBy("token", "salt"))
     postings = stored(spread.withColumn("met", met).where("met > 1 or salt >= 0").select("token", "doc", "n", "matches").distinct(), "postings")
     # Sets that share too few prefix shingles with all others are out.
-    live = stored(postings.groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("met")).where(F.col("met") >= F.least(F.lit(LEAST_MATCHES), "n")).select("doc"), "live")
+    live = stored(postings.groupBy("doc").agg(F.max("n").alias("n"), F.count("*").alias("met")).where(F.col("met") >= F.least(F.lit(LEAST_MATCHES), F.ceil(F.col("n") * num / den))).select("doc"), "live")
     postings = stored(postings.join(live, "doc"), "postings")
-    texts = bloom.split(docs, live.select(F.col("doc").alias("doc_id")))[0].join(live.select(F.col("doc").alias("doc_id")), "doc_id")
-    sets = stored(texts.mapInArrow(_sets(k), "doc long, bits binary, tokens binary"), "sets")
+    wanted = bloom.held(live.select(F.col("doc").alias("doc_id")))
+    sets = stored(docs.mapInArrow(_sets(k, wanted), "doc long, bits binary, tokens binary"), "sets")
+    wanted.unpersist()
     links = stored(verify(_star_pairs(postings, num, den), sets, num, den), "stars")
     links = links.unionByName(verify(_cross_pairs(postings, components(links), sets, num, den), sets, num, den))
     # Rows that share an id tie their sets together.
@@ -339,15 +345,16 @@ def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all their columns, without those that link to a
-    smaller id: one document of each group stays. Of rows that share an id one
-    stays; rows with a null id all stay."""
+    """The rows of docs, all their columns, whatever those are called, without
+    those that link to a smaller id: one document of each group stays. Of rows
+    that share an id one stays; rows with a null id all stay. An empty table
+    gives no rows."""
     found = stored(shingle_join(docs, id_col, text_col), "groups").where("doc_id is not null")
     again = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.col("component_id")).alias("c")).where("n > 1 or c != doc_id")
     touched = stored(again.select("doc_id", (F.col("c") != F.col("doc_id")).alias("gone")), "touched")
-    whole = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col].cast("string")).alias("same"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    maybe, rest = bloom.split(whole, touched)
+    rows, as_docs = apart(docs, id_col, text_col)
+    maybe, rest = bloom.split(rows, touched)
     maybe = maybe.join(touched.where("gone"), "doc_id", "left_anti")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("same"))
-    maybe = maybe.withColumn("first", first).where("first = 1 or doc_id is null")
-    return maybe.select("row.*").unionByName(rest.select("row.*"))
+    maybe = maybe.withColumn("first", first).where("first = 1 or doc_id is null").drop("first")
+    return as_docs(maybe.unionByName(rest), F.col("text"))

@@ -28,9 +28,10 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import bloom
-from .shared import stored
+from .shared import apart, stored
 from .words import U64, each_text, mix, rolling, signed, unsigned
 
 SPAN = 50
@@ -125,12 +126,6 @@ def covered(factors: list[tuple[int, int, int]], n_words: int) -> np.ndarray:
     return gone
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
-    """(doc_id, same, text): ``same`` tells texts of one id apart."""
-    id_, text = docs[id_col].cast("long"), docs[text_col].cast("string")
-    return docs.select(id_.alias("doc_id"), F.xxhash64(text).alias("same"), text.alias("text"), *more)
-
-
 KEY = ["doc_id", "same"]
 
 
@@ -143,7 +138,7 @@ def parse_documents(docs: DataFrame, span: int = SPAN, k: int = ANCHOR) -> tuple
     each = counts.where("doc_id is not null").select(*KEY, F.explode("anchors").alias("anchor"))
     shared = stored(each.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor"), "shared")
     of_text = stored(each.join(shared, "anchor").groupBy(*KEY).agg(F.collect_set("anchor").alias("shared")), "of-text")
-    texts = bloom.split(docs, of_text)[0].join(of_text, KEY).select(*KEY, "text", "shared")
+    texts = bloom.split(docs, of_text)[0].join(of_text.hint("merge"), KEY).select(*KEY, "text", "shared")
     windows = stored(texts.mapInArrow(_windows(span, k), "doc_id long, same long, start int, w1 long, w2 int"), "windows")
     index = stored(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("hi")).where("source < hi").drop("hi"), "index")
     found = windows.join(index, ["w1", "w2"]).where("source < doc_id")
@@ -156,12 +151,13 @@ def _apply(span, finish):
     def run(batches):
         for batch in batches:
             removed, kept = [], []
-            for (buf, h, start, end), found in zip(each_text(batch.column("text")), batch.column("found")):
+            there = batch.column("text").is_valid().to_pylist()
+            for (buf, h, start, end), found, valid in zip(each_text(batch.column("text")), batch.column("found"), there):
                 own = found.values if found.is_valid else None
                 starts, sources = ((own.field(c).to_numpy(zero_copy_only=False) for c in ("start", "source")) if own is not None else (np.empty(0, np.int64),) * 2)
                 gone = covered(factors_of(starts, sources, span), len(h))
                 removed.append(int(gone.sum()))
-                kept.append(finish(buf, start, end, gone))
+                kept.append(finish(buf, start, end, gone) if valid else None)
             others = [c for c in batch.schema.names if c not in ("found", "text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=[*others, "n_removed", "kept"])
 
@@ -179,9 +175,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     count for others. Rows that share an id are compared with smaller ids
     only. An empty table gives no rows. Other columns are ignored.
     """
-    docs = _keyed(docs, id_col, text_col)
+    docs = apart(docs, id_col, text_col)[0].drop("rest")
     counts, found = parse_documents(docs, span)
-    hits = bloom.split(docs, found)[0].join(found, KEY)
+    hits = bloom.split(docs, found)[0].join(found.hint("merge"), KEY)
     cut = hits.mapInArrow(_apply(span, _digest), "doc_id long, same long, n_removed long, kept string").dropDuplicates(KEY)
     return counts.join(stored(cut, "cut"), KEY, "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept", "whole_sha256").alias("kept_sha256")
@@ -189,15 +185,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """The rows of docs with all their columns, the repeated words (see
-    ``remove_repeats``) cut out of the text. Rows without repeats come back as
-    they are."""
-    whole = F.struct(*(docs[c] for c in docs.columns)).alias("row")
-    found = parse_documents(_keyed(docs, id_col, text_col), span)[1]
-    maybe, rest = bloom.split(_keyed(docs, id_col, text_col, whole), found)
-    kind = docs.select(whole).schema["row"].dataType.simpleString()
-    hits = maybe.join(found, KEY, "left").select("row", "text", "found")
-    cut = hits.mapInArrow(_apply(span, _cut), f"row {kind}, n_removed long, kept string")
-    cut = cut.select("row.*", "n_removed", F.col("kept").alias("__kept"))
-    cut = cut.select(*(F.when(cut.n_removed > 0, F.col("__kept")).otherwise(cut[c]).alias(c) if c == text_col else cut[c] for c in docs.columns))
-    return cut.unionByName(rest.select("row.*"))
+    """The rows of docs with all their columns, whatever those are called, the
+    repeated words (see ``remove_repeats``) cut out of the text. Rows without
+    repeats come back as they are; an empty table gives no rows."""
+    rows, as_docs = apart(docs, id_col, text_col)
+    found = parse_documents(rows.drop("rest"), span)[1]
+    maybe, rest = bloom.split(rows, found)
+    kind = T.StructType([rows.schema["rest"], T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
+    hits = maybe.join(found.hint("merge"), KEY, "left").select("rest", "text", "found")
+    cut = hits.mapInArrow(_apply(span, _cut), kind).select("rest", "kept")
+    return as_docs(cut.unionByName(rest.select("rest", F.col("text").alias("kept"))), F.col("kept"))

@@ -35,6 +35,8 @@ def test_fold(llm):
 def test_digests(llm):
     rows = [(c, t, r, x) for c in (5, 3, None) for t, (r, x) in enumerate(zip(["system", "user", "assistant", None] * 2, TEXTS))]
     rows += [(5, 0, "system", ""), (5, None, "user", "first"), (9, 1, "user", None), (-7, 0, "user", TEXTS[2]), (-7, 1, "assistant", TEXTS[2])]
+    # Texts of one turn that begin alike, and a null turn.
+    rows += [(c, t, "assistant", "z" * 70 + x) for c in (7, None) for t in (3, None) for x in ("b", "", "ab", "a", "b")]
     df = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("clash") for c in ("msg", "seq", "kind", "piece", "same", "copy", "log")})
     want = []
     for conv in {r[0] for r in rows}:

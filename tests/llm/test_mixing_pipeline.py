@@ -76,6 +76,23 @@ def test_resampled_tokens_meet_the_targets(llm, low):
     assert abs(tokens["low"] / sum(tokens.values()) - low) < 0.3 * low
 
 
+def test_a_rate_under_one_half_meets_its_target(llm):
+    """The good texts' rate is far under 1/2; a part of them stays, not none."""
+    rows, labels = corpus(2500)
+    df, lab = llm.createDataFrame([r[:5] for r in rows], DOC_SCHEMA).repartition(5), llm.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    tokens = lambda kind, kept=None: sum(len(r[1].split()) for r in rows if r[5] == kind and (kept is None or r[0] in kept))
+    share = tokens("low") / (tokens("low") + 0.3 * tokens("good"))
+    weights = {"good": 1 - share, "low": share, "toxic": 0.0}
+    model = M.fit_classifier(*M.labelled_rows(df, lab))
+    history, report = M.fit_rates(M.with_posteriors(df.select("doc_id", "text"), model), weights, 1.0, budget_domain="low")
+    assert report["converged"] and report["rounds"] == len(history)
+    got = M.with_posteriors(df.select("doc_id", "text"), model, keep_text=True).withColumn("copies", M.copies_column(M.rate_column(history, 1.0), M.draw_column(F.col("doc_id"), F.col("text"))))
+    kept = {r.doc_id for r in got.where("copies > 0").collect()}
+    assert tokens("toxic", kept) < 0.02 * tokens("toxic")
+    assert abs(tokens("good", kept) / tokens("good") - 0.3) < 0.06
+    assert tokens("low", kept) > 0.95 * tokens("low")
+
+
 def test_odd_rows(llm, odd_docs, clash, no_docs):
     labels = llm.createDataFrame([(1, 1, 0), (1, 0, 1), (4, None, 0), (None, 1, 1), (10, 1, 0), (6, 0, 0), (99, 1, 1)], "doc_id long, quality int, toxic int")
     got = M.mix(clash, labels, WEIGHTS).collect()
@@ -125,7 +142,13 @@ def test_pipeline(llm, tmp_path):
                 assert len(r.text.split()) == left[r.doc_id].n_words - left[r.doc_id].n_removed and r.n_chars == len(r.text)
         elif name.startswith("mixing"):
             rate = mixing.mix(now, llm.read.parquet(f"{tmp_path}/labels.parquet"), DOMAIN_WEIGHTS, most_rate=1.0)
-            assert ids(out) == ids(rate.where(F.round("rate") > 0))
+            # Worked out here from the rates: a rate's fraction is the chance.
+            texts = [(r.doc_id, r.text) for r in now.collect()]
+            rows = llm.createDataFrame(texts, "doc_id long, text string").withColumn("u", mixing.draw_column(F.col("doc_id"), F.col("text")))
+            want, drawn = {r.doc_id: r.rate for r in rate.collect()}, {r.doc_id: r.u for r in rows.collect()}
+            assert len(want) == len(texts)
+            assert ids(out) == sorted((i for i in want if want[i] + drawn[i] >= 1), key=repr)
+            assert sum(want[i] == 1 for i in want) > 100 and any(0.05 < want[i] < 0.95 for i in want)
             assert not [r.text for r in out.collect() if "scum" in r.text.split()]
             assert out.count() > 150
         else:
