@@ -16,18 +16,16 @@ from pyspark.sql import functions as F
 
 from .shared import one_text, stored
 from .tokens import Encoder
+from .words import kept
 
 WIDTH = 1024
 #: Closes each document.
 END_ID = 0
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _tokenize(path):
     def run(batches):
-        encoder = _encoders.setdefault(path, None) or Encoder(path)
-        _encoders[path] = encoder
+        held = kept("ids")
+        encoder = held[path] = held.get(path) or Encoder(path)
         task, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = [np.append(x, np.uint32(END_ID)).astype("<u4") for x in encoder.encode(batch.column(1))]

@@ -3,7 +3,9 @@
 Each text gives a vector of transformed statistics. For every language and
 source the minimum-covariance-determinant estimate of location and scatter is
 found over all its rows, and a text is rejected when its Mahalanobis distance
-from that estimate is too large.
+from that estimate is too large. An estimate from few rows says little, so each
+is drawn towards that of its language, and a language's towards that of all
+rows, the more the fewer rows it has: one formula at every size.
 
 The estimate comes from concentration steps: take the half of the rows that is
 nearest by the present estimate, estimate anew from it, repeat until the
@@ -17,6 +19,7 @@ does not depend on how rows are partitioned or which task ran twice.
 
 from __future__ import annotations
 
+import logging
 import math
 from functools import reduce
 
@@ -30,6 +33,8 @@ from pyspark.sql import types as T
 from .shared import apart, stored
 from .textstats import COUNTS, text_counts
 
+log = logging.getLogger(__name__)
+
 #: Fixed-point steps of a vector's components.
 UNIT = 4096
 DIMS = 5
@@ -37,9 +42,13 @@ DIMS = 5
 #: length, symbols per word, log repeated lines, share of repeated words): most
 #: texts have no symbol and no repeated line, and one of either is no reason.
 FLOOR = np.array([0.30, 0.06, 0.02, 0.35, 0.06])
-#: Rows that a group needs for an estimate of its own; else its language's,
-#: else that of all rows, which must be five a dimension at least.
-LEAST_ROWS, LEAST_EVERY = 200, 5 * DIMS
+#: Every group has an estimate of its own, drawn towards its language's as if
+#: that were so many rows of it, and a language's towards that of all rows.
+PRIOR_ROWS = 10 * DIMS
+#: Rows (five a dimension) below which the nearest half can't outvote outliers:
+#: only those beyond count for a group's own scatter, and a table of fewer
+#: allows no estimate.
+LEAST_EVERY = 5 * DIMS
 #: Key of the estimate over all rows; no language's key looks like it.
 EVERY = "every"
 #: Mahalanobis distance beyond which a text is rejected.
@@ -241,26 +250,45 @@ def _final(share_of):
     return run
 
 
-def fit(rows: DataFrame) -> DataFrame:
-    """Rows with vectors and keys -> the estimate of each key (``STATE``).
-    Keys are all languages and sources of ``LEAST_ROWS`` rows and more, the
-    languages of the smaller ones where those have that many rows, and all
-    rows together if some language has fewer. Texts without words have no
-    vector."""
+def drawn(n: float, mean: np.ndarray, cov: np.ndarray, to_mean: np.ndarray, to_cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of ``n`` rows together with ``PRIOR_ROWS`` rows of
+    another estimate. A few rows can move the mean a little; their scatter
+    counts only as far as they are more than ``LEAST_EVERY``."""
+    w, many = n / (n + PRIOR_ROWS), max(0.0, n - LEAST_EVERY)
+    v = many / (many + PRIOR_ROWS)
+    gap = mean - to_mean
+    return w * mean + (1 - w) * to_mean, v * cov + (1 - v) * to_cov + v * (1 - v) * np.outer(gap, gap)
+
+
+def _drawn(every):
+    def run(batches):
+        scale = consistency(REWEIGHT)
+        of = lambda sums: (lambda m, c: (m, scale * c))(*moments(np.asarray(sums, np.float64)))
+        for pdf in batches:
+            out = []
+            for key, n, sums, wide_n, wide_sums in zip(pdf["key"], pdf["n"], pdf["sums"], pdf["wide_n"], pdf["wide_sums"]):
+                wide = drawn(wide_n, *of(wide_sums), *of(every))
+                e = estimate(*drawn(n, *of(sums), *wide))
+                out.append({"key": key, "mean": e["mean"], "inverse": e["inverse"]})
+            yield pd.DataFrame(out, columns=["key", "mean", "inverse"])
+
+    return run
+
+
+def fit(rows: DataFrame) -> DataFrame | None:
+    """Rows with vectors and keys -> the estimate (key, mean, inverse) of each
+    language and source, each drawn towards its language's and that of all rows
+    (``drawn``). Texts without words have no vector. None where fewer than
+    ``LEAST_EVERY`` have one."""
     rows = rows.where("n_words > 0").select("own", "wide", *X)
     groups = stored(rows.groupBy("own", "wide").agg(F.count("*").alias("n")), "groups")
-    small = groups.groupBy("wide").agg(F.sum("n").alias("all"), F.min("n").alias("least"))
-    seen = small.agg(F.min("all").alias("least"), F.sum("all").alias("rows")).first()
-    every = F.lit(EVERY if (seen.rows or 0) >= LEAST_EVERY and seen.least < LEAST_ROWS else None).cast("string")
-    keys = groups.select("own", "wide", "n").join(small, "wide").select(
-        "own",
-        F.filter(F.array(F.when(F.col("n") >= LEAST_ROWS, F.col("own")), F.when((F.col("least") < LEAST_ROWS) & (F.col("all") >= LEAST_ROWS), F.col("wide")), every), lambda k: k.isNotNull()).alias("keys"),
-    )
-    rows = stored(rows.drop("wide").join(stored(keys, "keys"), "own").select(F.explode("keys").alias("key"), *X), "vectors")
+    if (groups.agg(F.sum("n")).first()[0] or 0) < LEAST_EVERY:
+        return None
+    rows = stored(rows.select(F.explode(F.array("own", "wide", F.lit(EVERY))).alias("key"), *X), "vectors")
     hist = rows.select("key", F.posexplode(F.array(*X)).alias("d", "x")).groupBy("key", "d", F.floor(F.col("x") / 64).cast("long").alias("c")).agg(F.count("*").alias("n"))
     hist = hist.groupBy("key").agg(F.collect_list(F.struct("d", "c", "n")).alias("hist"))
     sums = rows.groupBy("key").agg(*_sums()).select("key", F.array(*(F.col(f"s{i}") for i in range(N_SUMS))).alias("sums"))
-    tasks = -(-2 * groups.count() // GROUPS_PER_TASK) or 1
+    tasks = -(-3 * groups.count() // GROUPS_PER_TASK)
     state = stored(hist.join(sums, "key").coalesce(tasks).mapInPandas(_starts, STATE), "state")
     for _ in range(TRIAL_STEPS):
         state = _step(rows, state, tasks)
@@ -274,26 +302,31 @@ def fit(rows: DataFrame) -> DataFrame:
         state = _step(rows, state, tasks)
         ended.append(state.where("done"))
     else:
+        log.warning("%d groups were still concentrating after %d steps", state.where("not done").count(), MOST_STEPS)
         ended.append(state.where("not done"))
     best = reduce(DataFrame.unionByName, ended).select("key", "n", "sums")
     raw = stored(best.coalesce(tasks).mapInPandas(_final(lambda share: share), STATE), "state")
     limit = chi2_quantile(REWEIGHT, DIMS)
     near = rows.join(raw.select("key", "n", "mean", "inverse"), "key").where(_distance_column() <= limit)
     again = near.groupBy("key").agg(F.first("n").alias("n"), *_sums()).select("key", "n", F.array(*(F.col(f"s{i}").cast("double") for i in range(N_SUMS))).alias("sums"))
-    return stored(again.coalesce(tasks).mapInPandas(_final(lambda share: REWEIGHT), STATE), "estimates")
+    again = stored(again.coalesce(tasks), "sums")
+    every = again.where(F.col("key") == EVERY).first().sums
+    wide = again.select(F.col("key").alias("wide"), F.col("n").alias("wide_n"), F.col("sums").alias("wide_sums"))
+    each = groups.select(F.col("own").alias("key"), "wide").join(again, "key").join(wide, "wide").select("key", "n", "sums", "wide_n", "wide_sums")
+    return stored(each.coalesce(tasks).mapInPandas(_drawn(every), "key string, mean array<double>, inverse array<double>"), "estimates")
 
 
-def judge(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+def judge(rows: DataFrame, estimates: DataFrame | None) -> DataFrame:
     """Rows with vectors and keys -> all their columns with ``base_failed``,
-    ``distance`` (null without an estimate) and ``kept``."""
-    of = lambda key: estimates.select(F.col("key").alias(key), F.struct("mean", "inverse").alias(f"{key}_e"))
-    every = estimates.where(F.col("key") == EVERY).select("mean", "inverse").first()
-    numbers = lambda c: F.array(*(F.lit(x) for x in every[c])).alias(c)
-    last = [F.struct(numbers("mean"), numbers("inverse"))] if every else []
-    rows = rows.join(of("own"), "own", "left").join(of("wide"), "wide", "left").withColumn("e", F.coalesce("own_e", "wide_e", *last))
-    d2 = squared_distance([F.col(x) for x in X], [F.col("e.mean")[i] for i in range(DIMS)], [F.col("e.inverse")[p] for p in range(len(PAIRS))])
-    rows = rows.withColumn("distance", F.when(F.col("n_words") > 0, F.sqrt(d2))).withColumn("base_failed", base_failed())
-    return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= MOST_DISTANCE, F.lit(True))).drop("own_e", "wide_e", "e")
+    ``distance`` (null without words or estimates) and ``kept``."""
+    if estimates is None:
+        rows = rows.withColumn("distance", F.lit(None).cast("double"))
+    else:
+        rows = rows.join(estimates.select(F.col("key").alias("own"), F.struct("mean", "inverse").alias("e")), "own", "left")
+        d2 = squared_distance([F.col(x) for x in X], [F.col("e.mean")[i] for i in range(DIMS)], [F.col("e.inverse")[p] for p in range(len(PAIRS))])
+        rows = rows.withColumn("distance", F.when(F.col("n_words") > 0, F.sqrt(d2))).drop("e")
+    rows = rows.withColumn("base_failed", base_failed())
+    return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= MOST_DISTANCE, F.lit(True)))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -301,11 +334,11 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_repeat_words, base_failed, distance, kept), one row per input row.
 
     A null text has no words and fails the base rules. Null languages and
-    sources are groups like any other. Groups of fewer than ``LEAST_ROWS``
-    rows are judged by their language's estimate; where that has too few rows
-    as well, by that of all rows. Only a table of fewer than ``LEAST_EVERY``
-    rows with words is left to the base rules. Repeated rows count each; an
-    empty table gives no rows. Other columns are ignored.
+    sources are groups like any other. A group of any size has an estimate of
+    its own, drawn towards its language's (see ``fit``); a table of fewer than
+    ``LEAST_EVERY`` rows with words is left to the base rules. Repeated rows
+    count each; ties in distance go in together; very long texts are taken
+    whole; an empty table gives no rows. Other columns are ignored.
     """
     rows = apart(docs, id_col, text_col, lang=lang_col, source=source_col)[0].select("doc_id", "lang", "source", "text")
     rows = stored(with_vector(with_counts(rows)), "counts")

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import shared_folder, stored
+from .shared import one_text, shared_folder, stored
 
 #: Fixed for the life of a data set.
 SLOTS = 4096
@@ -47,51 +47,95 @@ def grow(slot_shard: np.ndarray, slot_bytes: np.ndarray, n_shards: int) -> np.nd
     total = np.bincount(shard, slot_bytes, n_shards + 1)
     share = slot_bytes.sum() / (n_shards + 1)
     while True:
-        full = int(total[:n_shards].argmax())
-        own = np.flatnonzero((shard == full) & (slot_bytes > 0) & (slot_bytes <= share - total[n_shards]))
-        if not len(own) or total[full] <= total[n_shards]:
+        fits = (shard < n_shards) & (slot_bytes > 0) & (slot_bytes <= share - total[n_shards])
+        # The fullest shard that has such a slot: one huge record may fill it.
+        left = [s for s in np.argsort(-total[:n_shards], kind="stable") if total[s] > total[n_shards] and (fits & (shard == s)).any()]
+        if not left:
             return shard
+        own = np.flatnonzero(fits & (shard == left[0]))
         move = own[slot_bytes[own].argmax()]
         shard[move] = n_shards
-        total[full] -= slot_bytes[move]
+        total[left[0]] -= slot_bytes[move]
         total[n_shards] += slot_bytes[move]
 
 
+def edit(slot_shard: np.ndarray, slot_bytes: np.ndarray, n_shards: int) -> np.ndarray:
+    """The present map, changed as little as today's bytes and number of
+    shards ask for: new shards take their part, slots of shards that are no
+    more go to the emptiest ones, then the rest is rebalanced."""
+    shard = slot_shard.copy()
+    for have in range(int(shard.max()) + 1, n_shards):
+        shard = grow(shard, slot_bytes, have)
+    homeless = np.flatnonzero(shard >= n_shards)
+    if len(homeless):
+        kept = shard < n_shards
+        total = np.bincount(shard[kept], slot_bytes[kept], n_shards)
+        for slot in homeless[np.argsort(-slot_bytes[homeless], kind="stable")]:
+            shard[slot] = int(total.argmin())
+            total[shard[slot]] += slot_bytes[slot]
+    return rebalance(shard, slot_bytes, n_shards)
+
+
 class SlotMap:
     """Versions of the map in a shared folder: (version, slot, shard) rows,
-    one Parquet folder a version, never changed once written."""
+    one Parquet folder a version, never changed once written. Opening a folder
+    continues with its newest whole version; two writers of one version can't
+    both succeed."""
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
-        self.spark, self.folder, self.version = spark, folder or shared_folder(spark, "slot-map"), -1
+        self.spark, self.folder = spark, folder or shared_folder(spark, "slot-map")
+        top = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [x.getPath().getName() for x in fs.listStatus(top)] if fs.exists(top) else []
+        whole = [n for n in names if n.startswith("version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{n}/_SUCCESS"))]
+        self.version = max((int(n.split("=")[1]) for n in whole), default=-1)
 
     def write(self, slot_shard: np.ndarray) -> DataFrame:
+        rows = self.spark.createDataFrame([(self.version + 1, i, int(s)) for i, s in enumerate(slot_shard)], "version int, vslot int, shard int")
+        rows.coalesce(1).write.parquet(f"{self.folder}/version={self.version + 1:06d}")
         self.version += 1
-        rows = self.spark.createDataFrame([(self.version, i, int(s)) for i, s in enumerate(slot_shard)], "version int, vslot int, shard int")
-        rows.coalesce(1).write.parquet(f"{self.folder}/version={self.version:06d}")
-        return self.read(self.version)
+        return self.read()
 
-    def read(self, version: int) -> DataFrame:
-        return self.spark.read.schema("vslot int, shard int").parquet(f"{self.folder}/version={version:06d}")
+    def read(self, version: int | None = None) -> DataFrame:
+        """A version, the newest one by default: (vslot, shard)."""
+        return self.spark.read.schema("vslot int, shard int").parquet(f"{self.folder}/version={self.version if version is None else version:06d}")
+
+    def newest(self) -> np.ndarray | None:
+        """The newest version as an array; None in an empty folder."""
+        if self.version < 0:
+            return None
+        out = np.zeros(SLOTS, np.int64)
+        for r in self.read().collect():  # SLOTS rows
+            out[r.vslot] = r.shard
+        return out
 
 
 def with_slots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, vslot): size is the UTF-8 bytes plus one; the
     slot is a hash of the id and the text's checksum."""
-    text = docs[text_col].cast("string")
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"))
+    rows, text = one_text(docs, id_col, text_col), F.col("text")
+    rows = rows.select("doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"))
     return rows.withColumn("vslot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SLOTS)).cast("int"))
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text", slot_map: SlotMap | None = None) -> DataFrame:
     """docs -> (doc_id, size, text_crc32, law, shard, slot, grown_shard).
 
+    ``slot_map`` is the stored map of the data set: its newest version is
+    edited for these documents' bytes (see ``edit``) and stored as a new one if
+    it changed, so that only the slots move that have to. Without one a new map
+    is begun.
+
     The law is ``bytes``: the shards' sums of ``size`` are near equal (no slot
     move would bring the fullest and the emptiest closer). ``slot`` is a row's
     place in its shard, gapless from 0, ordered by virtual slot and doc_id.
+    Groups of equal texts are no unit here: each row follows its own id, so
+    that a large group spreads over all shards.
+
     A null text has size 1; a null id hashes like any other value; repeated
-    rows are placed each; an empty table gives no rows. Equal texts follow
-    their own ids, so that a large group of copies spreads. Other columns are
-    ignored.
+    rows are placed each; very long texts are one row like others, and may
+    leave their shard the fullest; an empty table gives no rows. Other columns
+    are ignored.
     """
     spark = docs.sparkSession
     rows = stored(with_slots(docs, id_col, text_col), "slots")
@@ -101,10 +145,14 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
     for r in sums:
         slot_bytes[r.vslot], slot_rows[r.vslot] = r.bytes, r.n
     slot_map = slot_map or SlotMap(spark)
-    start = first_map(n_shards)
-    slot_map.write(start)
-    shard = rebalance(start, slot_bytes, n_shards)
-    placed = slot_map.write(shard)
+    now = slot_map.newest()
+    if now is None:
+        now = first_map(n_shards)
+        slot_map.write(now)
+    changed = edit(now, slot_bytes, n_shards)
+    if (changed != now).any():
+        slot_map.write(changed)
+    shard, placed = slot_map.newest(), slot_map.read()
     base = np.zeros(SLOTS, np.int64)
     for s in range(n_shards):
         own = np.flatnonzero(shard == s)

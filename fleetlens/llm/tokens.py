@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import gc
 import os
-from itertools import chain
+import re
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,10 @@ import pyarrow as pa
 
 from .words import BYTE_BACK, BYTE_STEP, BYTE_VALUES, SPACE, U64, _power, flat_bytes, mix
 
+#: A piece without white space but for one blank before it.
+PLAIN = re.compile(r" ?\S+").fullmatch
 #: Bytes of text cut and looked up at a time, and pieces kept by a worker.
-CHUNK_BYTES = (1 << 22) - 1
+CHUNK_BYTES = (1 << 21) - 1
 MOST_PIECES = 1_000_000
 
 
@@ -61,6 +64,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
         self.clear()
 
     def clear(self) -> None:
@@ -68,18 +72,45 @@ class Encoder:
         self.ids = np.empty(1 << 16, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
+    def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one after the other, and how many each has.
+
+        A piece without white space, but for a blank before it, is encoded the
+        same between line ends, which are a token of their own there: so all of
+        these are one text for the tokenizer, and it is cut at the line ends."""
+        plain = [i for i, p in enumerate(pieces) if PLAIN(p)]
+        others = [p for p in pieces if not PLAIN(p)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        count, ids = np.zeros(len(pieces), np.int64), np.empty(0, np.uint32)
+        if plain:
+            joined = self.tokenizer.encode_batch_fast(["\n".join([pieces[i] for i in plain])], add_special_tokens=False)[0].ids
+            joined = np.fromiter(joined, np.uint32, len(joined))
+            breaks = np.flatnonzero(joined == self.line_end)
+            if len(breaks) != len(plain) - 1:
+                raise ValueError("this vocabulary has no token of its own for a line end between pieces")
+            count[plain] = np.diff(np.concatenate([[-1], breaks, [len(joined)]])) - 1
+            ids = np.delete(joined, breaks)
+        rest = np.ones(len(pieces), bool)
+        rest[plain] = False
+        count[rest] = [len(x) for x in found]
+        if not found:
+            return ids, count
+        out, of = np.empty(int(count.sum()), np.uint32), np.repeat(rest, count)
+        out[of], out[~of] = np.fromiter(chain.from_iterable(found), np.uint32), ids
+        return out, count
+
     def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
         gc.disable()  # or it walks the new lists again and again
         try:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
+            ids, count = self._ids_of([p.decode("utf-8", "replace") for p in pieces])
         finally:
             gc.enable()
         n = len(self.ends)
-        self.places.update(zip(hashes, range(n - 1, n - 1 + len(found))))
-        ends = self.ends[-1] + np.cumsum([len(x) for x in found])
+        self.places.update(zip(hashes, range(n - 1, n - 1 + len(count))))
+        ends = self.ends[-1] + np.cumsum(count)
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[self.ends[-1] : ends[-1]] = np.fromiter(chain.from_iterable(found), np.uint32)
+        self.ids[self.ends[-1] : ends[-1]] = ids
         self.ends = np.concatenate([self.ends, ends])
 
     def _chunk(self, buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,14 +121,17 @@ class Encoder:
         h = mix((total[ends] - total[starts]) * _power(BYTE_BACK, len(buf) + 1)[starts])
         which, distinct = pd.factorize(h)
         first = np.empty(len(distinct), np.int64)
-        first[which[::-1]] = np.arange(len(h) - 1, -1, -1)
+        first[which] = np.arange(len(h))
         if len(self.places) + len(distinct) > MOST_PIECES:
             self.clear()
-        keys = distinct.tolist()
-        new = [i for i, x in enumerate(keys) if x not in self.places]
-        if new:
-            self._learn([keys[i] for i in new], [buf[starts[first[i]] : ends[first[i]]].tobytes() for i in new])
-        place = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))[which]
+        keys, raw = distinct.tolist(), buf.tobytes()
+        place = np.fromiter(map(self.places.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            at, to = starts[first[new]].tolist(), ends[first[new]].tolist()
+            place[new] = len(self.ends) - 1 + np.arange(len(new))
+            self._learn([keys[i] for i in new.tolist()], [raw[a:b] for a, b in zip(at, to)])
+        place = place[which]
         lo, n = self.ends[place], self.ends[place + 1] - self.ends[place]
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
         return self.ids[at], n

@@ -32,6 +32,17 @@ LOWER[65:91] += 32
 BYTE_VALUES = np.random.Generator(np.random.PCG64(20250320)).integers(1, 1 << 64, 256, dtype=U64, endpoint=False)
 
 _powers: dict[int, np.ndarray] = {}
+_kept: dict[str, dict] = {}
+
+
+def kept(work: str) -> dict:
+    """What this Python worker keeps from task to task for one kind of work.
+    Spark gives a worker to the stages of all operators, one after the other:
+    what another kind of work has kept is dropped first."""
+    if work not in _kept:
+        _kept.clear()
+        pa.default_memory_pool().release_unused()
+    return _kept.setdefault(work, {})
 
 
 def _power(base: int, n: int) -> np.ndarray:
@@ -108,6 +119,7 @@ def text_words(buf: np.ndarray, lower: bool = False, breaks: np.ndarray = SPACE)
 def each_text(texts: pa.Array, lower: bool = False, breaks: np.ndarray = SPACE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, word hashes, word starts, word ends) of every text in order;
     ``breaks`` must mark the white-space bytes at least."""
+    kept("texts")
     buf, off = flat_bytes(texts)
     n, i = len(off) - 1, 0
     while i < n:

@@ -108,3 +108,32 @@ def test_slot_map_versions(llm):
     kept.write(more)
     for version, want in ((0, first), (1, more)):
         assert [r.shard for r in kept.read(version).orderBy("vslot").collect()] == want.tolist()
+
+
+def test_a_map_lives_on(llm):
+    """Opened again, the newest version is edited: more documents, and then a
+    shard more, move few slots, and no whole map is laid anew."""
+    rng = random.Random(3)
+    rows = [(i, "x" * int(rng.paretovariate(1.1) * 50)) for i in range(9000)]
+    docs = lambda n: llm.createDataFrame(rows[:n], "doc_id long, text string")
+    kept = H.SlotMap(llm)
+    H.shard_documents(docs(8000), 8, slot_map=kept).count()
+    assert kept.version == 1  # the first map, and what today's bytes made of it
+    before = kept.newest()
+    again = H.SlotMap(llm, kept.folder)
+    H.shard_documents(docs(8000), 8, slot_map=again).count()
+    assert again.version == 1 and (again.newest() == before).all()  # nothing to change
+    H.shard_documents(docs(9000), 8, slot_map=again).count()
+    after = again.newest()
+    assert again.version == 2 and 0 < (after != before).sum() < H.SLOTS / 20
+    assert (after != H.first_map(8)).sum() < H.SLOTS / 4
+    opened = H.SlotMap(llm, kept.folder)
+    got = H.shard_documents(docs(9000), 9, slot_map=opened).collect()
+    grown = opened.newest()
+    moved = grown != after
+    assert opened.version == 3 and (grown[moved] == 8).mean() > 0.9 and 0 < moved.sum() < H.SLOTS / 8
+    sizes = np.bincount([r.shard for r in got], [r.size for r in got], 9)
+    assert sizes.max() - sizes.min() <= 2 * max(r.size for r in got)
+    H.shard_documents(docs(9000), 8, slot_map=opened).count()
+    assert opened.newest().max() == 7 and (opened.newest() != grown).sum() < H.SLOTS / 5
+    assert (opened.read(0).count(), opened.read().count()) == (H.SLOTS, H.SLOTS)

@@ -33,16 +33,17 @@ def brute(rows):
     x = np.floor(x * Q.UNIT + 0.5)
     has = n > 0
     own = [(r[2], r[3]) for r in rows]
-    size = {k: sum(o == k and h for o, h in zip(own, has)) for k in set(own)}
-    wide = {l: sum(o[0] == l and h for o, h in zip(own, has)) for l in {k[0] for k in size}}
-    key_of = [k if size[k] >= Q.LEAST_ROWS else (k[0],) if wide[k[0]] >= Q.LEAST_ROWS else None for k in own]
+    members = {k: [h and (len(k) == 0 or o[: len(k)] == k) for o, h in zip(own, has)] for k in {(), *own, *((o[0],) for o in own)}}
+    finals = {}
 
     def sums(v):
         return np.concatenate([[len(v)], v.sum(0), [(v[:, i] * v[:, j]).sum() for i, j in Q.PAIRS]])
 
     out = [None] * len(rows)
-    for key in {k for k in key_of if k}:
-        v = x[[h and (o == key or (len(key) == 1 and o[0] == key[0])) for o, h in zip(own, has)]]
+    for key, at in members.items():
+        v = x[at]
+        if not len(v) or has.sum() < Q.LEAST_EVERY:
+            continue
         best = None
         hist = [(d, c, m) for d in range(Q.DIMS) for c, m in zip(*np.unique(v[:, d] // 64, return_counts=True))]
 
@@ -64,10 +65,19 @@ def brute(rows):
             done, state = state["logdet"] - new["logdet"] < Q.TOLERANCE, new
         raw = Q.estimate(*Q.moments(s), scale=Q.consistency(s[0] / len(v)))
         near = v[Q.squared_distance(v.T, raw["mean"], raw["inverse"]) <= Q.chi2_quantile(Q.REWEIGHT, Q.DIMS)]
-        final = Q.estimate(*Q.moments(sums(near)), scale=Q.consistency(Q.REWEIGHT))
-        for i, k in enumerate(key_of):
-            if k == key and has[i]:
-                out[i] = float(np.sqrt(Q.squared_distance(x[i], final["mean"], final["inverse"])))
+        mean, cov = Q.moments(sums(near))
+        finals[key] = len(v), mean, cov * Q.consistency(Q.REWEIGHT)
+    for i, k in enumerate(own):
+        if has[i] and finals:
+            # Each level with ten rows a dimension of the one above it.
+            mean, cov = finals[()][1:]
+            for level in (k[:1], k):
+                n, m, c = finals[level]
+                gap, many = np.outer(m - mean, m - mean), max(0, n - 25)
+                cov = (many * c + 50 * cov) / (many + 50) + many * 50 * gap / (many + 50) ** 2
+                mean = (n * m + 50 * mean) / (n + 50)
+            d = x[i] / Q.UNIT - mean
+            out[i] = float(np.sqrt(d @ np.linalg.inv(cov + np.diag(Q.FLOOR**2)) @ d))
     base = [(c < 50) or 100 * r > 50 * c for c, r in zip(counts["n_words"], counts["n_repeat_words"])]
     return [(r[0], *(counts[c][i] for c in Q.COUNTS), base[i], out[i], not base[i] and (out[i] is None or out[i] <= Q.MOST_DISTANCE)) for i, r in enumerate(rows)]
 
@@ -103,6 +113,22 @@ def test_odd_rows(llm, odd_docs, clash, no_docs):
     assert sorted((r.text for r in kept.collect()), key=repr) == sorted((r[1] for r, g in zip(rows, brute(rows)) if g[8]), key=repr)
 
 
+def test_small_tables_are_left_to_the_base_rules(llm):
+    for n, judged in ((Q.LEAST_EVERY - 1, False), (Q.LEAST_EVERY, True)):
+        got = Q.quality_rules(llm.createDataFrame([r for r in corpus() if len(r[1].split()) >= 50][:n], DOC_SCHEMA)).collect()
+        assert len(got) == n and all((r.distance is not None) == judged for r in got)
+        assert judged or all(r.kept == (not r.base_failed) for r in got)
+
+
+def test_each_group_has_an_estimate(llm):
+    """A group of 30 rows is judged by its own kind, not by its language."""
+    rng = random.Random(4)
+    text = lambda marks: " ".join(w + ("*" if rng.random() < marks else "") for w in some_words(rng, rng.randint(80, 200), 3000))
+    rows = [(i, text(0.0), "en", "plain", 0) for i in range(400)] + [(1000 + i, text(0.3), "en", "starred", 0) for i in range(30)] + [(2000 + i, text(0.3), "en", "plain", 0) for i in range(5)]
+    got = {r.doc_id: r.kept for r in Q.quality_rules(llm.createDataFrame(rows, DOC_SCHEMA)).collect()}
+    assert all(got[r[0]] == (r[0] < 2000) for r in rows)
+
+
 def test_small_languages_are_judged_by_all_rows(llm):
     """No language has rows enough; and one has, beside small ones, a null
     language included."""

@@ -48,8 +48,9 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("span", [50])
-def test_against_brute_force(llm, span):
+@pytest.mark.parametrize("span, contents", [(50, 2000), (50, 3)])
+def test_against_brute_force(llm, monkeypatch, span, contents):
+    monkeypatch.setattr(S, "BLOCK_CONTENTS", contents)
     rows = list({r[0]: r for r in corpus()}.values())
     assert run(llm.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows, span)
 
@@ -70,3 +71,54 @@ def test_factors():
     assert S.factors_of(starts, sources, 50) == [(3, 51, 1), (5, 50, 2), (7, 50, 2), (20, 50, 9)]
     assert S.covered([(1, 2, 0)], 4).tolist() == [False, True, True, False]
     assert S.factors_of(np.empty(0, int), np.empty(0, int)) == []
+
+
+def _w(text):
+    return [x.encode().ljust(S.WINDOW.itemsize) for x in text]
+
+
+def test_a_factor_goes_as_far_as_the_reference():
+    block = S.Block()
+    block.add(1, _w("abcdef"))
+    block.add(2, _w("xcdeyz"))
+    assert block.parse(_w("bcdq")) == [(0, 3, 1)]
+    assert block.parse(_w("qq")) == []
+    assert block.parse(_w("qyz")) == [(1, 2, 2)]
+
+
+def test_windows_across_the_end_of_a_factor_are_looked_up():
+    """Two factors meet, and the window across their boundary is in a third
+    document. A parse that went on behind the whole factor would not see it."""
+    block = S.Block()
+    block.add(1, _w("abc"))
+    block.add(2, _w("efg"))
+    block.add(3, _w("d"))
+    assert block.parse(_w("abcdefg")) == [(0, 3, 1), (3, 1, 3), (4, 3, 2)]
+
+
+def test_a_text_made_of_two_references_and_their_seam(llm):
+    """Documents 1 and 2 hold the halves, document 3 the 50 words in the middle:
+    document 4 goes as a whole, since its seam is looked up too."""
+    rng = random.Random(6)
+    left, right = some_words(rng, 60, 5000), some_words(rng, 60, 5000)
+    seam = left[-30:] + right[:30]
+    rows = [(1, " ".join(left + ["x"] * 3)), (2, " ".join(["y"] * 3 + right)), (3, " ".join(["z", *seam, "z"])), (4, " ".join(left + right))]
+    got = run(llm.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows, 50)
+    assert [r[2] for r in got] == [0, 0, 0, 120]
+
+
+def test_parts_of_a_block_find_the_same():
+    rng = random.Random(8)
+    passages = [[bytes([rng.randrange(256)]) + rng.randbytes(3) for _ in range(3)] for _ in range(20)]
+    texts = [[w for p in rng.choices(passages, k=3) for w in p] for _ in range(60)]
+    found = []
+    for parts in (1, 4):
+        covered = [set() for _ in texts]
+        for part in range(parts):
+            block = S.Block(part, parts)
+            for i, t in enumerate(texts):
+                covered[i] |= {a + j for a, m, _ in block.parse(t) for j in range(m)}
+                block.add(i, t)
+        found.append(covered)
+    assert found[0] == found[1]
