@@ -8,7 +8,7 @@ a per-partition top-k plus a merge (no global sort)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -288,3 +288,20 @@ def dashboard_tables(top_bus: DataFrame, top_route: DataFrame, outliers: DataFra
             F.round(F.coalesce(F.col("co2_kg_per_km"), F.lit(0.0)), 3).alias("co2_kg_per_km"),
         ),
     }
+
+
+def dashboard_series(bus_daily: DataFrame, route_hourly: DataFrame) -> dict[str, DataFrame]:
+    """K9: the two series the dashboard draws, as labels and values with their
+    place: CO2 per day in date order, CO2 per hour in order of the hour."""
+    co2 = F.round(F.coalesce("co2_kg_est", F.lit(0.0)), 2).alias("value")
+    place = lambda c: (F.row_number().over(Window.orderBy(c)) - 1).cast("int").alias("place")  # noqa: E731  a row per day or hour
+    days = daily_totals(bus_daily).select(F.col("event_date").cast("string").alias("label"), co2, place("event_date"))
+    hours = peak_hours(route_hourly).select(F.lpad(F.col("event_hour").cast("string"), 2, "0").alias("label"), co2, place("event_hour"))
+    return {"daily_trend": days, "peak_hours": hours}
+
+
+def missing_route_finding(kpis: DataFrame) -> DataFrame:
+    """The finding on trips without a route, from the key figures."""
+    share = F.round(F.col("trip_route_missing_ratio") * 100, 2)
+    text = F.format_string("%d trips (%.2f%% of all) have no route; rankings by route leave them out.", "trip_route_missing_count", share)
+    return kpis.select("trip_route_missing_count", share.alias("missing_percent"), text.alias("missing_route_finding"))

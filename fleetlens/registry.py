@@ -727,11 +727,11 @@ def q_stream_silver(spark, sf_dir):
 def q_stream_late_repair(spark, sf_dir):
     """ST7: the same rows in an order that makes many of them late; after the
     repair of the buses with late rows Silver equals the batch Silver."""
-    from .streaming.stream import apply_late_repair
+    from .streaming.stream import apply_late_repair, read_silver
 
     root, _ = _stream_silver(spark, sf_dir, 4, order=(F.col("offset") % 5, "offset"))
     apply_late_repair(spark, f"{root}/bronze", f"{root}/silver", f"{root}/late", f"{root}/carry")
-    return spark.read.parquet(f"{root}/silver").select(*_wire_key(), "trip_id", r6("segment_distance_m"))
+    return read_silver(spark, f"{root}/silver").select(*_wire_key(), "trip_id", r6("segment_distance_m"))
 
 
 @register(
@@ -1287,3 +1287,193 @@ def q_top_trips_of_route(spark, sf_dir):
 def q_insight_text(spark, sf_dir):
     """The findings in words."""
     return reports.insight_text(QUERIES["insight_values"](spark, sf_dir))
+
+
+# --------------------------------------------- progress, layout, small cases
+
+
+@register(
+    "stream_progress",
+    O.with_base(
+        """SELECT CAST(floor((event_id % 5) / 2) AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS input_rows,
+  CASE WHEN min(event_id % 5) < 2 THEN NULL ELSE CAST(floor(min(event_id % 5) / 2) - 1 AS BIGINT) END AS start_offset, CAST(floor(min(event_id % 5) / 2) AS BIGINT) AS end_offset
+FROM ping GROUP BY floor((event_id % 5) / 2)"""
+    ),
+)
+def q_stream_progress(spark, sf_dir):
+    """ST5 / ST2: progress reports as a table: five files of pings under a
+    limit of two files a batch, so three batches; rows and offsets of each."""
+    from .sources import driver
+    from .streaming.stream import progress_report, progress_table, read_ping_stream
+
+    root = _sink_root(spark)
+    events = driver.ping_events(spark, sf_dir)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = _hadoop_folder(spark, root)[0]
+    fs.mkdirs(Path(f"{root}/landing"))
+    for k in range(5):  # a file each, of rising times
+        events.where(F.col("event_id") % 5 == k).coalesce(1).write.json(f"{root}/part-{k}")
+        made = next(s.getPath() for s in fs.listStatus(Path(f"{root}/part-{k}")) if s.getPath().getName().startswith("part-"))
+        fs.rename(made, Path(f"{root}/landing/{k}.json"))
+        fs.setTimes(Path(f"{root}/landing/{k}.json"), 1_700_000_000_000 + 10_000 * k, -1)
+    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=events.schema, max_files_per_trigger=2)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/rows")
+    query.awaitTermination()
+    reports_ = [progress_report(p) for p in query.recentProgress if p.numInputRows]
+    offset = lambda c: F.get_json_object(c, "$.logOffset").cast("long").alias(c)
+    return progress_table(spark, reports_).select("batch_id", "input_rows", offset("start_offset"), offset("end_offset"))
+
+
+def _laid_out(spark, sf_dir):
+    """Silver written by day and bus and read back, and the 20 Gold trips of
+    the most CO2."""
+    from .session import materialize
+    from .sources.sinks import write_silver
+    from .sources.tables import read_table
+
+    root = _sink_root(spark)
+    ts, _, _ = _gold(spark, sf_dir)
+    top = ts.orderBy(F.desc_nulls_last("co2_kg_est"), "trip_id", "route_id").limit(20)
+    write_silver(flows.silver(spark, sf_dir), root)
+    return read_table(spark, f"{root}/silver"), materialize(top, "top-trips")
+
+
+@register(
+    "trip_points",
+    O.with_base("SELECT bus_id, event_id, copy_no, trip_id, t FROM silver WHERE trip_id IN (SELECT trip_id FROM (SELECT trip_id FROM ts ORDER BY co2_kg_est DESC NULLS LAST, trip_id, route_id LIMIT 20) x)"),
+)
+def q_trip_points(spark, sf_dir):
+    """Points of the top trips out of Silver by day and bus."""
+    from .settings import REPORT_TIMEZONE
+    from .sources.tables import trip_points
+
+    silver, top = _laid_out(spark, sf_dir)
+    points = trip_points(silver, top, REPORT_TIMEZONE, [*ROW_KEY, "event_time"])
+    return points.select(*ROW_KEY, "trip_id", F.unix_timestamp("event_time").alias("t"))
+
+
+@register(
+    "dashboard_daily_trend",
+    O.with_base(
+        """SELECT CAST(event_date AS VARCHAR) AS label, round(coalesce(co2_kg_est, 0), 2) AS value, CAST(row_number() OVER (ORDER BY event_date) - 1 AS INTEGER) AS place
+FROM (SELECT event_date, sum(co2_kg_est) AS co2_kg_est FROM bd WHERE event_date IS NOT NULL GROUP BY event_date) x"""
+    ),
+)
+def q_dashboard_daily_trend(spark, sf_dir):
+    """K9: CO2 per day, in date order, with its place."""
+    _, rh, bd = _gold(spark, sf_dir)
+    return reports.dashboard_series(bd, rh)["daily_trend"]
+
+
+@register(
+    "dashboard_peak_hours",
+    O.with_base(
+        """SELECT lpad(CAST(event_hour AS VARCHAR), 2, '0') AS label, round(coalesce(co2_kg_est, 0), 2) AS value, CAST(row_number() OVER (ORDER BY event_hour) - 1 AS INTEGER) AS place
+FROM (SELECT event_hour, sum(co2_kg_est) AS co2_kg_est FROM rh WHERE event_hour IS NOT NULL GROUP BY event_hour) x"""
+    ),
+)
+def q_dashboard_peak_hours(spark, sf_dir):
+    """K9: CO2 per hour, in order of the hour, with its place."""
+    _, rh, bd = _gold(spark, sf_dir)
+    return reports.dashboard_series(bd, rh)["peak_hours"]
+
+
+@register(
+    "insight_missing_route",
+    O.with_base(
+        """SELECT n AS trip_route_missing_count, round(share * 100, 2) AS missing_percent,
+  printf('%d trips (%.2f%% of all) have no route; rankings by route leave them out.', n, round(share * 100, 2)) AS missing_route_finding
+FROM (SELECT CAST(count(*) FILTER (WHERE route_id = 'UNKNOWN') AS BIGINT) AS n, round(count(*) FILTER (WHERE route_id = 'UNKNOWN') / greatest(count(*), 1), 4) AS share FROM ts) x"""
+    ),
+)
+def q_insight_missing_route(spark, sf_dir):
+    """The finding on trips without a route."""
+    ts, rh, bd = _gold(spark, sf_dir)
+    return reports.missing_route_finding(reports.kpi_summary(bd, rh, ts))
+
+
+@register(
+    "bucket_first_points",
+    O.with_map(
+        """SELECT strftime(bucket_start, '%Y-%m-%d %H:%M:%S') AS bucket_start, route_id, lat1_r4, lon1_r4, lat2_r4, lon2_r4,
+  round_even(lat1, 5) AS start_lat, round_even(lon1, 5) AS start_lon, round_even(lat2, 5) AS end_lat, round_even(lon2, 5) AS end_lon,
+  round_even((lat1 + lat2) / 2, 5) AS mid_lat, round_even((lon1 + lon2) / 2, 5) AS mid_lon
+FROM (SELECT *, round_even(lat1, 4) AS lat1_r4, round_even(lon1, 4) AS lon1_r4, round_even(lat2, 4) AS lat2_r4, round_even(lon2, 4) AS lon2_r4,
+  row_number() OVER (PARTITION BY bucket_start, route_id, round_even(lat1, 4), round_even(lon1, 4), round_even(lat2, 4), round_even(lon2, 4) ORDER BY trip_id, segment_idx) AS nth FROM mseg) x
+WHERE nth = 1"""
+    ),
+)
+def q_bucket_first_points(spark, sf_dir):
+    """Per bucket segment the ends and the midpoint of the one seen
+    first."""
+    b = _map(spark, sf_dir)["bucket_segments"]
+    points = [F.col(c)[i].alias(f"{name}_{axis}") for c, name in (("start", "start"), ("end", "end"), ("midpoint", "mid")) for i, axis in enumerate(("lat", "lon"))]
+    return b.select(ts_text("bucket_start"), "route_id", "lat1_r4", "lon1_r4", "lat2_r4", "lon2_r4", *points)
+
+
+@register(
+    "time_slice_order",
+    O.with_map(
+        """SELECT strftime(bucket_start, '%Y-%m-%d %H:%M:%S') AS bucket_start, CAST(row_number() OVER (PARTITION BY bucket_start ORDER BY co2 DESC) - 1 AS INTEGER) AS place, co2 AS co2_kg_est
+FROM (SELECT bucket_start, round_even(co2_sum, 4) AS co2 FROM mbuck) x"""
+    ),
+)
+def q_time_slice_order(spark, sf_dir):
+    """The nested segments of each time slice in their order."""
+    t = _map(spark, sf_dir)["time_slices"]
+    return t.select("bucket_start", F.posexplode("segments").alias("place", "s")).select(ts_text("bucket_start"), "place", F.col("s.co2_kg_est").alias("co2_kg_est"))
+
+
+@register(
+    "read_raw_with_mapping",
+    O.with_base("SELECT p.bus_id, p.t, CASE WHEN trim(p.route_raw) = '' THEN m.route_no ELSE p.route_raw END AS route_id, p.latitude FROM ping p LEFT JOIN mapping m ON p.bus_id = m.vehicle"),
+)
+def q_read_raw_with_mapping(spark, sf_dir):
+    """Raw pings without a route get that of their bus from the mapping
+    while they are read."""
+    from .sources import driver
+    from .sources.raw import read_mapped
+
+    root = _sink_root(spark)
+    p = driver.raw_pings(spark, sf_dir)
+    p.select("bus_id", F.col("t").alias("ts"), F.when(F.trim("route_raw") != "", F.col("route_raw")).alias("route_id"), "latitude", "longitude").write.option("header", True).csv(f"{root}/raw")
+    ev = read_mapped(spark, f"{root}/raw", mapping=flows.mapping(spark, sf_dir))
+    return ev.select("bus_id", F.unix_timestamp("event_time").alias("t"), "route_id", "latitude")
+
+
+@register("mapping_with_gaps", O.with_base("SELECT vehicle, route_no AS mapped_route_id FROM mapping"))
+def q_mapping_with_gaps(spark, sf_dir):
+    """Mapping rows without a vehicle or a route count for nothing."""
+    from .sources import driver
+    from .sources.tables import vehicle_route_map
+
+    raw = driver.vehicle_mapping_raw(spark, sf_dir)
+    gaps = [raw.select(F.lit(None).cast("string").alias("vehicle"), F.lit("000").alias("route_no")), raw.select("vehicle", F.lit(None).cast("string").alias("route_no")), raw.select("vehicle", F.lit(" ").alias("route_no"))]
+    every = raw
+    for g in gaps:
+        every = every.unionByName(g)
+    return vehicle_route_map(every)
+
+
+FIRST_N = 200
+
+
+@register(
+    "first_rows_of_files",
+    O.with_base(
+        f"SELECT f.fmt, CAST(event_id AS VARCHAR) AS event_id, CAST(copy_no AS VARCHAR) AS copy_no FROM (SELECT event_id, copy_no FROM ping ORDER BY event_id, copy_no LIMIT {FIRST_N}) x, (SELECT 'csv' AS fmt UNION ALL SELECT 'json' UNION ALL SELECT 'parquet') f"
+    ),
+)
+def q_first_rows_of_files(spark, sf_dir):
+    """M4: the first rows of each raw file; here one ordered file a format."""
+    from .operators.profile import first_rows
+    from .sources import driver
+    from .sources.raw import read_raw_frames
+
+    root = _sink_root(spark)
+    p = driver.raw_pings(spark, sf_dir).select("event_id", "copy_no", "bus_id").orderBy("event_id", "copy_no").coalesce(1)
+    for fmt in ("csv", "json", "parquet"):
+        p.write.format(fmt).option("header", True).save(f"{root}/{fmt}")
+    fmt = F.regexp_extract("source_file", r"/(csv|json|parquet)/", 1).alias("fmt")
+    frames = [f.select(fmt, "event_id", "copy_no") for f in first_rows(read_raw_frames(spark, root), FIRST_N)]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])

@@ -114,9 +114,20 @@ def resolve_points(spark: SparkSession, silver: str | None = None, cache: str |
     raise FileNotFoundError("no Silver table, event cache or raw files to read points from")
 
 
-def trip_points(points: DataFrame, trips: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Points of the given trips as a left-semi join (a repeated
-    trip id in ``trips`` does not repeat points). ``trips`` must be small:
-    it is broadcast (callers pass a top-k result)."""
-    sel = points if columns is None else points.select(*dict.fromkeys(list(columns) + ["trip_id"]))
-    return sel.join(F.broadcast(trips.select("trip_id")), "trip_id", "left_semi")
+#: So many chosen trips go into the scan's filters; more are joined only.
+MOST_LISTED = 1000
+
+
+def trip_points(silver: DataFrame, trips: DataFrame, timezone: str, columns: list[str] | None = None) -> DataFrame:
+    """The points of chosen Gold trips (trip_id, bus_id, trip_start
+    and trip_end in local time), from Silver as ``write_silver`` lays it out. A
+    repeated trip id does not repeat points. The chosen trips, a top-k list,
+    say which days and buses can hold their points: those go into the scan's
+    filters, so that other folders and row groups are not read."""
+    sel = silver if columns is None else silver.select(*dict.fromkeys([*columns, "trip_id", "bus_id", "event_date"]))
+    utc = lambda c: F.to_date(F.to_utc_timestamp(c, timezone))
+    days = trips.select("trip_id", "bus_id", F.explode(F.sequence(utc("trip_start"), utc("trip_end"))).alias("day"))
+    listed = days.limit(MOST_LISTED + 1).collect()
+    if len(listed) <= MOST_LISTED:
+        sel = sel.where(F.col("event_date").isin(sorted({r.day for r in listed})) & F.col("bus_id").isin(sorted({r.bus_id for r in listed})))
+    return sel.join(F.broadcast(trips.select("trip_id").distinct()) if len(listed) <= MOST_LISTED else trips.select("trip_id").distinct(), "trip_id", "left_semi")

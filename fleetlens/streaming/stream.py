@@ -2,29 +2,36 @@
 per-bus carry so stream trips equal batch trips (S7, ST1-ST11, A22, K1, K2).
 
 The reference cuts trips inside each micro-batch only, so trip numbers
-restart every batch (F1). Here each batch is enriched together with a carry
-table - one row per bus: its last row and trip number - and the next carry
-is written as a new version keyed by the batch id. Batch N reads only
-version N-1 and overwrites only its own outputs, so a retried batch gives
-the same result (F16). Rows older than the bus's carried point are late:
-they stay in Bronze, are flagged, and are left out of Silver until
-``repair_late`` recomputes those buses from Bronze (ST7).
+restart every batch (F1). Here each batch is enriched together with the carry
+- per bus its last row and trip number - of the buses it holds. The carry is
+a log: a batch writes the new rows of its own buses only, and folds one
+part of the fleet after the other, batch by batch, so what is written follows
+the batch and not the fleet. A small version file names the folders that make
+up the carry of a batch. Batch N reads only version N-1 and overwrites only its
+own outputs, so a retried batch gives the same result (F16). Rows older than
+the bus's carried point are late: they stay in Bronze, are flagged, and are
+left out of Silver until ``apply_late_repair`` recomputes those buses from the
+last point before them (ST7).
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import time
+import uuid
 from collections import deque
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators.normalize import decode_events, drop_incomplete, normalize_events
-from ..operators.segments import build_silver, default_tie_cols, enrich_segments, valid_pings
+from ..operators.segments import default_tie_cols, enrich_segments, valid_pings
 from ..plans.joins import join_dimension
 from ..plans.ordered_scan import SLOT_ROWS
 from ..session import materialize
@@ -63,6 +70,10 @@ def read_ping_stream(
 #: Versions of the carry that stay on disk: the one in use, the one before it
 #: (a retried batch reads that), and one more.
 KEEP_CARRIES = 3
+#: Parts of the fleet, by bus; a batch folds one of them. The log holds the
+#: batches of one such round.
+CARRY_PARTS = 16
+VERSION_FILE = "version.json"
 
 
 def _query_id(spark: SparkSession) -> str:
@@ -71,8 +82,8 @@ def _query_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
-def _carry_path(spark: SparkSession, root: str, batch_id: int) -> str:
-    return f"{root}/query_id={_query_id(spark)}/batch_id={batch_id}"
+def _carry_root(spark: SparkSession, root: str) -> str:
+    return f"{root}/query_id={_query_id(spark)}"
 
 
 def _folder(spark: SparkSession, path: str):
@@ -80,6 +91,32 @@ def _folder(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all: written beside and renamed."""
+    fs, target = _folder(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent()}/_{target.getName()}-{uuid.uuid4().hex[:8]}")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, target):  # where a rename does not replace
+        fs.delete(target, False)
+        if not fs.rename(part, target):
+            raise OSError(f"can't write {path}")
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, at = _folder(spark, path)
+    if not fs.exists(at):
+        return None
+    source = fs.open(at)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def _refuse_other_stream(spark: SparkSession, root: str) -> None:
     """A stream that starts at batch 0 over another stream's carry would
     overwrite that one's Silver: fail instead."""
@@ -90,17 +127,43 @@ def _refuse_other_stream(spark: SparkSession, root: str) -> None:
             raise RuntimeError(f"{root} belongs to another stream ({others[0]}); its checkpoint was reset or another one is used")
 
 
-def _read_carry(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    """Version ``batch_id - 1`` of the carry table, or None for the first
-    batch. A missing version for a later batch is an error (never guess)."""
+def _carry_version(spark: SparkSession, own: str, batch_id: int) -> dict | None:
+    """What makes up the carry behind batch ``batch_id``: ``log`` (folders of
+    changed rows, oldest first) and ``parts`` (per folded part its folder and
+    the number of the last log entry in it)."""
+    text = _read_text(spark, f"{own}/batch_id={batch_id}/{VERSION_FILE}")
+    return None if text is None else json.loads(text)
+
+
+def _rows_of(spark: SparkSession, own: str, version: dict) -> DataFrame:
+    """All rows of a version with their age ``_seq``: of a bus the one with
+    the largest counts."""
+    kind = T.StructType.fromJson(json.loads(version["schema"]))
+    frames = [spark.read.schema(kind).parquet(f"{own}/{e['path']}").withColumn("_seq", F.lit(e["seq"])) for e in [*version["parts"].values(), *version["log"]]]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """One row per bus, the last written; a partial aggregate."""
+    cols = [c for c in rows.columns if c != "_seq"]
+    return rows.groupBy("bus_id").agg(F.max_by(F.struct(*(c for c in cols if c != "bus_id")), "_seq").alias("_l")).select("bus_id", "_l.*").select(*cols)
+
+
+def _read_carry(spark: SparkSession, root: str, batch_id: int, buses: DataFrame | None = None) -> DataFrame | None:
+    """The carry behind batch ``batch_id - 1`` of the given buses (of all by
+    default), or None for the first batch. A missing version for a later batch
+    is an error (never guess)."""
     if batch_id == 0:
         _refuse_other_stream(spark, root)
         return None
-    path = _carry_path(spark, root, batch_id - 1)
-    try:
-        return spark.read.parquet(path)
-    except Exception as exc:  # noqa: BLE001 - re-raised with context
-        raise RuntimeError(f"carry version {batch_id - 1} missing at {path}") from exc
+    own = _carry_root(spark, root)
+    version = _carry_version(spark, own, batch_id - 1)
+    if version is None:
+        raise RuntimeError(f"carry version {batch_id - 1} missing under {own}")
+    rows = _rows_of(spark, own, version)
+    if buses is not None:
+        rows = rows.join(buses, rows.bus_id.eqNullSafe(buses._bus), "left_semi")
+    return _newest(rows)
 
 
 ROW_HASH = "_row_hash"
@@ -127,7 +190,7 @@ def enrich_with_carry(
     if not keyed:
         batch = batch.withColumn(ROW_HASH, F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
         ties = [ROW_HASH]
-    prev = _read_carry(spark, carry_root, batch_id)
+    prev = _read_carry(spark, carry_root, batch_id, batch.select(F.col("bus_id").alias("_bus")).distinct())
     rows = batch.withColumn(CARRY_FLAG, F.lit(False)).withColumn("_off", F.lit(None).cast("long"))
     late = rows.limit(0)
     if prev is not None:
@@ -146,21 +209,51 @@ def enrich_with_carry(
     enriched = enriched.withColumn("trip_seq", seq).withColumn("trip_id", F.concat_ws("_", F.col("bus_id"), F.col("trip_seq").cast("string"))).drop("_off")
     hidden = [CARRY_FLAG, "_after"] + ([] if keyed else [ROW_HASH])
     out = enriched.filter(~F.col(CARRY_FLAG)).drop(*hidden)
-    # New carry: last row per bus over carry + batch (buses without rows in
-    # this batch keep their old row). max_by is a partial aggregate.
+    # New carry: last row of the batch's buses over carry + batch. max_by is a
+    # partial aggregate.
     cols = batch.columns + ["trip_seq"]
     last_row = enriched.groupBy("bus_id").agg(F.max_by(F.struct(*[F.col(c) for c in cols if c != "bus_id"]), F.struct("event_time", "_after", *ties)).alias("_l"))
     return out, late.select(*columns), last_row.select("bus_id", "_l.*").select(*cols)
 
 
+def _part(c: str = "bus_id"):
+    return F.pmod(F.xxhash64(c), F.lit(CARRY_PARTS)).cast("int")
+
+
 def write_carry(carry: DataFrame, carry_root: str, batch_id: int) -> None:
-    """Write this batch's version; versions that no batch can read any more
-    are deleted."""
+    """Add the batch's rows to the log, fold one part of the fleet once the log
+    holds a round of batches, write this version, and delete the versions and
+    folders that no batch can read any more."""
     spark = carry.sparkSession
-    carry.write.mode("overwrite").parquet(_carry_path(spark, carry_root, batch_id))
-    fs, old = _folder(spark, _carry_path(spark, carry_root, batch_id - KEEP_CARRIES))
-    if batch_id >= KEEP_CARRIES:
-        fs.delete(old, True)
+    own = _carry_root(spark, carry_root)
+    before = {"log": [], "parts": {}} if batch_id == 0 else _carry_version(spark, own, batch_id - 1)
+    log_path = f"rows/log-{batch_id}"
+    carry.write.mode("overwrite").parquet(f"{own}/{log_path}")
+    version = {"schema": carry.schema.json(), "log": [*before["log"], {"path": log_path, "seq": 2 * batch_id}], "parts": dict(before["parts"])}
+    if batch_id >= CARRY_PARTS:
+        part = batch_id % CARRY_PARTS
+        path = f"rows/part-{part}-{batch_id}"
+        _newest(_rows_of(spark, own, version).where(_part() == part)).write.mode("overwrite").parquet(f"{own}/{path}")
+        version["parts"][str(part)] = {"path": path, "seq": 2 * batch_id}
+        if len(version["parts"]) == CARRY_PARTS:  # entries that every part has folded
+            done = min(p["seq"] for p in version["parts"].values())
+            version["log"] = [e for e in version["log"] if e["seq"] > done]
+    _write_version(spark, own, batch_id, version)
+
+
+def _write_version(spark: SparkSession, own: str, batch_id: int, version: dict) -> None:
+    fs = _folder(spark, own)[0]
+    fs.mkdirs(_folder(spark, f"{own}/batch_id={batch_id}")[1])
+    _write_text(spark, f"{own}/batch_id={batch_id}/{VERSION_FILE}", json.dumps(version))
+    if batch_id < KEEP_CARRIES:
+        return
+    gone = batch_id - KEEP_CARRIES
+    old = _carry_version(spark, own, gone)
+    kept = [_carry_version(spark, own, i) or {"log": [], "parts": {}} for i in range(gone + 1, batch_id + 1)]
+    paths = lambda v: {e["path"] for e in [*v["log"], *v["parts"].values()]}
+    for path in paths(old or {"log": [], "parts": {}}) - set().union(*map(paths, kept)):
+        fs.delete(_folder(spark, f"{own}/{path}")[1], True)
+    fs.delete(_folder(spark, f"{own}/batch_id={gone}")[1], True)
 
 
 def write_batch(df: DataFrame, root: str, batch_id: int, fmt: str = "parquet") -> None:
@@ -227,9 +320,14 @@ def make_batch_handler(
     return handle
 
 
+def _offset(text: str | None) -> str | None:
+    return None if text in (None, "null") else text
+
+
 class StreamMetrics(StreamingQueryListener):
-    """ST5: keeps the last ``keep`` progress reports (rows per second, batch
-    ids); ``run_stream`` attaches it when it is given one."""
+    """ST5: keeps the last ``keep`` progress reports (batch id, rows, rows per
+    second, first and last offset of each source); ``run_stream`` attaches it
+    when it is given one."""
 
     def __init__(self, keep: int = 1000):
         self.progress = deque(maxlen=keep)
@@ -238,8 +336,7 @@ class StreamMetrics(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
-        p = event.progress
-        self.progress.append({"batchId": p.batchId, "numInputRows": p.numInputRows, "processedRowsPerSecond": p.processedRowsPerSecond})
+        self.progress.append(progress_report(event.progress))
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
@@ -249,6 +346,23 @@ class StreamMetrics(StreamingQueryListener):
             log.error("stream failed: %s", event.exception)
 
 
+def progress_report(p) -> dict:
+    """One progress report of Spark as a flat row with its sources."""
+    sources = [{"source": s.description, "start_offset": _offset(s.startOffset), "end_offset": _offset(s.endOffset), "rows": s.numInputRows} for s in p.sources]
+    return {"batchId": p.batchId, "numInputRows": p.numInputRows, "processedRowsPerSecond": p.processedRowsPerSecond, "timestamp": p.timestamp, "sources": sources}
+
+
+PROGRESS = "batch_id long, input_rows long, rows_per_second double, reported_at string, source string, start_offset string, end_offset string"
+
+
+def progress_table(spark: SparkSession, reports) -> DataFrame:
+    """ST5 / ST2: progress reports (of a listener, or ``recentProgress`` of a
+    query by ``progress_report``) as rows, one per batch and source, so that
+    rate limits can be checked and kept beside the data."""
+    rows = [(r["batchId"], s["rows"], r["processedRowsPerSecond"], r["timestamp"], s["source"], s["start_offset"], s["end_offset"]) for r in reports for s in r["sources"]]
+    return spark.createDataFrame(rows, PROGRESS)
+
+
 def run_stream(
     stream: DataFrame,
     bronze_root: str,
@@ -290,41 +404,139 @@ def replay_as_stream(events: DataFrame, folder: str, n_files: int, order_cols=("
         fs.setTimes(file, start + 1000 * i, -1)
 
 
-def repair_late(spark: SparkSession, bronze_root: str, late: DataFrame, quality: Quality = Quality(), tie_cols=None) -> DataFrame:
-    """ST7: Silver rows recomputed from all of Bronze for the buses that got
-    late rows (a semi join on the late buses, then the batch enrichment). A
-    Bronze ``batch_id`` rides along."""
+#: The file that says which folder holds each batch's Silver, and where
+#: repaired batches lie (a name that Spark's listings pass over).
+POINTER = "_current.json"
+
+
+def _pointer(spark: SparkSession, silver_root: str) -> dict[str, str]:
+    """Per batch that a repair wrote anew, its folder below ``silver_root``."""
+    return json.loads(_read_text(spark, f"{silver_root}/{POINTER}") or "{}")
+
+
+def read_silver(spark: SparkSession, silver_root: str) -> DataFrame:
+    """Silver as the last whole repair left it: batches that it wrote anew are
+    read from its own folder, so a reader that comes while the next repair
+    writes sees the old state or the new one, never a part."""
+    held = _pointer(spark, silver_root)
+    fs, path = _folder(spark, silver_root)
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    bases: dict[str, list[str]] = {}
+    for b in (n.split("=")[1] for n in names if n.startswith("batch_id=")):
+        folder = f"{silver_root}/{held.get(b, f'batch_id={b}')}"
+        bases.setdefault(folder.rpartition("/")[0], []).append(folder)
+    frames = [spark.read.option("basePath", base).parquet(*folders) for base, folders in bases.items()]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+
+
+def restart_points(silver: DataFrame, late: DataFrame) -> DataFrame:
+    """(bus_id, ...) per bus with late rows: its last Silver row before the
+    first of them, with its trip number. A bus without such a row has none."""
+    first = late.groupBy("bus_id").agg(F.min("event_time").alias("_from"))
+    before = silver.join(first.withColumnRenamed("bus_id", "_bus"), F.col("bus_id").eqNullSafe(F.col("_bus"))).where(F.col("event_time") < F.col("_from"))
+    cols = [c for c in silver.columns if c != "bus_id"]
+    ties = default_tie_cols(silver)
+    return before.groupBy("bus_id").agg(F.max_by(F.struct(*cols), F.struct("event_time", *ties)).alias("_l")).select("bus_id", "_l.*")
+
+
+def repaired_rows(spark: SparkSession, bronze_root: str, late: DataFrame, quality: Quality = Quality(), tie_cols=None, silver: DataFrame | None = None) -> DataFrame:
+    """ST7: the rows, before the validity filter, of the buses that got late
+    rows, computed anew from Bronze: with ``silver`` from the last Silver row
+    before a bus's first late row (older Bronze is filtered away in the scan),
+    else, and where there is none, from the bus's beginning. A Bronze
+    ``batch_id`` rides along; the restart rows themselves are not returned."""
     bronze = spark.read.parquet(bronze_root).drop("json_payload")
-    buses = late.select("bus_id").distinct()
-    ties = default_tie_cols(bronze) if tie_cols is None else tie_cols
-    return build_silver(bronze.join(buses, "bus_id", "left_semi"), quality=quality, tie_cols=ties or None)
+    ties = list(tie_cols or default_tie_cols(bronze))
+    buses = late.select(F.col("bus_id").alias("_bus")).distinct()
+    if silver is None:
+        rows = bronze.join(buses, F.col("bus_id").eqNullSafe(F.col("_bus")), "left_semi")
+        return enrich_segments(rows, quality=quality, tie_cols=ties or None)
+    points = materialize(restart_points(silver, late), "late-restart")
+    oldest = points.agg(F.count(F.lit(1)).alias("n"), F.min("event_time").alias("t")).first()
+    if buses.count() == oldest.n:  # a literal, so that the scan skips files
+        bronze = bronze.where(F.col("event_time").isNull() | (F.col("event_time") >= F.lit(oldest.t)))
+    rows = bronze.join(buses, F.col("bus_id").eqNullSafe(F.col("_bus")), "left_semi")
+    if not ties:
+        cols = [c for c in bronze.columns if c != "batch_id"]
+        rows = rows.withColumn(ROW_HASH, F.xxhash64(*(F.col(f"`{c}`") for c in cols)))
+        points = points.withColumn(ROW_HASH, F.xxhash64(*(F.col(f"`{c}`") for c in cols)))
+        ties = [ROW_HASH]
+    key = lambda: F.struct("event_time", *ties)
+    known = points.select(F.col("bus_id").alias("_cb"), key().alias("_ck"), (F.col("trip_seq") - 1).alias("_off"))
+    rows = rows.join(known, F.col("bus_id").eqNullSafe(F.col("_cb")), "left")
+    rows = rows.where(F.col("_ck").isNull() | (key() > F.col("_ck"))).drop("_cb", "_ck").withColumn(CARRY_FLAG, F.lit(False))
+    carried = points.select(*(c for c in rows.columns if c in points.columns), (F.col("trip_seq") - 1).alias("_off"), F.lit(True).alias(CARRY_FLAG))
+    every = enrich_segments(rows.unionByName(carried, allowMissingColumns=True), quality=quality, tie_cols=ties)
+    seq = F.col("trip_seq") + F.coalesce(F.col("_off"), F.lit(0))
+    every = every.withColumn("trip_seq", seq).withColumn("trip_id", F.concat_ws("_", F.col("bus_id"), F.col("trip_seq").cast("string")))
+    return every.where(~F.col(CARRY_FLAG)).drop(CARRY_FLAG, "_off", *([ROW_HASH] if ROW_HASH in ties else []))
+
+
+def repair_late(spark: SparkSession, bronze_root: str, late: DataFrame, quality: Quality = Quality(), tie_cols=None) -> DataFrame:
+    """ST7: Silver rows of the buses that got late rows, computed anew from all
+    of Bronze (the plain way, without restart points)."""
+    return valid_pings(repaired_rows(spark, bronze_root, late, quality, tie_cols))
 
 
 def apply_late_repair(spark: SparkSession, bronze_root: str, silver_root: str, late_root: str, carry_root: str | None = None, quality: Quality = Quality(), tie_cols=None) -> None:
-    """ST7: replace the Silver rows of the buses that got late rows. Only the
-    ``batch_id`` folders that hold such a bus are rewritten, each as a whole;
-    run it between two runs of the stream. With ``carry_root`` the newest carry
-    of each stream gets those buses' new trip numbers."""
-    late = spark.read.parquet(late_root)
-    buses = materialize(late.select("bus_id").distinct(), "late-buses")
-    fixed = materialize(repair_late(spark, bronze_root, late, quality, tie_cols), "late-silver")
-    silver = spark.read.parquet(silver_root)
-    touched = materialize(fixed.select("batch_id").unionByName(silver.join(buses, "bus_id", "left_semi").select("batch_id")).distinct(), "late-batches")
-    kept = silver.join(touched, "batch_id", "left_semi").join(buses, "bus_id", "left_anti")
-    whole = materialize(kept.unionByName(fixed, allowMissingColumns=True), "late-batches-new")
-    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(silver_root)
-    if carry_root is None:
+    """ST7: replace the Silver rows of the buses that got late rows, from the
+    first late row on, and empty the late folder; run it between two runs of
+    the stream. With ``carry_root`` the newest carry of each stream gets those
+    buses' new trip numbers.
+
+    The ``batch_id`` folders that hold such rows are written, each as a whole,
+    into a folder of the repair's own; one small file then turns ``read_silver``
+    to it. Only after that the plain folders are replaced, for readers who know
+    nothing of that file. The folders of the repair before last go."""
+    fs = _folder(spark, silver_root)[0]
+    folders = [s.getPath() for s in fs.listStatus(_folder(spark, late_root)[1]) if s.getPath().getName().startswith("batch_id=")]
+    late = spark.read.parquet(late_root) if folders else None
+    if late is None or late.isEmpty():
         return
+    silver = read_silver(spark, silver_root)
+    same_bus = F.col("bus_id").eqNullSafe(F.col("_bus"))
+    key = F.struct("event_time", *default_tie_cols(silver))
+    points = restart_points(silver, late).select(F.col("bus_id").alias("_cb"), key.alias("_ck"))
+    buses = late.select(F.col("bus_id").alias("_bus")).distinct()
+    buses = materialize(buses.join(points, F.col("_bus").eqNullSafe(F.col("_cb")), "left").select("_bus", "_ck"), "late-buses")
+    every = materialize(repaired_rows(spark, bronze_root, late, quality, tie_cols, silver), "late-rows")
+    fixed, behind = valid_pings(every), F.col("_ck").isNull() | (key > F.col("_ck"))
+    old = silver.join(buses, same_bus).where(behind)
+    touched = materialize(fixed.select("batch_id").unionByName(old.select("batch_id")).distinct(), "late-batches")
+    batches = sorted(r.batch_id for r in touched.collect())  # numbers of batches
+    kept = silver.join(touched, "batch_id", "left_semi").join(buses.withColumn("_hit", F.lit(True)), same_bus, "left")
+    kept = kept.where(F.col("_hit").isNull() | ~behind).select(*silver.columns)
+    repair = f"_repair-{uuid.uuid4().hex[:12]}"
+    kept.unionByName(fixed, allowMissingColumns=True).write.partitionBy("batch_id").parquet(f"{silver_root}/{repair}")
+    before = _pointer(spark, silver_root)
+    written = {str(b): f"{repair}/batch_id={b}" for b in batches}
+    _write_text(spark, f"{silver_root}/{POINTER}", json.dumps(before | written))
+    whole = spark.read.option("basePath", f"{silver_root}/{repair}").parquet(*(f"{silver_root}/{f}" for f in written.values()))
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(silver_root)
+    used = {f.split("/")[0] for f in [*before.values(), *written.values()]}
+    for status in fs.listStatus(_folder(spark, silver_root)[1]):
+        if status.getPath().getName().startswith("_repair-") and status.getPath().getName() not in used:
+            fs.delete(status.getPath(), True)
+    if carry_root is not None:
+        _repair_carry(spark, carry_root, every, tie_cols)
+    for folder in folders:
+        fs.delete(folder, True)
+
+
+def _repair_carry(spark: SparkSession, carry_root: str, every: DataFrame, tie_cols) -> None:
+    """The repaired buses' last trip numbers as one more entry of the log."""
     fs, path = _folder(spark, carry_root)
+    ties = list(tie_cols or default_tie_cols(every))
+    last = every.groupBy(F.col("bus_id").alias("_bus")).agg(F.max_by("trip_seq", F.struct("event_time", *ties)).alias("_trip"))
     for stream in fs.listStatus(path):
-        versions = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(stream.getPath())]
-        newest = f"{stream.getPath()}/batch_id={max(versions)}"
-        old = spark.read.parquet(newest)
-        ties = [c for c in (tie_cols or default_tie_cols(old)) if c in old.columns]
-        every = enrich_segments(spark.read.parquet(bronze_root).drop("json_payload", "batch_id").join(buses, "bus_id", "left_semi"), quality=quality, tie_cols=ties or None)
-        last = every.groupBy("bus_id").agg(F.max_by("trip_seq", F.struct("event_time", *ties)).alias("_seq"))
-        moved = materialize(old.join(last, "bus_id", "left").withColumn("trip_seq", F.coalesce("_seq", "trip_seq")).select(*old.columns), "late-carry")
-        moved.write.mode("overwrite").parquet(newest)
+        own = stream.getPath().toString()
+        newest = max(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(stream.getPath()) if s.getPath().getName().startswith("batch_id="))
+        version = _carry_version(spark, own, newest)
+        old = _newest(_rows_of(spark, own, version))
+        moved = old.join(last, F.col("bus_id").eqNullSafe(F.col("_bus"))).withColumn("trip_seq", F.col("_trip")).select(*old.columns)
+        entry = {"path": f"rows/repair-{uuid.uuid4().hex[:12]}", "seq": 2 * newest + 1}
+        moved.write.parquet(f"{own}/{entry['path']}")
+        _write_version(spark, own, newest, {**version, "log": [*version["log"], entry]})
 
 
 def stream_hourly(stream: DataFrame, watermark: str = "1 hour", minutes: int = 60) -> DataFrame:
