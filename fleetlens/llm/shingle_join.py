@@ -48,6 +48,8 @@ SALTS = 64
 #: Sets that share a prefix shingle are paired as rows up to so many sets; a
 #: longer list is compared in blocks of so many.
 LIST_ROWS, BLOCK_ROWS = 128, 1024
+#: Words of bitmaps that are compared at a time: 16 MB, however long the sets.
+PAIR_WORDS = 1 << 21
 
 
 # ------------------------------------------------------------ shingle order
@@ -258,8 +260,9 @@ def _block_pairs(num, den):
                     continue
                 bx, by = (_folded(z["bits"], min(wx, wy)) for z in (x, y))
                 nx, ny, cx, cy, dx, dy = (z[c].to_numpy() for c in ("n", "comp", "doc") for z in (x, y))
-                for lo in range(0, len(x), 64):
-                    at = slice(lo, lo + 64)
+                step = max(1, PAIR_WORDS // (len(y) * min(wx, wy)))
+                for lo in range(0, len(x), step):
+                    at = slice(lo, lo + step)
                     only_x = np.bitwise_count(bx[at, None, :] & ~by).sum(-1, dtype=np.int64)
                     only_y = np.bitwise_count(by & ~bx[at, None, :]).sum(-1, dtype=np.int64)
                     size = nx[at, None] + ny
