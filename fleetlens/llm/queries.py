@@ -67,7 +67,18 @@ def op1_chat_format(spark, sf_dir):
     return read_back(format_conversations(table.unionByName(own)))
 
 
-@register("op2_shingle_join")
+@register(
+    "op2_shingle_join",
+    r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0) x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+k AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS component_id FROM documents UNION SELECT k.b, r.component_id FROM r JOIN k ON k.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id
+JOIN (SELECT doc_id, min(component_id) AS component_id FROM r GROUP BY doc_id) c ON d.doc_id = c.doc_id""",
+)
 def op2_shingle_join(spark, sf_dir):
     """All documents linked at a Jaccard similarity of 0.8 on five words."""
     from .shingle_join import shingle_join
@@ -152,7 +163,16 @@ def op9_quality_rules(spark, sf_dir):
     return quality_rules(read_driver_table(spark, sf_dir, "documents")).drop("distance")
 
 
-@register("op10_substring_dedup")
+@register(
+    "op10_substring_dedup",
+    r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS span FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50) x),
+g AS (SELECT span, min(doc_id) AS lo FROM s GROUP BY span HAVING min(doc_id) < max(doc_id)),
+h AS (SELECT DISTINCT doc_id, i + j AS pos FROM (SELECT s.doc_id, s.i FROM s JOIN g ON s.span = g.span WHERE g.lo < s.doc_id) y, (SELECT unnest(range(0, 50)) AS j) z),
+e AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w WHERE len(words) > 0),
+m AS (SELECT e.doc_id, count(*) AS n_words, count(h.pos) AS n_removed, string_agg(CASE WHEN h.pos IS NULL THEN e.word END, ' ' ORDER BY e.pos) AS kept FROM e LEFT JOIN h ON e.doc_id = h.doc_id AND e.pos = h.pos GROUP BY e.doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN m ON w.doc_id = m.doc_id""",
+)
 def op10_substring_dedup(spark, sf_dir):
     """All documents without the 50-word runs that smaller ids have too."""
     from .substrings import remove_repeats
