@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fleetlens.registry import QUERIES  # noqa: E402
-from fleetlens.session import build_session  # noqa: E402
+from fleetlens.session import build_session, drop_intermediate  # noqa: E402
 
 HEADLINE = [
     "silver_segments",
@@ -45,6 +45,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
         spark.catalog.clearCache()
+        drop_intermediate(spark)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(
         json.dumps(

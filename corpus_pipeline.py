@@ -1,5 +1,12 @@
 """From raw documents to packed sequences: five stages, each an operator of
-``fleetlens.llm`` applied to all that its predecessor kept."""
+``fleetlens.llm`` applied to all that its predecessor kept.
+
+In every stage: null texts are empty; null languages and sources are values of
+their own; rows with a null id are kept or dropped by their text alone, and
+never count as copies; repeated rows are one near-duplicate group; very long
+texts are taken whole; an empty table gives no rows; columns beside those of
+``documents``, whatever they are called, come along unchanged up to the last
+stage."""
 
 from __future__ import annotations
 

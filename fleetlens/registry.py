@@ -1477,3 +1477,32 @@ def q_first_rows_of_files(spark, sf_dir):
     fmt = F.regexp_extract("source_file", r"/(csv|json|parquet)/", 1).alias("fmt")
     frames = [f.select(fmt, "event_id", "copy_no") for f in first_rows(read_raw_frames(spark, root), FIRST_N)]
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+@register(
+    "read_parquet_layouts",
+    O.with_base(
+        """SELECT CAST(event_id AS VARCHAR) AS event_id, copy_no, CASE WHEN event_id % 3 = 0 THEN CAST(CAST(speed_kmh AS INTEGER) AS DOUBLE) ELSE speed_kmh END AS speed,
+  CASE WHEN event_id % 3 = 0 THEN strftime(make_timestamp((t - t % 86400) * 1000000), '%Y-%m-%d %H:%M:%S') ELSE strftime(make_timestamp(t * 1000000), '%Y-%m-%d %H:%M:%S') END AS seen,
+  CASE WHEN event_id % 3 = 2 THEN bus_id END AS bus_id FROM ping"""
+    ),
+)
+def q_read_parquet_layouts(spark, sf_dir):
+    """Three Parquet layouts that disagree on three columns' types, two
+    files each: numbers widen to double, dates to timestamps, the rest to
+    text; a column that only one layout has is NULL elsewhere."""
+    from .sources import driver
+    from .sources.raw import read_parquet
+
+    root = _sink_root(spark)
+    p = driver.raw_pings(spark, sf_dir)
+    time = F.timestamp_seconds("t")
+    layouts = [
+        [F.col("event_id"), F.col("copy_no"), F.col("speed_kmh").cast("int").alias("speed"), F.to_date(time).alias("seen")],
+        [F.col("event_id").cast("int"), F.col("copy_no"), F.col("speed_kmh").alias("speed"), time.alias("seen")],
+        [F.col("event_id").cast("string"), F.col("copy_no"), F.col("speed_kmh").cast("float").alias("speed"), time.alias("seen"), F.col("bus_id")],
+    ]
+    for k, columns in enumerate(layouts):
+        p.where(F.col("event_id") % 3 == k).repartition(2).select(*columns).write.parquet(f"{root}/raw/{k}")
+    got = read_parquet(spark, f"{root}/raw")
+    return got.select("event_id", "copy_no", "speed", ts_text("seen"), "bus_id")

@@ -70,19 +70,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}"
 
 
+#: Folders of intermediate tables that this process has written, by session.
+_written: dict[str, list[str]] = {}
+
+
+def intermediate(spark: SparkSession, path: str) -> str:
+    """Note a folder as one that ``drop_intermediate`` may delete."""
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to a fresh shared folder and read it back: readers
     share the result, nothing stays in executor memory, and a lost executor
     costs no recomputation."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = intermediate(spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}"))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_tables(spark: SparkSession, prefix: str) -> None:
-    """Delete the materialized tables whose name begins with ``prefix``."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, f"{prefix}-*"))
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.globStatus(root) or []:
-        fs.delete(status.getPath(), True)
+def drop_intermediate(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this application has written so
+    far; returns how many there were. Call it when the results are written:
+    what is still lazy can't be computed any more."""
+    folders = _written.pop(spark.sparkContext.applicationId, [])
+    for path in folders:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(folders)

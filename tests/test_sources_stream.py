@@ -76,6 +76,33 @@ def test_parquet_files_with_other_columns_and_types(spark):
     assert {r.bus_id: r.latitude for r in read_mapped(spark, d).collect()} == {"B1": 1.5, "B2": 1.5, "B3": 3.5}
 
 
+def test_the_plan_grows_with_layouts_and_broken_files_are_left_out(spark):
+    from fleetlens.sources.raw import read_parquet, rejected_records, wider
+
+    d = tempfile.mkdtemp(prefix="fl-layouts-")
+    spark.range(100).repartition(7).write.parquet(f"{d}/a")
+    spark.range(100).selectExpr("cast(id as string) id").repartition(6).write.parquet(f"{d}/b")
+    open(f"{d}/broken.parquet", "w").write("no parquet")
+    df = read_parquet(spark, d)
+    assert df.count() == 200 and df.schema["id"].dataType.simpleString() == "string"
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    assert [(r.reason, r.scope) for r in rejected_records(spark, d).collect()] == [("no readable footer", "file")]
+    assert [wider(k) for k in (["int32", "int64"], ["int32", "float"], ["int8", "float"], ["double", "int16"], ["date32[day]", "timestamp[us, tz=UTC]"], ["bool", "int32"], ["string", "int64"])] == ["bigint", "double", "float", "double", "timestamp", "string", "string"]
+
+
+def test_json_in_other_modes_and_with_odd_names(spark):
+    text = '{"a b": 1, "c.d": {"x`y": [1, 2]}, "e": null}\n17\n{"a b": 2.5}\nnope\n'
+    d = _files(x__json=text)
+    df = read_json_flexible(spark, d)
+    assert df.columns == ["a b", "c.d", "e", "source_file"] and sorted(r["a b"] for r in df.collect()) == [1.0, 2.5]
+    assert read_json_flexible(spark, d, "PERMISSIVE").count() == 4
+    with pytest.raises(Exception, match="malformed JSON record"):
+        read_json_flexible(spark, d, "FAILFAST").collect()
+    from fleetlens.sources.raw import raw_file_columns
+
+    assert sorted(r.column_name for r in raw_file_columns(spark, d).collect()) == ["a b", "c.d.x`y", "e"]
+
+
 def test_event_cache_and_point_sources(spark):
     from fleetlens.sources.tables import read_event_cache, resolve_points
 
