@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import intermediate, scratch_path
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -21,7 +21,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     survives lost executors, and gives a later join an exchange on this side
     too, so that adaptive execution can split its hot keys."""
     spark = df.sparkSession
-    path = shared_folder(spark, name)
+    path = intermediate(spark, shared_folder(spark, name))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,13 +6,21 @@ probes every list that can hold a vector within reach, distances to the coded
 vectors come from one table per query and list, and what may be near enough is
 compared exactly.
 
-No pair is lost. A list is left out only if a bound rules it out: it holds
-vectors between two distances from its centre, all on its own side of the
-plane halfway to any other centre. The table distance drops no pair either: a
-coded vector's own error is stored with it, and by the triangle inequality a
-pair within reach has a table distance of at most the reach plus that error.
-Where vectors have no clusters the bounds rule out little, and all pairs are
-compared by their tables.
+Exactly (``recall`` None), no pair is lost. A list is left out only if a bound
+rules it out: it holds vectors between two distances from its centre, all on
+its own side of the plane halfway to any other centre. The table distance drops
+no pair either: a coded vector's own error is stored with it, and by the
+triangle inequality a pair within reach has a table distance of at most the
+reach plus that error. Where vectors have no clusters the bounds rule out
+little, and all pairs are compared by their tables, in time with the square of
+the table.
+
+With a ``recall`` a vector probes only the lists whose centres are not much
+farther than its own one. How much is measured on the index itself: vectors of
+the sample that the centres were not fitted on are given partners just at the reach, in random directions, and the
+margin is such that this share of those pairs meets, each end probing the
+other's list. Nearer pairs meet more often. So probes follow the number of
+lists and the shape of the vectors, at every size.
 
 Equal vectors are one node. Lists are dealt to blocks of bounded size; a pair
 of blocks meets once, with the vectors of each that can reach the other, and
@@ -35,6 +43,9 @@ from .shared import stored
 #: hashes (a documented bound); every vector is indexed.
 MOST_SAMPLE = 32_768
 LIST_ROWS, MOST_LISTS = 256, 4096
+#: One in so many sampled vectors, but at most so many, is kept apart to measure
+#: the margin of probes on, with so many made-up partners each.
+APART, MOST_TRIALS, PARTNERS = 8, 4096, 4
 SUB_DIMS, SUB_CENTRES = 8, 256
 ROUNDS = 10
 #: Rows and bytes of vectors of a block: a vector is shipped once for each
@@ -80,16 +91,35 @@ class Index:
     def list_of(self, x: np.ndarray) -> np.ndarray:
         return square_gaps(x, self.lists).argmin(1)
 
-    def reached(self, x: np.ndarray, reach: float, inner: np.ndarray, outer: np.ndarray) -> np.ndarray:
+    def reached(self, x: np.ndarray, reach: float, inner: np.ndarray, outer: np.ndarray, margin: float = np.inf) -> np.ndarray:
         """Which lists may hold a vector within reach of each query; members
         of a list are between ``inner`` and ``outer`` from its centre, and no
-        other centre is nearer to them."""
+        other centre is nearer to them. Only lists within ``margin`` of the
+        nearest centre are probed."""
         gaps = square_gaps(x, self.lists)
         far = np.sqrt(gaps)
         own, at = np.unique(gaps.argmin(1), return_inverse=True)
         apart = np.sqrt(square_gaps(self.lists[own], self.lists))[at]
         reach += SLACK
-        return (far <= outer + reach) & (far >= inner - reach) & (gaps - gaps.min(1, keepdims=True) <= 2 * reach * apart + SLACK)
+        return (far - far.min(1, keepdims=True) <= margin) & (far <= outer + reach) & (far >= inner - reach) & (gaps - gaps.min(1, keepdims=True) <= 2 * reach * apart + SLACK)
+
+    def margin(self, others: np.ndarray, least: float, recall: float) -> float:
+        """The distance beyond the own centre within which lists are probed,
+        for this share of pairs at cosine ``least`` to meet from both ends.
+        ``others`` must not be among the vectors that the centres were fitted
+        on: those lie nearer to their own centre than others do."""
+        rng = np.random.Generator(np.random.PCG64(7))
+        x = np.repeat(unit(others)[:MOST_TRIALS], PARTNERS, axis=0)
+        side = rng.normal(size=x.shape)
+        side = side - (side * x).sum(1, keepdims=True) * x
+        length = np.sqrt((side * side).sum(1, keepdims=True))
+        y = least * x + np.sqrt(1 - least**2) * side / np.maximum(length, 1e-12)
+        beyond = np.empty(len(x))
+        for i in range(0, len(x), 4096):
+            far, back = (np.sqrt(square_gaps(z[i : i + 4096], self.lists)) for z in (x, y))
+            at, of, row = far.argmin(1), back.argmin(1), np.arange(len(far))
+            beyond[i : i + 4096] = np.maximum(far[row, of] - far[row, at], back[row, at] - back[row, of])
+        return float(np.quantile(beyond, recall, method="higher"))
 
     def code(self, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(codes, distance of each vector from its coded form)."""
@@ -170,13 +200,17 @@ def _matrix(raw, kind) -> np.ndarray:
     return unit(np.stack([np.frombuffer(x, kind) for x in raw]))
 
 
-def _link(nodes: DataFrame, kind, dims: int, least: float) -> DataFrame:
+def _link(nodes: DataFrame, kind, dims: int, least: float, recall: float | None) -> DataFrame:
     """Nodes (node, copies, raw) of one length -> (a, b, links): links of node
     a within a pair of blocks, and forest edges a - b with no count."""
     spark = nodes.sparkSession
     n_rows = nodes.count()
     sample = nodes.select("node", "raw").orderBy(F.xxhash64("raw"), "node").limit(MOST_SAMPLE).toArrow()
-    held = spark.sparkContext.broadcast(Index(np.stack([np.frombuffer(x.as_py(), kind) for x in sample.column("raw")]), n_rows))
+    sample = np.stack([np.frombuffer(x.as_py(), kind) for x in sample.column("raw")])
+    others = np.arange(len(sample)) % APART == 1 if recall is not None else np.zeros(len(sample), bool)
+    fitted = Index(sample[~others], n_rows)
+    margin = fitted.margin(sample[others], least, recall) if others.any() else np.inf
+    held = spark.sparkContext.broadcast(fitted)
 
     def coded(batches):
         for pdf in batches:
@@ -209,7 +243,7 @@ def _link(nodes: DataFrame, kind, dims: int, least: float) -> DataFrame:
         for pdf in batches:
             if len(pdf):
                 inner, outer, first, parts, of_list, names, starts = dealt.value
-                lists = held.value.reached(_matrix(pdf["raw"], kind), reach, inner, outer)
+                lists = held.value.reached(_matrix(pdf["raw"], kind), reach, inner, outer, margin)
                 own = pdf["list"].to_numpy()
                 block = first[own] + pdf["salt"].to_numpy() % parts[own]
                 row, at = np.nonzero(np.logical_or.reduceat(lists[:, of_list], starts, axis=1))
@@ -229,7 +263,7 @@ def _link(nodes: DataFrame, kind, dims: int, least: float) -> DataFrame:
             q, waiting = q[np.argsort(own[q], kind="stable")], 0
             for k in range(0, len(q), 512):
                 a = q[k : k + 512]
-                tables, asked = held.value.tables(x[a]), held.value.reached(x[a], reach, inner, outer).any(0)
+                tables, asked = held.value.tables(x[a]), held.value.reached(x[a], reach, inner, outer, margin).any(0)
                 for c, b in of.items():
                     if not asked[c]:
                         continue
@@ -252,12 +286,15 @@ def _link(nodes: DataFrame, kind, dims: int, least: float) -> DataFrame:
     return pairs.groupBy("lo", "hi").applyInPandas(meet, "a long, b long, links long")
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", recall: float | None = None) -> DataFrame:
     """vectors -> (vec_id, n_links, component_id, kept), one row per input row.
 
     Vectors link when their cosine, in double precision, is at least
     ``least``; ``component_id`` is the smallest id reachable by links, the own
-    included, and ``kept`` says whether it is the own. Null and zero vectors,
+    included, and ``kept`` says whether it is the own. ``recall`` None finds
+    every link; a share such as 0.99 probes fewer lists, so that pairs just at
+    ``least`` are found with that chance and nearer ones with a higher (links
+    found are exact either way). Null and zero vectors,
     and those that hold a null or a non-finite component, link with nothing.
     Vectors link within their length only. Rows with a null id link with
     nothing, have a null component and are not kept. Rows that share an id
@@ -271,7 +308,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_id",
     nodes = stored(nodes.withColumn("bytes", F.octet_length("raw")), "nodes")
     found = None
     for row in nodes.groupBy("bytes").count().where("count > 1").collect():
-        part = _link(nodes.where(F.col("bytes") == row.bytes), kind, row.bytes // np.dtype(kind).itemsize, least)
+        part = _link(nodes.where(F.col("bytes") == row.bytes), kind, row.bytes // np.dtype(kind).itemsize, least, recall)
         found = part if found is None else found.unionByName(part)
     named = rows.join(nodes.drop("bytes"), "raw", "left").select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("node")).alias("node"), F.coalesce(F.col("copies") - 1, F.lit(0)).alias("equal"))
     if found is not None:

@@ -51,8 +51,10 @@ def clash(llm, odd_docs):
     """The same rows with columns that have the operators' own names."""
     from pyspark.sql import functions as F
 
-    names = "n n_words same row token doc node component component_id kept found start source_doc anchors x0 own wide key rate copies task at ids length vslot size shard bits tokens"
-    return odd_docs.withColumns({c: F.lit("clash") for c in names.split()})
+    names = "n n_words same row token doc node component component_id kept found start source_doc anchors x0 own wide key rate copies task at ids length vslot size shard bits tokens n_removed __kept rest c0 c1 bitmap lo windows factors"
+    odd = ["page url", "a.b", 'quoted "`name']
+    # By place, so that names with dots and quotes can be given.
+    return odd_docs.select("*", *(F.lit("clash") for _ in [*names.split(), *odd])).toDF(*odd_docs.columns, *names.split(), *odd)
 
 
 @pytest.fixture(scope="session")

@@ -157,3 +157,35 @@ def test_pipeline(llm, tmp_path):
             assert out.columns == now.columns
         now = out
     assert P.run(llm, str(tmp_path)).count() == now.count()
+
+
+def test_stages_take_any_columns_and_empty_tables(llm, clash, no_docs, tmp_path):
+    if importlib.util.find_spec("corpus_pipeline") is None:
+        pytest.skip("no pipeline here")
+    import corpus_pipeline as P
+
+    llm.createDataFrame([(6, 1, 0), (None, 1, 1), (10, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for k, (name, stage) in enumerate(P.STAGES):
+        out = stage(llm, clash, str(tmp_path))
+        none = stage(llm, no_docs, str(tmp_path))
+        assert none.collect() == [], name
+        if k < len(P.STAGES) - 1:
+            assert out.columns == clash.columns and none.columns == no_docs.columns, name
+            rows = out.collect()
+            assert len(rows) <= clash.count() and all(r[c] == "clash" for r in rows for c in ("page url", "a.b", 'quoted "`name', "row", "n_removed")), name
+        else:
+            assert out.count() >= clash.count()
+
+
+def test_large_ids_beside_a_null(llm):
+    """Ids above 2**53 are looked up as they are, also where an id is null."""
+    from fleetlens.llm import shingle_join, substrings
+
+    rng = random.Random(3)
+    passage = " ".join(some_words(rng, 80, 5000))
+    big = (1 << 53) + 1
+    rows = [(big, passage), (big + 2, passage), (None, passage), (big + 4, passage + " " + " ".join(some_words(rng, 90, 5000)))]
+    df = llm.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted((r.doc_id for r in shingle_join.one_of_each(df).collect()), key=repr) == sorted([big, None, big + 4], key=repr)
+    left = {r.doc_id: len(r.text.split()) for r in substrings.without_repeats(df).collect()}
+    assert left == {big: 80, big + 2: 0, None: 80, big + 4: 90}

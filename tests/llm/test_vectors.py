@@ -80,6 +80,34 @@ def test_links_count_at_both_ends(unclustered):
     assert [got[i].n_links for i in range(len(got))] == want.tolist()
 
 
+def test_probes_reach_the_recall_asked_for(llm):
+    """Two hundred lists without clusters, the hardest case: many pairs lie
+    just over the threshold, across lists. Far fewer lists are probed, and the
+    share found is what was asked for; both ends of each link count."""
+    rng = np.random.default_rng(14)
+    base = rng.normal(size=(2000, 64))
+    x = V.unit(rng.permutation(np.concatenate([base, base + rng.normal(size=base.shape) * rng.choice([0.3, 0.46], size=(2000, 1))])).astype(np.float32))
+    pairs = [(a, b) for a, b in zip(*np.nonzero(x @ x.T >= 0.9)) if a < b]
+    index = V.Index(x[:1600], 256 * 200)
+    own = index.list_of(x)
+    gap = np.sqrt(((x - index.lists[own]) ** 2).sum(1))
+    ends = [np.array([f(gap[own == c]) if (own == c).any() else e for c in range(len(index.lists))]) for f, e in ((np.min, np.inf), (np.max, -np.inf))]
+    everything = index.reached(x, V.reach_of(0.9), *ends)
+    for recall in (0.95, 0.99):
+        probed = index.reached(x, V.reach_of(0.9), *ends, index.margin(x[1600:2400], 0.9, recall))
+        met = np.mean([probed[a, own[b]] and probed[b, own[a]] for a, b in pairs])
+        assert met >= recall - 0.01 and probed.mean() < 0.35 < everything.mean()
+    with pytest.MonkeyPatch.context() as patch:
+        for name, value in (("LIST_ROWS", 20), ("MOST_SAMPLE", 1600), ("BLOCK_ROWS", 300)):
+            patch.setattr(V, name, value)
+        df = llm.createDataFrame([(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))], "vec_id long, embedding array<float>")
+        got = {r.vec_id: r for r in V.near_vectors(df, recall=0.99).collect()}
+    want = np.bincount(np.array(pairs).ravel(), minlength=len(x))
+    links = np.array([got[i].n_links for i in range(len(x))])
+    assert (links <= want).all() and links.sum() >= 0.98 * want.sum()
+    assert np.mean([got[a].component_id == got[b].component_id for a, b in pairs]) >= 0.98
+
+
 def test_lists_left_out_hold_no_near_vector():
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(40, 16)) * 3
