@@ -210,7 +210,8 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], most_rate
 
     ``rate`` is how many times a document is to be used on average; ``domain``
     is the likeliest one. A null or empty text has no tokens, and a rate like
-    any other text with its posterior. Rows with a null id get rates but can't
+    any other text with its posterior; very long texts are taken whole, one at a
+    time. Rows with a null id get rates but can't
     be labelled. Repeated rows count each; without usable labels all posteriors
     are equal; an empty table gives no rows. Other columns are ignored.
     """

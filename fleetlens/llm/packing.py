@@ -62,7 +62,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     offset): ``ids`` holds little-endian unsigned 32-bit ids.
 
     Each document is its ids and ``END_ID``; a null or empty text is that one
-    id. Documents follow one another in the order in which they are read, and
+    id; a very long one is encoded whole, in pieces. Documents follow one another in the order in which they are read, and
     every sequence but the last is full. Repeated and null doc_ids are packed
     like any other row; an empty table gives no rows. Other columns are
     ignored; ``tokenizer`` is the path of a ``tokenizers`` file that each

@@ -311,6 +311,7 @@ def shingle_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null or empty texts and texts without words have no shingles and link with
     nothing. Rows with a null id link with nothing and have a null component.
     Rows that share an id are one document: a link of either holds for both.
+    Very long texts are one set like others, compared whole.
     An empty table gives no rows. Columns beside the two named are ignored.
     """
     spark = docs.sparkSession

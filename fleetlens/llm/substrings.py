@@ -289,7 +289,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept_sha256`` is that of the kept words joined by one space. Null, empty
     and short texts lose nothing; rows with a null id neither lose words nor
     count for others. Rows that share an id are compared with smaller ids
-    only. An empty table gives no rows. Other columns are ignored.
+    only. Very long texts are parsed passage by passage. An empty table gives no rows. Other columns are ignored.
     """
     docs = apart(docs, id_col, text_col)[0].drop("rest")
     counts, found = parse_documents(docs, span)

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .shared import shared_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
@@ -96,14 +97,19 @@ def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     the largest id is the response and the others are revisits of it; rows
     that share that id are all responses. A null id is written as ``None`` and
     read back as null; it is a revisit where a row with an id has the payload.
-    An empty table writes no file. Other columns are ignored.
+    Very long payloads are one record each, written and read whole by one
+    task. An empty table writes no file. Other columns are ignored.
     """
     payload = F.coalesce(pages[html_col].cast("string"), F.lit("")).cast("binary")
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), payload.alias("payload"))
     key: Column = F.when(F.octet_length("payload") >= LEAST_REVISIT, F.sha2("payload", 256))
     many = stored(rows.select("page_id", key.alias("same")).where("same is not null").groupBy("same").agg(F.max("page_id").alias("target"), F.count("*").alias("n")).where("n > 1").drop("n"), "payloads")
-    named = rows.withColumn("same", F.coalesce(key, F.concat(F.lit("-"), F.col("page_id").cast("string"), F.lit("-"), F.crc32("payload").cast("string"))))
-    named = named.join(many, "same", "left").select("page_id", "url", "payload", F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("target")), F.col("target")).alias("target"))
+    named = rows.withColumn("same", F.coalesce(key, F.lit(""))).withColumn("doc_id", F.xxhash64("same"))
+    # Only payloads that may be among the repeated ones are joined and moved.
+    maybe, single = bloom.split(named, many.select(F.xxhash64("same").alias("doc_id")))
+    revisit = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("target")), F.col("target"))
+    named = maybe.join(many, "same", "left").select("page_id", "url", "payload", revisit.alias("target"))
+    named = named.unionByName(single.select("page_id", "url", "payload", F.lit(None).cast("long").alias("target")))
     return stored(named.mapInArrow(_write(shared_folder(pages.sparkSession, "warc")), "path string, bytes long, records long"), "manifest")
 
 
