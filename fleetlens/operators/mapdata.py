@@ -71,6 +71,12 @@ def is_kept(i: Column, n: Column, m: int) -> Column:
     return (n <= m) | reach(near - 1) | reach(near) | reach(near + 1) | reach(near + 2)
 
 
+def keep_indexes(n: Column | str, m: int) -> Column:
+    """All indexes of ``n`` points that stay (see ``is_kept``), in order."""
+    n = (F.col(n) if isinstance(n, str) else n).cast("long")
+    return F.filter(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: is_kept(i, n, m))
+
+
 def thin_trips(points: DataFrame, max_points: int = MAX_POINTS_PER_TRIP, slot_rows: int | None = SLOT_ROWS) -> DataFrame:
     """M3 + W5: index points per trip (ordered by time then tie key), keep
     the evenly spaced indexes; adds ``point_idx``, ``point_count_raw``,
