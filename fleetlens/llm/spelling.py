@@ -273,6 +273,8 @@ def near_words(words: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     that are exactly one edit apart, once each."""
     spark = words.sparkSession
     grams = spark.sparkContext.broadcast(gram_dictionary(words))
+    # A few bytes a word, but much work: not as few tasks as the bytes ask for.
+    words = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = stored(words.mapInArrow(_postings(grams, (least_chars + 1) // 2), "key long, word string, n long, letters long"), "gram-lists")
     # Lists of more than a block are dealt out: every two blocks meet once.
     long = stored(rows.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK_ROWS), "long-lists")
