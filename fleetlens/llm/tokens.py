@@ -12,7 +12,7 @@ from __future__ import annotations
 import gc
 import os
 import re
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,8 +23,11 @@ from .words import BYTE_BACK, BYTE_STEP, BYTE_VALUES, SPACE, U64, _power, flat_b
 #: A piece without white space but for one blank before it.
 PLAIN = re.compile(r" ?\S+").fullmatch
 #: Bytes of text cut and looked up at a time, and pieces kept by a worker.
-CHUNK_BYTES = (1 << 21) - 1
+CHUNK_BYTES = (1 << 20) - 1
 MOST_PIECES = 1_000_000
+#: New pieces given to the tokenizer at a time: its own records of a token take
+#: a hundred times the room of an id.
+LEARN_PIECES = 1 << 15
 
 
 LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
@@ -68,7 +71,8 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[int, int] = {}
+        # Sorted hashes and places of the pieces: a dict takes ten times the room.
+        self.hashes, self.places = np.empty(0, U64), np.empty(0, np.int32)
         self.ids = np.empty(1 << 16, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
@@ -99,20 +103,32 @@ class Encoder:
         out[of], out[~of] = np.fromiter(chain.from_iterable(found), np.uint32), ids
         return out, count
 
-    def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
         gc.disable()  # or it walks the new lists again and again
         try:
             ids, count = self._ids_of([p.decode("utf-8", "replace") for p in pieces])
         finally:
             gc.enable()
-        n = len(self.ends)
-        self.places.update(zip(hashes, range(n - 1, n - 1 + len(count))))
         ends = self.ends[-1] + np.cumsum(count)
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         self.ids[self.ends[-1] : ends[-1]] = ids
         self.ends = np.concatenate([self.ends, ends])
 
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash's piece stands among those seen, or -1."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.places[at], -1).astype(np.int64)
+
+    def _note(self, hashes: np.ndarray, places: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.places = np.insert(self.places, at, places[order].astype(np.int32))
+
     def _chunk(self, buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of the pieces that begin at ``starts``, and how many each has."""
         ends = np.append(starts[1:], len(buf))
@@ -124,13 +140,15 @@ class Encoder:
         first[which] = np.arange(len(h))
         if len(self.places) + len(distinct) > MOST_PIECES:
             self.clear()
-        keys, raw = distinct.tolist(), buf.tobytes()
-        place = np.fromiter(map(self.places.get, keys, repeat(-1)), np.int64, len(keys))
+        place = self._places(distinct)
         new = np.flatnonzero(place < 0)
         if len(new):
-            at, to = starts[first[new]].tolist(), ends[first[new]].tolist()
             place[new] = len(self.ends) - 1 + np.arange(len(new))
-            self._learn([keys[i] for i in new.tolist()], [raw[a:b] for a, b in zip(at, to)])
+            raw = buf.tobytes()
+            for i in range(0, len(new), LEARN_PIECES):
+                some = first[new[i : i + LEARN_PIECES]]
+                self._learn([raw[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist())])
+            self._note(distinct[new], place[new])
         place = place[which]
         lo, n = self.ends[place], self.ends[place + 1] - self.ends[place]
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)

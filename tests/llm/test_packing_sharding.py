@@ -137,3 +137,21 @@ def test_a_map_lives_on(llm):
     H.shard_documents(docs(9000), 8, slot_map=opened).count()
     assert opened.newest().max() == 7 and (opened.newest() != grown).sum() < H.SLOTS / 5
     assert (opened.read(0).count(), opened.read().count()) == (H.SLOTS, H.SLOTS)
+
+
+def test_encoder_keeps_little_and_learns_in_parts(direct, monkeypatch):
+    """A worker's memory: the tokenizer gets new pieces in bounded parts, and a
+    piece that is kept takes 12 bytes beside its ids."""
+    from fleetlens.llm import tokens
+
+    monkeypatch.setattr(tokens, "LEARN_PIECES", 7, raising=False)
+    rng, parts = random.Random(8), []
+    texts = [" ".join("".join(rng.choice("abcdxyz") for _ in range(6)) for _ in range(60)) for _ in range(4)]
+    encoder, ids_of = Encoder(PATH), Encoder._ids_of
+    monkeypatch.setattr(Encoder, "_ids_of", lambda self, pieces: parts.append(len(pieces)) or ids_of(self, pieces))
+    want = [direct(t) for t in texts]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
+    assert max(parts) <= 7 and sum(parts) > 100
+    learnt = len(parts)
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want and len(parts) == learnt
+    assert encoder.hashes.nbytes + encoder.places.nbytes == 12 * sum(parts)
