@@ -439,19 +439,20 @@ def restart_points(silver: DataFrame, late: DataFrame) -> DataFrame:
     return before.groupBy("bus_id").agg(F.max_by(F.struct(*cols), F.struct("event_time", *ties)).alias("_l")).select("bus_id", "_l.*")
 
 
-def repaired_rows(spark: SparkSession, bronze_root: str, late: DataFrame, quality: Quality = Quality(), tie_cols=None, silver: DataFrame | None = None) -> DataFrame:
+def repaired_rows(spark: SparkSession, bronze_root: str, late: DataFrame, quality: Quality = Quality(), tie_cols=None, silver: DataFrame | None = None, points: DataFrame | None = None) -> DataFrame:
     """ST7: the rows, before the validity filter, of the buses that got late
     rows, computed anew from Bronze: with ``silver`` from the last Silver row
     before a bus's first late row (older Bronze is filtered away in the scan),
     else, and where there is none, from the bus's beginning. A Bronze
-    ``batch_id`` rides along; the restart rows themselves are not returned."""
+    ``batch_id`` rides along; the restart rows themselves are not returned.
+    ``points`` are the written restart points, where they are known."""
     bronze = spark.read.parquet(bronze_root).drop("json_payload")
     ties = list(tie_cols or default_tie_cols(bronze))
     buses = late.select(F.col("bus_id").alias("_bus")).distinct()
     if silver is None:
         rows = bronze.join(buses, F.col("bus_id").eqNullSafe(F.col("_bus")), "left_semi")
         return enrich_segments(rows, quality=quality, tie_cols=ties or None)
-    points = materialize(restart_points(silver, late), "late-restart")
+    points = materialize(restart_points(silver, late), "late-restart") if points is None else points
     oldest = points.agg(F.count(F.lit(1)).alias("n"), F.min("event_time").alias("t")).first()
     if buses.count() == oldest.n:  # a literal, so that the scan skips files
         bronze = bronze.where(F.col("event_time").isNull() | (F.col("event_time") >= F.lit(oldest.t)))
@@ -496,10 +497,11 @@ def apply_late_repair(spark: SparkSession, bronze_root: str, silver_root: str, l
     silver = read_silver(spark, silver_root)
     same_bus = F.col("bus_id").eqNullSafe(F.col("_bus"))
     key = F.struct("event_time", *default_tie_cols(silver))
-    points = restart_points(silver, late).select(F.col("bus_id").alias("_cb"), key.alias("_ck"))
+    points = materialize(restart_points(silver, late), "late-restart")
+    known = points.select(F.col("bus_id").alias("_cb"), key.alias("_ck"))
     buses = late.select(F.col("bus_id").alias("_bus")).distinct()
-    buses = materialize(buses.join(points, F.col("_bus").eqNullSafe(F.col("_cb")), "left").select("_bus", "_ck"), "late-buses")
-    every = materialize(repaired_rows(spark, bronze_root, late, quality, tie_cols, silver), "late-rows")
+    buses = materialize(buses.join(known, F.col("_bus").eqNullSafe(F.col("_cb")), "left").select("_bus", "_ck"), "late-buses")
+    every = materialize(repaired_rows(spark, bronze_root, late, quality, tie_cols, silver, points), "late-rows")
     fixed, behind = valid_pings(every), F.col("_ck").isNull() | (key > F.col("_ck"))
     old = silver.join(buses, same_bus).where(behind)
     touched = materialize(fixed.select("batch_id").unionByName(old.select("batch_id")).distinct(), "late-batches")

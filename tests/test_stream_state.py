@@ -144,3 +144,14 @@ def test_gold_files_are_in_order(spark):
         if column is not None:
             values = rows.column(column).to_pylist()
             assert values == sorted(values)
+
+
+def test_repair_works_out_restart_points_once(spark, monkeypatch):
+    root, calls, points = tempfile.mkdtemp(prefix="fl-once-"), [], S.restart_points
+    _batch(spark, root, 0, [_row("B1", i, i) for i in range(30)])
+    _batch(spark, root, 1, [_row("B1", 100, 100)])
+    _batch(spark, root, 2, [_row("B1", 50, 50)])
+    monkeypatch.setattr(S, "restart_points", lambda *a: calls.append(1) or points(*a))
+    S.apply_late_repair(spark, f"{root}/bronze", f"{root}/silver", f"{root}/late", f"{root}/carry")
+    assert len(calls) == 1
+    assert sorted((r.event_id, r.trip_seq) for r in S.read_silver(spark, f"{root}/silver").where("event_id > 28").collect()) == [(29, 1), (50, 2), (100, 3)]
