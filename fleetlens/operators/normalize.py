@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.routes import null_if_nan_token
 from ..plans.joins import join_dimension
+from ..session import materialize
 from ..settings import EPOCH_NUMERIC_RATIO, EVENT_COLUMNS, EVENT_WIRE_DDL, Candidates
 
 CRITICAL = ("event_time", "bus_id", "latitude", "longitude")
@@ -34,13 +35,14 @@ def parse_event_time(df: DataFrame, col: str = "event_time", by: str = "source_f
     """Per source file, when more than ``ratio`` of the values are
     numeric they are epoch seconds (fractions kept to the microsecond), else
     ISO text; what does not parse, or lies beyond the range of a timestamp,
-    becomes NULL. The ratio is one aggregate per file, joined back."""
+    becomes NULL. The ratio is one aggregate per file, written and joined back:
+    a join of known size, for which the rows don't meet by file."""
     text = F.col(col).cast("string")
     num = text.try_cast("double")
     stats = df.groupBy(by).agg(F.avg(F.when(num.isNotNull(), 1.0).otherwise(0.0)).alias("_num_ratio"))
     epoch = F.timestamp_micros(F.round(F.nanvl(num, F.lit(None).cast("double")) * 1_000_000).try_cast("long"))
     parsed = F.when(F.col("_num_ratio") > F.lit(float(ratio)), epoch).otherwise(F.try_to_timestamp(text))
-    return join_dimension(df, stats, by, "left").withColumn(col, parsed).drop("_num_ratio")
+    return join_dimension(df, materialize(stats, "time-ratios"), by, "left").withColumn(col, parsed).drop("_num_ratio")
 
 
 def map_schema(df: DataFrame, candidates: Candidates = Candidates(), mapping: DataFrame | None = None) -> DataFrame:

@@ -622,8 +622,11 @@ def _write_raw_copies(spark, sf_dir) -> str:
     ids in layout a and odd ones in layout b, two files each: other names,
     another order, ISO text, epoch seconds or timestamps. Some rows of csv/a
     have no latitude, some of json/a a time beyond any range; layouts b have a
-    column without values."""
+    column without values. A layout is two tasks, so all are written at once."""
     import uuid
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
 
     from .session import scratch_path
     from .sources import driver
@@ -633,7 +636,8 @@ def _write_raw_copies(spark, sf_dir) -> str:
     iso = F.date_format(F.timestamp_seconds("t"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     epoch = F.when((F.col("event_id") % 103 == 0) & (F.col("event_id") % 2 == 0), F.lit(1e306)).otherwise(F.col("t").cast("double"))
     time = {"csv/a": iso, "csv/b": F.col("t"), "json/a": epoch, "json/b": iso, "parquet/a": F.timestamp_seconds("t"), "parquet/b": F.timestamp_seconds("t")}
-    for name, names in RAW_LAYOUTS.items():
+
+    def write(name: str, names: dict[str, str]) -> None:
         fmt, layout = name.split("/")
         rows = p.where(F.col("event_id") % 2 == (0 if layout == "a" else 1)).withColumn("event_time", time[name])
         if name == "csv/a":
@@ -647,6 +651,10 @@ def _write_raw_copies(spark, sf_dir) -> str:
         if fmt == "csv":
             writer = writer.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         writer.save(f"{root}/{name}")
+
+    with ThreadPoolExecutor(len(RAW_LAYOUTS)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write), *layout) for layout in RAW_LAYOUTS.items()]:
+            done.result()
     return root
 
 

@@ -58,7 +58,7 @@ def text_lines(spark: SparkSession, path: str, kind: str) -> DataFrame | None:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
-    line = F.regexp_replace("value", "\ufeff", "")
+    line = F.replace("value", F.lit("\ufeff"), F.lit(""))
     own = lines.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("i"), line.alias("line"))
     return own.where(F.trim("line") != "")
 
@@ -147,24 +147,26 @@ def json_records(spark: SparkSession, path: str) -> DataFrame | None:
     JSON lines, each line a record. Any other file is one document: an array,
     whose elements are records, or an object over several lines. What does not
     parse, or is no object, has an ``error`` and no record. No file name
-    leaves the tasks; a document is put together from its lines in one task."""
+    leaves the tasks; a document is put together from its lines in one task.
+    What shape a file has is written first, so that the lines of JSON lines
+    need not meet by file."""
     lines = text_lines(spark, path, "json")
     if lines is None:
         return None
     whole = F.col("line").rlike(r"^\s*\[") | F.try_parse_json("line").isNull()
-    shapes = _first_lines(spark, path, "json").select("source_file", whole.alias("whole"))
+    shapes = materialize(_first_lines(spark, path, "json").select("source_file", whole.alias("whole")), "json-shapes")
     lines = lines.withColumnRenamed("line", "raw").join(shapes, "source_file")
     place, record = F.struct("at", "i").alias("place"), F.try_parse_json("raw")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "i", "raw"))), lambda x: x["raw"]), "\n")
-    single = lines.where("not whole").select("source_file", place, F.lit("line").alias("scope"), "raw", record.alias("v"))
+    single = lines.where("not whole").select("source_file", place, F.lit("line").alias("scope"), "raw", record.alias("v"), F.col("raw").rlike(r"^\s*\{").alias("object"))
     docs = lines.where("whole").groupBy("source_file").agg(text.alias("raw"), F.min(F.struct("at", "i")).alias("place")).withColumn("v", record)
     parsed = F.col("v").isNotNull()
     parts = F.when(F.trim("raw").startswith("["), F.expr("try_cast(v as array<variant>)")).otherwise(F.array("v"))
     # A document's text goes along only where it does not parse.
-    docs = docs.select("source_file", "place", F.when(parsed, F.lit("element")).otherwise(F.lit("file")).alias("scope"), F.when(~parsed, F.col("raw")).alias("raw"), F.explode_outer(F.when(parsed, parts)).alias("v"))
+    docs = docs.select("source_file", "place", F.when(parsed, F.lit("element")).otherwise(F.lit("file")).alias("scope"), F.when(~parsed, F.col("raw")).alias("raw"), F.explode_outer(F.when(parsed, parts)).alias("v")).withColumn("object", F.schema_of_variant("v").startswith("OBJECT"))
     # An array without elements has no record, and nothing is wrong with it.
     rows = single.unionByName(docs.where("scope = 'file' or v is not null"))
-    error = F.when(F.col("v").isNull(), F.lit("not JSON")).when(~F.schema_of_variant("v").startswith("OBJECT"), F.lit("not an object"))
+    error = F.when(F.col("v").isNull(), F.lit("not JSON")).when(~F.col("object"), F.lit("not an object"))
     return rows.withColumn("error", error).select("source_file", "place", "scope", F.coalesce("raw", F.to_json("v")).alias("raw"), F.when(F.col("error").isNull(), F.col("v")).alias("record"), "error")
 
 

@@ -225,3 +225,23 @@ def test_stream_equals_batch(spark):
         a = QUERIES[name](spark, sf).select(*batch.columns)
         assert a.count() == batch.count()
         assert a.exceptAll(batch).count() == 0 and batch.exceptAll(a).count() == 0
+
+
+def test_rows_of_a_few_large_files_do_not_meet_by_file(spark):
+    """What is known of a file is a small table of known size: neither JSON
+    lines nor mapped rows are shuffled by file name for it."""
+    from fleetlens.sources.raw import json_records
+
+    d = tempfile.mkdtemp(prefix="fl-byfile-")
+    for name in "ab":
+        with open(f"{d}/{name}.json", "w") as f:
+            f.write("\ufeff" if name == "a" else "")
+            f.writelines(json.dumps({"imei": f"B{i}", "time": i, "longitude": 106.0, "latitude": 10.0}) + "\n" for i in range(50))
+            f.write(' \t{"imei": "B9"}\n[1, 2]\n7\n"{"\nnot json\n')
+    records = json_records(spark, d)
+    found = sorted((r.error or "", r.n) for r in records.groupBy("error").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect())
+    assert found == [("", 102), ("not JSON", 2), ("not an object", 6)]
+    for df in (records, read_mapped(spark, d)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert read_mapped(spark, d).where("event_time is not null").count() == 100
