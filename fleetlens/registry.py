@@ -683,14 +683,19 @@ def q_read_raw_mapped(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 
-def _wire_pings(spark, sf_dir):
-    """Pings as Kafka-style rows: key, JSON value, partition and offset; the
-    offset numbers them in event-id order."""
-    from .operators.normalize import to_events, to_keyed_json
+def _numbered_pings(spark, sf_dir):
+    """Pings with their partition and offset, which numbers them in event-id
+    order."""
     from .sources import driver
 
+    return driver.ping_events(spark, sf_dir).withColumns({"partition": F.lit(0), "offset": F.col("event_id") * 2 + F.col("copy_no")})
+
+
+def _wire(numbered):
+    """Numbered pings as Kafka-style rows: key, JSON value, partition, offset."""
+    from .operators.normalize import to_events, to_keyed_json
+
     beside = ("partition", "offset")
-    numbered = driver.ping_events(spark, sf_dir).withColumns({"partition": F.lit(0), "offset": F.col("event_id") * 2 + F.col("copy_no")})
     return to_keyed_json(to_events(numbered, beside), beside)
 
 
@@ -700,17 +705,18 @@ def _wire_key():
 
 
 def _stream_silver(spark, sf_dir, n_files: int = 5, order=("offset",)):
-    """Run the stream on the wire rows, one file a micro-batch; returns the
-    root of its tables and its metrics."""
+    """Run the stream on the wire rows, one file (where rows are many: one
+    slice of files) a micro-batch; returns the root of its tables and its
+    metrics."""
     import uuid
 
     from .session import scratch_path
     from .streaming.stream import BatchMetrics, read_ping_stream, replay_as_stream, run_stream, wire_events
 
     root = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
-    wire = _wire_pings(spark, sf_dir)
-    replay_as_stream(wire, f"{root}/landing", n_files, order_cols=order)
-    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=wire.schema, max_files_per_trigger=1)
+    pings = _numbered_pings(spark, sf_dir)
+    files = replay_as_stream(pings, f"{root}/landing", n_files, order_cols=order, shape=_wire)
+    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=_wire(pings).schema, max_files_per_trigger=files)
     metrics = BatchMetrics()
     q = run_stream(
         stream, f"{root}/bronze", f"{root}/silver", f"{root}/carry", f"{root}/checkpoint", metrics=metrics, late_root=f"{root}/late", prepare=wire_events
@@ -1076,8 +1082,8 @@ def q_stream_hourly(spark, sf_dir):
 
     root = scratch_path(spark, f"hourly-{uuid.uuid4().hex[:12]}")
     events = driver.ping_events(spark, sf_dir)
-    replay_as_stream(events, f"{root}/landing", 3, order_cols=("event_time", "event_id", "copy_no"))
-    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=events.schema, max_files_per_trigger=1)
+    files = replay_as_stream(events, f"{root}/landing", 3, order_cols=("event_time", "event_id", "copy_no"))
+    stream = read_ping_stream(spark, f"{root}/landing", "json", schema=events.schema, max_files_per_trigger=files)
     q = (
         stream_hourly(stream, watermark="1 hour")
         .writeStream.outputMode("update")

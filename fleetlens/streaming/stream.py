@@ -388,20 +388,31 @@ def run_stream(
     return writer.start()
 
 
-def replay_as_stream(events: DataFrame, folder: str, n_files: int, order_cols=("event_time",), fmt: str = "json") -> None:
+#: Rows of a replayed file: what one task sorts.
+FILE_ROWS = 500_000
+
+
+def replay_as_stream(events: DataFrame, folder: str, n_files: int, order_cols=("event_time",), fmt: str = "json", shape=None) -> int:
     """ST10: lay the events out as ``n_files`` files in order for a file
-    stream with ``maxFilesPerTrigger=1``. One range-partitioned job writes all
-    files in parallel, rows without an order key in the first one; then the
-    files' times are set in their order, because the file source takes the
-    oldest first (names only reach the driver)."""
+    stream with ``maxFilesPerTrigger=1``; where these would have more than
+    ``FILE_ROWS`` rows, as ``n_files`` slices of several files. Returns the
+    files of a slice, which ``maxFilesPerTrigger`` has to be. One
+    range-partitioned job writes all files in parallel, rows without an order
+    key in the first one; then the files' times are set in their order, because
+    the file source takes the oldest first (names only reach the driver).
+    ``shape`` makes the rows that are written from ordered ones, row by row, so
+    that narrow rows are sampled and sorted."""
     spark = events.sparkSession
-    ordered = events.repartitionByRange(n_files, *order_cols).sortWithinPartitions(*order_cols)
+    each = max(1, -(-events.count() // (n_files * FILE_ROWS)))
+    ordered = events.repartitionByRange(n_files * each, *order_cols).sortWithinPartitions(*order_cols)
+    ordered = ordered if shape is None else shape(ordered)
     ordered.write.mode("append").format(fmt).save(folder)
     fs, path = _folder(spark, folder)
     files = sorted((s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
     start = int(time.time() * 1000) - 1000 * (len(files) + 1)
     for i, file in enumerate(files):
         fs.setTimes(file, start + 1000 * i, -1)
+    return each
 
 
 #: The file that says which folder holds each batch's Silver, and where

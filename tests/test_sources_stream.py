@@ -227,6 +227,25 @@ def test_stream_equals_batch(spark):
         assert a.exceptAll(batch).count() == 0 and batch.exceptAll(a).count() == 0
 
 
+def test_replay_slices_are_files_of_bounded_rows(spark, monkeypatch):
+    """A task sorts so many rows as a file may have, not a whole slice; the
+    files' times follow the order, and rows are shaped after the sort."""
+    import glob
+    import os
+
+    from fleetlens.streaming import stream as S
+
+    monkeypatch.setattr(S, "FILE_ROWS", 100, raising=False)
+    root = tempfile.mkdtemp(prefix="fl-slices-")
+    rows = spark.range(1000).selectExpr("id k")
+    each = S.replay_as_stream(rows, f"{root}/x", 2, order_cols=("k",), shape=lambda df: df.selectExpr("k", "concat('row ', k) text"))
+    files = sorted(glob.glob(f"{root}/x/part-*.json"), key=os.path.getmtime)
+    assert each == 5 and len(files) == 10
+    held = [[json.loads(line) for line in open(f)] for f in files]
+    assert [r["k"] for rows in held for r in rows] == list(range(1000))
+    assert max(map(len, held)) <= 250 and held[0][0]["text"] == "row 0"
+
+
 def test_rows_of_a_few_large_files_do_not_meet_by_file(spark):
     """What is known of a file is a small table of known size: neither JSON
     lines nor mapped rows are shuffled by file name for it."""
